@@ -1,0 +1,21 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from paywarden.session import SESSION_DEFAULTS  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+    for key, value in SESSION_DEFAULTS.items():
+        builder = builder.config(key, value)
+    builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()

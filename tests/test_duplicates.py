@@ -1,0 +1,88 @@
+from collections import Counter
+
+from paywarden.operators import duplicates as D
+from paywarden.schema import TRANSACTION_SCHEMA
+from rows import REPEATED, tx
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, TRANSACTION_SCHEMA)
+
+
+ODD = REPEATED + [tx(None, "n1"), tx(None, "n2"), tx("", "b1"), tx("", "b2"), tx("S1")]
+
+
+def test_golden_counts(spark):
+    rows = frame(spark, REPEATED)
+    assert {r.transaction_id: r.record_count for r in D.duplicate_ids(rows).collect()} == {
+        "DUP001": 2, "DUP002": 2}
+    copies = D.duplicate_records(rows)
+    assert copies.columns == rows.columns
+    assert sorted(r.transaction_id for r in copies.collect()) == ["DUP001"] * 2 + ["DUP002"] * 2
+    assert D.dedupe(rows).count() == 3
+    assert D.duplicate_summary(rows).first().asDict() == {
+        "total_records": 5, "unique_records": 3,
+        "duplicate_records": 4, "duplicate_transaction_ids": 2}
+
+
+def test_null_and_blank_keys(spark):
+    rows = frame(spark, ODD)
+    ids = {r.transaction_id: r.record_count for r in D.duplicate_ids(rows).collect()}
+    assert ids == {None: 2, "": 2, "DUP001": 2, "DUP002": 2}
+    # NULL matches nothing unless asked to
+    assert Counter(r.transaction_id for r in D.duplicate_records(rows).collect()) == {
+        "": 2, "DUP001": 2, "DUP002": 2}
+    assert Counter(
+        r.transaction_id for r in D.duplicate_records(rows, null_safe=True).collect()
+    ) == {None: 2, "": 2, "DUP001": 2, "DUP002": 2}
+    assert D.dedupe(rows).count() == rows.dropDuplicates(["transaction_id"]).count() == 6
+    assert D.duplicate_summary(rows).first() == (10, 6, 6, 4)
+
+
+def test_summary_from_stored_counts(spark):
+    rows = frame(spark, ODD)
+    counted = D.multiplicity(rows)
+    # four repeated keys and one row for everything held once
+    assert counted.count() == 5
+    assert D.summarise_multiplicity(counted).first() == D.duplicate_summary(rows).first()
+    assert D.duplicate_summary(rows.limit(0)).first() == (0, 0, 0, 0)
+
+
+def test_survivor_is_the_first_in_order(spark):
+    rows = frame(spark, [tx("K", f"c{n}", amount=float(n)) for n in range(20)])
+    assert D.dedupe(rows, order_by=["amount"]).first().customer_id == "c0"
+
+
+def test_hot_key_is_cut_down_before_the_shuffle(spark):
+    rows = spark.range(0, 30000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('k', id)) AS transaction_id", "id")
+    plan = D.dedupe(rows, order_by=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Partial") > plan.index("Exchange")
+    assert D.dedupe(rows, order_by=["id"]).count() == 20001
+    copies = D.duplicate_records(rows)
+    assert copies.count() == 10000
+    # the stored id list is small, so the big side is not shuffled
+    assert "BroadcastHashJoin" in copies._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_id_list_falls_back_to_a_shuffled_join(spark):
+    rows = spark.range(0, 40000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('k', id div 2)) AS transaction_id", "id")
+    want = rows.groupBy("transaction_id").count().filter("count > 1").selectExpr("sum(count)").first()[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
+    try:
+        copies = D.duplicate_records(rows)
+        assert len(copies.collect()) == want
+        plan = copies._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold",
+                     "spark.sql.adaptive.autoBroadcastJoinThreshold",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                     "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+                     "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(name)
