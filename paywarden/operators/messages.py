@@ -29,16 +29,14 @@ def _decoded(df: DataFrame) -> DataFrame:
 def _is_object(raw: Column) -> Column:
     """Is the whole text exactly one JSON object?
 
-    The parser stops after the first value, so the text is placed in an array
-    in front of a closing ``true``: anything left over after the object breaks
-    the array or pushes that marker out of second place.
+    The JSON functions stop after the first value and ignore what follows. So
+    the text is read once inside an array and once as an object member: text
+    left over after the object can close or continue one of them, never both.
     """
-    boxed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(",true]")))
-    closed = F.try_variant_get(boxed, "$[1]", "boolean") & F.try_variant_get(
-        boxed, "$[2]", "variant"
-    ).isNull()
-    kind = F.schema_of_variant(F.try_variant_get(boxed, "$[0]", "variant"))
-    return F.coalesce(closed & kind.startswith("OBJECT"), F.lit(False))
+    inside_array = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    as_member = F.json_object_keys(F.concat(F.lit('{"m":'), raw, F.lit("}")))
+    kind = F.schema_of_variant(inside_array)
+    return F.coalesce(kind.startswith("ARRAY<OBJECT"), F.lit(False)) & as_member.isNotNull()
 
 
 def parse_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:

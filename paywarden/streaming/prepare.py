@@ -101,7 +101,9 @@ def checked_stream(
     if not keep_unkeyed:
         return validate(dedupe_stream(prepare_stream(raw, delay), bounded=bounded), profile)
     keyed = keyed_stream(raw, delay, bounded, fold)
-    unkeyed = prepare_stream(raw.filter(~has_key()), delay)
+    # No watermark here: the query's watermark is the slowest of its branches,
+    # and this one may see no rows for a long time.
+    unkeyed = with_date_parts(with_event_time(raw.filter(~has_key()), keep=False))
     return validate(keyed.unionByName(unkeyed), profile)
 
 
