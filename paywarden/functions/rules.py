@@ -1,8 +1,9 @@
 """Validation rules as data.
 
-A rule states what a *good* row looks like. Each predicate is never NULL, so a
-profile's validity is a plain conjunction that Catalyst can push into the scan
-one rule at a time, and a rejection label is ``when(not good, label)``.
+A rule states what a *good* row looks like, in the form a filter needs: anything
+but TRUE, so also NULL, means that the rule is broken. A profile's validity is
+then a plain conjunction of short predicates that Catalyst can push into the
+scan one by one.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ class Rule:
 
     def mark(self) -> Column:
         """The label where the rule is broken, NULL elsewhere."""
-        return F.when(~self.holds(), F.lit(self.label))
+        return F.when(_not_true(self.holds()), F.lit(self.label))
 
 
 @dataclass(frozen=True)
@@ -44,14 +45,21 @@ class Profile:
         return [rule.flag for rule in self.rules]
 
     def is_valid(self) -> Column:
+        """TRUE for good rows, FALSE or NULL for others: a filter condition."""
         return functools.reduce(operator.and_, (rule.holds() for rule in self.rules))
 
     def is_invalid(self) -> Column:
-        return ~self.is_valid()
+        """TRUE or FALSE, never NULL."""
+        return _not_true(self.is_valid())
+
+
+def _not_true(condition: Column) -> Column:
+    return ~F.coalesce(condition, F.lit(False))
 
 
 def _present(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNotNull() & (F.col(name) != "")
+    # Every text but the empty one sorts after it.
+    return lambda: F.col(name) > ""
 
 
 def _not_null(name: str) -> Callable[[], Column]:
@@ -59,15 +67,15 @@ def _not_null(name: str) -> Callable[[], Column]:
 
 
 def _positive(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNotNull() & (F.col(name) > 0)
+    return lambda: F.col(name) > 0
 
 
 def _positive_number(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNotNull() & (F.col(name) > 0) & ~F.isnan(name)
+    return lambda: (F.col(name) > 0) & ~F.isnan(name)
 
 
 def _one_of(name: str, *allowed: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNotNull() & F.col(name).isin(*allowed)
+    return lambda: F.col(name).isin(*allowed)
 
 
 def _one_of_or_null(name: str, *allowed: str) -> Callable[[], Column]:

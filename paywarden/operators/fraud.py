@@ -155,7 +155,7 @@ def transaction_summary(
     """
     width = window_minutes * 60 * 1_000_000
     micros = F.unix_micros(S.EVENT_TIME)
-    good = profile.is_valid()
+    good = ~profile.is_invalid()
     counted = (
         df.select(
             F.when(good, micros - F.pmod(micros, F.lit(width))).alias("window_key"),

@@ -33,10 +33,12 @@ def _is_object(raw: Column) -> Column:
     the text is read once inside an array and once as an object member: text
     left over after the object can close or continue one of them, never both.
     """
+    starts_object = F.ltrim(raw, F.lit(" \t\n\r")).startswith("{")
     inside_array = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
     as_member = F.json_object_keys(F.concat(F.lit('{"m":'), raw, F.lit("}")))
-    kind = F.schema_of_variant(inside_array)
-    return F.coalesce(kind.startswith("ARRAY<OBJECT"), F.lit(False)) & as_member.isNotNull()
+    return F.coalesce(starts_object, F.lit(False)) & (
+        inside_array.isNotNull() & as_member.isNotNull()
+    )
 
 
 def parse_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:

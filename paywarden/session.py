@@ -13,6 +13,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods above this size; generated code that is longer
+    # runs faster split into operators.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keyed state (ids seen, open windows) lives on executor disk, not heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -16,12 +16,6 @@ from paywarden.schema import EVENT_TIME, VELOCITY_THRESHOLD, VELOCITY_WINDOW, WA
 KEYS = ("transaction_id",)
 
 
-def prepare_stream(raw: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Event time in place of the raw text, date parts, and the watermark."""
-    timed = with_date_parts(with_event_time(raw, keep=False))
-    return timed.withWatermark(EVENT_TIME, delay)
-
-
 def fold_copies(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Keep one row per key within each Arrow batch, the one with the latest event time.
 
@@ -72,15 +66,31 @@ def has_key(keys: Sequence[str] = KEYS):
     return keyed
 
 
+def prepare_stream(
+    raw: DataFrame, delay: str = WATERMARK_DELAY, fold_keys: Sequence[str] = ()
+) -> DataFrame:
+    """Event time in place of the raw text, date parts, and the watermark.
+
+    With ``fold_keys``, copies that lie next to each other are folded first.
+    """
+    timed = with_date_parts(with_event_time(raw, keep=False))
+    if fold_keys:
+        timed = fold_copies(timed, fold_keys)
+    return timed.withWatermark(EVENT_TIME, delay)
+
+
+def _deduplicated(
+    raw: DataFrame, keys: Sequence[str], delay: str, bounded: bool, fold: bool
+) -> DataFrame:
+    prepared = prepare_stream(raw, delay, keys if fold else ())
+    return dedupe_stream(prepared, keys, bounded)
+
+
 def keyed_stream(
     raw: DataFrame, delay: str = WATERMARK_DELAY, bounded: bool = True, fold: bool = True
 ) -> DataFrame:
     """De-duplicated rows that carry a transaction id."""
-    keyed = raw.filter(has_key())
-    timed = with_date_parts(with_event_time(keyed, keep=False))
-    if fold:
-        timed = fold_copies(timed)
-    return dedupe_stream(timed.withWatermark(EVENT_TIME, delay), bounded=bounded)
+    return _deduplicated(raw.filter(has_key()), KEYS, delay, bounded, fold)
 
 
 def checked_stream(
@@ -91,20 +101,20 @@ def checked_stream(
     keep_unkeyed: bool = True,
     fold: bool = True,
 ) -> DataFrame:
-    """De-duplicated and validated rows.
+    """De-duplicated and validated rows, from one read of the source.
 
     Rows without a transaction id cannot be copies of one another. By default
-    they go round the de-duplication, and validation rejects each of them. With
-    ``keep_unkeyed=False`` they take part in it like any other key, so one row
-    stands for all NULL ids and one for all blank ids.
+    each gets a token of its own that joins the key, which also spreads them
+    over all tasks, and validation rejects each of them. Spark fixes the seed of
+    the token for a micro-batch, so a task that is run again gives the same.
+    With ``keep_unkeyed=False`` one row stands for all NULL ids and one for all
+    blank ids.
     """
     if not keep_unkeyed:
-        return validate(dedupe_stream(prepare_stream(raw, delay), bounded=bounded), profile)
-    keyed = keyed_stream(raw, delay, bounded, fold)
-    # No watermark here: the query's watermark is the slowest of its branches,
-    # and this one may see no rows for a long time.
-    unkeyed = with_date_parts(with_event_time(raw.filter(~has_key()), keep=False))
-    return validate(keyed.unionByName(unkeyed), profile)
+        return validate(_deduplicated(raw, KEYS, delay, bounded, fold), profile)
+    marked = raw.withColumn("_token", F.when(has_key(), F.lit("")).otherwise(F.uuid()))
+    single = _deduplicated(marked, (*KEYS, "_token"), delay, bounded, fold)
+    return validate(single.drop("_token"), profile)
 
 
 def velocity_stream(

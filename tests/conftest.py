@@ -11,7 +11,7 @@ from paywarden.session import SESSION_DEFAULTS  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+    builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2")
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

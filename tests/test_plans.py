@@ -1,0 +1,124 @@
+import datetime as dt
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+import paywarden.__main__ as cli
+from paywarden.functions.rules import BATCH
+from paywarden.operators import reports as R
+from paywarden.operators.fraud import stamp_alerts
+from paywarden.plans.batch import BatchRun, run_batch
+from paywarden.plans.duplicates import DuplicateRun, run_duplicates
+from paywarden.plans.report import report, report_choices
+from paywarden.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
+from paywarden.sources.readers import read_transactions
+from rows import DAILY, REPEATED, as_lines, tx
+
+
+@pytest.fixture
+def daily(tmp_path):
+    path = tmp_path / "daily.json"
+    # a blank line, and an unknown field that the fixed schema ignores
+    path.write_text(as_lines(DAILY[:6]) + "\n" + as_lines(DAILY[6:]).replace(
+        '"status"', '"_retry_count": 1, "status"'))
+    return str(path)
+
+
+def test_fixed_schema_scan(spark, daily):
+    rows = read_transactions(spark, daily)
+    assert rows.count() == 12 and rows.columns[0] == "transaction_id" and len(rows.columns) == 10
+
+
+def test_batch_run(spark, tmp_path, daily):
+    run = BatchRun(str(tmp_path / "out"), "r1")
+    want = (12, 9, 3, 1, 1)
+    assert run_batch(spark, daily, run).first() == want
+    # running it again replaces its own output
+    assert run_batch(spark, daily, run).first() == want
+    other = BatchRun(run.output, "r2")
+    assert run_batch(spark, daily, other).first() == want
+    assert run.read_processed(spark).count() == 9
+    assert run.transactions(spark).columns == list(TRANSACTION_COLUMNS)
+    alerts = run.fraud_alerts(spark)
+    assert alerts.columns == list(ALERT_COLUMNS)
+    assert sorted(r.fraud_rule for r in alerts.collect()) == [
+        "HIGH_TRANSACTION_VELOCITY", "HIGH_VALUE_TRANSACTION"]
+    (day,) = run.read_rejected(spark).select("year", "month", "day").distinct().collect()
+    assert tuple(day) == (2026, 9, 25)
+
+
+def test_batch_run_without_alerts_or_rejects(spark, tmp_path):
+    path = tmp_path / "one.json"
+    path.write_text(as_lines([tx(at="?")]))
+    run = BatchRun(str(tmp_path / "out"), "r1")
+    assert run_batch(spark, str(path), run).first() == (1, 1, 0, 0, 0)
+    assert run.read_processed(spark).first().year is None
+    path.write_text("")
+    assert run_batch(spark, str(path), run).first() == (0, 0, 0, 0, 0)
+    assert run.fraud_alerts(spark).count() == 0
+
+
+def test_duplicate_run(spark, tmp_path):
+    path = tmp_path / "in.json"
+    path.write_text(as_lines(REPEATED))
+    run = DuplicateRun(str(tmp_path / "out"))
+    assert run_duplicates(spark, str(path), run).first() == (5, 3, 4, 2)
+    assert run.read_records(spark).count() == 4
+    # without duplicates the earlier result stays
+    path.write_text(as_lines([tx("A"), tx("B")]))
+    assert run_duplicates(spark, str(path), run).first() == (2, 2, 0, 0)
+    assert run.read_records(spark).count() == 4
+
+
+@pytest.fixture
+def alerts(spark, tmp_path, daily):
+    run = BatchRun(str(tmp_path / "report"), "r1", BATCH)
+    run_batch(spark, daily, run)
+    return run.transactions(spark), stamp_alerts(run.fraud_alerts(spark))
+
+
+def test_report(spark, alerts):
+    transactions, table = alerts
+    page = report(transactions, table)
+    assert page["transactions"].first() == (9, 9, 276100.0)
+    assert page["alerts"].first() == (2, 250000.0, 2)
+    assert [tuple(r) for r in page["by_customer"].collect()] == [
+        ("CUST0001", 1, 0.0), ("CUST0003", 1, 250000.0)]
+    assert [tuple(r) for r in page["trend"].collect()] == [(dt.date(2026, 9, 25), 2)]
+    assert page["recent"].count() == 2 and len(page["recent"].columns) == 11
+    choices = report_choices(table)
+    assert [r[0] for r in choices["customers"].collect()] == ["CUST0001", "CUST0003"]
+    assert choices["dates"].first() == (dt.date(2026, 9, 25),) * 2
+
+
+def test_report_filter(spark, alerts):
+    _, table = alerts
+    day, next_day = dt.date(2026, 9, 25), dt.date(2026, 9, 26)
+
+    def count(**chosen):
+        return R.alert_filter(table, **chosen).count()
+
+    assert count() == count(customer="All", rule="All") == 2
+    assert count(customer="CUST0003") == count(rule="HIGH_TRANSACTION_VELOCITY") == 1
+    assert count(customer="CUST0003", rule="HIGH_TRANSACTION_VELOCITY") == 0
+    assert count(dates=(day, day)) == 2
+    assert count(dates=(next_day, next_day)) == 0
+    # one end alone does not restrict
+    assert count(dates=(next_day,)) == 2
+    # both ends of the range are included up to midnight
+    late = table.withColumn("transaction_timestamp", F.lit("2026-09-25 23:59:59.999999").cast("timestamp"))
+    assert R.alert_filter(late, dates=(day, day)).count() == 2
+    nothing = report(table, table, customer="it's nobody")
+    assert nothing["alerts"].first() == (0, 0.0, 0)
+
+
+def test_command_line(spark, tmp_path, daily, monkeypatch, capsys):
+    for arguments in (
+        ["batch", daily, str(tmp_path / "b"), "--run-id", "r1"],
+        ["duplicates", daily, str(tmp_path / "d")],
+    ):
+        monkeypatch.setattr(sys, "argv", ["paywarden", *arguments])
+        cli.main()
+    shown = capsys.readouterr().out
+    assert "velocity_alerts" in shown and "duplicate_transaction_ids" in shown

@@ -216,9 +216,10 @@ def _summary(checked: str, valid: str) -> str:
         (SELECT count(*) FROM ({_velocity(valid)})) AS velocity_alerts FROM {checked}"""
 
 
-# The watermark has millisecond precision and trails the newest keyed row by ten minutes.
+# The watermark has millisecond precision and trails the newest row by ten minutes.
 _WATERMARK = """(SELECT make_timestamp(epoch_ms(max(transaction_timestamp)) * 1000)
-    - INTERVAL 10 MINUTE FROM once WHERE transaction_id IS NOT NULL AND transaction_id <> '')"""
+    - INTERVAL 10 MINUTE FROM once{})"""
+_KEYED = " WHERE transaction_id <> ''"
 _STREAM_VELOCITY = f"SELECT {_VELOCITY_COLUMNS} FROM ({_velocity('valid_once')})"
 
 
@@ -304,7 +305,7 @@ _BODIES = {
         WHERE transaction_id IN ({_repeated("wire")})""",
     "stream_dedupe": "SELECT * FROM once",
     "stream_routing": f"SELECT *, {_OUTCOME}, {_PARTS} FROM once_stream",
-    "stream_velocity_append": f"{_STREAM_VELOCITY} WHERE window_end <= {_WATERMARK}",
+    "stream_velocity_append": f"{_STREAM_VELOCITY} WHERE window_end <= {_WATERMARK.format(_KEYED)}",
     "stream_velocity_update_latest": _STREAM_VELOCITY,
     "run_streams": f"""SELECT {_COLUMNS}, {_HIGH_TAGS} FROM valid_once WHERE amount > 100000
         UNION ALL BY NAME {_velocity_rows("valid_once", stream=True)}""",
@@ -312,7 +313,7 @@ _BODIES = {
         concat('AGAIN-', transaction_id) AS transaction_id,
         transaction_timestamp - INTERVAL 5 MINUTE AS transaction_timestamp)
         FROM sent WHERE transaction_id <> '' AND copy = 0)
-        WHERE transaction_timestamp > {_WATERMARK}""",
+        WHERE transaction_timestamp > {_WATERMARK.format('')}""",
     "idempotent_replay": _runs("r1"),
     "ledger_skip": _runs("r1"),
     "committed_read": _runs("r1", "r2"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.session import SESSION_DEFAULTS
+
 # One day of events becomes five minutes, so that customers reach the velocity limit.
 SQUEEZE = 288
 
@@ -59,12 +61,14 @@ MESSAGE = f"""CASE event_id % 20
         ELSE {_BODY} END"""
 
 
-def _utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def _settings(spark: SparkSession) -> None:
+    """What the queries need of a session that others made."""
+    for name in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(name, SESSION_DEFAULTS[name])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _utc(spark)
+    _settings(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
