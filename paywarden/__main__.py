@@ -21,6 +21,7 @@ def _arguments() -> argparse.Namespace:
     batch.add_argument("output")
     batch.add_argument("--run-id", required=True)
     batch.add_argument("--profile", choices=sorted(PROFILES), default="batch")
+    batch.add_argument("--clustered", action="store_true", help="input files hold few days each")
 
     duplicates = jobs.add_parser("duplicates", help="find repeated transactions")
     duplicates.add_argument("input")
@@ -30,7 +31,8 @@ def _arguments() -> argparse.Namespace:
     stream.add_argument("input")
     stream.add_argument("output")
     stream.add_argument("checkpoint")
-    stream.add_argument("--max-files", type=int)
+    stream.add_argument("--max-files", type=int, help="files per micro-batch")
+    stream.add_argument("--max-bytes", type=int, help="input bytes per micro-batch")
     stream.add_argument("--once", action="store_true", help="stop when the folder is read")
     return parser.parse_args()
 
@@ -40,13 +42,14 @@ def main() -> None:
     spark = build_session(f"paywarden-{args.job}")
     if args.job == "batch":
         run = BatchRun(args.output, args.run_id, PROFILES[args.profile])
-        run_batch(spark, args.input, run).show()
+        run_batch(spark, args.input, run, clustered=args.clustered).show()
     elif args.job == "duplicates":
         run_duplicates(spark, args.input, DuplicateRun(args.output)).show()
     else:
         trigger = {"availableNow": True} if args.once else {"processingTime": "0 seconds"}
         job = StreamJob(args.output, args.checkpoint, trigger=trigger)
-        run_streams(stream_transactions(spark, args.input, args.max_files), job)
+        raw = stream_transactions(spark, args.input, args.max_files, args.max_bytes)
+        run_streams(raw, job)
 
 
 if __name__ == "__main__":

@@ -16,8 +16,9 @@ def with_event_time(df: DataFrame, source: str = "timestamp", keep: bool = True)
 
 def with_date_parts(df: DataFrame, source: str = EVENT_TIME) -> DataFrame:
     """Add year, month and day of month (integers, also partition columns)."""
-    at = F.col(source)
-    return df.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
+    return df.withColumns(
+        {"year": F.year(source), "month": F.month(source), "day": F.dayofmonth(source)}
+    )
 
 
 def money_total(amount: str | Column = "amount") -> Column:
@@ -33,4 +34,4 @@ def money_total(amount: str | Column = "amount") -> Column:
 
 def blank(kind: str) -> Column:
     """A NULL of the given type."""
-    return F.lit(None).cast(kind)
+    return F.expr(f"CAST(NULL AS {kind})")

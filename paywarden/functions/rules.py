@@ -1,16 +1,13 @@
 """Validation rules as data.
 
-A rule states what a *good* row looks like, in the form a filter needs: anything
-but TRUE, so also NULL, means that the rule is broken. A profile's validity is
-then a plain conjunction of short predicates that Catalyst can push into the
-scan one by one.
+A rule states in SQL what a *good* row looks like, in the form a filter needs:
+anything but TRUE, so also NULL, means that the rule is broken. A profile's
+validity is then a plain conjunction of short predicates that Catalyst can push
+into the scan one by one.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -23,11 +20,12 @@ from paywarden import schema as S
 class Rule:
     flag: str
     label: str
-    holds: Callable[[], Column]
+    holds: str
 
-    def mark(self) -> Column:
-        """The label where the rule is broken, NULL elsewhere."""
-        return F.when(_not_true(self.holds()), F.lit(self.label))
+    @property
+    def mark(self) -> str:
+        """SQL of the label where the rule is broken, NULL elsewhere."""
+        return f"CASE WHEN NOT coalesce({self.holds}, false) THEN '{self.label}' END"
 
 
 @dataclass(frozen=True)
@@ -44,42 +42,49 @@ class Profile:
     def flags(self) -> list[str]:
         return [rule.flag for rule in self.rules]
 
+    @property
+    def _valid_sql(self) -> str:
+        return " AND ".join(f"({rule.holds})" for rule in self.rules)
+
     def is_valid(self) -> Column:
         """TRUE for good rows, FALSE or NULL for others: a filter condition."""
-        return functools.reduce(operator.and_, (rule.holds() for rule in self.rules))
+        return F.expr(self._valid_sql)
 
     def is_invalid(self) -> Column:
         """TRUE or FALSE, never NULL."""
-        return _not_true(self.is_valid())
+        return F.expr(f"NOT coalesce({self._valid_sql}, false)")
 
+    def flag_columns(self) -> dict[str, Column]:
+        return {rule.flag: F.expr(rule.mark) for rule in self.rules}
 
-def _not_true(condition: Column) -> Column:
-    return ~F.coalesce(condition, F.lit(False))
+    def labels(self) -> Column:
+        """Array of labels in rule order, NULL where a rule holds."""
+        return F.expr(f"array({', '.join(rule.mark for rule in self.rules)})")
 
 
-def _present(name: str) -> Callable[[], Column]:
+def _present(name: str) -> str:
     # Every text but the empty one sorts after it.
-    return lambda: F.col(name) > ""
+    return f"{name} > ''"
 
 
-def _not_null(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNotNull()
+def _not_null(name: str) -> str:
+    return f"{name} IS NOT NULL"
 
 
-def _positive(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name) > 0
+def _positive(name: str) -> str:
+    return f"{name} > 0"
 
 
-def _positive_number(name: str) -> Callable[[], Column]:
-    return lambda: (F.col(name) > 0) & ~F.isnan(name)
+def _positive_number(name: str) -> str:
+    return f"{name} > 0 AND NOT isnan({name})"
 
 
-def _one_of(name: str, *allowed: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isin(*allowed)
+def _one_of(name: str, *allowed: str) -> str:
+    return f"{name} IN ({', '.join(repr(value) for value in allowed)})"
 
 
-def _one_of_or_null(name: str, *allowed: str) -> Callable[[], Column]:
-    return lambda: F.col(name).isNull() | F.col(name).isin(*allowed)
+def _one_of_or_null(name: str, *allowed: str) -> str:
+    return f"{name} IS NULL OR {_one_of(name, *allowed)}"
 
 
 # Labels, and the order in which a profile lists them.

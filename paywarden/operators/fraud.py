@@ -81,19 +81,15 @@ def conform_high_value(alerts: DataFrame) -> DataFrame:
 
 def conform_velocity(alerts: DataFrame, profile: Profile) -> DataFrame:
     """Velocity alerts in the alert-table layout; the profile fills the gaps."""
-    fill = {
-        name: blank("string") if value is None else F.lit(value)
-        for name, value in profile.velocity_fill
+    filled = {
+        "transaction_id": blank("string"),
+        "account_id": blank("string"),
+        "amount": blank("double"),
+        S.EVENT_TIME: F.col("window_start"),
     }
-    return alerts.withColumns(
-        {
-            "transaction_id": blank("string"),
-            "account_id": blank("string"),
-            "amount": blank("double"),
-            S.EVENT_TIME: F.col("window_start"),
-            **fill,
-        }
-    ).select(*S.ALERT_COLUMNS)
+    for name, value in profile.velocity_fill:
+        filled[name] = blank("string") if value is None else F.lit(value)
+    return alerts.select(*(filled[c].alias(c) if c in filled else c for c in S.ALERT_COLUMNS))
 
 
 def all_alerts(high_value: DataFrame, velocity: DataFrame, profile: Profile) -> DataFrame:
@@ -106,19 +102,12 @@ def stamp_alerts(alerts: DataFrame, created_at: Column | None = None) -> DataFra
 
     The id is a digest of the business key, so a re-run gives the same id.
     """
-    key = [
-        F.coalesce(part, F.lit(""))
-        for part in (
-            F.col("fraud_rule"),
-            F.col("transaction_id"),
-            F.col("customer_id"),
-            F.col("account_id"),
-            F.unix_micros(S.EVENT_TIME).cast("string"),
-        )
-    ]
+    parts = ("fraud_rule", "transaction_id", "customer_id", "account_id",
+             f"CAST(unix_micros({S.EVENT_TIME}) AS STRING)")
+    key = ", ".join(f"coalesce({part}, '')" for part in parts)
     return alerts.withColumns(
         {
-            "fraud_alert_id": F.md5(F.concat_ws("|", *key)),
+            "fraud_alert_id": F.expr(f"md5(concat_ws('|', {key}))"),
             "created_at": F.current_timestamp() if created_at is None else created_at,
         }
     )

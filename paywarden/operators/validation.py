@@ -20,10 +20,9 @@ def validate(df: DataFrame, profile: Profile) -> DataFrame:
     Profiles that keep flags also get one nullable label column per rule.
     """
     if profile.keeps_flags:
-        flagged = df.withColumns({rule.flag: rule.mark() for rule in profile.rules})
+        flagged = df.withColumns(profile.flag_columns())
         return flagged.withColumn("rejection_reason", F.concat_ws(",", *profile.flags))
-    marks = F.array(*(rule.mark() for rule in profile.rules))
-    return df.withColumn("rejection_reason", F.concat_ws(",", marks))
+    return df.withColumn("rejection_reason", F.concat_ws(",", profile.labels()))
 
 
 def valid_rows(df: DataFrame, profile: Profile) -> DataFrame:
@@ -50,9 +49,8 @@ def outcome(profile: Profile, threshold: float = HIGH_VALUE_THRESHOLD) -> Column
 
 def rejections_by_label(df: DataFrame, profile: Profile) -> DataFrame:
     """How many rows each label was given to, from one pass over the rows."""
-    labels = F.array_compact(F.array(*(rule.mark() for rule in profile.rules)))
     return (
-        df.select(F.explode(labels).alias("label"))
+        df.select(F.explode(F.array_compact(profile.labels())).alias("label"))
         .groupBy("label")
         .agg(F.count("*").alias("rejected_count"))
     )

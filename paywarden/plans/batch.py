@@ -86,19 +86,28 @@ class BatchRun:
 
 
 def run_batch(
-    spark: SparkSession, path: str, run: BatchRun, jdbc: dict | None = None
+    spark: SparkSession,
+    path: str,
+    run: BatchRun,
+    jdbc: dict | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Check the JSON lines at ``path`` and return the summary row.
 
     The text is read once. Everything after that comes from the checked Parquet,
     where ``outcome`` is a folder and only the needed columns are read. With
     ``jdbc`` options both result tables are appended to the database as well.
+
+    ``clustered`` says that each input file holds few days. The checked rows are
+    then written where they were read; otherwise one shuffle gathers each day first.
     """
     timed = with_date_parts(with_event_time(read_transactions(spark, path)))
     checked = validate(timed, run.profile)
     # Every valid row is processed here, high-value ones included.
     routed = checked.withColumn("outcome", outcome(run.profile))
-    write_partitioned(routed, run.checked, ("outcome", *S.DATE_PARTS), mode="overwrite")
+    write_partitioned(
+        routed, run.checked, ("outcome", *S.DATE_PARTS), mode="overwrite", rebalance=not clustered
+    )
 
     valid = run.read_processed(spark)
     write_partitioned(high_value_alerts(valid.drop("outcome")), run.high_value, mode="overwrite")

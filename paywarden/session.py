@@ -12,6 +12,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Target size of a shuffled partition, and so of a written file.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # The JVM does not compile methods above this size; generated code that is longer
     # runs faster split into operators.

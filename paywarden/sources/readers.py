@@ -13,7 +13,7 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_transactions(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
     """A directory of JSON-lines files as a stream; limits bound one micro-batch."""
     reader = spark.readStream.schema(TRANSACTION_SCHEMA)

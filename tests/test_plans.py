@@ -13,7 +13,8 @@ from paywarden.plans.duplicates import DuplicateRun, run_duplicates
 from paywarden.plans.report import report, report_choices
 from paywarden.schema import ALERT_COLUMNS, TRANSACTION_COLUMNS
 from paywarden.sources.readers import read_transactions
-from rows import DAILY, REPEATED, as_lines, tx
+from paywarden.streaming.jobs import StreamJob, committed_transactions
+from rows import DAILY, REPEATED, as_lines, tx, write_lines
 
 
 @pytest.fixture
@@ -37,7 +38,7 @@ def test_batch_run(spark, tmp_path, daily):
     # running it again replaces its own output
     assert run_batch(spark, daily, run).first() == want
     other = BatchRun(run.output, "r2")
-    assert run_batch(spark, daily, other).first() == want
+    assert run_batch(spark, daily, other, clustered=True).first() == want
     assert run.read_processed(spark).count() == 9
     assert run.transactions(spark).columns == list(TRANSACTION_COLUMNS)
     alerts = run.fraud_alerts(spark)
@@ -117,8 +118,12 @@ def test_command_line(spark, tmp_path, daily, monkeypatch, capsys):
     for arguments in (
         ["batch", daily, str(tmp_path / "b"), "--run-id", "r1"],
         ["duplicates", daily, str(tmp_path / "d")],
+        ["stream", write_lines(tmp_path / "in", "a.json", DAILY), str(tmp_path / "s"), str(tmp_path / "c"), "--once",
+         "--max-bytes", "1000000000"],
     ):
         monkeypatch.setattr(sys, "argv", ["paywarden", *arguments])
         cli.main()
     shown = capsys.readouterr().out
     assert "velocity_alerts" in shown and "duplicate_transaction_ids" in shown
+    job = StreamJob(str(tmp_path / "s"), str(tmp_path / "c"))
+    assert committed_transactions(spark, job).count() == 12

@@ -63,7 +63,12 @@ MESSAGE = f"""CASE event_id % 20
 
 def _settings(spark: SparkSession) -> None:
     """What the queries need of a session that others made."""
-    for name in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+    for name in (
+        "spark.sql.session.timeZone",
+        "spark.sql.codegen.hugeMethodLimit",
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    ):
         spark.conf.set(name, SESSION_DEFAULTS[name])
 
 
@@ -78,45 +83,34 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _time(squeezed: bool):
-    at = F.col("ts").cast("timestamp")
-    if not squeezed:
-        return at
-    base = "unix_micros(timestamp'2024-01-01 00:00:00')"
-    return F.expr(
-        f"timestamp_micros({base} + (unix_micros(CAST(ts AS TIMESTAMP)) - {base}) div {SQUEEZE})"
-    )
+_BASE = "unix_micros(timestamp'2024-01-01 00:00:00')"
+_MONTH = "CAST(ts AS TIMESTAMP)"
+_SQUEEZED = f"timestamp_micros({_BASE} + (unix_micros({_MONTH}) - {_BASE}) div {SQUEEZE})"
+_TEXT = f"""date_format({_SQUEEZED}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")"""
+_WIRE_TEXT = f"""CASE WHEN event_id % 97 = 0 THEN 'not a time'
+        WHEN event_id % 101 = 0 THEN NULL ELSE {_TEXT} END"""
 
 
-def transactions(spark: SparkSession, sf_dir: str, squeezed: bool = True) -> DataFrame:
-    """Transactions with a parsed time, planted defects and repeated ids."""
-    columns = {name: F.expr(sql) for name, sql in FIELDS.items()}
-    columns["transaction_timestamp"] = _time(squeezed)
-    return events(spark, sf_dir).select(*(c.alias(name) for name, c in columns.items()))
+def _columns(fields: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in fields.items()]
 
 
-def _as_text(at):
-    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+def transactions(spark: SparkSession, sf_dir: str, squeezed: bool = True) -> DataFrame:
+    """Transactions with a parsed time, planted defects and repeated ids."""
+    fields = FIELDS | {"transaction_timestamp": _SQUEEZED if squeezed else _MONTH}
+    return events(spark, sf_dir).selectExpr(*_columns(fields))
 
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten message fields, time as text; some times are missing or unreadable."""
-    columns = {name: F.expr(sql) for name, sql in FIELDS.items()}
-    text = F.when(F.expr("event_id % 97 = 0"), F.lit("not a time"))
-    text = text.when(F.expr("event_id % 101 = 0"), F.lit(None)).otherwise(_as_text(_time(True)))
-    status = columns.pop("status")
-    columns |= {"timestamp": text, "status": status}
-    return events(spark, sf_dir).select(*(c.alias(name) for name, c in columns.items()))
+    return events(spark, sf_dir).selectExpr(*_columns(FIELDS | {"timestamp": _WIRE_TEXT}))
 
 
 def wire_copies(source: DataFrame) -> DataFrame:
     """The ten message fields of a table or stream of events, some rows sent twice."""
-    columns = {name: F.expr(sql) for name, sql in FIELDS.items()}
-    columns["transaction_id"] = F.expr(OWN_ID)
-    status = columns.pop("status")
-    columns |= {"timestamp": _as_text(_time(True)), "status": status}
-    sent = source.withColumn("_sent", F.explode(F.sequence(F.lit(1), F.expr(COPIES))))
-    return sent.select(*(c.alias(name) for name, c in columns.items()))
+    fields = FIELDS | {"transaction_id": OWN_ID, "timestamp": _TEXT}
+    sent = source.withColumn("_sent", F.expr(f"explode(sequence(1, {COPIES}))"))
+    return sent.selectExpr(*_columns(fields))
 
 
 def messages(source: DataFrame) -> DataFrame:
