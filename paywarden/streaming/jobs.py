@@ -59,9 +59,15 @@ class StreamJob:
         return T.StructType(table + flags + reason + folders)
 
 
-def _run_of(spark: SparkSession, name: str, given: str | None) -> str:
-    if given is not None:
-        return given
+def _stream_name(query: str, job: StreamJob) -> str:
+    """Two jobs may share a session; only one query at a time can own a checkpoint."""
+    return f"{query}:{job.checkpoint}"
+
+
+def _run_of(spark: SparkSession, query: str, job: StreamJob) -> str:
+    if job.run_id is not None:
+        return job.run_id
+    name = _stream_name(query, job)
     return next(q.id for q in spark.streams.active if q.name == name)
 
 
@@ -137,12 +143,11 @@ def start_transactions(raw: DataFrame, job: StreamJob) -> StreamingQuery:
     spark = raw.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run_id = _run_of(spark, TRANSACTIONS_QUERY, job.run_id)
-        process_transactions(batch, batch_id, job, run_id)
+        process_transactions(batch, batch_id, job, _run_of(spark, TRANSACTIONS_QUERY, job))
 
     return (
         checked_stream(raw, job.profile)
-        .writeStream.queryName(TRANSACTIONS_QUERY)
+        .writeStream.queryName(_stream_name(TRANSACTIONS_QUERY, job))
         .foreachBatch(each)
         .option("checkpointLocation", f"{job.checkpoint}/{TRANSACTIONS_QUERY}")
         .trigger(**job.trigger)
@@ -161,12 +166,11 @@ def start_velocity(
     spark = raw.sparkSession
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run_id = _run_of(spark, VELOCITY_QUERY, job.run_id)
-        process_velocity(batch, batch_id, job, run_id)
+        process_velocity(batch, batch_id, job, _run_of(spark, VELOCITY_QUERY, job))
 
     return (
         velocity_stream(raw, job.profile, window=window, threshold=threshold)
-        .writeStream.queryName(VELOCITY_QUERY)
+        .writeStream.queryName(_stream_name(VELOCITY_QUERY, job))
         .outputMode(mode)
         .foreachBatch(each)
         .option("checkpointLocation", f"{job.checkpoint}/{VELOCITY_QUERY}")
@@ -211,10 +215,10 @@ def committed_velocity(spark: SparkSession, job: StreamJob) -> DataFrame:
 
 
 def latest_velocity(alerts: DataFrame, version: str = "batch_id") -> DataFrame:
-    """One current alert per customer and window: the one of the latest micro-batch.
+    """One current alert per customer and window of a run: that of its latest micro-batch.
 
-    There are few versions of a window, but a customer may have very many
-    windows; both are spread by the (customer, window) key.
+    Each task keeps the newest of its versions before the shuffle, and a customer
+    with many windows is spread over them.
     """
     keys = ("customer_id", "window_start", "window_end")
     newest = Window.partitionBy(*keys).orderBy(F.desc(version), F.desc("transaction_count"))

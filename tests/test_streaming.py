@@ -171,6 +171,44 @@ def test_replay_after_a_crash_replaces_the_whole_batch(spark, tmp_path):
     assert days == {"A": 25, "B": 27}
 
 
+def test_crash_between_write_and_mark(spark, tmp_path, monkeypatch):
+    source = drop_files(tmp_path / "in", DAILY, STREAM_1)
+    job = job_in(tmp_path)
+    mark = Ledger.mark_processed
+
+    def crash(*_):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(Ledger, "mark_processed", crash)
+    with pytest.raises(Exception, match="lost the driver"):
+        run(spark, source, job)
+    assert J.committed_transactions(spark, job).count() == 0
+    monkeypatch.setattr(Ledger, "mark_processed", mark)
+    run(spark, source, job)
+    assert outcomes(spark, job) == {"processed": 10, "rejected": 3, "high_value": 2}
+    # nothing new: a further start adds nothing
+    run(spark, source, job)
+    assert J.committed_transactions(spark, job).count() == 15
+    assert J.committed_transactions(spark, job).select("run_id").distinct().count() == 1
+
+
+def test_hot_id_is_folded_in_front_of_the_state_store(spark, tmp_path):
+    rows = [tx("HOT" if n % 3 == 0 else f"K{n}", at=f"{DAY}10:{n % 60:02d}:00") for n in range(6000)]
+    source = drop_files(tmp_path / "in", rows)
+    dropped = {}
+    for fold in (True, False):
+        stream = checked_stream(stream_transactions(spark, source), fold=fold)
+        folder = tmp_path / str(fold)
+        query = (stream.writeStream.format("parquet").option("path", str(folder / "o"))
+                 .option("checkpointLocation", str(folder / "c")).trigger(availableNow=True).start())
+        query.awaitTermination()
+        assert spark.read.parquet(str(folder / "o")).count() == 4001
+        dropped[fold] = sum(
+            op["customMetrics"]["numDroppedDuplicateRows"]
+            for p in query.recentProgress for op in p["stateOperators"])
+    assert dropped == {True: 0, False: 1999}
+
+
 def test_ledger(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path / "ledger"))
     assert ledger.rows().count() == 0
