@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywarden.operators.fraud import flat_velocity
 from paywarden.schema import DATE_PARTS
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the writes of a micro-batch.
+
+    Streaming queries run in a session with it switched off, and ``balanced`` has
+    no effect without it. The micro-batch itself is planned by then.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def balanced(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows of one output partition brought together, oversized ones split.
 

@@ -15,7 +15,7 @@ from paywarden import schema as S
 from paywarden.functions.rules import STREAM, Profile
 from paywarden.operators.fraud import conform_high_value, conform_velocity, flat_velocity, tag
 from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome
-from paywarden.sinks.writers import balanced, write_partitioned, write_table
+from paywarden.sinks.writers import adaptive, balanced, write_partitioned, write_table
 from paywarden.streaming.ledger import Ledger, batch_folder, committed
 from paywarden.streaming.prepare import checked_stream, velocity_stream
 
@@ -80,10 +80,11 @@ def write_batch(
     row has moved to another day in between.
     """
     folder = batch_folder(path, run_id, batch_id)
-    if by:
-        write_partitioned(df, folder, by, mode="overwrite")
-    else:
-        balanced(df).write.mode("overwrite").parquet(folder)
+    with adaptive(df.sparkSession):
+        if by:
+            write_partitioned(df, folder, by, mode="overwrite")
+        else:
+            balanced(df).write.mode("overwrite").parquet(folder)
     return folder
 
 

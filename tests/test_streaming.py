@@ -54,6 +54,18 @@ def test_daily_rows(spark, tmp_path):
     assert (fast.customer_id, fast.transaction_count) == ("CUST0001", 6)
 
 
+def test_a_micro_batch_is_written_in_few_files(spark, tmp_path):
+    rows = [tx(f"T{n}", f"C{n % 5}", at=f"{DAY}10:00:{n % 60:02d}") for n in range(400)]
+    job = job_in(tmp_path)
+    run(spark, drop_files(tmp_path / "in", rows), job)
+    assert outcomes(spark, job) == {"processed": 400}
+    files = [p for p in (tmp_path / "out" / "checked").rglob("*.parquet") if "batch_id=0" in str(p)]
+    assert len(files) == 1
+    alerts = list((tmp_path / "out" / "fraud" / "velocity").rglob("*.parquet"))
+    assert len([p for p in alerts if "batch_id=0" in str(p)]) == 1
+    assert J.committed_velocity(spark, job).count() == 5
+
+
 def test_two_micro_batches(spark, tmp_path):
     job = job_in(tmp_path)
     run(spark, drop_files(tmp_path / "in", STREAM_1, STREAM_2), job)
