@@ -2,43 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from paywarden.operators.messages import parse_messages
+from paywarden.operators.messages import DEAD_LETTER_ROUTE, GOOD_ROUTE, sort_messages
 from paywarden.schema import TRANSACTION_SCHEMA
 
 # Fixed value: how long messages are gathered before they are written.
 LANDING_INTERVAL = "5 seconds"
 
-
-def _land(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    return (
-        df.writeStream.format("json")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+LANDED_SCHEMA = T.StructType(
+    [
+        *TRANSACTION_SCHEMA.fields,
+        T.StructField("_retry_count", T.IntegerType()),
+        T.StructField("raw_message", T.StringType()),
+        T.StructField("dlq_reason", T.StringType()),
+        T.StructField("route", T.StringType()),
+    ]
+)
 
 
 def land_messages(
     messages: DataFrame,
     path: str,
-    dead_path: str,
     checkpoint: str,
     every: str = LANDING_INTERVAL,
     once: bool = False,
-) -> list[StreamingQuery]:
-    """Good messages to ``path``, dead letters to ``dead_path``.
+) -> StreamingQuery:
+    """Messages as JSON lines under ``path``, dead letters in a folder of their own.
 
+    The source is read and parsed once for both. Spark's log of committed files
+    lies under ``path``, so read through the functions below, which follow it.
     Messages are gathered by time. A limit on rows per file has no counterpart
     in Spark; the source's own limits bound a micro-batch.
     """
     trigger = {"availableNow": True} if once else {"processingTime": every}
-    good, dead = parse_messages(messages)
-    fields = [*TRANSACTION_SCHEMA.names, "_retry_count"]
-    return [
-        _land(good.select(*fields), path, f"{checkpoint}/good", trigger),
-        _land(dead, dead_path, f"{checkpoint}/dead", trigger),
-    ]
+    return (
+        sort_messages(messages)
+        .writeStream.format("json")
+        .partitionBy("route")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def _good(landed: DataFrame) -> DataFrame:
+    return landed.filter(F.col("route") == GOOD_ROUTE).select(
+        *TRANSACTION_SCHEMA.names, "_retry_count"
+    )
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    return _good(spark.read.schema(LANDED_SCHEMA).json(path))
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    landed = spark.read.schema(LANDED_SCHEMA).json(path)
+    return landed.filter(F.col("route") == DEAD_LETTER_ROUTE).select("raw_message", "dlq_reason")
+
+
+def stream_landed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Landed transactions as input of the streaming job."""
+    reader = spark.readStream.schema(LANDED_SCHEMA)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _good(reader.json(path)).drop("_retry_count")

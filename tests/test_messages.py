@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from paywarden.operators.messages import parse_messages, route_failed
+from paywarden.operators.messages import parse_messages, route_failed, sort_messages
+from paywarden.schema import TRANSACTION_SCHEMA
 
 GOOD = [
     '{"transaction_id":"a","amount":1.5}', '{"transaction_id":"a","_retry_count":9}',
@@ -63,6 +64,21 @@ def test_bytes_that_are_not_text(spark):
     assert dead.first().raw_message == '{"a":"�"}'
 
 
+def test_sorted_in_one_table(spark):
+    rows = messages(spark, GOOD + DEAD + [None], {"retry_count": 2})
+    table = sort_messages(rows).cache()
+    good, dead = parse_messages(rows)
+    fields = TRANSACTION_SCHEMA.names
+    assert sorted(map(str, table.filter("route = 'GOOD'").select(*fields, "_retry_count").collect())
+                  ) == sorted(map(str, good.select(*fields, "_retry_count").collect()))
+    assert table.filter("route = 'GOOD'").filter(
+        "raw_message IS NOT NULL OR dlq_reason IS NOT NULL").count() == 0
+    assert sorted(map(str, table.filter("route = 'DLQ'").select("raw_message", "dlq_reason").collect())
+                  ) == sorted(map(str, dead.collect()))
+    assert table.filter("route = 'DLQ' AND _retry_count IS NOT NULL").count() == 0
+    table.unpersist()
+
+
 @pytest.mark.parametrize("tried, want", [
     (0, ("RETRY_1", 1, 5000, None)),
     (1, ("RETRY_2", 2, 10000, None)),

@@ -328,6 +328,11 @@ _BODIES = {
         CASE WHEN _retry_count NOT IN (0, 1) THEN 'HDFS_WRITE_FAILED_AFTER_RETRIES' END
             AS dlq_reason FROM parsed""",
     "land_messages_good": "SELECT * EXCLUDE (raw_message) FROM parsed",
+    # No account, type or merchant in the messages: the type may be missing, the others not.
+    "stream_landed_messages": f"""SELECT transaction_id, customer_id, amount, currency, status,
+        'rejected' AS outcome, {_reason(STREAM_RULES)} AS rejection_reason FROM (SELECT *,
+        CAST(NULL AS VARCHAR) AS transaction_type, CAST(NULL AS VARCHAR) AS account_id,
+        CAST(NULL AS VARCHAR) AS merchant FROM parsed)""",
     "land_messages_dead": """SELECT raw AS raw_message, 'INVALID_JSON' AS dlq_reason FROM judged
         WHERE NOT good""",
 }

@@ -24,7 +24,12 @@ from paywarden.session import work_folder
 from paywarden.sinks.writers import unseen, write_partitioned, write_table, write_velocity
 from paywarden.sources.readers import read_table, read_transactions, stream_transactions
 from paywarden.streaming import jobs as J
-from paywarden.streaming.landing import land_messages
+from paywarden.streaming.landing import (
+    land_messages,
+    read_dead_letters,
+    read_landed,
+    stream_landed,
+)
 from paywarden.streaming.prepare import checked_stream
 from workload.tables import event_stream, events, messages, transactions, wire, wire_copies
 
@@ -561,24 +566,26 @@ def route_failed(spark, sf_dir):
 
 def _landed(spark, sf_dir):
     folder = work_folder(spark, "landing")
-    landing = land_messages(
-        messages(event_stream(spark, sf_dir)),
-        f"{folder}/good", f"{folder}/dead", f"{folder}/checkpoint", once=True,
-    )
-    J.await_together(landing, once=True)
-    return folder
+    source = messages(event_stream(spark, sf_dir))
+    land_messages(source, f"{folder}/out", f"{folder}/checkpoint", once=True).awaitTermination()
+    return f"{folder}/out"
 
 
 @query
 def land_messages_good(spark, sf_dir):
-    fields = T.StructType(
-        [*S.TRANSACTION_SCHEMA.fields, T.StructField("_retry_count", T.IntegerType())]
-    )
-    landed = spark.read.schema(fields).json(f"{_landed(spark, sf_dir)}/good")
-    return landed.select(*MESSAGE_FIELDS, "_retry_count")
+    return read_landed(spark, _landed(spark, sf_dir)).select(*MESSAGE_FIELDS, "_retry_count")
 
 
 @query
 def land_messages_dead(spark, sf_dir):
-    schema = "raw_message string, dlq_reason string"
-    return spark.read.schema(schema).json(f"{_landed(spark, sf_dir)}/dead")
+    return read_dead_letters(spark, _landed(spark, sf_dir))
+
+
+@query
+def stream_landed_messages(spark, sf_dir):
+    """From raw messages to routed transactions: landing, then the streaming job."""
+    job = _job(spark)
+    landed = stream_landed(spark, _landed(spark, sf_dir))
+    J.start_transactions(landed, job).awaitTermination()
+    rows = J.committed_transactions(spark, job)
+    return rows.select(*MESSAGE_FIELDS, "outcome", "rejection_reason")
