@@ -18,7 +18,7 @@ from paywarden.operators.fraud import (
     high_value_alerts,
     velocity_alerts,
 )
-from paywarden.operators.validation import PROCESSED, REJECTED, outcome, validate
+from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome, validate
 from paywarden.sinks.writers import write_partitioned, write_table, write_velocity
 from paywarden.sources.readers import read_transactions
 
@@ -64,6 +64,9 @@ class BatchRun:
     def read_checked(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.checked_schema()).parquet(self.checked)
 
+    def read_valid(self, spark: SparkSession) -> DataFrame:
+        return self.read_checked(spark).filter(F.col("outcome") != REJECTED)
+
     def read_processed(self, spark: SparkSession) -> DataFrame:
         return self.read_checked(spark).filter(F.col("outcome") == PROCESSED)
 
@@ -103,13 +106,12 @@ def run_batch(
     """
     timed = with_date_parts(with_event_time(read_transactions(spark, path)))
     checked = validate(timed, run.profile)
-    # Every valid row is processed here, high-value ones included.
     routed = checked.withColumn("outcome", outcome(run.profile))
     write_partitioned(
         routed, run.checked, ("outcome", *S.DATE_PARTS), mode="overwrite", rebalance=not clustered
     )
 
-    valid = run.read_processed(spark)
+    valid = run.read_valid(spark)
     write_partitioned(high_value_alerts(valid.drop("outcome")), run.high_value, mode="overwrite")
     write_velocity(velocity_alerts(valid), run.velocity, mode="overwrite")
 
@@ -125,8 +127,8 @@ def batch_summary(spark: SparkSession, run: BatchRun) -> DataFrame:
     """Counts of a finished run, from Parquet row counts alone."""
     parts = (
         run.read_checked(spark).select(F.col("outcome").alias("part")),
-        run.read_high_value(spark).select(F.lit("high_value").alias("part")),
-        run.read_velocity(spark).select(F.lit("velocity").alias("part")),
+        run.read_high_value(spark).select(F.lit(S.HIGH_VALUE_RULE).alias("part")),
+        run.read_velocity(spark).select(F.lit(S.VELOCITY_RULE).alias("part")),
     )
     counted = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("part").count()
 
@@ -134,9 +136,9 @@ def batch_summary(spark: SparkSession, run: BatchRun) -> DataFrame:
         return F.coalesce(F.sum(F.when(F.col("part").isin(*names), F.col("count"))), F.lit(0))
 
     return counted.agg(
-        of(PROCESSED, REJECTED).alias("total_transactions"),
-        of(PROCESSED).alias("valid_transactions"),
+        of(PROCESSED, HIGH_VALUE, REJECTED).alias("total_transactions"),
+        of(PROCESSED, HIGH_VALUE).alias("valid_transactions"),
         of(REJECTED).alias("rejected_transactions"),
-        of("high_value").alias("high_value_alerts"),
-        of("velocity").alias("velocity_alerts"),
+        of(S.HIGH_VALUE_RULE).alias("high_value_alerts"),
+        of(S.VELOCITY_RULE).alias("velocity_alerts"),
     )

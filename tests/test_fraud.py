@@ -11,7 +11,8 @@ def frame(spark, rows):
 
 
 def burst(n, customer="C9", start=0):
-    return [tx(f"{customer}-{k}", customer, at=f"{DAY}10:0{start + k // 60}:{k % 60:02d}") for k in range(n)]
+    at = [f"{DAY}10:0{start + k // 60}:{k % 60:02d}" for k in range(n)]
+    return [tx(f"{customer}-{k}", customer, at=when) for k, when in enumerate(at)]
 
 
 def test_daily_alerts(spark):

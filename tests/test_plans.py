@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import paywarden.__main__ as cli
-from paywarden.functions.rules import BATCH
+from paywarden.functions.rules import BATCH, STREAM, STRICT
 from paywarden.operators import reports as R
 from paywarden.operators.fraud import stamp_alerts
 from paywarden.plans.batch import BatchRun, run_batch
@@ -49,6 +49,15 @@ def test_batch_run(spark, tmp_path, daily):
     assert tuple(day) == (2026, 9, 25)
 
 
+@pytest.mark.parametrize(
+    "profile, processed", [(STREAM, 8), (STRICT, 9)], ids=["stream", "strict"])
+def test_batch_run_under_other_profiles(spark, tmp_path, daily, profile, processed):
+    run = BatchRun(str(tmp_path / "out"), "r1", profile)
+    assert run_batch(spark, daily, run).first() == (12, 9, 3, 1, 1)
+    assert run.read_processed(spark).count() == processed
+    assert run.fraud_alerts(spark).count() == 2
+
+
 def test_batch_run_without_alerts_or_rejects(spark, tmp_path):
     path = tmp_path / "one.json"
     path.write_text(as_lines([tx(at="?")]))
@@ -108,7 +117,8 @@ def test_report_filter(spark, alerts):
     # one end alone does not restrict
     assert count(dates=(next_day,)) == 2
     # both ends of the range are included up to midnight
-    late = table.withColumn("transaction_timestamp", F.lit("2026-09-25 23:59:59.999999").cast("timestamp"))
+    midnight = F.lit("2026-09-25 23:59:59.999999").cast("timestamp")
+    late = table.withColumn("transaction_timestamp", midnight)
     assert R.alert_filter(late, dates=(day, day)).count() == 2
     nothing = report(table, table, customer="it's nobody")
     assert nothing["alerts"].first() == (0, 0.0, 0)

@@ -10,7 +10,7 @@ from paywarden.operators.validation import outcome, validate
 from paywarden.schema import TRANSACTION_SCHEMA
 from paywarden.sources.readers import stream_transactions
 from paywarden.streaming import jobs as J
-from paywarden.streaming.ledger import Ledger, committed
+from paywarden.streaming.ledger import Ledger
 from paywarden.streaming.prepare import checked_stream, fold_copies
 from rows import DAILY, DAY, REPEATED, STREAM_1, STREAM_2, tx, write_lines
 
@@ -70,7 +70,8 @@ def test_two_micro_batches(spark, tmp_path):
     job = job_in(tmp_path)
     run(spark, drop_files(tmp_path / "in", STREAM_1, STREAM_2), job)
     rows = J.committed_transactions(spark, job)
-    got = {(r.batch_id, r.outcome): r["count"] for r in rows.groupBy("batch_id", "outcome").count().collect()}
+    counted = rows.groupBy("batch_id", "outcome").count().collect()
+    got = {(r.batch_id, r.outcome): r["count"] for r in counted}
     assert got == {(0, "processed"): 2, (0, "high_value"): 1, (1, "processed"): 1, (1, "high_value"): 1}
 
 
