@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paywarden.functions.columns import blank
 from paywarden.schema import TRANSACTION_SCHEMA
@@ -19,41 +20,36 @@ INVALID_JSON = "INVALID_JSON"
 RETRIES_EXHAUSTED = "HDFS_WRITE_FAILED_AFTER_RETRIES"
 
 
-def _decoded(df: DataFrame) -> DataFrame:
-    """Add ``raw_message`` (broken bytes replaced) and ``_readable`` (none were)."""
-    raw = F.col("raw").cast("string")
-    return df.withColumns(
-        {"raw_message": F.make_valid_utf8(raw), "_readable": F.is_valid_utf8(raw)}
-    )
+def judge_messages(df: DataFrame) -> DataFrame:
+    """Add ``raw_message`` (broken bytes replaced), ``_retry_count`` and ``judged``.
 
+    ``judged.is_good`` says whether the whole text is one JSON object, and
+    ``judged.fields`` is the transaction.
 
-def _is_object(raw: Column) -> Column:
-    """Is the whole text exactly one JSON object?
+    The JSON reader stops after the first value and ignores what follows. So the
+    text is read as the first element of an array whose second and last element
+    carries a digest of the text: anything left over after the object ends the
+    array early, adds an element or breaks it.
 
-    The JSON functions stop after the first value and ignore what follows. So
-    the text is read once inside an array and once as an object member: text
-    left over after the object can close or continue one of them, never both.
+    The verdict is unnested from an array of one, because a filter on it then
+    stays above the parse instead of repeating it.
     """
-    starts_object = F.ltrim(raw, F.lit(" \t\n\r")).startswith("{")
-    inside_array = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
-    as_member = F.json_object_keys(F.concat(F.lit('{"m":'), raw, F.lit("}")))
-    return F.coalesce(starts_object, F.lit(False)) & (
-        inside_array.isNotNull() & as_member.isNotNull()
+    raw = F.col("raw").cast("string")
+    mark = F.xxhash64("raw").cast("string")
+    boxed = F.concat(F.lit("["), raw, F.lit(',{"transaction_id":"'), mark, F.lit('"}]'))
+    parsed = F.from_json(boxed, T.ArrayType(TRANSACTION_SCHEMA), {"allowSingleQuotes": "false"})
+    read = with_retry_count(df).withColumns(
+        {
+            "raw_message": F.make_valid_utf8(raw),
+            "_pair": F.when(F.is_valid_utf8(raw), parsed),
+            "_mark": mark,
+        }
     )
-
-
-def judge_messages(df: DataFrame) -> DataFrame:
-    """Add ``raw_message``, ``_retry_count`` and ``is_good``: is it one JSON object?"""
-    read = _decoded(df)
-    is_good = F.coalesce(F.col("_readable"), F.lit(False)) & _is_object(F.col("raw_message"))
-    return with_retry_count(read.withColumn("is_good", is_good).drop("_readable"))
-
-
-def _fields(judged: DataFrame, *others: str | Column) -> DataFrame:
-    """The transaction fields of good messages, NULL for others, next to ``others``."""
-    body = F.when(F.col("is_good"), F.col("raw_message"))
-    parsed = judged.withColumn("_fields", F.from_json(body, TRANSACTION_SCHEMA))
-    return parsed.select("_fields.*", *others)
+    first, last = F.get("_pair", F.lit(0)), F.get("_pair", F.lit(1))
+    alone = (F.size("_pair") == 2) & (last["transaction_id"] == F.col("_mark"))
+    is_good = F.coalesce(alone & first.isNotNull(), F.lit(False))
+    verdict = F.struct(is_good.alias("is_good"), first.alias("fields"))
+    return read.withColumn("judged", F.explode(F.array(verdict))).drop("_pair", "_mark")
 
 
 def parse_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,8 +60,8 @@ def parse_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     validation. Dead rows are texts that are not one JSON object.
     """
     judged = judge_messages(df)
-    good = _fields(judged.filter("is_good"), "_retry_count", "raw_message")
-    return good, dead_letters(judged.filter("NOT is_good"), INVALID_JSON)
+    good = judged.filter("judged.is_good").select("judged.fields.*", "_retry_count", "raw_message")
+    return good, dead_letters(judged.filter("NOT judged.is_good"), INVALID_JSON)
 
 
 def sort_messages(df: DataFrame) -> DataFrame:
@@ -74,9 +70,10 @@ def sort_messages(df: DataFrame) -> DataFrame:
     Good rows have the fields and ``_retry_count``, dead rows ``raw_message`` and
     ``dlq_reason``; the rest is NULL.
     """
-    good = F.col("is_good")
-    return _fields(
-        judge_messages(df),
+    good = F.col("judged.is_good")
+    fields = [F.when(good, F.col(f"judged.fields.{n}")).alias(n) for n in TRANSACTION_SCHEMA.names]
+    return judge_messages(df).select(
+        *fields,
         F.when(good, F.col("_retry_count")).alias("_retry_count"),
         F.when(~good, F.col("raw_message")).alias("raw_message"),
         F.when(~good, F.lit(INVALID_JSON)).alias("dlq_reason"),

@@ -8,6 +8,7 @@ from paywarden.schema import TRANSACTION_SCHEMA
 
 GOOD = [
     '{"transaction_id":"a","amount":1.5}', '{"transaction_id":"a","_retry_count":9}',
+    '{"a":1,"a":2}', '{"amount":NaN}', '{"amount":{"a":1}}', '{"merchant":[1]}',
     '{"amount":"12x"}', '{}', '  {"a":1}\t', '{"a":{"b":[1,{"c":null}]}}', '{"a":"}] x"}',
 ]
 DEAD = [
@@ -38,7 +39,8 @@ def test_agrees_with_a_json_parser(spark):
         except ValueError:
             return False
 
-    pieces = ['{"a":1}', "{}", "[", "]", "{", "}", ",", " ", '"k":2', "1", "x", '"']
+    pieces = ['{"a":1}', "{}", "[", "]", "{", "}", ",", " ", '"k":2', "1", "x", '"', "null",
+              '{"transaction_id":5,"amount":"12x"}', '{"merchant":[1]}', '{"a":1,"a":NaN}']
     texts = sorted({a + b + c for a in pieces for b in pieces for c in pieces})
     good, dead = parse_messages(messages(spark, texts))
     assert {r.raw_message for r in good.collect()} == {t for t in texts if is_object(t)}
@@ -46,16 +48,27 @@ def test_agrees_with_a_json_parser(spark):
 
 
 def test_fields_and_retry_count(spark):
-    good, _ = parse_messages(messages(spark, GOOD[:3], {"retry_count": 1}))
+    good, _ = parse_messages(messages(spark, GOOD, {"retry_count": 1}))
     rows = {r.raw_message: r for r in good.collect()}
     assert {r._retry_count for r in rows.values()} == {1}
     assert rows[GOOD[0]].transaction_id == "a" and rows[GOOD[0]].amount == 1.5
-    assert rows[GOOD[2]].amount is None
+    assert rows['{"amount":"12x"}'].amount is None
+    # the same fields as a plain read of the text
+    plain = messages(spark, GOOD).select(
+        "raw", F.from_json("raw", TRANSACTION_SCHEMA).alias("f")).select("raw", "f.*")
+    for r in plain.collect():
+        assert str(tuple(rows[r.raw])[:10]) == str(tuple(r)[1:])
     for headers in (None, {}, {"other": 3}):
         good, _ = parse_messages(messages(spark, GOOD[1:2], headers))
         assert good.first()._retry_count == 0
 
 
+def test_a_message_is_parsed_once(spark):
+    for frame in (*parse_messages(messages(spark, GOOD)), sort_messages(messages(spark, GOOD))):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_bytes_that_are_not_text(spark):
     raw = messages(spark, GOOD).select(F.col("raw").cast("binary").alias("raw"), "headers")
     broken = raw.limit(1).withColumn("raw", F.unhex(F.lit("7B2261223A22FF227D")))
