@@ -33,10 +33,14 @@ def fold_copies(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
+            ids = table.select(names)
+            if ids.group_by(names, use_threads=False).aggregate([]).num_rows == table.num_rows:
+                yield batch
+                continue
             order = pc.sort_indices(
                 table, sort_keys=[(EVENT_TIME, "descending")], null_placement="at_end"
             )
-            ranked = table.select(names).take(order).append_column("row", order)
+            ranked = ids.take(order).append_column("row", order)
             kept = ranked.group_by(names, use_threads=False).aggregate([("row", "first")])
             yield from table.take(kept["row_first"]).combine_chunks().to_batches()
 

@@ -128,8 +128,8 @@ def test_command_line(spark, tmp_path, daily, monkeypatch, capsys):
     for arguments in (
         ["batch", daily, str(tmp_path / "b"), "--run-id", "r1"],
         ["duplicates", daily, str(tmp_path / "d")],
-        ["stream", write_lines(tmp_path / "in", "a.json", DAILY), str(tmp_path / "s"), str(tmp_path / "c"), "--once",
-         "--max-bytes", "1000000000"],
+        ["stream", write_lines(tmp_path / "in", "a.json", DAILY), str(tmp_path / "s"),
+         str(tmp_path / "c"), "--once", "--max-bytes", "1000000000"],
     ):
         monkeypatch.setattr(sys, "argv", ["paywarden", *arguments])
         cli.main()
