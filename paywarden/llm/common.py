@@ -37,3 +37,11 @@ def columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[list, ...]]:
     for start in range(0, batch.num_rows, ROWS):
         part = batch.slice(start, ROWS)
         yield tuple(part.column(part.schema.get_field_index(n)).to_pylist() for n in names)
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have in any spelling."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from paywarden.llm import bpe
-from paywarden.llm.common import table
+from paywarden.llm import bpe, decontam, pages, quality, rollup, rules, secrets
+from paywarden.llm.common import shared_folder, table
 
 
 def op1_bpe(spark, sf_dir):
@@ -13,7 +14,72 @@ def op1_bpe(spark, sf_dir):
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe,)}
+def op3_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    ledger = secrets.update(docs, shared_folder(spark, "ledger"), "0")
+    return secrets.digest(secrets.findings(docs, ledger))
+
+
+def op4_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_rules(spark, sf_dir):
+    return rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op6_decontam(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
+def op9_pages(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
+def op10_rollup(spark, sf_dir):
+    """Token totals after a load, a recount of every document, and deletions.
+
+    The load comes with a guess from the length; the recount revises it by the true count;
+    documents without a token are deleted. The recount is committed twice, as after a crash.
+    """
+    docs = table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "rollup")
+    versions = F.array(*(F.struct(F.lit(v).alias("tokenizer"), rollup.n_tokens("text", v).alias("n"))
+                         for v in rollup.TOKENIZERS))
+    guess = F.coalesce(F.octet_length("text"), F.lit(0)) / 4
+    counted = docs.select("source", "lang", F.floor(guess).alias("guess"),
+                          F.explode(versions).alias("v"))
+    counted = counted.select("source", "lang", "v.tokenizer", "guess", F.col("v.n").alias("n"))
+    keys = list(rollup.KEYS)
+    load = docs.select("source", "lang", F.floor(guess).alias("n_tokens"), F.lit("insert").alias("op"),
+                       F.explode(F.array(*map(F.lit, rollup.TOKENIZERS))).alias("tokenizer"))
+    rollup.commit(load.withColumn("old_n_tokens", F.lit(None).cast("long")), folder, "load")
+    recount = counted.select(*keys, F.lit("revise").alias("op"), F.col("n").alias("n_tokens"),
+                             F.col("guess").alias("old_n_tokens"))
+    gone = counted.filter("n = 0").select(*keys, F.lit("delete").alias("op"),
+                                          F.col("n").alias("n_tokens"),
+                                          F.lit(None).cast("long").alias("old_n_tokens"))
+    for _ in range(2):
+        rollup.commit(recount.unionByName(gone), folder, "recount", replace=False)
+    return rollup.totals(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op3_secrets, op4_quality, op5_rules, op6_decontam, op9_pages, op10_rollup)}
 
 # DuckDB SQL of those that SQL expresses.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_rollup": r"""
+        WITH counted AS (
+          SELECT source, lang, 'words-1' AS tokenizer,
+                 len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n
+          FROM documents
+          UNION ALL
+          SELECT source, lang, 'pieces-1',
+                 len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}+|[^ 	-\p{L}\p{N}]+'))
+          FROM documents)
+        SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS n_docs,
+               CAST(sum(n) AS BIGINT) AS n_tokens
+        FROM counted WHERE n > 0 GROUP BY ALL""",
+}
