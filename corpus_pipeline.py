@@ -1,21 +1,61 @@
-"""From raw documents to token ids: stages that filter, then encode."""
+"""From raw documents to token ids.
+
+Five stages over ``documents``: quality rules drop junk, of near-duplicates the first
+stays, documents with a benchmark passage go, secrets are masked, and what is left is
+encoded. Each stage is one of the library's operators, gets all that its predecessor
+kept, and returns the columns of ``documents``; the last adds ``ids``, the token ids.
+
+Stages are written as Parquet to the shared folder and reread, so a lost executor costs
+at most part of one stage. NULL and empty texts fail the quality rules; an empty table
+passes through all stages; extra columns are kept.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paywarden.llm import bpe
+from paywarden.llm import bpe, decontam, neardup, rules, secrets
 from paywarden.llm.common import stash, table
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie in their language's perplexity band."""
+    return rules.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return neardup.unique(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked and ``n_chars`` brought up to date."""
+    return secrets.clean(docs).withColumn("n_chars", F.length("text").cast("long"))
+
 
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their token ids."""
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secret_scan", mask_secrets),
+    ("bpe", encode),
+]
 
-# Near copies and language-model bands have no SQL; tests compare with a plain version.
+# Perplexity bands and token ids have no SQL; the tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

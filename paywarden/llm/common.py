@@ -32,10 +32,10 @@ def stash(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
-def columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[list, ...]]:
+def columns(batch: pa.RecordBatch, *names: str, rows: int = ROWS) -> Iterator[tuple[list, ...]]:
     """The named columns as Python lists, a bounded number of rows at a time."""
-    for start in range(0, batch.num_rows, ROWS):
-        part = batch.slice(start, ROWS)
+    for start in range(0, batch.num_rows, rows):
+        part = batch.slice(start, rows)
         yield tuple(part.column(part.schema.get_field_index(n)).to_pylist() for n in names)
 
 

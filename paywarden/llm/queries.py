@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, decontam, pages, quality, rollup, rules, secrets
+from paywarden.llm import bpe, decontam, neardup, pages, quality, rollup, rules, secrets
 from paywarden.llm.common import shared_folder, table
 
 
@@ -14,6 +14,10 @@ def op1_bpe(spark, sf_dir):
                           public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_neardup(spark, sf_dir):
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     ledger = secrets.update(docs, shared_folder(spark, "ledger"), "0")
@@ -66,18 +70,20 @@ def op10_rollup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op3_secrets, op4_quality, op5_rules, op6_decontam, op9_pages, op10_rollup)}
+    op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op9_pages, op10_rollup)}
 
 # DuckDB SQL of those that SQL expresses.
 ORACLE: dict[str, str] = {
     "op10_rollup": r"""
         WITH counted AS (
           SELECT source, lang, 'words-1' AS tokenizer,
-                 len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n
+                 len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n
           FROM documents
           UNION ALL
           SELECT source, lang, 'pieces-1',
-                 len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}+|[^ 	-\p{L}\p{N}]+'))
+                 len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}+|[^ 	-
+\p{L}\p{N}]+'))
           FROM documents)
         SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS n_docs,
                CAST(sum(n) AS BIGINT) AS n_tokens
