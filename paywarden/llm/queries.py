@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, decontam, neardup, pages, quality, rollup, rules, secrets, suffixtree
+from paywarden.llm import bpe, decontam, neardup, pages, quality, repeats, rollup, rules, secrets, suffixtree
 from paywarden.llm.common import shared_folder, table
 
 
@@ -37,6 +37,10 @@ def op6_decontam(spark, sf_dir):
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeats(spark, sf_dir):
+    return repeats.remove(table(spark, sf_dir, "documents"))
+
+
 def op8_lm(spark, sf_dir):
     return suffixtree.language_model_scores(table(spark, sf_dir, "documents"))
 
@@ -74,7 +78,7 @@ def op10_rollup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op8_lm, op9_pages, op10_rollup)}
+    op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op7_repeats, op8_lm, op9_pages, op10_rollup)}
 
 # DuckDB SQL of those that SQL expresses.
 ORACLE: dict[str, str] = {
