@@ -7,7 +7,7 @@ import argparse
 from paywarden.functions.rules import PROFILES
 from paywarden.plans.batch import BatchRun, run_batch
 from paywarden.plans.duplicates import DuplicateRun, run_duplicates
-from paywarden.session import build_session
+from paywarden.session import build_session, require_utc
 from paywarden.sources.readers import stream_transactions
 from paywarden.streaming.jobs import StreamJob, run_streams
 
@@ -40,6 +40,7 @@ def _arguments() -> argparse.Namespace:
 def main() -> None:
     args = _arguments()
     spark = build_session(f"paywarden-{args.job}")
+    require_utc(spark)
     if args.job == "batch":
         run = BatchRun(args.output, args.run_id, PROFILES[args.profile])
         run_batch(spark, args.input, run, clustered=args.clustered).show()

@@ -21,15 +21,27 @@ def with_date_parts(df: DataFrame, source: str = EVENT_TIME) -> DataFrame:
     )
 
 
-def money_total(amount: str | Column = "amount") -> Column:
+# Amounts below 1e22; the sum of ten billion of them still fits.
+MONEY = "decimal(24,2)"
+
+
+def _money(amount: str) -> Column:
+    """The amount as a decimal; NULL for NaN, infinite or larger ones."""
+    return F.col(amount).try_cast(MONEY)
+
+
+def money_total(amount: str = "amount") -> Column:
     """Sum of amounts, 0 when there are none.
 
     Added up as decimals with two places, so the result does not depend on how
-    rows are split over tasks. NaN amounts carry no value and are left out.
+    rows are split over tasks. What cannot be added is counted by ``money_left_out``.
     """
-    value = F.col(amount) if isinstance(amount, str) else amount
-    cents = F.when(~F.isnan(value), value).cast("decimal(18,2)")
-    return F.coalesce(F.sum(cents), F.lit(0)).cast("double")
+    return F.coalesce(F.sum(_money(amount)), F.lit(0)).cast("double")
+
+
+def money_left_out(amount: str = "amount") -> Column:
+    """How many amounts ``money_total`` could not add: NaN, infinite, or 1e22 and more."""
+    return F.count_if(F.col(amount).isNotNull() & _money(amount).isNull())
 
 
 def blank(kind: str) -> Column:

@@ -67,15 +67,16 @@ def parse_messages(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def sort_messages(df: DataFrame) -> DataFrame:
     """Good and dead messages as one table, told apart by ``route``; one pass.
 
-    Good rows have the fields and ``_retry_count``, dead rows ``raw_message`` and
-    ``dlq_reason``; the rest is NULL.
+    Good rows have the fields and ``_retry_count``, dead rows ``dlq_reason``; the rest
+    is NULL. All rows keep ``raw_message``: unknown fields and values of the wrong type are
+    in no column.
     """
     good = F.col("judged.is_good")
     fields = [F.when(good, F.col(f"judged.fields.{n}")).alias(n) for n in TRANSACTION_SCHEMA.names]
     return judge_messages(df).select(
         *fields,
         F.when(good, F.col("_retry_count")).alias("_retry_count"),
-        F.when(~good, F.col("raw_message")).alias("raw_message"),
+        "raw_message",
         F.when(~good, F.lit(INVALID_JSON)).alias("dlq_reason"),
         F.when(good, F.lit(GOOD_ROUTE)).otherwise(F.lit(DEAD_LETTER_ROUTE)).alias("route"),
     )
@@ -114,3 +115,20 @@ def route_failed(df: DataFrame) -> DataFrame:
             ),
         }
     )
+
+
+def failed_tables(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(retry, dead) of rows of a failed write, from ``route_failed``.
+
+    Retry rows carry the raw message, headers with the next count, the step and its delay,
+    so that reading them as messages gives the row back under its new count. Dead rows carry
+    the raw message and the reason.
+    """
+    routed = route_failed(df)
+    retry = routed.filter(F.col("route") != DEAD_LETTER_ROUTE).select(
+        F.col("raw_message").alias("raw"),
+        F.create_map(F.lit("retry_count"), F.col("next_retry_count")).alias("headers"),
+        "route", "delay_ms",
+    )
+    dead = routed.filter(F.col("route") == DEAD_LETTER_ROUTE).select("raw_message", "dlq_reason")
+    return retry, dead

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.functions.columns import money_total
+from paywarden.functions.columns import money_left_out, money_total
 from paywarden.schema import EVENT_TIME, RECENT_ALERT_COLUMNS
 
 ALL = "All"
@@ -48,6 +48,7 @@ def kpi_transactions(transactions: DataFrame) -> DataFrame:
         F.count("*").alias("total_transactions"),
         F.count_if(F.col("status") == "SUCCESS").alias("successful_transactions"),
         money_total().alias("total_amount"),
+        money_left_out().alias("amounts_left_out"),
     )
 
 
@@ -56,6 +57,7 @@ def kpi_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.agg(
         F.count("*").alias("total_alerts"),
         money_total().alias("total_amount"),
+        money_left_out().alias("amounts_left_out"),
         F.count_distinct("customer_id").alias("customers"),
     )
 
@@ -64,7 +66,7 @@ def alerts_by(alerts: DataFrame, column: str, amount_as: str | None = None) -> D
     """Alerts per value of ``column``, most first; ties by the value itself."""
     measures = [F.count("*").alias("alert_count")]
     if amount_as:
-        measures.append(money_total().alias(amount_as))
+        measures += [money_total().alias(amount_as), money_left_out().alias("amounts_left_out")]
     return alerts.groupBy(column).agg(*measures).orderBy(F.desc("alert_count"), F.asc(column))
 
 

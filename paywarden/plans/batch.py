@@ -13,14 +13,15 @@ from paywarden.functions.columns import with_date_parts, with_event_time
 from paywarden.functions.rules import BATCH, Profile
 from paywarden.operators.fraud import (
     all_alerts,
-    conform_high_value,
-    conform_velocity,
     high_value_alerts,
+    stamp_alerts,
     velocity_alerts,
 )
 from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome, validate
-from paywarden.sinks.writers import write_partitioned, write_table, write_velocity
+from paywarden.session import require_utc
+from paywarden.sinks.writers import append_table, write_partitioned, write_velocity
 from paywarden.sources.readers import read_transactions
+from paywarden.streaming.ledger import Ledger
 
 
 @dataclass(frozen=True)
@@ -92,18 +93,20 @@ def run_batch(
     spark: SparkSession,
     path: str,
     run: BatchRun,
-    jdbc: dict | None = None,
+    tables: dict | None = None,
     clustered: bool = False,
 ) -> DataFrame:
     """Check the JSON lines at ``path`` and return the summary row.
 
     The text is read once. Everything after that comes from the checked Parquet,
-    where ``outcome`` is a folder and only the needed columns are read. With
-    ``jdbc`` options both result tables are appended to the database as well.
+    where ``outcome`` is a folder and only the needed columns are read. With ``tables``
+    (JDBC options, or ``folder`` for Parquet) both result tables are appended as well; a
+    second run under the same ``run_id`` leaves out the rows that they have.
 
     ``clustered`` says that each input file holds few days. The checked rows are
     then written where they were read; otherwise one shuffle gathers each day first.
     """
+    require_utc(spark)
     timed = with_date_parts(with_event_time(read_transactions(spark, path)))
     checked = validate(timed, run.profile)
     routed = checked.withColumn("outcome", outcome(run.profile))
@@ -115,11 +118,13 @@ def run_batch(
     write_partitioned(high_value_alerts(valid.drop("outcome")), run.high_value, mode="overwrite")
     write_velocity(velocity_alerts(valid), run.velocity, mode="overwrite")
 
-    if jdbc:
-        write_table(run.transactions(spark), "transactions", **jdbc)
-        write_table(conform_high_value(run.read_high_value(spark)), "fraud_alerts", **jdbc)
-        velocity = conform_velocity(run.read_velocity(spark), run.profile)
-        write_table(velocity, "fraud_alerts", **jdbc)
+    if tables:
+        ledger = Ledger(spark, f"{run.output.rstrip('/')}/table_appends")
+        again = ledger.begin("batch", run.run_id, 0)
+        append_table(run.transactions(spark), "transactions", "transaction_id", again, **tables)
+        alerts = stamp_alerts(run.fraud_alerts(spark))
+        append_table(alerts, "fraud_alerts", "fraud_alert_id", again, **tables)
+        ledger.mark_processed("batch", run.run_id, 0)
     return batch_summary(spark, run)
 
 

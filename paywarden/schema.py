@@ -73,7 +73,6 @@ WATERMARK_DELAY = "10 minutes"
 
 _TYPES = {f.name: f.dataType for f in TRANSACTION_SCHEMA.fields} | {EVENT_TIME: T.TimestampType()}
 TRANSACTION_TABLE_SCHEMA = _struct(**{c: _TYPES[c] for c in TRANSACTION_COLUMNS})
-ALERT_TABLE_SCHEMA = _struct(**{c: _TYPES.get(c, T.StringType()) for c in ALERT_COLUMNS})
 VELOCITY_SCHEMA = _struct(
     customer_id=T.StringType(),
     window_start=T.TimestampType(),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,12 +36,16 @@ def build_session(app: str, **conf: str) -> SparkSession:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. A machine-local folder is used only
-    in local mode, where that setting may be absent.
+    It lies under ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days, windows and date folders are those of UTC; a job refuses to start elsewhere."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")

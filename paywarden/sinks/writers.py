@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paywarden.operators.fraud import flat_velocity
 from paywarden.schema import DATE_PARTS
+from paywarden.sources.readers import read_table
 
 
 @contextmanager
@@ -84,8 +86,8 @@ def write_table(df: DataFrame, target: str, mode: str = "append", **options) ->
     """To a JDBC table when ``url`` is among the options, else to a Parquet path.
 
     For JDBC, ``numPartitions`` caps the connections and ``batchsize`` sets the
-    rows per round trip. The append is at-least-once: a retried task may send
-    its rows again unless the target has a key.
+    rows per round trip. A retried JDBC task may send its rows again unless the
+    target has a key.
     """
     if "url" in options:
         df.write.format("jdbc").mode(mode).options(dbtable=target, **options).save()
@@ -93,6 +95,24 @@ def write_table(df: DataFrame, target: str, mode: str = "append", **options) ->
         df.write.mode(mode).options(**options).parquet(target)
 
 
+def append_table(
+    df: DataFrame, target: str, key: str, again: bool = False, folder: str | None = None, **options
+) -> None:
+    """Append to a table, a Parquet folder below ``folder`` or JDBC.
+
+    ``again`` says that an earlier try of the same rows may have reached the target:
+    only then its keys are read, and rows that it has are left out.
+    """
+    path = target if folder is None else f"{folder.rstrip('/')}/{target}"
+    if again:
+        try:
+            df = unseen(df, read_table(df.sparkSession, path, **options), key)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    write_table(df, path, **options)
+
+
 def unseen(df: DataFrame, existing: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows whose key the target does not hold yet, for targets with a unique key."""
     return df.join(existing.select(key), key, "left_anti")

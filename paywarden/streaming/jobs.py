@@ -8,14 +8,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.window import Window
 
 from paywarden import schema as S
 from paywarden.functions.rules import STREAM, Profile
-from paywarden.operators.fraud import conform_high_value, conform_velocity, flat_velocity, tag
+from paywarden.operators.fraud import (
+    conform_high_value,
+    conform_velocity,
+    flat_velocity,
+    stamp_alerts,
+    tag,
+)
 from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome
-from paywarden.sinks.writers import adaptive, balanced, write_partitioned, write_table
+from paywarden.session import require_utc
+from paywarden.sinks.writers import adaptive, append_table, balanced, write_partitioned
 from paywarden.streaming.ledger import Ledger, batch_folder, committed
 from paywarden.streaming.prepare import checked_stream, velocity_stream
 
@@ -25,8 +32,10 @@ VELOCITY_QUERY = "velocity"
 
 @dataclass(frozen=True)
 class StreamJob:
-    """Where a streaming job keeps things. ``jdbc`` options switch on table appends.
+    """Where a streaming job keeps things.
 
+    ``tables`` switches on appends to the tables ``transactions`` and ``fraud_alerts``: JDBC
+    options with ``url``, or ``folder`` for Parquet folders below it.
     ``run_id`` defaults to the id that Spark stores in the checkpoint, so a new
     checkpoint is a new run.
     """
@@ -37,7 +46,7 @@ class StreamJob:
     profile: Profile = STREAM
     threshold: float = S.HIGH_VALUE_THRESHOLD
     trigger: dict = field(default_factory=lambda: {"processingTime": "0 seconds"})
-    jdbc: dict | None = None
+    tables: dict | None = None
 
     @property
     def checked(self) -> str:
@@ -77,7 +86,8 @@ def write_batch(
     """Write a micro-batch into the folder that it owns, replacing all of it.
 
     A replay of the batch therefore leaves exactly its own rows, also when a
-    row has moved to another day in between.
+    row has moved to another day in between. A batch without rows leaves no folder,
+    and "" is returned. What was written tells: asking the batch would compute it twice.
     """
     folder = batch_folder(path, run_id, batch_id)
     with adaptive(df.sparkSession):
@@ -85,9 +95,18 @@ def write_batch(
             write_partitioned(df, folder, by, mode="overwrite")
         else:
             balanced(df).write.mode("overwrite").parquet(folder)
+        empty = df.sparkSession.read.schema(df.schema).parquet(folder).isEmpty()
+    if empty:
+        _remove(df.sparkSession, folder)
+        return ""
     return folder
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def process_transactions(batch: DataFrame, batch_id: int, job: StreamJob, run_id: str) -> bool:
     """Processed, rejected and high-value rows of one micro-batch, in one write.
 
@@ -97,30 +116,41 @@ def process_transactions(batch: DataFrame, batch_id: int, job: StreamJob, run_id
     ledger = job.ledger(spark)
     if ledger.is_processed(TRANSACTIONS_QUERY, run_id, batch_id):
         return False
+    again = ledger.begin(TRANSACTIONS_QUERY, run_id, batch_id)
     routed = batch.withColumn("outcome", outcome(job.profile, job.threshold))
     folder = write_batch(routed, job.checked, run_id, batch_id, ("outcome", *S.DATE_PARTS))
-    if job.jdbc:
+    if job.tables and folder:
         # Read back what was written: the batch itself is not computed twice.
         rows = spark.read.schema(job.checked_schema()).parquet(folder)
-        write_table(transactions_of(rows, job), "transactions", **job.jdbc)
-        write_table(conform_high_value(high_value_of(rows, job)), "fraud_alerts", **job.jdbc)
+        _append(transactions_of(rows, job), "transactions", "transaction_id", again, job)
+        high = stamp_alerts(conform_high_value(high_value_of(rows, job)))
+        _append(high, "fraud_alerts", "fraud_alert_id", again, job)
     ledger.mark_processed(TRANSACTIONS_QUERY, run_id, batch_id)
     return True
 
 
 def process_velocity(batch: DataFrame, batch_id: int, job: StreamJob, run_id: str) -> bool:
+    """Velocity alerts of one micro-batch. In the table a window's alert stands once."""
     spark = batch.sparkSession
     ledger = job.ledger(spark)
     if ledger.is_processed(VELOCITY_QUERY, run_id, batch_id):
         return False
+    ledger.begin(VELOCITY_QUERY, run_id, batch_id)
     folder = write_batch(flat_velocity(batch), job.velocity, run_id, batch_id)
-    if job.jdbc:
+    if job.tables and folder:
         rows = spark.read.schema(S.VELOCITY_SCHEMA).parquet(folder)
-        write_table(conform_velocity(rows, job.profile), "fraud_alerts", **job.jdbc)
+        alerts = stamp_alerts(conform_velocity(rows, job.profile))
+        # A window whose count grows alerts again, so the table's keys are always looked at.
+        _append(alerts, "fraud_alerts", "fraud_alert_id", True, job)
     ledger.mark_processed(VELOCITY_QUERY, run_id, batch_id)
     return True
 
 
+def _append(rows: DataFrame, table: str, key: str, again: bool, job: StreamJob) -> None:
+    """Append what the table lacks; its keys are read only if it may hold some of the rows."""
+    append_table(rows, table, key, again, **job.tables)
+
+
 def transactions_of(rows: DataFrame, job: StreamJob) -> DataFrame:
     """The transactions table: processed rows, ten columns."""
     return rows.filter(F.col("outcome") == PROCESSED).select(*S.TRANSACTION_COLUMNS)
@@ -142,6 +172,7 @@ def high_value_of(rows: DataFrame, job: StreamJob) -> DataFrame:
 def start_transactions(raw: DataFrame, job: StreamJob) -> StreamingQuery:
     """Query 1: every row, de-duplicated, validated and routed."""
     spark = raw.sparkSession
+    require_utc(spark)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         process_transactions(batch, batch_id, job, _run_of(spark, TRANSACTIONS_QUERY, job))
@@ -165,6 +196,7 @@ def start_velocity(
 ) -> StreamingQuery:
     """Query 2: velocity alerts, by default as soon as a window exceeds the limit."""
     spark = raw.sparkSession
+    require_utc(spark)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         process_velocity(batch, batch_id, job, _run_of(spark, VELOCITY_QUERY, job))
@@ -203,21 +235,33 @@ def run_streams(raw: DataFrame, job: StreamJob, mode: str = "update") -> list[St
     return queries
 
 
-def committed_transactions(spark: SparkSession, job: StreamJob) -> DataFrame:
-    """Checked rows of all committed micro-batches, with their ``outcome``."""
+def committed_transactions(
+    spark: SparkSession, job: StreamJob, run_id: str | None = None
+) -> DataFrame:
+    """Checked rows of a run's committed micro-batches, with their ``outcome``.
+
+    Without ``run_id`` it is the job's, or else the run that committed last.
+    """
     return committed(
-        spark, job.checked, job.checked_schema(), job.ledger(spark), TRANSACTIONS_QUERY
+        spark, job.checked, job.checked_schema(), job.ledger(spark), TRANSACTIONS_QUERY,
+        run_id or job.run_id,
     )
 
 
-def committed_velocity(spark: SparkSession, job: StreamJob) -> DataFrame:
-    """Velocity alerts of all committed micro-batches, repeats included."""
-    return committed(spark, job.velocity, S.VELOCITY_SCHEMA, job.ledger(spark), VELOCITY_QUERY)
+def committed_velocity(
+    spark: SparkSession, job: StreamJob, run_id: str | None = None
+) -> DataFrame:
+    """Velocity alerts of a run's committed micro-batches, repeats included."""
+    return committed(
+        spark, job.velocity, S.VELOCITY_SCHEMA, job.ledger(spark), VELOCITY_QUERY,
+        run_id or job.run_id,
+    )
 
 
 def latest_velocity(alerts: DataFrame, version: str = "batch_id") -> DataFrame:
-    """One current alert per customer and window of a run: that of its latest micro-batch.
+    """One current alert per customer and window of one run: that of its latest micro-batch.
 
+    Batch numbers of different runs do not compare, so ``alerts`` are those of one run.
     Each task keeps the newest of its versions before the shuffle, and a customer
     with many windows is spread over them.
     """
@@ -227,10 +271,32 @@ def latest_velocity(alerts: DataFrame, version: str = "batch_id") -> DataFrame:
     return ranked.filter("_rank = 1").select(*S.VELOCITY_SCHEMA.names)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as later than the watermark, over the progress Spark still holds."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped as later than the watermark, by query id, over whole runs.
+
+    Add it with ``spark.streams.addListener`` before a query starts. Spark reports after
+    each micro-batch; ``of`` gives what has been reported so far.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.counts.get(str(query.id), 0)
+
+    def onQueryStarted(self, event):
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        key = str(event.progress.id)
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.counts[key] = self.counts.get(key, 0) + dropped
+        self.batches[key] = self.batches.get(key, 0) + 1
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.id))

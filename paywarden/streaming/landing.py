@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from paywarden.operators.messages import DEAD_LETTER_ROUTE, GOOD_ROUTE, sort_messages
+from paywarden.operators.messages import (
+    DEAD_LETTER_ROUTE,
+    GOOD_ROUTE,
+    failed_tables,
+    sort_messages,
+)
 from paywarden.schema import TRANSACTION_SCHEMA
 
 # Fixed value: how long messages are gathered before they are written.
@@ -33,7 +38,7 @@ def land_messages(
 ) -> StreamingQuery:
     """Messages as JSON lines under ``path``, dead letters in a folder of their own.
 
-    The source is read and parsed once for both. Spark's log of committed files
+    Good rows keep the message text as well. The source is read and parsed once. Spark's log of committed files
     lies under ``path``, so read through the functions below, which follow it.
     Messages are gathered by time. A limit on rows per file has no counterpart
     in Spark; the source's own limits bound a micro-batch.
@@ -56,8 +61,23 @@ def _good(landed: DataFrame) -> DataFrame:
     )
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    return _good(spark.read.schema(LANDED_SCHEMA).json(path))
+def read_landed(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
+    """Landed transactions; with ``raw`` also the message as it came."""
+    landed = spark.read.schema(LANDED_SCHEMA).json(path)
+    if raw:
+        return landed.filter(F.col("route") == GOOD_ROUTE).drop("route", "dlq_reason")
+    return _good(landed)
+
+
+def land_routes(failed: DataFrame, path: str) -> None:
+    """Rows of a failed write into the tables ``retry`` and ``dead`` below ``path``.
+
+    ``failed`` has ``raw_message`` and ``_retry_count``. The retry table has the columns of
+    a message table, so ``land_messages`` and ``parse_messages`` take it as it is.
+    """
+    retry, dead = failed_tables(failed)
+    retry.write.mode("append").partitionBy("route").parquet(f"{path}/retry")
+    dead.write.mode("append").parquet(f"{path}/dead")
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:

@@ -1,28 +1,33 @@
 """Ledger of committed micro-batches, and reads that see only those.
 
-One small Parquet folder per (query, run, batch). A run is the life of one
-checkpoint: a new checkpoint starts again at batch 0 and so must have a new run id.
+Batches of a run are committed in order, so a run needs one mark: the number up to which
+its batches are committed. A mark is an empty file that carries the number in its name and
+the time in its date; a newer mark is made before older ones go. Looking at the ledger lists
+a few names and runs no job. A run is the life of one checkpoint: a new checkpoint starts
+again at batch 0 and so must have a new run id.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARK_SCHEMA = T.StructType([T.StructField("processed_at", T.TimestampType())])
-BATCH_KEY = ("run_id", "batch_id")
 BATCH_KEY_FIELDS = [
     T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ]
-LEDGER_SCHEMA = T.StructType(
-    [*MARK_SCHEMA.fields, T.StructField("query_name", T.StringType()), *BATCH_KEY_FIELDS]
-)
 
-# A ledger row is one short id and one number: a million of them is tens of megabytes.
-BROADCAST_ROWS = 1_000_000
+
+@dataclass(frozen=True)
+class Mark:
+    """The batches of a run up to ``batch_id`` are committed, the last of them at ``at`` (ms)."""
+
+    run_id: str
+    batch_id: int
+    at: int
 
 
 class Ledger:
@@ -30,35 +35,59 @@ class Ledger:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _folder(self, query: str, run_id: str, batch_id: int) -> str:
-        return f"{self.path}/query_name={query}/run_id={run_id}/batch_id={batch_id}"
+    def _file(self, *parts: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _listed(self, *parts: str) -> list:
+        path, files = self._file(*parts)
+        return list(files.listStatus(path)) if files.exists(path) else []
+
+    def _numbers(self, query: str, run_id: str, kind: str) -> dict[int, int]:
+        """Number and time of each file of a kind."""
+        found = {}
+        for status in self._listed(query, run_id):
+            name, _, number = status.getPath().getName().partition("-")
+            if name == kind:
+                found[int(number)] = status.getModificationTime()
+        return found
+
+    def _set(self, query: str, run_id: str, kind: str, number: int) -> None:
+        path, files = self._file(query, run_id, f"{kind}-{number}")
+        files.create(path, True).close()
+        for older in self._numbers(query, run_id, kind):
+            if older < number:
+                old, _ = self._file(query, run_id, f"{kind}-{older}")
+                files.delete(old, False)
 
     def is_processed(self, query: str, run_id: str, batch_id: int) -> bool:
-        """Looks at the one folder of this batch, however long the ledger is."""
-        try:
-            mark = self.spark.read.schema(MARK_SCHEMA).parquet(
-                self._folder(query, run_id, batch_id)
-            )
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return not mark.isEmpty()
+        return batch_id <= max(self._numbers(query, run_id, "done"), default=-1)
+
+    def begin(self, query: str, run_id: str, batch_id: int) -> bool:
+        """Note that a batch is tried; True when it was tried before."""
+        again = batch_id <= max(self._numbers(query, run_id, "begun"), default=-1)
+        if not again:
+            self._set(query, run_id, "begun", batch_id)
+        return again
 
     def mark_processed(self, query: str, run_id: str, batch_id: int) -> None:
-        """Written last, after all output of the batch. Marking twice changes nothing."""
-        mark = self.spark.range(0, 1, 1, 1).select(F.current_timestamp().alias("processed_at"))
-        mark.write.mode("overwrite").parquet(self._folder(query, run_id, batch_id))
+        """Set last, after all output of the batch. Marking twice changes nothing."""
+        if not self.is_processed(query, run_id, batch_id):
+            self._set(query, run_id, "done", batch_id)
+
+    def marks(self, query: str) -> list[Mark]:
+        """One mark a run, the newest first."""
+        found = []
+        for status in self._listed(query):
+            run_id = status.getPath().getName()
+            if done := self._numbers(query, run_id, "done"):
+                found.append(Mark(run_id, max(done), done[max(done)]))
+        return sorted(found, key=lambda mark: (mark.at, mark.run_id), reverse=True)
 
-    def rows(self) -> DataFrame:
-        """All marks: query_name, run_id, batch_id, processed_at."""
-        empty = self.spark.createDataFrame([], MARK_SCHEMA)
-        empty.write.mode("ignore").parquet(self.path)
-        return (
-            self.spark.read.schema(LEDGER_SCHEMA)
-            .parquet(self.path)
-            .filter(F.col("query_name").isNotNull())
-        )
+    def mark(self, query: str, run_id: str | None = None) -> Mark | None:
+        """The mark of a run, by default of that which committed last."""
+        return next((m for m in self.marks(query) if run_id in (None, m.run_id)), None)
 
 
 def batch_folder(path: str, run_id: str, batch_id: int) -> str:
@@ -66,16 +95,21 @@ def batch_folder(path: str, run_id: str, batch_id: int) -> str:
 
 
 def committed(
-    spark: SparkSession, path: str, schema: T.StructType, ledger: Ledger, query: str
+    spark: SparkSession, path: str, schema: T.StructType, ledger: Ledger, query: str,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Rows of the micro-batches that the ledger lists; half-written ones are invisible.
+    """Rows of a run's committed micro-batches; half-written ones are invisible.
 
-    The ledger side is broadcast only after its row count has been checked. The
-    join is on folder names, so folders of other batches are not opened.
+    A filter on folder names, so folders of other batches and runs are not opened.
+    Without ``run_id`` it is the run that committed last.
     """
-    fields = [f for f in schema.fields if f.name not in BATCH_KEY] + BATCH_KEY_FIELDS
-    rows = spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(path)
-    done = ledger.rows().filter(F.col("query_name") == query).select(*BATCH_KEY)
-    if done.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        done = F.broadcast(done)
-    return rows.join(done, list(BATCH_KEY), "left_semi")
+    key = [f.name for f in BATCH_KEY_FIELDS]
+    fields = [f for f in schema.fields if f.name not in key] + BATCH_KEY_FIELDS
+    whole = T.StructType(fields)
+    mark = ledger.mark(query, run_id)
+    _, files = ledger._file()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if mark is None or not files.exists(folder):
+        return spark.createDataFrame([], whole)
+    rows = spark.read.schema(whole).option("basePath", path).parquet(path)
+    return rows.filter((F.col("run_id") == mark.run_id) & (F.col("batch_id") <= mark.batch_id))

@@ -14,6 +14,8 @@ from paywarden.operators.validation import valid_rows, validate
 from paywarden.schema import EVENT_TIME, VELOCITY_THRESHOLD, VELOCITY_WINDOW, WATERMARK_DELAY
 
 KEYS = ("transaction_id",)
+# Later than any event; a row without a time stands there while its key is remembered.
+NEVER = "9999-01-01 00:00:00"
 
 
 def fold_copies(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -53,12 +55,24 @@ def dedupe_stream(
     """One row per key of a watermarked stream.
 
     Bounded: a key is forgotten once the watermark passes its event time, so
-    state stays proportional to the delay. Unbounded: a key is remembered for
-    good and state grows with the number of keys ever seen.
+    state stays proportional to the delay. A row without a time has no such moment:
+    it enters under the end of time, which keeps its key for good, and leaves without.
+    Unbounded: a key is remembered for good and state grows with the number of keys
+    ever seen.
     """
-    if bounded:
-        return df.dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+    if not bounded:
+        return df.dropDuplicates(list(keys))
+    never = F.to_timestamp(F.lit(NEVER))
+    # The replaced column is still the one that carries the watermark.
+    timed = F.coalesce(EVENT_TIME, never).alias(EVENT_TIME, metadata=_delay(df))
+    places = [timed if c == EVENT_TIME else F.col(c) for c in df.columns]
+    single = df.select(*places).dropDuplicatesWithinWatermark(list(keys))
+    back = F.nullif(EVENT_TIME, never).alias(EVENT_TIME, metadata=_delay(df))
+    return single.select(*(back if c == EVENT_TIME else F.col(c) for c in df.columns))
+
+
+def _delay(df: DataFrame) -> dict:
+    return df.schema[EVENT_TIME].metadata
 
 
 def has_key(keys: Sequence[str] = KEYS):
@@ -71,30 +85,33 @@ def has_key(keys: Sequence[str] = KEYS):
 
 
 def prepare_stream(
-    raw: DataFrame, delay: str = WATERMARK_DELAY, fold_keys: Sequence[str] = ()
+    raw: DataFrame, delay: str = WATERMARK_DELAY, fold_keys: Sequence[str] = (), parts: bool = True
 ) -> DataFrame:
-    """Event time in place of the raw text, date parts, and the watermark.
+    """Event time in place of the raw text, date parts if wanted, and the watermark.
 
     With ``fold_keys``, copies that lie next to each other are folded first.
     """
-    timed = with_date_parts(with_event_time(raw, keep=False))
+    timed = with_event_time(raw, keep=False)
+    if parts:
+        timed = with_date_parts(timed)
     if fold_keys:
         timed = fold_copies(timed, fold_keys)
     return timed.withWatermark(EVENT_TIME, delay)
 
 
 def _deduplicated(
-    raw: DataFrame, keys: Sequence[str], delay: str, bounded: bool, fold: bool
+    raw: DataFrame, keys: Sequence[str], delay: str, bounded: bool, fold: bool, parts: bool = True
 ) -> DataFrame:
-    prepared = prepare_stream(raw, delay, keys if fold else ())
+    prepared = prepare_stream(raw, delay, keys if fold else (), parts)
     return dedupe_stream(prepared, keys, bounded)
 
 
 def keyed_stream(
-    raw: DataFrame, delay: str = WATERMARK_DELAY, bounded: bool = True, fold: bool = True
+    raw: DataFrame, delay: str = WATERMARK_DELAY, bounded: bool = True, fold: bool = True,
+    parts: bool = True,
 ) -> DataFrame:
     """De-duplicated rows that carry a transaction id."""
-    return _deduplicated(raw.filter(has_key()), KEYS, delay, bounded, fold)
+    return _deduplicated(raw.filter(has_key()), KEYS, delay, bounded, fold, parts)
 
 
 def checked_stream(
@@ -133,7 +150,10 @@ def velocity_stream(
     """Velocity alerts over the valid, de-duplicated rows.
 
     In update mode a window is emitted again each time its count grows; in
-    append mode once, when the watermark passes its end.
+    append mode once, when the watermark passes its end. Only what rules, windows and
+    keys need is carried along, and rows without a time, which have no window, are not.
     """
-    valid = valid_rows(keyed_stream(raw, delay, bounded, fold), profile)
+    needed = [c for c in raw.columns if c != "location"]
+    timed = raw.select(*needed).filter(F.try_to_timestamp("timestamp").isNotNull())
+    valid = valid_rows(keyed_stream(timed, delay, bounded, fold, parts=False), profile)
     return velocity_alerts(valid, window, threshold)

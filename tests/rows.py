@@ -1,4 +1,4 @@
-"""Fixture rows, typed out by hand."""
+"""Fixture rows."""
 
 import json
 
@@ -8,43 +8,27 @@ FIELDS = (
 )
 
 
+DAY = "2027-03-08T"
+
+
 def tx(i="T1", customer="C1", account="A1", amount=10.0, currency="INR", kind="UPI",
-       merchant="Shop", location="Chennai", at="2026-09-25T14:00:00", status="SUCCESS"):
+       merchant="Shop", location="Here", at=DAY + "14:00:00", status="SUCCESS"):
     return (i, customer, account, amount, currency, kind, merchant, location, at, status)
 
 
-DAY = "2026-09-25T"
+# Three good rows, one of them high; three broken ones; six of a customer within five minutes.
 DAILY = [
-    tx("TXN001", "CUST0001", "ACC0001", 5000.0, at=DAY + "14:00:00"),
-    tx("TXN002", "CUST0002", "ACC0002", 15000.0, kind="CARD", at=DAY + "14:00:05"),
-    tx("TXN003", "CUST0003", "ACC0003", 250000.0, kind="NET_BANKING", at=DAY + "14:00:10"),
-    tx("TXN004", None, "ACC0004", 7000.0, at=DAY + "14:00:15"),
-    tx("TXN005", "CUST0005", "ACC0005", 12000.0, kind="INVALID", at=DAY + "14:00:20",
-       status="UNKNOWN"),
-    tx("TXN006", "CUST0006", "ACC0006", -5000.0, at=DAY + "14:00:25"),
-    tx("VEL001", "CUST0001", "ACC0001", 1000.0, at=DAY + "15:00:00"),
-    tx("VEL002", "CUST0001", "ACC0001", 1200.0, at=DAY + "15:00:30"),
-    tx("VEL003", "CUST0001", "ACC0001", 800.0, kind="CARD", at=DAY + "15:01:00"),
-    tx("VEL004", "CUST0001", "ACC0001", 1500.0, kind="CARD", at=DAY + "15:01:30"),
-    tx("VEL005", "CUST0001", "ACC0001", 700.0, at=DAY + "15:02:00"),
-    tx("VEL006", "CUST0001", "ACC0001", 900.0, at=DAY + "15:02:30"),
-]
-REPEATED = [
-    tx("DUP001", "CUST0001", "ACC0001", 5000.0, at=DAY + "16:00:00"),
-    tx("DUP002", "CUST0002", "ACC0002", 15000.0, kind="CARD", at=DAY + "16:00:05"),
-    tx("DUP001", "CUST0001", "ACC0001", 5000.0, at=DAY + "16:00:00"),
-    tx("DUP003", "CUST0003", "ACC0003", 25000.0, kind="NET_BANKING", at=DAY + "16:00:10"),
-    tx("DUP002", "CUST0002", "ACC0002", 15000.0, kind="CARD", at=DAY + "16:00:05"),
-]
-STREAM_1 = [
-    tx("STR001", "CUST0001", "ACC0001", 5000.0, at=DAY + "17:00:00"),
-    tx("STR002", "CUST0002", "ACC0002", 15000.0, kind="CARD", at=DAY + "17:00:05"),
-    tx("STR003", "CUST0003", "ACC0003", 200000.0, kind="NET_BANKING", at=DAY + "17:00:10"),
-]
-STREAM_2 = [
-    tx("STR004", "CUST0004", "ACC0004", 7500.0, at=DAY + "17:05:00"),
-    tx("STR005", "CUST0005", "ACC0005", 125000.0, kind="CARD", at=DAY + "17:05:10"),
-]
+    tx("A-1", "ann", "a/ann", 412.5, kind="IMPS", at=DAY + "08:10:00"),
+    tx("A-2", "bob", "a/bob", 99.0, kind="CARD", at=DAY + "08:11:07"),
+    tx("A-3", "cyd", "a/cyd", 180500.0, kind="NEFT", at=DAY + "08:12:14"),
+    tx("A-4", None, "a/dee", 33.0, at=DAY + "08:13:21"),
+    tx("A-5", "eve", "a/eve", 61.0, kind="BARTER", at=DAY + "08:14:28", status="LOST"),
+    tx("A-6", "fay", "a/fay", -7.0, at=DAY + "08:15:35"),
+] + [tx(f"V-{n}", "ann", "a/ann", 11.0 + n, kind="ATM" if n % 2 else "UPI", at=f"{DAY}09:2{n // 2}:{11 + n}")
+     for n in range(6)]
+REPEATED = [tx(f"R-{n}", f"r{n}", amount=20.0 + n, at=f"{DAY}10:3{n}:00") for n in (1, 2, 1, 3, 2)]
+STREAM_1 = [tx(f"S-{n}", f"s{n}", amount=x, at=f"{DAY}11:0{n}:00") for n, x in enumerate((70.0, 130000.5, 71.0))]
+STREAM_2 = [tx(f"S-{n}", f"s{n}", amount=x, at=f"{DAY}11:0{n}:30") for n, x in ((3, 100000.5), (4, 72.0))]
 
 
 def as_lines(rows):

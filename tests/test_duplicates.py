@@ -1,10 +1,16 @@
 from collections import Counter
 
 from paywarden.operators import duplicates as D
+from paywarden.plans.duplicates import stored_ids
 from paywarden.schema import TRANSACTION_SCHEMA
 from rows import REPEATED, tx
 
 
+def copies_in(rows, folder, null_safe=False):
+    ids = stored_ids(rows, str(folder / f"ids-{null_safe}"), null_safe=null_safe)
+    return D.duplicate_records(rows, ids, null_safe=null_safe)
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, TRANSACTION_SCHEMA)
 
@@ -12,29 +18,29 @@ def frame(spark, rows):
 ODD = REPEATED + [tx(None, "n1"), tx(None, "n2"), tx("", "b1"), tx("", "b2"), tx("S1")]
 
 
-def test_golden_counts(spark):
+def test_golden_counts(spark, tmp_path):
     rows = frame(spark, REPEATED)
     assert {r.transaction_id: r.record_count for r in D.duplicate_ids(rows).collect()} == {
-        "DUP001": 2, "DUP002": 2}
-    copies = D.duplicate_records(rows)
+        "R-1": 2, "R-2": 2}
+    copies = copies_in(rows, tmp_path)
     assert copies.columns == rows.columns
-    assert sorted(r.transaction_id for r in copies.collect()) == ["DUP001"] * 2 + ["DUP002"] * 2
+    assert sorted(r.transaction_id for r in copies.collect()) == ["R-1"] * 2 + ["R-2"] * 2
     assert D.dedupe(rows).count() == 3
     assert D.duplicate_summary(rows).first().asDict() == {
         "total_records": 5, "unique_records": 3,
         "duplicate_records": 4, "duplicate_transaction_ids": 2}
 
 
-def test_null_and_blank_keys(spark):
+def test_null_and_blank_keys(spark, tmp_path):
     rows = frame(spark, ODD)
     ids = {r.transaction_id: r.record_count for r in D.duplicate_ids(rows).collect()}
-    assert ids == {None: 2, "": 2, "DUP001": 2, "DUP002": 2}
+    assert ids == {None: 2, "": 2, "R-1": 2, "R-2": 2}
     # NULL matches nothing unless asked to
-    assert Counter(r.transaction_id for r in D.duplicate_records(rows).collect()) == {
-        "": 2, "DUP001": 2, "DUP002": 2}
+    assert Counter(r.transaction_id for r in copies_in(rows, tmp_path).collect()) == {
+        "": 2, "R-1": 2, "R-2": 2}
     assert Counter(
-        r.transaction_id for r in D.duplicate_records(rows, null_safe=True).collect()
-    ) == {None: 2, "": 2, "DUP001": 2, "DUP002": 2}
+        r.transaction_id for r in copies_in(rows, tmp_path, True).collect()
+    ) == {None: 2, "": 2, "R-1": 2, "R-2": 2}
     assert D.dedupe(rows).count() == rows.dropDuplicates(["transaction_id"]).count() == 6
     assert D.duplicate_summary(rows).first() == (10, 6, 6, 4)
 
@@ -53,19 +59,19 @@ def test_survivor_is_the_first_in_order(spark):
     assert D.dedupe(rows, order_by=["amount"]).first().customer_id == "c0"
 
 
-def test_hot_key_is_cut_down_before_the_shuffle(spark):
+def test_hot_key_is_cut_down_before_the_shuffle(spark, tmp_path):
     rows = spark.range(0, 30000, 1, 8).selectExpr(
         "if(id % 3 = 0, 'HOT', concat('k', id)) AS transaction_id", "id")
     plan = D.dedupe(rows, order_by=["id"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Partial") > plan.index("Exchange")
     assert D.dedupe(rows, order_by=["id"]).count() == 20001
-    copies = D.duplicate_records(rows)
+    copies = copies_in(rows, tmp_path)
     assert copies.count() == 10000
     # the stored id list is small, so the big side is not shuffled
     assert "BroadcastHashJoin" in copies._jdf.queryExecution().executedPlan().toString()
 
 
-def test_long_id_list_falls_back_to_a_shuffled_join(spark):
+def test_long_id_list_falls_back_to_a_shuffled_join(spark, tmp_path):
     rows = spark.range(0, 40000, 1, 8).selectExpr(
         "if(id % 3 = 0, 'HOT', concat('k', id div 2)) AS transaction_id", "id")
     want = rows.groupBy("transaction_id").count().filter("count > 1").selectExpr("sum(count)").first()[0]
@@ -75,7 +81,7 @@ def test_long_id_list_falls_back_to_a_shuffled_join(spark):
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
     try:
-        copies = D.duplicate_records(rows)
+        copies = copies_in(rows, tmp_path)
         assert len(copies.collect()) == want
         plan = copies._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan

@@ -18,13 +18,13 @@ def burst(n, customer="C9", start=0):
 def test_daily_alerts(spark):
     valid = valid_rows(frame(spark, DAILY), BATCH)
     (high,) = X.high_value_alerts(valid).collect()
-    assert high.transaction_id == "TXN003"
+    assert high.transaction_id == "A-3"
     assert (high.fraud_rule, high.fraud_reason, high.fraud_status) == (
         "HIGH_VALUE_TRANSACTION", "Transaction amount exceeds INR 100000", "POTENTIAL_FRAUD")
     (fast,) = X.velocity_alerts(valid).collect()
-    assert (fast.customer_id, fast.transaction_count) == ("CUST0001", 6)
-    assert str(fast.window_start) == "2026-09-25 15:00:00"
-    assert str(fast.window_end) == "2026-09-25 15:05:00"
+    assert (fast.customer_id, fast.transaction_count) == ("ann", 6)
+    assert str(fast.window_start) == "2027-03-08 09:20:00"
+    assert str(fast.window_end) == "2027-03-08 09:25:00"
     assert fast.window.start == fast.window_start
     assert (fast.fraud_rule, fast.fraud_reason) == (
         "HIGH_TRANSACTION_VELOCITY", "More than 5 transactions within 5 minutes")
@@ -66,7 +66,7 @@ def test_alert_layouts(spark):
         None, None, None, None, "SUCCESS"]
     assert [stream[c] for c in ("currency", "transaction_type", "merchant", "location", "status")] == [
         "INR", "MULTIPLE", "MULTIPLE", "MULTIPLE", "DETECTED"]
-    assert str(batch.transaction_timestamp) == "2026-09-25 15:00:00"
+    assert str(batch.transaction_timestamp) == "2027-03-08 09:20:00"
     both = X.all_alerts(X.high_value_alerts(valid), velocity, BATCH)
     assert both.columns == list(ALERT_COLUMNS) and both.count() == 2
     stamped = X.stamp_alerts(both)

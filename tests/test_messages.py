@@ -85,7 +85,7 @@ def test_sorted_in_one_table(spark):
     assert sorted(map(str, table.filter("route = 'GOOD'").select(*fields, "_retry_count").collect())
                   ) == sorted(map(str, good.select(*fields, "_retry_count").collect()))
     assert table.filter("route = 'GOOD'").filter(
-        "raw_message IS NOT NULL OR dlq_reason IS NOT NULL").count() == 0
+        "raw_message IS NULL OR dlq_reason IS NOT NULL").count() == 0
     assert sorted(map(str, table.filter("route = 'DLQ'").select("raw_message", "dlq_reason").collect())
                   ) == sorted(map(str, dead.collect()))
     assert table.filter("route = 'DLQ' AND _retry_count IS NOT NULL").count() == 0

@@ -46,7 +46,7 @@ def test_batch_run(spark, tmp_path, daily):
     assert sorted(r.fraud_rule for r in alerts.collect()) == [
         "HIGH_TRANSACTION_VELOCITY", "HIGH_VALUE_TRANSACTION"]
     (day,) = run.read_rejected(spark).select("year", "month", "day").distinct().collect()
-    assert tuple(day) == (2026, 9, 25)
+    assert tuple(day) == (2027, 3, 8)
 
 
 @pytest.mark.parametrize(
@@ -91,37 +91,37 @@ def alerts(spark, tmp_path, daily):
 def test_report(spark, alerts):
     transactions, table = alerts
     page = report(transactions, table)
-    assert page["transactions"].first() == (9, 9, 276100.0)
-    assert page["alerts"].first() == (2, 250000.0, 2)
+    assert page["transactions"].first() == (9, 9, 181092.5, 0)
+    assert page["alerts"].first() == (2, 180500.0, 0, 2)
     assert [tuple(r) for r in page["by_customer"].collect()] == [
-        ("CUST0001", 1, 0.0), ("CUST0003", 1, 250000.0)]
-    assert [tuple(r) for r in page["trend"].collect()] == [(dt.date(2026, 9, 25), 2)]
+        ("ann", 1, 0.0, 0), ("cyd", 1, 180500.0, 0)]
+    assert [tuple(r) for r in page["trend"].collect()] == [(dt.date(2027, 3, 8), 2)]
     assert page["recent"].count() == 2 and len(page["recent"].columns) == 11
     choices = report_choices(table)
-    assert [r[0] for r in choices["customers"].collect()] == ["CUST0001", "CUST0003"]
-    assert choices["dates"].first() == (dt.date(2026, 9, 25),) * 2
+    assert [r[0] for r in choices["customers"].collect()] == ["ann", "cyd"]
+    assert choices["dates"].first() == (dt.date(2027, 3, 8),) * 2
 
 
 def test_report_filter(spark, alerts):
     _, table = alerts
-    day, next_day = dt.date(2026, 9, 25), dt.date(2026, 9, 26)
+    day, next_day = dt.date(2027, 3, 8), dt.date(2027, 3, 9)
 
     def count(**chosen):
         return R.alert_filter(table, **chosen).count()
 
     assert count() == count(customer="All", rule="All") == 2
-    assert count(customer="CUST0003") == count(rule="HIGH_TRANSACTION_VELOCITY") == 1
-    assert count(customer="CUST0003", rule="HIGH_TRANSACTION_VELOCITY") == 0
+    assert count(customer="cyd") == count(rule="HIGH_TRANSACTION_VELOCITY") == 1
+    assert count(customer="cyd", rule="HIGH_TRANSACTION_VELOCITY") == 0
     assert count(dates=(day, day)) == 2
     assert count(dates=(next_day, next_day)) == 0
     # one end alone does not restrict
     assert count(dates=(next_day,)) == 2
     # both ends of the range are included up to midnight
-    midnight = F.lit("2026-09-25 23:59:59.999999").cast("timestamp")
+    midnight = F.lit("2027-03-08 23:59:59.999999").cast("timestamp")
     late = table.withColumn("transaction_timestamp", midnight)
     assert R.alert_filter(late, dates=(day, day)).count() == 2
     nothing = report(table, table, customer="it's nobody")
-    assert nothing["alerts"].first() == (0, 0.0, 0)
+    assert nothing["alerts"].first() == (0, 0.0, 0, 0)
 
 
 def test_command_line(spark, tmp_path, daily, monkeypatch, capsys):

@@ -22,15 +22,15 @@ def reasons(spark, rows, profile):
 def test_daily_reasons(spark):
     batch = reasons(spark, DAILY, BATCH)
     assert {k: v for k, v in batch.items() if v} == {
-        "TXN004": "MISSING_CUSTOMER_ID",
-        "TXN005": "INVALID_STATUS,INVALID_TRANSACTION_TYPE",
-        "TXN006": "INVALID_AMOUNT",
+        "A-4": "MISSING_CUSTOMER_ID",
+        "A-5": "INVALID_STATUS,INVALID_TRANSACTION_TYPE",
+        "A-6": "INVALID_AMOUNT",
     }
     stream = reasons(spark, DAILY, STREAM)
     assert {k: v for k, v in stream.items() if v} == {
-        "TXN004": "INVALID_CUSTOMER",
-        "TXN005": "INVALID_TRANSACTION_TYPE,INVALID_STATUS",
-        "TXN006": "INVALID_AMOUNT",
+        "A-4": "INVALID_CUSTOMER",
+        "A-5": "INVALID_TRANSACTION_TYPE,INVALID_STATUS",
+        "A-6": "INVALID_AMOUNT",
     }
 
 
@@ -96,13 +96,13 @@ def test_labels_are_counted_one_by_one(spark):
 
 
 def test_event_time_and_parts(spark):
-    rows = [tx("a", at="2026-09-25T14:00:00.123456"), tx("b", at="junk"), tx("c", at=None)]
+    rows = [tx("a", at="2027-03-08T14:00:00.123456"), tx("b", at="junk"), tx("c", at=None)]
     timed = with_date_parts(frame(spark, rows))
     got = {
         r.transaction_id: (r.at, r.year, r.month, r.day)
         for r in timed.withColumn("at", F.col("transaction_timestamp").cast("string")).collect()
     }
-    assert got["a"] == ("2026-09-25 14:00:00.123456", 2026, 9, 25)
+    assert got["a"] == ("2027-03-08 14:00:00.123456", 2027, 3, 8)
     assert got["b"] == got["c"] == (None, None, None, None)
 
 

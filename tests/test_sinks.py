@@ -2,10 +2,9 @@ import glob
 
 import pytest
 
-from paywarden.session import build_session, work_folder
+from paywarden.session import build_session, require_utc, work_folder
 from paywarden.sinks import writers as W
 from paywarden.sources.readers import read_table
-from paywarden.streaming.ledger import Ledger
 from paywarden.streaming.jobs import StreamJob
 
 
@@ -101,10 +100,11 @@ def test_jdbc_appends_of_a_micro_batch(spark, tmp_path, monkeypatch):
     from test_streaming import checked_batch
 
     sent = []
-    monkeypatch.setattr(J, "write_table", lambda df, target, **o: sent.append((target, df.count(), o)))
-    job = StreamJob(str(tmp_path / "o"), str(tmp_path / "c"), jdbc={"url": "jdbc:x:y"})
+    monkeypatch.setattr(J, "append_table", lambda df, target, key, again, **o: sent.append(
+        (target, df.count(), again, o)))
+    job = StreamJob(str(tmp_path / "o"), str(tmp_path / "c"), tables={"url": "jdbc:x:y"})
     J.process_transactions(checked_batch(spark, DAILY), 0, job, "r1")
-    assert sent == [("transactions", 8, job.jdbc), ("fraud_alerts", 1, job.jdbc)]
+    assert sent == [("transactions", 8, False, job.tables), ("fraud_alerts", 1, False, job.tables)]
     # a replayed batch is not sent again
     J.process_transactions(checked_batch(spark, DAILY), 0, job, "r1")
     assert len(sent) == 2
@@ -120,16 +120,29 @@ def test_build_session_reuses_the_running_one(spark):
     assert build_session("other").sparkContext is spark.sparkContext
 
 
-@pytest.mark.parametrize("rows, broadcast", [(1_000_000, True), (1, False)])
-def test_ledger_is_broadcast_only_when_small(spark, tmp_path, monkeypatch, rows, broadcast):
-    from paywarden.streaming import ledger as L
+def test_a_batch_run_again_appends_nothing(spark, tmp_path):
+    from paywarden.plans.batch import BatchRun, run_batch
+    from rows import DAILY, write_lines
 
-    monkeypatch.setattr(L, "BROADCAST_ROWS", rows)
-    ledger = Ledger(spark, str(tmp_path / "ledger"))
-    path = str(tmp_path / "rows")
-    for n in range(2):
-        spark.range(3).write.parquet(L.batch_folder(path, "r", n))
-        ledger.mark_processed("q", "r", n)
-    got = L.committed(spark, path, spark.range(1).schema, ledger, "q")
-    assert got.count() == 6
-    assert ("strategy=broadcast" in got._jdf.queryExecution().analyzed().toString()) == broadcast
+    source = write_lines(tmp_path / "in", "a.json", DAILY)
+    tables = {"folder": str(tmp_path / "tables")}
+    for _ in range(2):
+        run_batch(spark, source, BatchRun(str(tmp_path / "out"), "r1"), tables)
+    assert read_table(spark, f"{tables['folder']}/transactions").count() == 9
+    assert read_table(spark, f"{tables['folder']}/fraud_alerts").count() == 2
+
+
+def test_work_needs_a_shared_folder_and_utc(spark):
+    from types import SimpleNamespace
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="checkpoint"):
+        work_folder(bare, "x")
+    require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

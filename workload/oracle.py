@@ -53,6 +53,19 @@ STREAM_RULES = [
 ]
 
 
+STRICT_RULES = [
+    ("INVALID_CUSTOMER", _gone("customer_id")),
+    ("INVALID_AMOUNT", f"{_BAD_AMOUNT} OR isnan(amount)"),
+    ("INVALID_CURRENCY", "currency IS NULL OR currency <> 'INR'"),
+    ("INVALID_TRANSACTION_TYPE", f"transaction_type IS NULL OR {_BAD_TYPE}"),
+    ("INVALID_STATUS", f"status IS NULL OR {_BAD_STATUS}"),
+    ("INVALID_TRANSACTION_ID", _gone("transaction_id")),
+    ("INVALID_ACCOUNT", _gone("account_id")),
+    ("INVALID_MERCHANT", _gone("merchant")),
+    ("INVALID_TIMESTAMP", "transaction_timestamp IS NULL"),
+]
+
+
 def _reason(rules) -> str:
     labels = ", ".join(f"CASE WHEN {broken} THEN '{label}' END" for label, broken in rules)
     return f"concat_ws(',', {labels})"
@@ -125,17 +138,22 @@ def _with(body: str) -> str:
         unnest(range({COPIES})) AS copy FROM events),
     once AS (SELECT * EXCLUDE (copy) FROM sent
         WHERE copy = 0 OR transaction_id IS NULL OR transaction_id = ''),
+    first AS (SELECT {_OWN_LIST}, {_WIRE_TIME} AS transaction_timestamp FROM events),
+    own AS (SELECT {_OWN_LIST}, {_SQUEEZED} AS transaction_timestamp FROM events),
     {_checked("tx_batch", "tx", BATCH_RULES)},
     {_checked("tx_stream", "tx", STREAM_RULES)},
     {_checked("month_batch", "tx_month", BATCH_RULES)},
     {_checked("wire_batch", "wire", BATCH_RULES)},
+    {_checked("wire_strict", "wire", STRICT_RULES)},
     {_checked("sent_stream", "(SELECT * EXCLUDE (copy) FROM sent)", STREAM_RULES)},
-    {_checked("once_stream", "once", STREAM_RULES)},
+    {_checked("first_stream", "first", STREAM_RULES)},
+    {_checked("own_stream", "own", STREAM_RULES)},
     valid AS (SELECT {valid} tx_batch WHERE rejection_reason = ''),
     valid_stream AS (SELECT {valid} tx_stream WHERE rejection_reason = ''),
     valid_month AS (SELECT {valid} month_batch WHERE rejection_reason = ''),
     valid_wire AS (SELECT {valid} wire_batch WHERE rejection_reason = ''),
-    valid_once AS (SELECT {valid} once_stream WHERE rejection_reason = ''),
+    valid_first AS (SELECT {valid} first_stream WHERE rejection_reason = ''),
+    valid_own AS (SELECT {valid} own_stream WHERE rejection_reason = ''),
     alerts AS ({_stamped(_alerts("valid"))}),
     alerts_month AS ({_stamped(_alerts("valid_month", "1 day"))}),
     chosen AS (SELECT * FROM alerts_month WHERE fraud_rule = 'HIGH_VALUE_TRANSACTION'
@@ -154,17 +172,19 @@ def _with(body: str) -> str:
     {body}"""
 
 
-_MONEY = "CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))), 0) AS DOUBLE)"
+_CENTS = "TRY_CAST(amount AS DECIMAL(24,2))"
+_MONEY = f"CAST(coalesce(sum({_CENTS}), 0) AS DOUBLE)"
+_LEFT_OUT = f"""count(*) FILTER (amount IS NOT NULL AND {_CENTS} IS NULL) AS amounts_left_out"""
 
 
 def _by(column: str, source: str, amount: str | None = None) -> str:
-    money = f", {_MONEY} AS {amount}" if amount else ""
+    money = f", {_MONEY} AS {amount}, {_LEFT_OUT}" if amount else ""
     return f"""SELECT {column}, count(*) AS alert_count{money} FROM {source}
-        GROUP BY {column} ORDER BY alert_count DESC, {column}"""
+        GROUP BY {column} ORDER BY alert_count DESC, {column} NULLS FIRST"""
 
 
 def _kpi(source: str) -> str:
-    return f"""SELECT count(*) AS total_alerts, {_MONEY} AS total_amount,
+    return f"""SELECT count(*) AS total_alerts, {_MONEY} AS total_amount, {_LEFT_OUT},
         count(DISTINCT customer_id) AS customers FROM {source}"""
 
 
@@ -179,7 +199,7 @@ def _recent(source: str) -> str:
 
 
 _TREND = """SELECT CAST(transaction_timestamp AS DATE) AS fraud_date,
-    count(*) AS fraud_alert_count FROM alerts_month GROUP BY 1 ORDER BY 1"""
+    count(*) AS fraud_alert_count FROM alerts_month GROUP BY 1 ORDER BY 1 NULLS FIRST"""
 
 
 def _routes(source: str, processed: str) -> str:
@@ -218,9 +238,9 @@ def _summary(checked: str, valid: str) -> str:
 
 # The watermark has millisecond precision and trails the newest row by ten minutes.
 _WATERMARK = """(SELECT make_timestamp(epoch_ms(max(transaction_timestamp)) * 1000)
-    - INTERVAL 10 MINUTE FROM once{})"""
-_KEYED = " WHERE transaction_id <> ''"
-_STREAM_VELOCITY = f"SELECT {_VELOCITY_COLUMNS} FROM ({_velocity('valid_once')})"
+    - INTERVAL 10 MINUTE FROM {})"""
+_KEYED = "first WHERE transaction_id <> ''"
+_STREAM_VELOCITY = f"SELECT {_VELOCITY_COLUMNS} FROM ({_velocity('valid_first')})"
 
 
 def _runs(*runs: str) -> str:
@@ -237,11 +257,16 @@ _STREAM_FLAGS = ", ".join(
     + label.lower() for label, broken in STREAM_RULES
 )
 
+_STRICT_FLAGS = ", ".join(
+    f"CASE WHEN {broken} THEN '{label}' END AS " + label.lower() for label, broken in STRICT_RULES
+)
+
 _BODIES = {
     "event_time_parts": f"SELECT *, {_PARTS} FROM wire",
     "json_lines_scan": "SELECT * EXCLUDE (timestamp) FROM wire",
     "validate_batch": "SELECT * FROM tx_batch",
     "validate_stream": f"SELECT *, {_STREAM_FLAGS} FROM tx_stream",
+    "validate_strict": f"SELECT * EXCLUDE (timestamp), {_STRICT_FLAGS} FROM wire_strict",
     "valid_split": "SELECT * FROM tx_batch WHERE rejection_reason = ''",
     "rejected_split": "SELECT * FROM tx_batch WHERE rejection_reason <> ''",
     "rejections_by_reason": """SELECT rejection_reason, count(*) AS rejected_count FROM tx_batch
@@ -272,10 +297,11 @@ _BODIES = {
     "duplicate_summary": _duplicate_summary("tx"),
     "kpi_transactions": f"""SELECT count(*) AS total_transactions,
         count(*) FILTER (status = 'SUCCESS') AS successful_transactions,
-        {_MONEY} AS total_amount FROM valid""",
+        {_MONEY} AS total_amount, {_LEFT_OUT} FROM valid""",
     "count_successful": "SELECT count(*) AS total FROM valid WHERE status = 'SUCCESS'",
     "kpi_alerts": _kpi("alerts"),
     "kpi_alerts_filtered": _kpi("chosen"),
+    "kpi_alerts_customer": _kpi("alerts WHERE customer_id = 'CUST7'"),
     "kpi_alerts_no_match": _kpi("alerts WHERE customer_id = 'nobody'"),
     "date_bounds_no_match": _bounds("alerts WHERE customer_id = 'nobody'"),
     "alerts_by_rule": _by("fraud_rule", "alerts", "total_amount"),
@@ -285,8 +311,8 @@ _BODIES = {
     "alerts_by_type": _by("transaction_type", "alerts"),
     "alerts_by_location": _by("location", "alerts"),
     "alert_trend": _TREND,
-    "distinct_customers": "SELECT DISTINCT customer_id FROM alerts ORDER BY 1",
-    "distinct_rules": "SELECT DISTINCT fraud_rule FROM alerts ORDER BY 1",
+    "distinct_customers": "SELECT DISTINCT customer_id FROM alerts ORDER BY 1 NULLS FIRST",
+    "distinct_rules": "SELECT DISTINCT fraud_rule FROM alerts ORDER BY 1 NULLS FIRST",
     "date_bounds": _bounds("alerts_month"),
     "recent_alerts": _recent("alerts_month"),
     "recent_alerts_filtered": _recent("chosen"),
@@ -303,20 +329,26 @@ _BODIES = {
     "duplicates_job_summary": _duplicate_summary("wire"),
     "duplicates_job_records": f"""SELECT * EXCLUDE (transaction_timestamp) FROM wire
         WHERE transaction_id IN ({_repeated("wire")})""",
-    "stream_dedupe": "SELECT * FROM once",
-    "stream_routing": f"SELECT *, {_OUTCOME}, {_PARTS} FROM once_stream",
+    "stream_dedupe": "SELECT * FROM first",
+    "stream_routing": f"SELECT *, {_OUTCOME}, {_PARTS} FROM first_stream",
     "stream_velocity_append": f"{_STREAM_VELOCITY} WHERE window_end <= {_WATERMARK.format(_KEYED)}",
     "stream_velocity_update_latest": _STREAM_VELOCITY,
-    "run_streams": f"""SELECT {_COLUMNS}, {_HIGH_TAGS} FROM valid_once WHERE amount > 100000
-        UNION ALL BY NAME {_velocity_rows("valid_once", stream=True)}""",
+    "run_streams": f"""SELECT {_COLUMNS}, {_HIGH_TAGS} FROM valid_first WHERE amount > 100000
+        UNION ALL BY NAME {_velocity_rows("valid_first", stream=True)}""",
+    "latest_velocity_two_runs": _velocity("valid_stream"),
+    "stream_table_append_replay": f"""SELECT {_COLUMNS} FROM own_stream
+        WHERE rejection_reason = '' AND NOT amount > 100000""",
+    "stream_alert_append_replay": "SELECT * EXCLUDE (created_at) FROM (" + _stamped(
+        f"""SELECT {_COLUMNS}, {_HIGH_TAGS} FROM valid_own WHERE amount > 100000
+        UNION ALL BY NAME {_velocity_rows("valid_own", stream=True)}""") + ")",
     "stream_late_drop": f"""SELECT {_COLUMNS} FROM (SELECT * REPLACE (
         concat('AGAIN-', transaction_id) AS transaction_id,
         transaction_timestamp - INTERVAL 5 MINUTE AS transaction_timestamp)
         FROM sent WHERE transaction_id <> '' AND copy = 0)
-        WHERE transaction_timestamp > {_WATERMARK.format('')}""",
+        WHERE transaction_timestamp > {_WATERMARK.format('once')}""",
     "idempotent_replay": _runs("r1"),
     "ledger_skip": _runs("r1"),
-    "committed_read": _runs("r1", "r2"),
+    "committed_read": _runs("r2"),
     "parse_messages": "SELECT * FROM parsed",
     "dead_letters": """SELECT raw AS raw_message, 'INVALID_JSON' AS dlq_reason FROM judged
         WHERE NOT good""",
@@ -327,6 +359,11 @@ _BODIES = {
         CASE _retry_count WHEN 0 THEN 5000 WHEN 1 THEN 10000 END AS delay_ms,
         CASE WHEN _retry_count NOT IN (0, 1) THEN 'HDFS_WRITE_FAILED_AFTER_RETRIES' END
             AS dlq_reason FROM parsed""",
+    "land_messages_raw": "SELECT transaction_id, _retry_count, raw_message FROM parsed",
+    "land_routes_retried": """SELECT transaction_id, CAST(_retry_count + 1 AS INTEGER)
+        AS _retry_count, raw_message FROM parsed WHERE _retry_count IN (0, 1)""",
+    "land_routes_dead": """SELECT raw_message, 'HDFS_WRITE_FAILED_AFTER_RETRIES' AS dlq_reason
+        FROM parsed WHERE _retry_count NOT IN (0, 1)""",
     "land_messages_good": "SELECT * EXCLUDE (raw_message) FROM parsed",
     # No account, type or merchant in the messages: the type may be missing, the others not.
     "stream_landed_messages": f"""SELECT transaction_id, customer_id, amount, currency, status,

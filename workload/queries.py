@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 
 from paywarden import schema as S
 from paywarden.functions.columns import with_date_parts, with_event_time
-from paywarden.functions.rules import BATCH, STREAM, Profile
+from paywarden.functions.rules import BATCH, STREAM, STRICT, Profile
 from paywarden.operators import duplicates as D
 from paywarden.operators import fraud as X
 from paywarden.operators import messages as M
 from paywarden.operators import reports as R
 from paywarden.operators import validation as V
 from paywarden.plans.batch import BatchRun, run_batch
-from paywarden.plans.duplicates import DuplicateRun, run_duplicates
+from paywarden.plans.duplicates import DuplicateRun, run_duplicates, stored_ids
 from paywarden.plans.report import report
 from paywarden.session import work_folder
 from paywarden.sinks.writers import unseen, write_partitioned, write_table, write_velocity
@@ -26,12 +26,22 @@ from paywarden.sources.readers import read_table, read_transactions, stream_tran
 from paywarden.streaming import jobs as J
 from paywarden.streaming.landing import (
     land_messages,
+    land_routes,
     read_dead_letters,
     read_landed,
     stream_landed,
 )
+from paywarden.streaming.ledger import Ledger
 from paywarden.streaming.prepare import checked_stream
-from workload.tables import event_stream, events, messages, transactions, wire, wire_copies
+from workload.tables import (
+    event_stream,
+    events,
+    messages,
+    sendings,
+    transactions,
+    wire,
+    wire_copies,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,22 +63,44 @@ def valid(spark: SparkSession, sf_dir: str, profile: Profile = BATCH, **options)
     return V.valid_rows(transactions(spark, sf_dir, **options), profile)
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Folder of a stored alert table, by session, test tables and kind.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """An alert table, written when first asked for; all reports read the stored one."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _STORED:
+        folder = work_folder(spark, kind)
+        make().write.parquet(folder)
+        _STORED[key] = folder
+    return read_table(spark, _STORED[key])
+
+
+def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert table in squeezed time."""
     rows = valid(spark, sf_dir)
     both = X.all_alerts(X.high_value_alerts(rows), X.velocity_alerts(rows), BATCH)
     return X.stamp_alerts(both, F.col(S.EVENT_TIME))
 
 
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "alerts", lambda: derived_alerts(spark, sf_dir))
+
+
 def month_of_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert table in real time, velocity per day."""
-    rows = valid(spark, sf_dir, squeezed=False)
-    velocity = X.velocity_alerts(rows, "1 day")
-    return X.stamp_alerts(
-        X.all_alerts(X.high_value_alerts(rows), velocity, BATCH), F.col(S.EVENT_TIME)
-    )
+    def make():
+        rows = valid(spark, sf_dir, squeezed=False)
+        both = X.all_alerts(X.high_value_alerts(rows), X.velocity_alerts(rows, "1 day"), BATCH)
+        return X.stamp_alerts(both, F.col(S.EVENT_TIME))
+
+    return _stored(spark, sf_dir, "month-of-alerts", make)
 
 
+# A customer that has alerts in the test tables of every size.
+CUSTOMER = "CUST7"
+
 FILTER = {
     "rule": S.HIGH_VALUE_RULE,
     "dates": (dt.date(2024, 1, 5), dt.date(2024, 1, 20)),
@@ -100,6 +132,11 @@ def validate_stream(spark, sf_dir):
     return V.validate(transactions(spark, sf_dir), STREAM)
 
 
+@query
+def validate_strict(spark, sf_dir):
+    return V.validate(with_event_time(wire(spark, sf_dir), keep=False), STRICT)
+
+
 @query
 def valid_split(spark, sf_dir):
     return V.split(V.validate(transactions(spark, sf_dir), BATCH), BATCH)[0]
@@ -196,7 +233,7 @@ def conform_velocity_stream(spark, sf_dir):
 
 @query
 def all_alerts(spark, sf_dir):
-    return alerts(spark, sf_dir)
+    return derived_alerts(spark, sf_dir)
 
 
 @query
@@ -214,12 +251,15 @@ def duplicate_ids(spark, sf_dir):
 
 @query
 def duplicate_records(spark, sf_dir):
-    return D.duplicate_records(transactions(spark, sf_dir))
+    rows = transactions(spark, sf_dir)
+    return D.duplicate_records(rows, stored_ids(rows, work_folder(spark, "repeated-keys")))
 
 
 @query
 def duplicate_records_null_safe(spark, sf_dir):
-    return D.duplicate_records(transactions(spark, sf_dir), null_safe=True)
+    rows = transactions(spark, sf_dir)
+    ids = stored_ids(rows, work_folder(spark, "repeated-keys"), null_safe=True)
+    return D.duplicate_records(rows, ids, null_safe=True)
 
 
 @query
@@ -261,6 +301,11 @@ def kpi_alerts_no_match(spark, sf_dir):
     return R.kpi_alerts(R.alert_filter(alerts(spark, sf_dir), customer="nobody", rule="All"))
 
 
+@query
+def kpi_alerts_customer(spark, sf_dir):
+    return R.kpi_alerts(R.alert_filter(alerts(spark, sf_dir), customer=CUSTOMER))
+
+
 @query
 def date_bounds_no_match(spark, sf_dir):
     return R.date_bounds(R.alert_filter(alerts(spark, sf_dir), customer="nobody"))
@@ -427,29 +472,41 @@ def _checked_table(spark, sf_dir):
     return V.validate(timed, STREAM)
 
 
+def _send(spark, sf_dir, source, start):
+    """The events in four sendings, each read by a start of the query of its own."""
+    for rows in sendings(spark, sf_dir):
+        rows.write.mode("append").json(source)
+        start(stream_transactions(spark, source))
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     folder = work_folder(spark, "stream-dedupe")
-    stream = checked_stream(wire_copies(event_stream(spark, sf_dir)))
-    stream.select(*S.TRANSACTION_COLUMNS).writeStream.format("parquet").option(
-        "path", f"{folder}/out"
-    ).option("checkpointLocation", f"{folder}/checkpoint").trigger(
-        availableNow=True
-    ).start().awaitTermination()
+
+    def start(raw):
+        checked_stream(raw).select(*S.TRANSACTION_COLUMNS).writeStream.format("parquet").option(
+            "path", f"{folder}/out"
+        ).option("checkpointLocation", f"{folder}/checkpoint").trigger(
+            availableNow=True
+        ).start().awaitTermination()
+
+    _send(spark, sf_dir, f"{folder}/in", start)
     return spark.read.schema(S.TRANSACTION_TABLE_SCHEMA).parquet(f"{folder}/out")
 
 
 @query
 def stream_routing(spark, sf_dir):
     job = _job(spark)
-    J.start_transactions(wire_copies(event_stream(spark, sf_dir)), job).awaitTermination()
+    _send(spark, sf_dir, work_folder(spark, "stream-input"),
+          lambda raw: J.start_transactions(raw, job).awaitTermination())
     rows = J.committed_transactions(spark, job)
     return rows.select("outcome", "rejection_reason", *S.TRANSACTION_COLUMNS, *S.DATE_PARTS)
 
 
 def _velocity(spark, sf_dir, mode):
     job = _job(spark)
-    J.start_velocity(wire_copies(event_stream(spark, sf_dir)), job, mode).awaitTermination()
+    _send(spark, sf_dir, work_folder(spark, "stream-input"),
+          lambda raw: J.start_velocity(raw, job, mode).awaitTermination())
     return J.committed_velocity(spark, job)
 
 
@@ -466,15 +523,59 @@ def stream_velocity_update_latest(spark, sf_dir):
 @query
 def run_streams(spark, sf_dir):
     """Both queries over landed JSON lines; their alerts in the common layout."""
-    source = work_folder(spark, "stream-input")
-    wire_copies(events(spark, sf_dir)).write.json(source)
     job = _job(spark)
-    J.run_streams(stream_transactions(spark, source), job)
+    _send(spark, sf_dir, work_folder(spark, "stream-input"), lambda raw: J.run_streams(raw, job))
     high = J.high_value_of(J.committed_transactions(spark, job), job)
     fast = J.latest_velocity(J.committed_velocity(spark, job))
     return X.all_alerts(high, fast, STREAM)
 
 
+@query
+def latest_velocity_two_runs(spark, sf_dir):
+    """An older run with a larger batch number, and a newer one that has seen all rows."""
+    job = _job(spark)
+    rows = valid(spark, sf_dir, STREAM)
+    part = rows.filter("amount <= 50000")
+    J.process_velocity(X.velocity_alerts(part), 7, job, "r1")
+    J.process_velocity(X.velocity_alerts(rows), 0, job, "r2")
+    return J.latest_velocity(J.committed_velocity(spark, job))
+
+
+class _Unmarked(Ledger):
+    """A crash after all output and before the mark."""
+
+    def mark_processed(self, query, run_id, batch_id):
+        pass
+
+
+class _Crashing(J.StreamJob):
+    def ledger(self, spark):
+        return _Unmarked(spark, super().ledger(spark).path)
+
+
+def _replayed(spark, sf_dir):
+    """One micro-batch of each query, appended to tables, lost before its mark, and replayed."""
+    folder = work_folder(spark, "replay")
+    rows = wire_copies(events(spark, sf_dir), copies="1")
+    checked = V.validate(with_date_parts(with_event_time(rows, keep=False)), STREAM)
+    velocity = X.velocity_alerts(V.valid_rows(checked, STREAM))
+    for kind in (_Crashing, J.StreamJob):
+        job = kind(f"{folder}/out", f"{folder}/checkpoint", tables={"folder": f"{folder}/tables"})
+        J.process_transactions(checked, 0, job, "r1")
+        J.process_velocity(velocity, 0, job, "r1")
+    return f"{folder}/tables"
+
+
+@query
+def stream_table_append_replay(spark, sf_dir):
+    return read_table(spark, f"{_replayed(spark, sf_dir)}/transactions")
+
+
+@query
+def stream_alert_append_replay(spark, sf_dir):
+    return read_table(spark, f"{_replayed(spark, sf_dir)}/fraud_alerts").drop("created_at")
+
+
 @query
 def stream_late_drop(spark, sf_dir):
     """All rows, then all of them again five minutes earlier under new ids: what still gets in."""
@@ -576,6 +677,33 @@ def land_messages_good(spark, sf_dir):
     return read_landed(spark, _landed(spark, sf_dir)).select(*MESSAGE_FIELDS, "_retry_count")
 
 
+@query
+def land_messages_raw(spark, sf_dir):
+    """Every good message as it came, unknown fields and wrong types included."""
+    landed = read_landed(spark, _landed(spark, sf_dir), raw=True)
+    return landed.select("transaction_id", "_retry_count", "raw_message")
+
+
+def _failed_routes(spark, sf_dir):
+    folder = work_folder(spark, "routes")
+    good, _ = M.parse_messages(messages(events(spark, sf_dir)))
+    land_routes(good, folder)
+    return folder
+
+
+@query
+def land_routes_retried(spark, sf_dir):
+    """Rows of a failed write, read back from the retry table as messages."""
+    retry = spark.read.parquet(f"{_failed_routes(spark, sf_dir)}/retry")
+    good, _ = M.parse_messages(retry)
+    return good.select("transaction_id", "_retry_count", "raw_message")
+
+
+@query
+def land_routes_dead(spark, sf_dir):
+    return spark.read.parquet(f"{_failed_routes(spark, sf_dir)}/dead")
+
+
 @query
 def land_messages_dead(spark, sf_dir):
     return read_dead_letters(spark, _landed(spark, sf_dir))

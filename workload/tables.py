@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paywarden.session import SESSION_DEFAULTS
-
 # One day of events becomes five minutes, so that customers reach the velocity limit.
 SQUEEZE = 288
 
@@ -22,8 +20,13 @@ FIELDS = {
         ELSE concat('CUST', CAST(user_id AS STRING)) END""",
     "account_id": """CASE WHEN event_id % 79 = 0 THEN NULL
         ELSE concat('ACC', CAST(user_id AS STRING)) END""",
+    # With amounts that are no number, that no decimal of 18 digits holds, or that none holds.
     "amount": """CASE WHEN event_id % 41 = 0 THEN CAST(-5000 AS DOUBLE)
-        WHEN event_id % 43 = 0 THEN NULL ELSE value * 1000 END""",
+        WHEN event_id % 43 = 0 THEN NULL WHEN event_id % 103 = 0 THEN CAST('Infinity' AS DOUBLE)
+        WHEN event_id % 107 = 0 THEN CAST('NaN' AS DOUBLE)
+        WHEN event_id % 109 = 0 THEN CAST(1e17 AS DOUBLE)
+        WHEN event_id % 113 = 0 THEN CAST(9999999999999999.0 AS DOUBLE)
+        WHEN event_id % 127 = 0 THEN CAST(1e30 AS DOUBLE) ELSE value * 1000 END""",
     "currency": """CASE WHEN event_id % 47 = 0 THEN 'USD' WHEN event_id % 53 = 0 THEN NULL
         ELSE 'INR' END""",
     "transaction_type": """CASE WHEN event_id % 59 = 0 THEN 'INVALID'
@@ -61,19 +64,7 @@ MESSAGE = f"""CASE event_id % 20
         ELSE {_BODY} END"""
 
 
-def _settings(spark: SparkSession) -> None:
-    """What the queries need of a session that others made."""
-    for name in (
-        "spark.sql.session.timeZone",
-        "spark.sql.codegen.hugeMethodLimit",
-        "spark.sql.streaming.stateStore.providerClass",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
-    ):
-        spark.conf.set(name, SESSION_DEFAULTS[name])
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _settings(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
@@ -106,13 +97,31 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr(*_columns(FIELDS | {"timestamp": _WIRE_TEXT}))
 
 
-def wire_copies(source: DataFrame) -> DataFrame:
+def wire_copies(source: DataFrame, copies: str = COPIES) -> DataFrame:
     """The ten message fields of a table or stream of events, some rows sent twice."""
     fields = FIELDS | {"transaction_id": OWN_ID, "timestamp": _TEXT}
-    sent = source.withColumn("_sent", F.expr(f"explode(sequence(1, {COPIES}))"))
+    sent = source.withColumn("_sent", F.expr(f"explode(sequence(1, {copies}))"))
     return sent.selectExpr(*_columns(fields))
 
 
+# Minutes at which a sending ends; windows of five minutes lie across them.
+SENDINGS = (48, 97)
+
+
+def sendings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The ten message fields in four sendings: three spans of time, and each copy one later.
+
+    Some times are missing or unreadable. Rows without an id have no copies.
+    """
+    fields = FIELDS | {"transaction_id": OWN_ID, "timestamp": _WIRE_TEXT}
+    spans = " + ".join(f"CAST({_SQUEEZED} >= timestamp'2024-01-01 00:00:00' + INTERVAL '{m}' MINUTE AS INT)"
+                       for m in SENDINGS)
+    sent = events(spark, sf_dir).withColumn("_copy", F.expr(f"explode(sequence(0, {COPIES} - 1))"))
+    sent = sent.selectExpr(*_columns(fields), f"{spans} + _copy AS _sending", "_copy")
+    sent = sent.filter("_copy = 0 OR transaction_id <> ''").drop("_copy")
+    return [sent.filter(F.col("_sending") == n).drop("_sending") for n in range(len(SENDINGS) + 2)]
+
+
 def messages(source: DataFrame) -> DataFrame:
     """Raw queue messages of a table or stream of events."""
     headers = """CASE event_id % 4 WHEN 0 THEN NULL
