@@ -80,8 +80,54 @@ def op10_rollup(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op7_repeats, op8_lm, op9_pages, op10_rollup)}
 
+_ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[""'']?\x20*[:=]\x20*[""'']?([A-Za-z0-9+/_.=-]+)""".replace('""', '"')
+
+
+def _matches(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, {least} AS least,
+        regexp_extract_all(t, '{pattern}', 0) AS w, regexp_extract_all(t, '{pattern}', {group}) AS g,
+        regexp_split_to_array(t, '{pattern}') AS p FROM d"""
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 # DuckDB SQL of those that SQL expresses.
 ORACLE: dict[str, str] = {
+    "op3_secrets": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        found AS ({_matches("assign", 0, _ASSIGN, 2, 6)}
+            UNION ALL {_matches("access", 1, "(AKIA[A-Z0-9]+)", 1, 20)}
+            UNION ALL {_matches("hex", 2, "([0-9a-f]{{24,}})".replace("{{", "{").replace("}}", "}"), 1, 24)}),
+        spans AS (SELECT doc_id, kind, rank, length(w[i]) AS n, length(g[i]) >= least AS good,
+            CAST(list_sum(list_transform(p[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+            FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM found WHERE len(w) > 0)),
+        per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+            count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+            string_agg(concat(kind, ':', s, ':', s + n), ',' ORDER BY s, rank) AS spans
+            FROM spans WHERE good GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+            coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256,
+            coalesce(spans, '') AS spans FROM d LEFT JOIN per USING (doc_id)""",
+    "op6_decontam": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+        iw AS (SELECT DISTINCT item, least(len(w), 10) AS size,
+            array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS win
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+        dw AS (SELECT doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') AS win
+            FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k
+                FROM d, (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)),
+        hit AS (SELECT doc_id, k, size, item FROM dw JOIN iw USING (size, win)),
+        words AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+            coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op10_rollup": r"""
         WITH counted AS (
           SELECT source, lang, 'words-1' AS tokenizer,
