@@ -14,12 +14,14 @@ to a limit at which all positions are likely to be filled, and further where the
 so the cost hardly depends on the text's length. Equal positions have the probability of
 the similarity.
 
-Links. Texts with the same words are one text with a weight. Bands of six positions make
-buckets. Each text of a bucket is compared with the bucket's smallest id by its true
-multiset; so a bucket of any size costs one comparison a text. Texts that are in one class
-by then need no more. Others of the bucket are compared unless their distances to the
-smallest id differ by over 0.2, which by the triangle inequality of this distance rules a
-link out. Nothing is capped: of pairs at 0.8 the bands miss 3 in a million.
+Links. Texts with the same words are one text. Bands of six positions make buckets. Each
+text of a bucket is compared with the bucket's smallest id by its true multiset; so a
+bucket costs one comparison a text. What is in one class by then needs no more. In buckets
+that still hold several classes, texts of different classes are compared in blocks of
+bounded size: whole signatures first, then, from the most alike on, the true multisets, as
+long as the two classes have not met. Only links that join classes leave the task; pairs
+are never written out. Nothing is capped: of pairs at 0.8 the bands miss 3 in a million,
+and the signatures, which may fall short of it by 0.12, fewer.
 
 NULL and empty texts, and texts without letters or digits, have no words; they are copies
 of each other. Repeated rows are copies. Keys may repeat or be NULL: rows are numbered.
@@ -45,8 +47,13 @@ BANDS = 42
 BAND_ROWS = 6
 POSITIONS = BANDS * BAND_ROWS
 ROWS = 1024
-# Word hashes that a Python worker remembers.
+# Word hashes, and multisets of shingles, that a Python worker remembers.
 MEMO = 500_000
+BAGS = 3_000
+# Texts of a bucket that are held against as many others at once.
+BLOCK = 1_000
+# How far the share of equal positions may lie below the threshold: five deviations.
+SLACK = 0.12
 
 _U = np.uint64
 _ONE = 1 << 64
@@ -173,28 +180,34 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with a struct of row number, digest of the words and buckets; its name."""
+    """``docs`` with a struct of row number, digest of the words, buckets and tags; its name."""
     sketch = fresh(docs, "_sketch")
     row = fresh(docs, "_row")
     fields = T.StructType([T.StructField("row", T.LongType()), T.StructField("digest", T.BinaryType()),
-                           T.StructField("buckets", T.ArrayType(T.LongType()))])
-    arrow = pa.struct([("row", pa.int64()), ("digest", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+                           T.StructField("buckets", T.ArrayType(T.LongType())),
+                           T.StructField("tags", T.BinaryType())])
+    arrow = pa.struct([("row", pa.int64()), ("digest", pa.binary()),
+                       ("buckets", pa.list_(pa.int64())), ("tags", pa.binary())])
     names = [*docs.columns, sketch]
 
     def run(batches):
         for batch in batches:
-            digests, buckets = [], []
+            digests, buckets, tags = [], [], []
             for (texts,) in columns(batch, text, rows=ROWS):
                 bags = []
                 for body in texts:
                     words = normalised(body)
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     bags.append(shingles(words))
-                found = bands(signatures(bags))
+                signed = signatures(bags)
+                found = bands(signed)
                 buckets += [f if len(b[0]) else [] for f, b in zip(found, bags)]
+                # The last eight bits of each position are enough to estimate with.
+                tags += [t.tobytes() for t in signed.astype(np.uint8)]
             made = pa.StructArray.from_arrays(
                 [batch.column(batch.num_columns - 1), pa.array(digests, pa.binary()),
-                 pa.array(buckets, pa.list_(pa.int64()))], fields=list(arrow))
+                 pa.array(buckets, pa.list_(pa.int64())), pa.array(tags, pa.binary())],
+                fields=list(arrow))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=names)
 
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
@@ -202,76 +215,132 @@ def sketched(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str]:
     return stash(made, "sketched"), sketch
 
 
-def compared(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Similarity of each pair (a, b) of ids; ``bodies`` has id and body.
+class _Bags(dict):
+    """Multisets of the texts a Python worker met last, by id."""
 
-    Pairs of one ``a`` arrive together, so its multiset is made once for many ``b``.
-    """
+    def of(self, key: int, body: str) -> tuple[np.ndarray, np.ndarray]:
+        found = self.get(key)
+        if found is None:
+            if len(self) >= BAGS:
+                self.clear()
+            found = self[key] = shingles(normalised(body))
+        return found
+
+
+def compared(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ids that are links; ``bodies`` has id and body."""
     one = bodies.withColumnsRenamed({"id": "a", "body": "body_a"})
     two = bodies.withColumnsRenamed({"id": "b", "body": "body_b"})
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "body_a", "body_b")
 
     def run(batches):
-        known: tuple[int, tuple] = (-1, ())
+        bags = _Bags()
         for batch in batches:
-            made = []
-            for left, first, second in columns(batch, "a", "body_a", "body_b"):
-                for a, x, y in zip(left, first, second):
-                    if known[0] != a:
-                        known = (a, shingles(normalised(x)))
-                    made.append(similarity(known[1], shingles(normalised(y))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.float64())],
-                names=["a", "b", "similarity"])
+            left, right = [], []
+            for rows in columns(batch, "a", "b", "body_a", "body_b"):
+                for a, b, x, y in zip(*rows):
+                    if similarity(bags.of(a, x), bags.of(b, y)) >= threshold:
+                        left.append(a)
+                        right.append(b)
+            yield _links(left, right)
+
+    return joined.mapInArrow(run, "a long, b long")
 
-    return joined.mapInArrow(run, "a long, b long, similarity double")
+
+def _links(left: list[int], right: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
 def linked(rows: DataFrame, sketch: str, text: str = "text",
            threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Ids of the texts (digest, id: the smallest row number) and components of their links."""
     texts = stash(rows.groupBy(F.col(f"{sketch}.digest").alias("digest")).agg(
-        F.min(f"{sketch}.row").alias("id"), F.first(f"{sketch}.buckets").alias("buckets")), "texts")
+        F.min(f"{sketch}.row").alias("id"), F.first(f"{sketch}.buckets").alias("buckets"),
+        F.first(f"{sketch}.tags").alias("tags")), "texts")
     postings = texts.select("id", F.explode("buckets").alias("bucket"))
     shared = postings.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("id").alias("n"))
-    members = stash(postings.join(shared.filter("n > 1").drop("n"), "bucket"), "members")
+    members = stash(postings.join(shared.filter("n > 1"), "bucket"), "members")
     firsts = members.filter("id <> pivot").select(
         F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     # The words of every text that shares a bucket, once.
-    ids = members.select("id").distinct().join(texts.select("id", "digest"), "id")
+    ids = members.select("id").distinct()
     bodies = rows.select(F.col(f"{sketch}.row").alias("id"), F.col(text).alias("body"))
-    bodies = stash(bodies.join(ids.select("id"), "id", "left_semi"), "bodies")
-    known = stash(compared(firsts, bodies), "compared")
-    links = known.filter(F.col("similarity") >= threshold)
+    bodies = stash(bodies.join(ids, "id", "left_semi"), "bodies")
+    links = stash(compared(firsts, bodies, threshold), "compared")
     comps = components(links)
-    rest = stash(_undecided(members, known, comps, threshold), "undecided")
-    more = compared(rest, bodies).filter(F.col("similarity") >= threshold)
-    more = stash(more.select("a", "b"), "more")
+    more = stash(_across(members, texts, bodies, comps, threshold), "more")
     if more.limit(1).count():
-        comps = components(links.select("a", "b").union(more))
+        comps = components(links.union(more))
     return texts.select("digest", "id"), comps
 
 
-def _undecided(members: DataFrame, known: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a bucket in different components whose distances to its pivot allow a link."""
-    near = 1 - threshold
+def _across(members: DataFrame, texts: DataFrame, bodies: DataFrame, comps: DataFrame,
+            threshold: float) -> DataFrame:
+    """Links between components that share a bucket: enough of them to join what is linked."""
     placed = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     placed = placed.join(mixed.filter("lo <> hi").select("bucket"), "bucket", "left_semi")
-    distance = known.select(F.col("a").alias("pivot"), F.col("b").alias("id"),
-                            (1 - F.col("similarity")).alias("far"))
-    placed = placed.filter("id <> pivot").join(distance, ["pivot", "id"])
-    # Distances are binned by the widest difference that allows a link: equal or next bins meet.
-    placed = placed.withColumn("bin", F.floor(F.col("far") / near).cast("int"))
-    left = placed.select("bucket", F.col("id").alias("a"), F.col("comp").alias("ca"),
-                         F.col("far").alias("fa"),
-                         F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
-    right = placed.select("bucket", "bin", F.col("id").alias("b"), F.col("comp").alias("cb"),
-                          F.col("far").alias("fb"))
-    pairs = left.join(right, ["bucket", "bin"])
-    pairs = pairs.filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                         & (F.abs(F.col("fa") - F.col("fb")) <= near + 1e-9))
-    return pairs.select("a", "b").distinct()
+    # A bucket with more texts than a block holds is dealt as all pairs of its blocks.
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    placed = placed.select("bucket", "id", "comp", own.alias("own"),
+                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    placed = placed.select("bucket", "id", "comp", "own", F.least("own", "other").alias("i"),
+                           F.greatest("own", "other").alias("j"))
+    full = placed.join(texts.select("id", "buckets", "tags"), "id").join(bodies, "id")
+    keys = ["bucket", "i", "j"]
+    together = full.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches):
+        bags, held, key = _Bags(), [], None
+        for batch in batches:
+            left, right = [], []
+            for rows in columns(batch, "bucket", "i", "j", "own", "id", "comp", "buckets", "tags", "body"):
+                for bucket, i, j, *member in zip(*rows):
+                    if (bucket, i, j) != key:
+                        _join(held, key, bags, threshold, left, right)
+                        held, key = [], (bucket, i, j)
+                    held.append(member)
+            yield _links(left, right)
+        left, right = [], []
+        _join(held, key, bags, threshold, left, right)
+        yield _links(left, right)
+
+    return together.mapInArrow(run, "a long, b long").distinct()
+
+
+def _join(held: list, key: tuple | None, bags: _Bags, threshold: float, left: list[int],
+          right: list[int]) -> None:
+    """Compare the texts of a block, or of two, of a bucket, and note links that join components."""
+    if len(held) < 2:
+        return
+    bucket, i, j = key
+    own = np.array([h[0] for h in held])
+    ids = [h[1] for h in held]
+    numbers: dict[int, int] = {}
+    comp = np.array([numbers.setdefault(h[2], len(numbers)) for h in held])
+    buckets = np.array([h[3] for h in held])
+    tags = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(len(held), POSITIONS)
+    band = int(np.flatnonzero(buckets[0] == bucket)[0])
+    least = (threshold - SLACK) * POSITIONS
+    for x in range(len(held)):
+        # Each pair once: in one order within a block, from the first block to the second else.
+        later = np.arange(len(held)) > x if i == j else (own == j) & (own[x] == i)
+        some = np.flatnonzero(later & (comp != comp[x]))
+        if not len(some):
+            continue
+        alike = (tags[some] == tags[x]).sum(axis=1)
+        near = alike >= least
+        some, alike = some[near], alike[near]
+        # And in the first of the buckets that the two share.
+        first = (buckets[some] == buckets[x])[:, :band].any(axis=1)
+        for y in some[~first][np.argsort(-alike[~first], kind="stable")]:
+            if comp[x] != comp[y] and similarity(
+                    bags.of(ids[x], held[x][5]), bags.of(ids[y], held[y][5])) >= threshold:
+                left.append(ids[x])
+                right.append(ids[y])
+                comp[comp == comp[y]] = comp[x]
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text",

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from corpus_rows import ODD
 
 from paywarden.llm import neardup
@@ -78,12 +79,28 @@ def test_signature_does_not_depend_on_the_batch():
     assert not neardup.signatures([neardup.shingles([])]).any()
 
 
-def test_classes_are_those_of_all_pairs(documents):
+@pytest.mark.parametrize("block", [neardup.BLOCK, 3])
+def test_classes_are_those_of_all_pairs(documents, block, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rows = varied() + [(r[0], r[1]) for r in ODD]
     found = neardup.classes(documents(rows)).collect()
     assert sorted(repr(tuple(r)) for r in found) == plain_classes(rows)
 
 
+def test_classes_that_meet_away_from_the_smallest_id(documents):
+    """Texts that all differ from the first by much, and from each other step by step."""
+    pick = random.Random(11)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(1, " ".join(base))]
+    for key in range(2, 40):
+        text = list(base)
+        for i in range(pick.choice([1, 2, 3])):
+            text[(key * 2 + 7 * i) % 80] = f"n{key // 3}x{i}"
+        rows.append((key, " ".join(text)))
+    found = neardup.classes(documents(rows)).collect()
+    assert sorted(repr(tuple(r)) for r in found) == plain_classes(rows)
+
+
 def test_one_document_of_each_class_stays(documents):
     rows = varied(seed=9)
     docs = documents(rows)
