@@ -25,12 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from paywarden.llm.common import columns
+from paywarden.llm.common import columns, resident
 
 # The vocabulary is sent to every task; a file above this size is refused.
 MAX_FILE_BYTES = 64 << 20
 # Words, and pieces, whose ids a Python worker remembers in each of two generations.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 # Longer words are encoded each time, so that the memory of a cache is bounded too.
 CACHE_LENGTH = 64
 
@@ -187,16 +187,9 @@ class Codec:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def codec(raw: bytes) -> Codec:
     """One codec a worker and file; its caches outlive a task."""
-    key = hashlib.sha256(raw).hexdigest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(raw)
-    return _codecs[key]
+    return resident(f"codec {hashlib.sha256(raw).hexdigest()}", lambda: Codec(raw))
 
 
 def _sent(frame: DataFrame, path: str):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,20 @@ def stash(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+_resident: dict[str, object] = {}
+
+
+def resident(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: one thing, the one asked for last.
+
+    Workers serve one operator after the other; what an earlier one kept is let go.
+    """
+    if name not in _resident:
+        _resident.clear()
+        _resident[name] = make()
+    return _resident[name]
+
+
 def columns(batch: pa.RecordBatch, *names: str, rows: int = ROWS) -> Iterator[tuple[list, ...]]:
     """The named columns as Python lists, a bounded number of rows at a time."""
     for start in range(0, batch.num_rows, rows):

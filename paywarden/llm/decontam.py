@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paywarden.llm.common import columns, fresh, stash
+from paywarden.llm.common import columns, fresh, resident, stash
 
 WIDTH = 10
 BLOCK_BYTES = 64 << 20
@@ -74,26 +74,21 @@ def windows(items: DataFrame, width: int = WIDTH, key: str = "item_id",
     return rows.mapInArrow(run, "window string, item string").distinct()
 
 
-_automata: dict[str, tuple] = {}
-
-
-def _automaton(name: str, packed: bytes):
-    """The block's automaton, built once a Python worker.
+def _automaton(packed: bytes):
+    """The automaton of a block of windows, or None of no window.
 
     Each byte of UTF-8 is one character of it, so the classes of bytes stay exact.
     """
-    if name not in _automata:
-        _automata.clear()
-        found: dict[bytes, list[str]] = {}
-        for window, item in pickle.loads(packed):
-            found.setdefault(window.encode(), []).append(item)
-        automaton = ahocorasick.Automaton()
-        for window, items in found.items():
-            automaton.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, items))
-        if found:
-            automaton.make_automaton()
-        _automata[name] = (automaton if found else None,)
-    return _automata[name][0]
+    found: dict[bytes, list[str]] = {}
+    for window, item in pickle.loads(packed):
+        found.setdefault(window.encode(), []).append(item)
+    automaton = ahocorasick.Automaton()
+    for window, items in found.items():
+        automaton.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, items))
+    if not found:
+        return None
+    automaton.make_automaton()
+    return automaton
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -152,7 +147,7 @@ def _scanner(sent, again: bool, text: str, hits: str, kept: list[str]):
     name = hashlib.sha256(sent.value).hexdigest()
 
     def run(batches):
-        automaton = _automaton(name, sent.value)
+        automaton = resident(f"automaton {name}", lambda: _automaton(sent.value))
         for batch in batches:
             made = []
             for texts, before in columns(batch, text, hits if again else text):

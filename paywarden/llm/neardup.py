@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paywarden.llm.common import columns, fresh, stash
+from paywarden.llm.common import columns, fresh, resident, stash
 from paywarden.llm.decontam import normalised
 from paywarden.llm.graph import components
 
@@ -46,12 +46,13 @@ THRESHOLD = 0.8
 BANDS = 42
 BAND_ROWS = 6
 POSITIONS = BANDS * BAND_ROWS
-ROWS = 1024
+ROWS = 512
 # Word hashes, and multisets of shingles, that a Python worker remembers.
-MEMO = 500_000
-BAGS = 3_000
-# Texts of a bucket that are held against as many others at once.
+MEMO = 200_000
+BAGS = 1_500
+# Texts of a bucket, and their bytes, that are held against as many others at once.
 BLOCK = 1_000
+BLOCK_BYTES = 16 << 20
 # How far the share of equal positions may lie below the threshold: five deviations.
 SLACK = 0.12
 
@@ -76,15 +77,13 @@ class _Hashes(dict):
         return got
 
 
-_hashes = _Hashes()
-
-
 def shingles(words: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles, ascending, and how often each occurs."""
     n = len(words)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    one = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
+    hashes = resident("word hashes", _Hashes)
+    one = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     size = min(width, n)
     joined = np.full(n - size + 1, size, np.uint64)
     with np.errstate(over="ignore"):
@@ -257,9 +256,12 @@ def linked(rows: DataFrame, sketch: str, text: str = "text",
     """Ids of the texts (digest, id: the smallest row number) and components of their links."""
     texts = stash(rows.groupBy(F.col(f"{sketch}.digest").alias("digest")).agg(
         F.min(f"{sketch}.row").alias("id"), F.first(f"{sketch}.buckets").alias("buckets"),
-        F.first(f"{sketch}.tags").alias("tags")), "texts")
-    postings = texts.select("id", F.explode("buckets").alias("bucket"))
-    shared = postings.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("id").alias("n"))
+        F.first(f"{sketch}.tags").alias("tags"),
+        F.max(F.octet_length(text)).alias("size")), "texts")
+    postings = texts.select("id", "size", F.explode("buckets").alias("bucket"))
+    shared = postings.groupBy("bucket").agg(
+        F.min("id").alias("pivot"), F.count("id").alias("n"), F.sum("size").alias("bytes"))
+    postings = postings.drop("size")
     members = stash(postings.join(shared.filter("n > 1"), "bucket"), "members")
     firsts = members.filter("id <> pivot").select(
         F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
@@ -282,7 +284,7 @@ def _across(members: DataFrame, texts: DataFrame, bodies: DataFrame, comps: Data
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     placed = placed.join(mixed.filter("lo <> hi").select("bucket"), "bucket", "left_semi")
     # A bucket with more texts than a block holds is dealt as all pairs of its blocks.
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     placed = placed.select("bucket", "id", "comp", own.alias("own"),
                            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paywarden.llm.common import columns, stash
+from paywarden.llm.common import columns, resident, stash
 
 DEPTH = 2
 SYMBOL = 5e-4
@@ -45,8 +45,9 @@ LOOKUP = 2.5e-7
 # Longer words are never sent to the tasks.
 LOOKUP_BYTES = 64
 PRIOR = 5.0  # weight of the shorter state in a distribution
-MEMO = 400_000
+MEMO = 300_000
 # Words, and coded counts, that a task holds before it hands them on.
+WORDS_HELD = 400_000
 HELD = 2_000_000
 
 END = ""  # the end's place among the words; no word is empty
@@ -72,7 +73,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 for body in texts:
                     found.update(words_of(body))
                 found[b""] += len(texts)
-                if len(found) >= HELD:
+                if len(found) >= WORDS_HELD:
                     yield from _handed(found)
                     found.clear()
         yield from _handed(found)
@@ -168,15 +169,9 @@ class Reader:
         return np.where(places >= 0, self.lex.symbols[places], _OTHER)
 
 
-_readers: dict[str, Reader] = {}
-
-
 def _reader(name: str, sent) -> Reader:
     """One reader a Python worker and lexicon."""
-    if name not in _readers:
-        _readers.clear()
-        _readers[name] = Reader(sent.value)
-    return _readers[name]
+    return resident(f"reader {name}", lambda: Reader(sent.value))
 
 
 def _lines(symbols: np.ndarray, sizes: list[int], depth: int) -> tuple[np.ndarray, ...]:
