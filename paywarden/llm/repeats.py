@@ -6,7 +6,7 @@ same text or another. Two things bring equal strings of different texts together
 Anchors. The anchor of a window of WIDTH bytes is its gram of GRAM bytes with the smallest
 hash, the leftmost of equals. It depends on the window alone, so equal windows have equal
 anchors at equal places. Neighbouring windows with the same anchor make a segment, about
-90 windows long. Spark counts anchors, then segments. An anchor that occurs once repeats
+70 windows long. Spark counts anchors, then segments. An anchor that occurs once repeats
 nothing. A segment that occurs twice is repeated as a whole.
 
 Transform. An anchor with several different segments may have windows in common where
@@ -43,10 +43,11 @@ from pyspark.sql import types as T
 from paywarden.llm.common import columns, stash
 
 WIDTH = 200
-GRAM = 16
-GROUP = 5_000
+GRAM = 64
+GROUP = 3_000
+SMALL = 1 << 16
 # Bytes that are transformed at once, beyond which no further group is added.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 # Longer texts are read in parts that overlap by a window.
 PART = 1 << 23
 
@@ -93,52 +94,49 @@ def segments(raw: bytes) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _digest(data: bytes) -> tuple[int, int]:
-    whole = xxhash.xxh3_128_intdigest(data)
-    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
+def _digest(data: bytes) -> int:
+    """A segment is known by its anchor's hash and this one: 128 bits together."""
+    return xxhash.xxh3_64_intdigest(data) - (1 << 63)
 
 
 def _texts(docs: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Columns ``keep``, the text as body, and its digest t; copies have the same digest."""
+    """Columns ``keep``, the text as body, and its hash t.
+
+    The hash only brings rows together: what texts of the same hash share beyond their own
+    segments does not touch them.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(*keep, body.alias("body"), F.unhex(F.md5(body.cast("binary"))).alias("t"))
+    return docs.select(*keep, body.alias("body"), F.xxhash64(body).alias("t"))
 
 
 def occurrences(texts: DataFrame) -> DataFrame:
-    """Text, anchor and segment digest with how often: a row for each text of a batch and segment."""
-    names = ["t", "a", "s1", "s2", "n"]
+    """Text, anchor and segment with how often: a row for each text of a batch and segment."""
+    names = ["t", "a", "s", "n"]
 
     def run(batches):
         for batch in batches:
-            for digests, bodies in columns(batch, "t", "body"):
-                copies = Counter(digests)
-                t, a, s1, s2, n = [], [], [], [], []
-                for digest, body in zip(digests, bodies):
-                    times = copies.pop(digest, 0)
-                    if not times:
-                        continue
+            for hashes, bodies in columns(batch, "t", "body"):
+                out: list[list[int]] = [[], [], [], []]
+                copies = Counter(zip(hashes, bodies))
+                for (key, body), times in copies.items():
                     raw = body.encode()
-                    found: Counter = Counter()
-                    for anchor, _, first, last in segments(raw):
-                        found[(anchor, *_digest(raw[first:last + WIDTH]))] += times
-                    for (anchor, x, y), k in found.items():
-                        a.append(anchor)
-                        s1.append(x)
-                        s2.append(y)
-                        n.append(k)
-                    t += [digest] * len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t, pa.binary()), *(pa.array(x, pa.int64()) for x in (a, s1, s2, n))],
-                    names=names)
+                    found = Counter((anchor, _digest(raw[first:last + WIDTH]))
+                                    for anchor, _, first, last in segments(raw))
+                    for (anchor, digest), k in found.items():
+                        out[1].append(anchor)
+                        out[2].append(digest)
+                        out[3].append(k * times)
+                    out[0] += [key] * len(found)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=names)
 
     long = texts.filter(F.octet_length("body") >= WIDTH).select("t", "body")
-    return long.mapInArrow(run, "t binary, a long, s1 long, s2 long, n long")
+    return long.mapInArrow(run, "t long, a long, s long, n long")
 
 
-PIECE = "a long, lo int, hi int, core long, s1 long, s2 long, skip int, place int, body binary"
+PIECE = "a long, lo int, hi int, core long, s long, skip int, place int, body binary"
 _PIECE = pa.schema([("a", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("core", pa.int64()),
-                    ("s1", pa.int64()), ("s2", pa.int64()), ("skip", pa.int32()),
-                    ("place", pa.int32()), ("body", pa.binary())])
+                    ("s", pa.int64()), ("skip", pa.int32()), ("place", pa.int32()),
+                    ("body", pa.binary())])
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
@@ -147,8 +145,8 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted segments (t, s1, s2), once each, with the anchor's place in them."""
-    lists = wanted.groupBy("t").agg(F.collect_list(F.struct("s1", "s2")).alias("want"))
+    """The bytes of wanted segments (t, a, s), once each, with the anchor's place in them."""
+    lists = wanted.groupBy("t").agg(F.collect_list(F.struct("a", "s")).alias("want"))
     joined = texts.filter(F.octet_length("body") >= WIDTH).select("t", "body").join(lists, "t")
 
     def run(batches):
@@ -156,16 +154,16 @@ def fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             rows = []
             for bodies, wants in columns(batch, "body", "want"):
                 for body, want in zip(bodies, wants):
-                    raw, left = body.encode(), {(w["s1"], w["s2"]) for w in want}
+                    raw, left = body.encode(), {(w["a"], w["s"]) for w in want}
                     for anchor, place, first, last in segments(raw):
                         data = raw[first:last + WIDTH]
-                        digest = _digest(data)
-                        if digest in left:
-                            left.remove(digest)
-                            rows.append((anchor, 0, WIDTH - GRAM, 0, *digest, 0, place - first, data))
+                        known = (anchor, _digest(data))
+                        if known in left:
+                            left.remove(known)
+                            rows.append((anchor, 0, WIDTH - GRAM, 0, known[1], 0, place - first, data))
             yield _pieces(rows)
 
-    return joined.mapInArrow(run, PIECE).dropDuplicates(["s1", "s2"])
+    return joined.mapInArrow(run, PIECE).dropDuplicates(["a", "s"])
 
 
 def halved(pieces: DataFrame) -> DataFrame:
@@ -174,7 +172,7 @@ def halved(pieces: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for rows in columns(batch, *_PIECE.names):
-                for a, lo, hi, _, s1, s2, skip, place, data in zip(*rows):
+                for a, lo, hi, _, s, skip, place, data in zip(*rows):
                     middle = (lo + hi) // 2
                     cut = place - middle  # first window of the nearer half
                     last = len(data) - WIDTH
@@ -183,52 +181,54 @@ def halved(pieces: DataFrame) -> DataFrame:
                         if begin <= end:
                             part = data[begin:end + WIDTH]
                             at = place - begin
-                            core = part[at - low:at - high + WIDTH]
-                            out.append((a, low, high, _digest(core)[0], s1, s2, skip + begin, at, part))
+                            core = _digest(part[at - low:at - high + WIDTH])
+                            out.append((a, low, high, core, s, skip + begin, at, part))
             yield _pieces(out)
 
     return pieces.mapInArrow(run, PIECE)
 
 
 KEY = ["a", "lo", "hi", "core"]
-RANGES = "s1 long, s2 long, begin int, end int"
+RANGES = "a long, s long, begin int, end int"
 
 
 def common_windows(pieces: DataFrame, group: int = GROUP) -> DataFrame:
     """Windows of segments, as ranges from the segment's first, that occur in several pieces."""
     found = None
     while True:
-        sizes = stash(pieces.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")), "sizes")
-        small = sizes.filter((F.col("n") > 1) & (F.col("n") <= group)).select(*KEY)
-        ranges = _transformed(pieces.join(small, KEY, "left_semi"))
-        ranges = stash(ranges, "ranges")
+        sizes = pieces.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+        large = stash(sizes.filter(F.col("n") > group).select(*KEY), "large")
+        split = large.limit(1).count() > 0
+        small = pieces.join(large, KEY, "left_anti") if split else pieces
+        ranges = stash(_transformed(small), "ranges")
         found = ranges if found is None else found.unionByName(ranges)
-        large = sizes.filter(F.col("n") > group)
-        if not large.limit(1).count():
+        if not split:
             return found
-        hot = pieces.join(large.select(*KEY), KEY, "left_semi")
+        hot = pieces.join(large, KEY, "left_semi")
         # At one distance the key holds the whole window: the pieces are equal.
-        one = hot.filter("lo = hi").select("s1", "s2", F.col("skip").alias("begin"), F.col("skip").alias("end"))
+        one = hot.filter("lo = hi").select("a", "s", F.col("skip").alias("begin"), F.col("skip").alias("end"))
         found = found.unionByName(stash(one, "ranges"))
         pieces = stash(halved(hot.filter("lo < hi")), "pieces")
 
 
 def _transformed(pieces: DataFrame) -> DataFrame:
     def run(batches):
-        held: list[tuple] = []
+        held: list[tuple] = []  # of whole groups
+        own: list[tuple] = []  # of the group that is being read
         size, key = 0, None
         for batch in batches:
-            for rows in columns(batch, "a", "lo", "hi", "core", "s1", "s2", "skip", "body"):
-                for a, lo, hi, core, s1, s2, skip, data in zip(*rows):
-                    if (a, lo, hi, core) != key:
+            for rows in columns(batch, *KEY, "s", "skip", "body"):
+                for *new, s, skip, data in zip(*rows):
+                    if new != key:
+                        if len(own) > 1:  # one alone repeats nothing
+                            held += own
+                            size += sum(len(o[3]) for o in own)
+                        own, key = [], new
                         if size >= CHUNK:
                             yield _ranges(held)
                             held, size = [], 0
-                        key = (a, lo, hi, core)
-                    held.append((s1, s2, skip, data))
-                    size += len(data)
-        if held:
-            yield _ranges(held)
+                    own.append((new[0], s, skip, data))
+        yield _ranges(held + own)
 
     together = pieces.repartition(*KEY).sortWithinPartitions(*KEY)
     return together.mapInArrow(run, RANGES)
@@ -236,13 +236,13 @@ def _transformed(pieces: DataFrame) -> DataFrame:
 
 def _ranges(held: list[tuple]) -> pa.RecordBatch:
     out = []
-    marks = repeated_starts([h[3] for h in held])
-    for (s1, s2, skip, _), mark in zip(held, marks):
+    marks = repeated_starts([h[3] for h in held]) if held else []
+    for (a, s, skip, _), mark in zip(held, marks):
         edges = np.flatnonzero(np.diff(np.concatenate([[0], mark.astype(np.int8), [0]])))
-        out += [(s1, s2, skip + int(b), skip + int(e) - 1) for b, e in zip(edges[::2], edges[1::2])]
+        out += [(a, s, skip + int(b), skip + int(e) - 1) for b, e in zip(edges[::2], edges[1::2])]
     return pa.RecordBatch.from_arrays(
         [pa.array([o[k] for o in out], pa.int64() if k < 2 else pa.int32()) for k in range(4)],
-        names=["s1", "s2", "begin", "end"])
+        names=["a", "s", "begin", "end"])
 
 
 def repeated_starts(strings: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
@@ -259,19 +259,35 @@ def repeated_starts(strings: list[bytes], width: int = WIDTH) -> list[np.ndarray
 
 
 def suffix_order(line: np.ndarray, width: int) -> np.ndarray:
-    """Places of ``line`` ordered by the ``width`` or more symbols from there on."""
-    rank = np.unique(line, return_inverse=True)[1].astype(np.int64) + 1
-    length = 1
+    """Places of ``line`` ordered by the ``width`` or more symbols from there on.
+
+    Ranks by the first symbols are doubled in length until they reach ``width``. Keys
+    carry their place in the low bits where all fits into 64, as plain numbers sort faster.
+    """
+    n = len(line)
+    place = int(n + 1).bit_length()
+    bits = int(line.max() + 1).bit_length()
+    length = max(1, min(4, (64 - place) // bits))
+    padded = np.concatenate([line + 1, np.zeros(length - 1, np.int64)]).astype(np.uint64)
+    key = padded[:n].copy()
+    for k in range(1, length):
+        key = key << _U(bits) | padded[k:n + k]
+    size = bits * length
     while True:
-        later = np.zeros(len(line), np.int64)
-        later[:-length or None] = rank[length:]
-        order = np.argsort(rank * (len(line) + 2) + later, kind="stable")
-        if length * 2 >= width:
+        if size + place <= 64:
+            packed = np.sort(key << _U(place) | np.arange(n, dtype=np.uint64))
+            order = (packed & _U((1 << place) - 1)).astype(np.int64)
+            ordered = packed >> _U(place)
+        else:
+            order = np.argsort(key)
+            ordered = key[order]
+        if length >= width:
             return order
-        pairs = (rank * (len(line) + 2) + later)[order]
-        fresh = np.empty(len(line), np.int64)
-        fresh[order] = np.cumsum(np.concatenate([[1], (np.diff(pairs) != 0)]))
-        rank = fresh
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]])).astype(np.uint64)
+        key = rank << _U(place)
+        key[:n - length] |= rank[length:]
+        size = 2 * place
         length *= 2
 
 
@@ -283,6 +299,8 @@ def shared_suffixes(line: np.ndarray, width: int) -> np.ndarray:
     n = len(line)
     order = suffix_order(line, width)
     transform = line[order - 1]  # the symbol before each suffix; the first has the last, a lone end
+    if transform.max() < SMALL:
+        transform = transform.astype(np.uint16)  # sorted by counting
     back = np.argsort(transform, kind="stable")  # rows by the symbol before, then in order
     forward = np.empty(n, np.int64)
     forward[back] = np.arange(n)
@@ -305,7 +323,7 @@ def shared_suffixes(line: np.ndarray, width: int) -> np.ndarray:
         else:
             reached = np.sort(forward[rows])
         source = back[reached]
-        new = np.concatenate([[True], (np.diff(owner[source]) != 0) | (np.diff(transform[source]) != 0)])
+        new = np.concatenate([[True], (np.diff(owner[source]) != 0) | (transform[source][1:] != transform[source][:-1])])
         starts = np.flatnonzero(new)
         stops = np.concatenate([starts[1:], [len(reached)]])
         first, last = reached[starts], reached[stops - 1] + 1
@@ -320,31 +338,31 @@ def shared_suffixes(line: np.ndarray, width: int) -> np.ndarray:
 
 
 def marked(docs: DataFrame, text: str = "text", group: int = GROUP) -> DataFrame:
-    """For each text digest t with repeats: its repeated windows, as ranges by segment digest."""
+    """For each text hash t with repeats: its repeated windows, as ranges by segment."""
     texts = _texts(docs, text)
     seen = stash(occurrences(texts), "occurrences")
     often = seen.groupBy("a").agg(F.sum("n").alias("m")).filter("m > 1").select("a")
     shared = stash(seen.join(often, "a", "left_semi"), "shared")
-    kinds = stash(shared.groupBy("a", "s1", "s2").agg(
+    kinds = stash(shared.groupBy("a", "s").agg(
         F.sum("n").alias("n"), F.min("t").alias("t")), "kinds")
     mixed = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("a")
-    wanted = kinds.join(mixed, "a", "left_semi").select("t", "s1", "s2")
+    wanted = kinds.join(mixed, "a", "left_semi").select("t", "a", "s")
     pieces = stash(fetched(texts, wanted), "pieces")
-    whole = kinds.filter("n > 1").select("s1", "s2", F.lit(0).alias("begin"), F.lit(PART).alias("end"))
-    alone = kinds.filter("n = 1").select("s1", "s2")
-    ranges = common_windows(pieces, group).join(alone, ["s1", "s2"], "left_semi").unionByName(whole)
-    return shared.select("t", "s1", "s2").distinct().join(ranges, ["s1", "s2"]).groupBy("t").agg(
-        F.collect_list(F.struct("s1", "s2", "begin", "end")).alias("ranges"))
+    whole = kinds.filter("n > 1").select("a", "s", F.lit(0).alias("begin"), F.lit(PART).alias("end"))
+    alone = kinds.filter("n = 1").select("a", "s")
+    ranges = common_windows(pieces, group).join(alone, ["a", "s"], "left_semi").unionByName(whole)
+    return shared.select("t", "a", "s").distinct().join(ranges, ["a", "s"]).groupBy("t").agg(
+        F.collect_list(F.struct("a", "s", "begin", "end")).alias("ranges"))
 
 
 def spans(raw: bytes, ranges: list[dict]) -> list[tuple[int, int]]:
     """Maximal runs of bytes that repeated windows cover."""
     by: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for r in ranges:
-        by.setdefault((r["s1"], r["s2"]), []).append((r["begin"], r["end"]))
+        by.setdefault((r["a"], r["s"]), []).append((r["begin"], r["end"]))
     out: list[tuple[int, int]] = []
-    for _, _, first, last in segments(raw):
-        for begin, end in sorted(by.get(_digest(raw[first:last + WIDTH]), ())):
+    for anchor, _, first, last in segments(raw):
+        for begin, end in sorted(by.get((anchor, _digest(raw[first:last + WIDTH])), ())):
             start, stop = first + begin, min(first + end, last) + WIDTH
             if out and start <= out[-1][1]:
                 out[-1] = (out[-1][0], max(stop, out[-1][1]))
