@@ -49,7 +49,7 @@ SMALL = 1 << 16
 # Bytes that are transformed at once, beyond which no further group is added.
 CHUNK = 1 << 20
 # Longer texts are read in parts that overlap by a window.
-PART = 1 << 23
+PART = 1 << 21
 
 _U = np.uint64
 _PLACE_BITS = 24
