@@ -7,11 +7,15 @@ context is one of the latest symbols or a run of them, up to DEPTH; Spark counts
 follows each context that makes up at least a share CONTEXT. A context stays in the tree
 if its distribution diverges from that of the context without its oldest symbol by more
 than its entries cost to describe. Each state's distribution is smoothed towards that of
-the next shorter state, down to the base model, so all sum to one. A token is scored by
-the longest state that fits the symbols before it.
+the next shorter state, down to the base model, so all sum to one.
 
-Shares bound the tree, whatever the corpus: at most 1/SYMBOL symbols, 1/CONTEXT contexts
-and 1/ENTRY entries a depth. Words with at least a share LOOKUP, at most 1/LOOKUP, are sent
+This tree of symbols is the hot part, which is sent to the tasks. Above it stand the states
+over whole words (``wordstates``): runs of any words seen twice or more, held in Spark
+tables. A token is scored by the longest state over words that fits the words before it;
+what that leaves goes to the shorter ones and last to the longest state of symbols.
+
+Shares bound the tree of symbols, whatever the corpus: at most 1/SYMBOL symbols, 1/CONTEXT
+contexts and 1/ENTRY entries a depth. Words with at least a share LOOKUP, at most 1/LOOKUP, are sent
 to the tasks as sorted hashes; the rest is joined with the full table of counts, one row
 for each text and rare word. So the vocabulary may grow without bound, and no word, text
 or source is gathered in one task.
@@ -35,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paywarden.llm import wordstates
 from paywarden.llm.common import columns, resident, stash
 
 DEPTH = 2
@@ -146,6 +151,7 @@ class Reader:
 
     def __init__(self, lex: Lexicon):
         self.lex = lex
+        self.logs = lex.base(lex.counts)
         self.memo: dict[bytes, int] = {}
 
     def places(self, words: list[bytes]) -> np.ndarray:
@@ -343,9 +349,26 @@ def learn(docs: DataFrame, vocabulary: DataFrame, text: str = "text",
     return lex, tree
 
 
+def _told(reader: Reader, tree: Tree, flat: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each word whether it is known, log10 of its base probability and of its share of its
+    symbol; of each word and end log10 of its symbol's probability. 0 stands for a rare word's base."""
+    lex = reader.lex
+    places = reader.places(flat)
+    known = places >= 0
+    base = np.where(known, reader.logs[places], 0.0) if len(lex.counts) else np.zeros(len(flat))
+    symbols = reader.symbols(places)
+    # Within the shared symbol a word has its share of the base model.
+    own = np.where(symbols == _OTHER, base - tree.root[_OTHER] / np.log(10), 0.0)
+    following, *before = _lines(symbols, sizes.tolist(), max(1, len(tree.depths)))
+    return known, base, own, tree.logs(following, before) / np.log(10)
+
+
 def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key: str = "doc_id",
-           text: str = "text") -> DataFrame:
-    """Key, n_tokens, n_known, base_score and score of each document."""
+           text: str = "text", states: DataFrame | None = None) -> DataFrame:
+    """Key, n_tokens, n_known, base_score and score of each document.
+
+    ``states`` are those over whole words, which go before the tree's.
+    """
     context = docs.sparkSession.sparkContext
     sent, name = context.broadcast(lex), uuid.uuid4().hex
     model = context.broadcast(tree)
@@ -358,23 +381,14 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
     def run(batches):
         reader, tree = _reader(name, sent), model.value
         lex = reader.lex
-        logs = lex.base(lex.counts)
-        root, end = tree.root / np.log(10), float(lex.base(lex.ends))
-        depth = max(1, len(tree.depths))
+        end = float(lex.base(lex.ends))
         for batch in batches:
             out = [[] for _ in range(6)]
             for (texts,) in columns(batch, text):
                 lists = [words_of(t) for t in texts]
                 sizes = np.array([len(x) for x in lists], np.int64)
                 flat = [w for words in lists for w in words]
-                places = reader.places(flat)
-                known = places >= 0
-                base = np.where(known, logs[places], 0.0) if len(logs) else np.zeros(len(flat))
-                symbols = reader.symbols(places)
-                # Within the shared symbol a word has its share of the base model.
-                own = np.where(symbols == _OTHER, base - root[_OTHER], 0.0)
-                following, *before = _lines(symbols, sizes.tolist(), depth)
-                path = tree.logs(following, before) / np.log(10)
+                known, base, own, path = _told(reader, tree, flat, sizes)
                 owner = np.repeat(np.arange(len(texts)), sizes)
                 n = len(texts)
                 out[0] += (sizes + 1).tolist()
@@ -395,6 +409,7 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
                      pa.list_(pa.string()), pa.list_(pa.int64()))))], names=schema.names)
 
     numbered = docs.select(F.col(key), F.col(text), F.monotonically_increasing_id().alias("row"))
+    numbered = stash(numbered, "numbered") if states is not None else numbered
     rows = stash(numbered.mapInArrow(run, schema), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("words", "counts")).alias("r")).select(
         "row", F.col("r.words").alias("word"), F.col("r.counts").alias("k"))
@@ -406,9 +421,29 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
         F.sum(F.col("k") * log).alias("more"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
     more = F.coalesce("more", F.lit(0.0))
+    if states is None:
+        gained = F.lit(0.0)
+    else:
+        def look(batches):
+            reader = _reader(name, sent)
+            for batch in batches:
+                for texts, row in columns(batch, text, "row"):
+                    lists = [words_of(t) for t in texts]
+                    sizes = np.array([len(x) for x in lists], np.int64)
+                    flat = [w for words in lists for w in words]
+                    _, _, own, path = _told(reader, model.value, flat, sizes)
+                    ends = np.cumsum(sizes + 1) - 1
+                    inside = np.ones(len(path), bool)
+                    inside[ends] = False
+                    path[inside] += own
+                    yield from wordstates.lookups(flat, sizes, np.array(row, np.int64), path)
+
+        looked = numbered.select("row", text).mapInArrow(look, wordstates.LOOKUP)
+        sums = sums.join(wordstates.gains(looked, states), "row", "full")
+        gained = F.coalesce("gain", F.lit(0.0))
     return rows.join(sums, "row", "left").select(
         key, "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more + gained).alias("score"))
 
 
 def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -418,6 +453,7 @@ def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "tex
     train = rows.filter(learnt(key))
     vocabulary = stash(word_counts(train, text), "vocabulary")
     lex, tree = learn(train, vocabulary, text)
-    found = scored(rows, vocabulary, lex, tree, key, text)
+    states = wordstates.learn(train, vocabulary, lex, _frequent(lex.tokens), PRIOR, text)
+    found = scored(rows, vocabulary, lex, tree, key, text, states)
     return found.select(key, (~learnt(key)).alias("held_out"), "n_tokens", "n_known",
                         F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")
