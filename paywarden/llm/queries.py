@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paywarden.llm import bpe, decontam, neardup, pages, quality, repeats, rollup, rules, secrets, suffixtree
+from paywarden.llm import (
+    bpe, decontam, manifest, neardup, pages, quality, repeats, rollup, rules, search, secrets, simhash, suffixtree)
 from paywarden.llm.common import shared_folder, table
 
 
@@ -77,8 +78,21 @@ def op10_rollup(spark, sf_dir):
     return rollup.totals(spark, folder)
 
 
+def op11_simhash(spark, sf_dir):
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def op12_search(spark, sf_dir):
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_manifest(spark, sf_dir):
+    return manifest.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op7_repeats, op8_lm, op9_pages, op10_rollup)}
+    op1_bpe, op2_neardup, op3_secrets, op4_quality, op5_rules, op6_decontam, op7_repeats, op8_lm, op9_pages,
+    op10_rollup, op11_simhash, op12_search, op13_manifest)}
 
 _ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[""'']?\x20*[:=]\x20*[""'']?([A-Za-z0-9+/_.=-]+)""".replace('""', '"')
 
@@ -142,4 +156,68 @@ ORACLE: dict[str, str] = {
         SELECT source, lang, tokenizer, CAST(count(*) AS BIGINT) AS n_docs,
                CAST(sum(n) AS BIGINT) AS n_tokens
         FROM counted WHERE n > 0 GROUP BY ALL""",
+    "op12_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+        i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+        total AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+        wanted AS (SELECT item_id, term, count(*) AS k FROM (SELECT item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+        tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d)
+            GROUP BY ALL),
+        df AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, total GROUP BY term, n_docs),
+        part AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))
+            AS value FROM tf JOIN df USING (term), total),
+        score AS (SELECT item_id, doc_id, CAST(sum(k * value) AS BIGINT) AS score
+            FROM wanted JOIN part USING (term) GROUP BY ALL)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM score WHERE score > 0) WHERE rank <= 10""",
+    # The checksum by its polynomial, a bit at a time; trees level by level in runs of eight.
+    "op13_manifest": r"""
+        WITH RECURSIVE field AS (SELECT *, crc % 3 = 0 AS tampered FROM (
+            SELECT doc_id, lang, text, concat(
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+                xor(4294967295, list_reduce(list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: ord(c)::BIGINT),
+                    lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0],
+                        lambda x, y: xor(x >> 1, 3988292384 * (x & 1))), 4294967295::BIGINT)) AS crc
+            FROM documents)),
+        leaves AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+            sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS other
+            FROM (SELECT *, CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') ELSE text END AS t FROM field)),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS pos,
+            count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+        tree AS (SELECT lang, 0 AS level, pos, n, leaf AS digest FROM placed
+            UNION ALL
+            SELECT lang, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM tree WHERE n > 1 GROUP BY lang, level, pos // 8, n),
+        sub AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+            count(*) OVER () AS n FROM tree WHERE n = 1),
+        top AS (SELECT 0 AS level, pos, n, subroot AS digest FROM sub
+            UNION ALL
+            SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM top WHERE n > 1 GROUP BY level, pos // 8, n),
+        height AS (SELECT lang, max(level) AS h FROM tree GROUP BY lang),
+        -- One tree a language: its own levels, then those over the languages.
+        node AS (SELECT lang, level, pos, digest FROM tree WHERE n > 1
+            UNION ALL
+            SELECT lang, h + level, pos, digest FROM height, top WHERE n > 1),
+        way AS (SELECT p.doc_id, p.pos AS leaf_pos, p.lang, 0 AS level, p.pos, p.other AS mine, '' AS told FROM placed p
+            UNION ALL
+            SELECT w.doc_id, w.leaf_pos, w.lang, w.level + 1,
+                CASE WHEN w.level + 1 = h.h THEN any_value(s.pos) ELSE w.pos // 8 END,
+                sha256(string_agg(CASE WHEN x.pos = w.pos THEN w.mine ELSE x.digest END, '' ORDER BY x.pos)),
+                w.told || coalesce(string_agg(x.digest, '' ORDER BY x.pos) FILTER (x.pos <> w.pos), '')
+            FROM way w JOIN height h ON w.lang IS NOT DISTINCT FROM h.lang JOIN sub s ON w.lang IS NOT DISTINCT FROM s.lang
+                JOIN node x ON w.lang IS NOT DISTINCT FROM x.lang AND w.level = x.level
+                    AND x.pos // 8 = (CASE WHEN w.level = h.h THEN s.pos ELSE w.pos END) // 8
+            GROUP BY w.doc_id, w.leaf_pos, w.lang, w.level, w.pos, w.mine, w.told, h.h)
+        SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(w.told) AS proof_sha256,
+            w.mine AS folded_root, w.mine = t.digest AS verified
+        FROM placed p JOIN sub s ON p.lang IS NOT DISTINCT FROM s.lang, (SELECT digest FROM top WHERE n = 1) t, (
+            SELECT lang, leaf_pos, arg_max(mine, level) AS mine, arg_max(told, level) AS told FROM way GROUP BY ALL) w
+        WHERE w.lang IS NOT DISTINCT FROM p.lang AND w.leaf_pos = p.pos""",
 }

@@ -1,0 +1,113 @@
+import random
+import zlib
+from hashlib import sha256
+
+import pytest
+from corpus_rows import ODD
+
+from paywarden.llm import manifest
+
+
+def H(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def field(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def climbed(digests):
+    """Root, and for each leaf its siblings level by level with its place among them."""
+    ways = [[] for _ in digests]
+    at = list(range(len(digests)))
+    while len(digests) > 1:
+        for way, i in zip(ways, at):
+            run = digests[i // 8 * 8:i // 8 * 8 + 8]
+            way.append((run[:i % 8], run[i % 8 + 1:]))
+        at = [i // 8 for i in at]
+        digests = [H(*digests[i:i + 8]) for i in range(0, len(digests), 8)]
+    return digests[0], ways
+
+
+def lower(text):
+    return None if text is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def plain(rows):
+    """Rows of (doc_id, text, lang, source, n_chars)."""
+    by_lang = {}
+    for doc, text, lang, source, n in rows:
+        head = field(doc) + field(source) + field(lang) + field(n)
+        changed = zlib.crc32(str(doc if doc is not None else "").encode()) % 3 == 0
+        by_lang.setdefault(lang, []).append(
+            (doc is not None, doc or 0, H(head, field(text)), H(head, field(lower(text) if changed else text)), doc))
+    langs = sorted(by_lang, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in langs:
+        by_lang[lang].sort(key=lambda x: x[:3])
+        trees[lang] = climbed([x[2] for x in by_lang[lang]])
+    root, over = climbed([trees[lang][0] for lang in langs])
+    out = []
+    for lang, above in zip(langs, over):
+        subroot, ways = trees[lang]
+        for (_, _, leaf, mine, doc), way in zip(by_lang[lang], ways):
+            siblings = ""
+            for left, right in way + above:
+                siblings += "".join(left + right)
+                mine = H(*left, mine, *right)
+            out.append((doc, leaf, subroot, root, H(siblings), mine, mine == root))
+    return sorted(map(repr, out))
+
+
+def found(frame):
+    return sorted(repr(tuple(r)) for r in manifest.audit(frame).collect())
+
+
+def rows_of(documents, rows):
+    frame = documents(rows)
+    full = [(*r, *(None,) * (4 - len(r))) for r in rows]
+    return frame, [(*r, len(r[1]) if r[1] is not None else None) for r in full]
+
+
+@pytest.mark.parametrize("sizes", [(1,), (8, 1), (9, 64, 65), (1300, 3), (2,) * 9])
+def test_as_a_plain_tree(spark, documents, sizes):
+    rng = random.Random(sum(sizes))
+    rows = [(rng.randint(-500, 10 ** 6), f"Text {rng.random()} É", f"l{n}" if n else None, "s")
+            for n, size in enumerate(sizes) for _ in range(size)]
+    rng.shuffle(rows)
+    frame, full = rows_of(documents, rows)
+    assert found(frame) == plain(full)
+
+
+def test_odd_rows_and_an_empty_table(spark, documents):
+    frame, full = rows_of(documents, ODD)
+    assert found(frame) == plain(full)
+    empty = frame.filter("false")
+    assert found(empty) == [] and manifest.build(empty).root().collect() == []
+
+
+def test_many_equal_rows(spark, documents):
+    frame, full = rows_of(documents, [(1, "Same", "en", "s")] * 700 + [(2, "Other", "en", "s")])
+    assert found(frame) == plain(full)
+
+
+def test_witnesses_grow_as_siblings_come():
+    tree = manifest.Append()
+    leaves = [sha256(bytes([n % 256, n // 256])).digest() for n in range(70)]
+    tree.add(leaves[0])
+    first = tree.open[0][0]
+    assert first.step() == bytes((0, 0))
+    tree.add(leaves[1])
+    assert first.step() == bytes((0, 1)) + leaves[1] and tree.open[0][1].step() == bytes((1, 0)) + leaves[0]
+    for leaf in leaves[2:8]:
+        tree.add(leaf)
+    assert not tree.open[0] and tree.open[1][0].step() == bytes((0, 0))
+    for leaf in leaves[8:16]:
+        tree.add(leaf)
+    assert tree.open[1][0].step()[:2] == bytes((0, 1))
+    for leaf in leaves[16:]:
+        tree.add(leaf)
+    root = tree.finish(3)
+    assert root.digest.hex() == climbed([x.hex() for x in leaves])[0]
+    for leaf, witness in zip(leaves, manifest.witnesses(root)):
+        assert manifest.folded(leaf.hex(), witness)[0] == root.digest.hex()
