@@ -82,3 +82,7 @@ VELOCITY_SCHEMA = _struct(
     fraud_reason=T.StringType(),
     fraud_status=T.StringType(),
 )
+# Result tables that are looked up by day: the time that is part of their rows' key.
+DAY_OF_TABLE = {"fraud_alerts": EVENT_TIME}
+# Folder level by day of such tables, where they are Parquet.
+TABLE_DAY = "table_day"

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paywarden.operators.fraud import flat_velocity
-from paywarden.schema import DATE_PARTS
+from paywarden.schema import DATE_PARTS, DAY_OF_TABLE, TABLE_DAY
 from paywarden.sources.readers import read_table
 
 
@@ -100,17 +102,44 @@ def append_table(
 ) -> None:
     """Append to a table, a Parquet folder below ``folder`` or JDBC.
 
-    ``again`` says that an earlier try of the same rows may have reached the target:
-    only then its keys are read, and rows that it has are left out.
+    ``again`` says that the target may hold some of the rows, from an earlier try or an
+    earlier alert of the same window: only then its keys are read, and rows that it has are left
+    out. Of tables that are looked up by day (``DAY_OF_TABLE``) keys are read only of the days of
+    these rows, by folder or, for JDBC, by a condition on the time.
     """
+    within = DAY_OF_TABLE.get(target)
     path = target if folder is None else f"{folder.rstrip('/')}/{target}"
+    spark = df.sparkSession
     if again:
         try:
-            df = unseen(df, read_table(df.sparkSession, path, **options), key)
+            existing = read_table(spark, path, days=True, **options)
+            if within:
+                existing = _same_days(existing, df, within, TABLE_DAY if "url" not in options else within)
+            df = unseen(df, existing, key)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    write_table(df, path, **options)
+    if within and "url" not in options:
+        write_partitioned(df.withColumn(TABLE_DAY, F.to_date(within)), path, (TABLE_DAY,))
+    else:
+        write_table(df, path, **options)
+
+
+def _same_days(existing: DataFrame, df: DataFrame, within: str, column: str) -> DataFrame:
+    """Rows of ``existing`` from the first to the last day of ``df``, or without a day if it has such."""
+    day = F.to_date(within)
+    span = df.agg(F.min(day).alias("first"), F.max(day).alias("last"),
+                  F.count_if(day.isNull()).alias("none")).first()
+    wanted = F.lit(False)
+    kind = existing.schema[column].dataType
+    # A table that has but rows without a day has a folder level without a type.
+    if span["first"] is not None and not isinstance(kind, T.NullType):
+        after = span["last"] + dt.timedelta(days=1)
+        first, after = (F.lit(d).cast(kind) for d in (span["first"], after))
+        wanted = (F.col(column) >= first) & (F.col(column) < after)
+    if span["none"]:
+        wanted = wanted | F.col(column).isNull()
+    return existing.filter(wanted)
 
 
 def unseen(df: DataFrame, existing: DataFrame, key: str = "transaction_id") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paywarden.schema import TRANSACTION_SCHEMA
+from paywarden.schema import TABLE_DAY, TRANSACTION_SCHEMA
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -24,17 +24,22 @@ def stream_transactions(
     return reader.json(path)
 
 
-def read_table(spark: SparkSession, source: str, view: str | None = None, **options) -> DataFrame:
+def read_table(
+    spark: SparkSession, source: str, view: str | None = None, days: bool = False, **options
+) -> DataFrame:
     """A result table by Parquet path, or by JDBC when ``url`` is among the options.
 
     For JDBC, pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
     ``numPartitions`` to spread a large table over tasks; without them Spark
-    reads it through one connection.
+    reads it through one connection. ``days`` keeps the folder level by day of Parquet tables.
     """
     if "url" in options:
         table = spark.read.format("jdbc").options(dbtable=source, **options).load()
     else:
+        # The folder level by day serves look-ups and is no column of the table.
         table = spark.read.options(**options).parquet(source)
+        if not days:
+            table = table.drop(TABLE_DAY)
     if view:
         table.createOrReplaceTempView(view)
     return table

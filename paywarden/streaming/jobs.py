@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,11 @@ from paywarden.operators.fraud import (
 )
 from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome
 from paywarden.session import require_utc
-from paywarden.sinks.writers import adaptive, append_table, balanced, write_partitioned
-from paywarden.streaming.ledger import Ledger, batch_folder, committed
+from paywarden.sinks.writers import append_table
+from paywarden.streaming.generations import AT_LEAST, compact
+from paywarden.streaming.ledger import Epoch, Ledger, committed
 from paywarden.streaming.prepare import checked_stream, velocity_stream
+from paywarden.streaming.writing import write_batch
 
 TRANSACTIONS_QUERY = "transactions"
 VELOCITY_QUERY = "velocity"
@@ -37,7 +40,8 @@ class StreamJob:
     ``tables`` switches on appends to the tables ``transactions`` and ``fraud_alerts``: JDBC
     options with ``url``, or ``folder`` for Parquet folders below it.
     ``run_id`` defaults to the id that Spark stores in the checkpoint, so a new
-    checkpoint is a new run.
+    checkpoint is a new run. ``compact_every`` brings the micro-batches together whenever so many
+    were committed.
     """
 
     output: str
@@ -47,6 +51,7 @@ class StreamJob:
     threshold: float = S.HIGH_VALUE_THRESHOLD
     trigger: dict = field(default_factory=lambda: {"processingTime": "0 seconds"})
     tables: dict | None = None
+    compact_every: int | None = None
 
     @property
     def checked(self) -> str:
@@ -80,34 +85,20 @@ def _run_of(spark: SparkSession, query: str, job: StreamJob) -> str:
     return next(q.id for q in spark.streams.active if q.name == name)
 
 
-def write_batch(
-    df: DataFrame, path: str, run_id: str, batch_id: int, by: Sequence[str] = ()
-) -> str:
-    """Write a micro-batch into the folder that it owns, replacing all of it.
-
-    A replay of the batch therefore leaves exactly its own rows, also when a
-    row has moved to another day in between. A batch without rows leaves no folder,
-    and "" is returned. What was written tells: asking the batch would compute it twice.
-    """
-    folder = batch_folder(path, run_id, batch_id)
-    with adaptive(df.sparkSession):
-        if by:
-            write_partitioned(df, folder, by, mode="overwrite")
-        else:
-            balanced(df).write.mode("overwrite").parquet(folder)
-        empty = df.sparkSession.read.schema(df.schema).parquet(folder).isEmpty()
-    if empty:
-        _remove(df.sparkSession, folder)
-        return ""
-    return folder
+class _Turn:
+    """The epoch of one start of a query, taken with its first micro-batch."""
 
+    def __init__(self, spark: SparkSession, query: str, job: StreamJob):
+        self.spark, self.query, self.job = spark, query, job
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    @cached_property
+    def epoch(self) -> Epoch:
+        return self.job.ledger(self.spark).take(self.query, _run_of(self.spark, self.query, self.job))
 
 
-def process_transactions(batch: DataFrame, batch_id: int, job: StreamJob, run_id: str) -> bool:
+def process_transactions(
+    batch: DataFrame, batch_id: int, job: StreamJob, run_id: str, epoch: Epoch | None = None
+) -> bool:
     """Processed, rejected and high-value rows of one micro-batch, in one write.
 
     Returns False when the ledger already lists the batch.
@@ -118,37 +109,49 @@ def process_transactions(batch: DataFrame, batch_id: int, job: StreamJob, run_id
         return False
     again = ledger.begin(TRANSACTIONS_QUERY, run_id, batch_id)
     routed = batch.withColumn("outcome", outcome(job.profile, job.threshold))
-    folder = write_batch(routed, job.checked, run_id, batch_id, ("outcome", *S.DATE_PARTS))
+    folder = write_batch(routed, job.checked, run_id, batch_id, ("outcome", *S.DATE_PARTS), epoch)
     if job.tables and folder:
         # Read back what was written: the batch itself is not computed twice.
         rows = spark.read.schema(job.checked_schema()).parquet(folder)
-        _append(transactions_of(rows, job), "transactions", "transaction_id", again, job)
+        append_table(transactions_of(rows, job), "transactions", "transaction_id", again, **job.tables)
         high = stamp_alerts(conform_high_value(high_value_of(rows, job)))
-        _append(high, "fraud_alerts", "fraud_alert_id", again, job)
-    ledger.mark_processed(TRANSACTIONS_QUERY, run_id, batch_id)
+        append_table(high, "fraud_alerts", "fraud_alert_id", again, **job.tables)
+    ledger.mark_processed(TRANSACTIONS_QUERY, run_id, batch_id, epoch)
+    if job.compact_every:
+        compact_transactions(spark, job, run_id, job.compact_every)
     return True
 
 
-def process_velocity(batch: DataFrame, batch_id: int, job: StreamJob, run_id: str) -> bool:
+def process_velocity(
+    batch: DataFrame, batch_id: int, job: StreamJob, run_id: str, epoch: Epoch | None = None
+) -> bool:
     """Velocity alerts of one micro-batch. In the table a window's alert stands once."""
     spark = batch.sparkSession
     ledger = job.ledger(spark)
     if ledger.is_processed(VELOCITY_QUERY, run_id, batch_id):
         return False
     ledger.begin(VELOCITY_QUERY, run_id, batch_id)
-    folder = write_batch(flat_velocity(batch), job.velocity, run_id, batch_id)
+    folder = write_batch(flat_velocity(batch), job.velocity, run_id, batch_id, epoch=epoch)
     if job.tables and folder:
         rows = spark.read.schema(S.VELOCITY_SCHEMA).parquet(folder)
         alerts = stamp_alerts(conform_velocity(rows, job.profile))
-        # A window whose count grows alerts again, so the table's keys are always looked at.
-        _append(alerts, "fraud_alerts", "fraud_alert_id", True, job)
-    ledger.mark_processed(VELOCITY_QUERY, run_id, batch_id)
+        # A window whose count grows alerts again, so the keys of the windows' days are looked at.
+        append_table(alerts, "fraud_alerts", "fraud_alert_id", True, **job.tables)
+    ledger.mark_processed(VELOCITY_QUERY, run_id, batch_id, epoch)
+    if job.compact_every:
+        compact_velocity(spark, job, run_id, job.compact_every)
     return True
 
 
-def _append(rows: DataFrame, table: str, key: str, again: bool, job: StreamJob) -> None:
-    """Append what the table lacks; its keys are read only if it may hold some of the rows."""
-    append_table(rows, table, key, again, **job.tables)
+def compact_transactions(spark: SparkSession, job: StreamJob, run_id: str, at_least: int = AT_LEAST) -> bool:
+    """Bring the committed micro-batches of the transactions query together."""
+    return compact(spark, job.checked, job.checked_schema(), job.ledger(spark), TRANSACTIONS_QUERY, run_id,
+                   ("outcome", *S.DATE_PARTS), at_least)
+
+
+def compact_velocity(spark: SparkSession, job: StreamJob, run_id: str, at_least: int = AT_LEAST) -> bool:
+    """Bring the committed micro-batches of the velocity query together."""
+    return compact(spark, job.velocity, S.VELOCITY_SCHEMA, job.ledger(spark), VELOCITY_QUERY, run_id, (), at_least)
 
 
 def transactions_of(rows: DataFrame, job: StreamJob) -> DataFrame:
@@ -174,8 +177,10 @@ def start_transactions(raw: DataFrame, job: StreamJob) -> StreamingQuery:
     spark = raw.sparkSession
     require_utc(spark)
 
+    turn = _Turn(spark, TRANSACTIONS_QUERY, job)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_transactions(batch, batch_id, job, _run_of(spark, TRANSACTIONS_QUERY, job))
+        process_transactions(batch, batch_id, job, turn.epoch.run_id, turn.epoch)
 
     return (
         checked_stream(raw, job.profile)
@@ -198,8 +203,10 @@ def start_velocity(
     spark = raw.sparkSession
     require_utc(spark)
 
+    turn = _Turn(spark, VELOCITY_QUERY, job)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_velocity(batch, batch_id, job, _run_of(spark, VELOCITY_QUERY, job))
+        process_velocity(batch, batch_id, job, turn.epoch.run_id, turn.epoch)
 
     return (
         velocity_stream(raw, job.profile, window=window, threshold=threshold)
