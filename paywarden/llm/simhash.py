@@ -42,11 +42,11 @@ from paywarden.llm.graph import components
 SHINGLE = 3
 SEED = 42
 NEAR = 2
-# Fingerprints that shards are laid out by, and how many a shard should have. There are at
-# most SAMPLE / SAMPLE_LEAF shards; with more fingerprints the shards are larger.
+# Fingerprints that shards are laid out by, on average half of them, and how many a shard should
+# have. There are at most SAMPLE / SAMPLE_LEAF shards; with more fingerprints the shards are larger.
 SAMPLE = 65_536
 SAMPLE_LEAF = 16
-SHARD = 20_000
+SHARD = 10_000
 LEAF = 64
 CANDIDATES = 6
 # Shingles hashed at once.
@@ -223,8 +223,10 @@ def spanning(prints: np.ndarray, found: Iterator[tuple[np.ndarray, np.ndarray]])
 def links(distinct: DataFrame) -> DataFrame:
     """Columns a and b: links that keep together all fingerprints (column print) that link."""
     rows = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("print"), "print").limit(SAMPLE).toPandas()["print"]
-    tree, _ = planted(sample.to_numpy(np.int64).view(np.uint64), -(-rows // SHARD))
+    # About SAMPLE / 2 fingerprints, chosen by a hash of their own.
+    one_in = F.lit(max(1, 2 * rows // SAMPLE))
+    sample = distinct.filter(F.pmod(F.xxhash64("print"), one_in) == 0).select("print").toPandas()["print"]
+    tree, _ = planted(np.sort(sample.to_numpy(np.int64)).view(np.uint64), -(-rows // SHARD))
 
     def deal(batches):
         for batch in batches:
