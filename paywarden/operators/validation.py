@@ -12,6 +12,8 @@ from paywarden.schema import HIGH_VALUE_THRESHOLD
 PROCESSED = "processed"
 REJECTED = "rejected"
 HIGH_VALUE = "high_value"
+MALFORMED = "malformed"
+LATE = "late"
 
 
 def validate(df: DataFrame, profile: Profile) -> DataFrame:

@@ -17,13 +17,16 @@ from paywarden.operators.fraud import (
     stamp_alerts,
     velocity_alerts,
 )
-from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome, validate
+from paywarden.operators.validation import HIGH_VALUE, MALFORMED, PROCESSED, REJECTED, outcome, validate
 from paywarden.session import require_utc
 from paywarden.sinks.writers import append_table, write_partitioned, write_velocity
-from paywarden.sources.readers import read_transactions
+from paywarden.sources.readers import read_lines
 from paywarden.streaming.ledger import Ledger
 
 
+LINE_FIELDS = (("malformed_line", T.StringType()), ("source_file", T.StringType()), ("block_start", T.LongType()))
+
+
 @dataclass(frozen=True)
 class BatchRun:
     """Folders of one run. Running it again replaces its output, and only its own."""
@@ -66,13 +69,21 @@ class BatchRun:
         return spark.read.schema(self.checked_schema()).parquet(self.checked)
 
     def read_valid(self, spark: SparkSession) -> DataFrame:
-        return self.read_checked(spark).filter(F.col("outcome") != REJECTED)
+        return self.read_checked(spark).filter(~F.col("outcome").isin(REJECTED, MALFORMED))
 
     def read_processed(self, spark: SparkSession) -> DataFrame:
         return self.read_checked(spark).filter(F.col("outcome") == PROCESSED)
 
     def read_rejected(self, spark: SparkSession) -> DataFrame:
-        return self.read_checked(spark).filter(F.col("outcome") == REJECTED)
+        """Rows that break a rule; lines that are no JSON object break many."""
+        return self.read_checked(spark).filter(F.col("outcome").isin(REJECTED, MALFORMED))
+
+    def read_malformed(self, spark: SparkSession) -> DataFrame:
+        """Lines that are no JSON object, with the file and block that they stood in."""
+        fields = [T.StructField(n, t) for n, t in LINE_FIELDS]
+        lines = spark.read.schema(T.StructType([*fields, T.StructField("outcome", T.StringType())]))
+        rows = lines.parquet(self.checked).filter(F.col("outcome") == MALFORMED)
+        return rows.select(*(n for n, _ in LINE_FIELDS))
 
     def read_high_value(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.high_value_schema()).parquet(self.high_value)
@@ -107,9 +118,12 @@ def run_batch(
     then written where they were read; otherwise one shuffle gathers each day first.
     """
     require_utc(spark)
-    timed = with_date_parts(with_event_time(read_transactions(spark, path)))
+    timed = with_date_parts(with_event_time(read_lines(spark, path)))
     checked = validate(timed, run.profile)
-    routed = checked.withColumn("outcome", outcome(run.profile))
+    malformed = F.col("malformed_line").isNotNull()
+    routed = checked.withColumn("outcome", F.when(malformed, F.lit(MALFORMED)).otherwise(outcome(run.profile)))
+    # Where a line stood is kept of malformed ones.
+    routed = routed.withColumns({n: F.when(malformed, F.col(n)) for n, _ in LINE_FIELDS[1:]})
     write_partitioned(
         routed, run.checked, ("outcome", *S.DATE_PARTS), mode="overwrite", rebalance=not clustered
     )
@@ -141,9 +155,9 @@ def batch_summary(spark: SparkSession, run: BatchRun) -> DataFrame:
         return F.coalesce(F.sum(F.when(F.col("part").isin(*names), F.col("count"))), F.lit(0))
 
     return counted.agg(
-        of(PROCESSED, HIGH_VALUE, REJECTED).alias("total_transactions"),
+        of(PROCESSED, HIGH_VALUE, REJECTED, MALFORMED).alias("total_transactions"),
         of(PROCESSED, HIGH_VALUE).alias("valid_transactions"),
-        of(REJECTED).alias("rejected_transactions"),
+        of(REJECTED, MALFORMED).alias("rejected_transactions"),
         of(S.HIGH_VALUE_RULE).alias("high_value_alerts"),
         of(S.VELOCITY_RULE).alias("velocity_alerts"),
     )

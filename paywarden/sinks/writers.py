@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paywarden.operators.fraud import flat_velocity
-from paywarden.schema import DATE_PARTS, DAY_OF_TABLE, TABLE_DAY
+from paywarden.schema import DATE_PARTS, DAY_OF_TABLE, EVENT_TIME, TABLE_DAY
 from paywarden.sources.readers import read_table
 
 
@@ -23,9 +23,14 @@ def adaptive(spark: SparkSession) -> Iterator[None]:
     Streaming queries run in a session with it switched off, and ``balanced`` has
     no effect without it. The micro-batch itself is planned by then.
     """
-    name = "spark.sql.adaptive.enabled"
+    with _set(spark, "spark.sql.adaptive.enabled", "true"):
+        yield
+
+
+@contextmanager
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -62,6 +67,23 @@ def write_partitioned(
     writer.partitionBy(*by).parquet(path)
 
 
+def write_clustered(
+    df: DataFrame, path: str, by: str = EVENT_TIME, bloom: str = "customer_id", values: int = 100_000,
+    mode: str = "append",
+) -> None:
+    """Parquet in files that hold a range of ``by`` each, with Bloom filters on another column.
+
+    A filter on ``by`` then opens the files of its range, and one on ``bloom`` the row groups whose
+    filter has the value; a row group should hold about ``values`` different ones at most. Times are written
+    as 64-bit numbers, as the older form has no statistics that a filter can use.
+    """
+    ranged = df.repartitionByRange(F.col(by).asc_nulls_first()).sortWithinPartitions(by)
+    writer = ranged.write.mode(mode).option(f"parquet.bloom.filter.enabled#{bloom}", "true")
+    writer = writer.option(f"parquet.bloom.filter.expected.ndv#{bloom}", str(values))
+    with _set(df.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
+        writer.parquet(path)
+
+
 def write_velocity(
     alerts: DataFrame, path: str, mode: str = "append", coalesce_to: int | None = None
 ) -> None:

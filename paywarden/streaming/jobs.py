@@ -21,7 +21,7 @@ from paywarden.operators.fraud import (
     stamp_alerts,
     tag,
 )
-from paywarden.operators.validation import HIGH_VALUE, PROCESSED, REJECTED, outcome
+from paywarden.operators.validation import HIGH_VALUE, LATE, PROCESSED, REJECTED, outcome
 from paywarden.session import require_utc
 from paywarden.sinks.writers import append_table
 from paywarden.streaming.generations import AT_LEAST, compact
@@ -41,7 +41,8 @@ class StreamJob:
     options with ``url``, or ``folder`` for Parquet folders below it.
     ``run_id`` defaults to the id that Spark stores in the checkpoint, so a new
     checkpoint is a new run. ``compact_every`` brings the micro-batches together whenever so many
-    were committed.
+    were committed. ``keep_late`` stores rows that come after the watermark under the outcome ``late``;
+    ``salts`` are for ids with a large share of the rows.
     """
 
     output: str
@@ -52,6 +53,8 @@ class StreamJob:
     trigger: dict = field(default_factory=lambda: {"processingTime": "0 seconds"})
     tables: dict | None = None
     compact_every: int | None = None
+    keep_late: bool = False
+    salts: int = 0
 
     @property
     def checked(self) -> str:
@@ -109,6 +112,9 @@ def process_transactions(
         return False
     again = ledger.begin(TRANSACTIONS_QUERY, run_id, batch_id)
     routed = batch.withColumn("outcome", outcome(job.profile, job.threshold))
+    if job.keep_late:
+        late = F.when(F.col("is_late"), F.lit(LATE)).otherwise(F.col("outcome"))
+        routed = routed.withColumn("outcome", late).drop("is_late")
     folder = write_batch(routed, job.checked, run_id, batch_id, ("outcome", *S.DATE_PARTS), epoch)
     if job.tables and folder:
         # Read back what was written: the batch itself is not computed twice.
@@ -163,6 +169,11 @@ def rejected_of(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("outcome") == REJECTED)
 
 
+def late_of(rows: DataFrame) -> DataFrame:
+    """Rows that came after the watermark, copies included; stored where the job keeps them."""
+    return rows.filter(F.col("outcome") == LATE)
+
+
 def high_value_of(rows: DataFrame, job: StreamJob) -> DataFrame:
     """High-value rows with the fraud columns, which are constants and not stored."""
     return tag(
@@ -183,7 +194,7 @@ def start_transactions(raw: DataFrame, job: StreamJob) -> StreamingQuery:
         process_transactions(batch, batch_id, job, turn.epoch.run_id, turn.epoch)
 
     return (
-        checked_stream(raw, job.profile)
+        checked_stream(raw, job.profile, salts=job.salts, late=job.keep_late)
         .writeStream.queryName(_stream_name(TRANSACTIONS_QUERY, job))
         .foreachBatch(each)
         .option("checkpointLocation", f"{job.checkpoint}/{TRANSACTIONS_QUERY}")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from paywarden.functions.columns import with_date_parts, with_event_time
 from paywarden.functions.rules import STREAM, Profile
@@ -50,16 +52,24 @@ def fold_copies(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def dedupe_stream(
-    df: DataFrame, keys: Sequence[str] = KEYS, bounded: bool = True
+    df: DataFrame, keys: Sequence[str] = KEYS, bounded: bool = True, salts: int = 0
 ) -> DataFrame:
     """One row per key of a watermarked stream.
 
+    With ``salts`` there are two stages: the first cuts each key to one row a salt, in as many tasks, so
+    that of a key with a large share of all rows no more than that reach the task of the
+    second. It doubles the state and adds a shuffle.
+
     Bounded: a key is forgotten once the watermark passes its event time, so
     state stays proportional to the delay. A row without a time has no such moment:
     it enters under the end of time, which keeps its key for good, and leaves without.
     Unbounded: a key is remembered for good and state grows with the number of keys
     ever seen.
     """
+    if salts:
+        # Spark fixes the seed of the salt for a micro-batch, so a task that is run again gives the same.
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.uuid()), F.lit(salts)))
+        df = dedupe_stream(salted, (*keys, "_salt"), bounded).drop("_salt")
     if not bounded:
         return df.dropDuplicates(list(keys))
     never = F.to_timestamp(F.lit(NEVER))
@@ -100,10 +110,11 @@ def prepare_stream(
 
 
 def _deduplicated(
-    raw: DataFrame, keys: Sequence[str], delay: str, bounded: bool, fold: bool, parts: bool = True
+    raw: DataFrame, keys: Sequence[str], delay: str, bounded: bool, fold: bool, parts: bool = True,
+    salts: int = 0,
 ) -> DataFrame:
     prepared = prepare_stream(raw, delay, keys if fold else (), parts)
-    return dedupe_stream(prepared, keys, bounded)
+    return dedupe_stream(prepared, keys, bounded, salts)
 
 
 def keyed_stream(
@@ -121,6 +132,8 @@ def checked_stream(
     bounded: bool = True,
     keep_unkeyed: bool = True,
     fold: bool = True,
+    salts: int = 0,
+    late: bool = False,
 ) -> DataFrame:
     """De-duplicated and validated rows, from one read of the source.
 
@@ -130,12 +143,62 @@ def checked_stream(
     the token for a micro-batch, so a task that is run again gives the same.
     With ``keep_unkeyed=False`` one row stands for all NULL ids and one for all
     blank ids.
+
+    ``salts`` are for ids that hold a large share of the rows (``dedupe_stream``). With ``late``,
+    rows that come after the watermark are there too, as they came, and ``is_late`` tells
+    them apart; the source is then read twice.
     """
     if not keep_unkeyed:
-        return validate(_deduplicated(raw, KEYS, delay, bounded, fold), profile)
-    marked = raw.withColumn("_token", F.when(has_key(), F.lit("")).otherwise(F.uuid()))
-    single = _deduplicated(marked, (*KEYS, "_token"), delay, bounded, fold)
-    return validate(single.drop("_token"), profile)
+        single = _deduplicated(raw, KEYS, delay, bounded, fold, salts=salts)
+    else:
+        marked = raw.withColumn("_token", F.when(has_key(), F.lit("")).otherwise(F.uuid()))
+        single = _deduplicated(marked, (*KEYS, "_token"), delay, bounded, fold, salts=salts).drop("_token")
+    if late:
+        single = single.withColumn("is_late", F.lit(False)).unionByName(late_rows(raw, delay))
+    return validate(single, profile)
+
+
+class _Late(StatefulProcessor):
+    """Lets through what the watermark has passed; keeps nothing."""
+
+    def __init__(self, names: list[str]):
+        self.row = T.Row(*names)
+
+    def init(self, handle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        for row in rows:
+            given = row.asDict()
+            # As Spark has it: a row on the watermark is late.
+            if given["_micros"] <= mark:
+                yield self.row(*(given.get(n) for n in self.row))
+
+    def close(self) -> None:
+        pass
+
+
+LATE_SLOTS = 200
+
+
+def late_rows(raw: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The rows of a stream that come after its watermark, which stateful operators drop.
+
+    The rows' time goes along as a plain number: Spark would drop late ones here as well if the column
+    still carried the watermark. Rows are spread over the tasks at random and none is kept.
+    """
+    timed = with_event_time(raw, keep=False).withWatermark(EVENT_TIME, delay)
+    names = [c for c in timed.columns if c != EVENT_TIME]
+    plain = timed.filter(F.col(EVENT_TIME).isNotNull()).select(
+        *names, F.unix_micros(EVENT_TIME).alias("_micros"),
+        F.pmod(F.xxhash64(F.uuid()), F.lit(LATE_SLOTS)).alias("_slot"))
+    schema = T.StructType([f for f in plain.schema.fields if f.name != "_slot"])
+    found = plain.groupBy("_slot").transformWithState(
+        statefulProcessor=_Late(schema.names), outputStructType=schema, outputMode="append",
+        timeMode="eventTime")
+    back = found.select(*names, F.timestamp_micros("_micros").alias(EVENT_TIME))
+    return with_date_parts(back).withColumn("is_late", F.lit(True))
 
 
 def velocity_stream(

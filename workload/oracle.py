@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from paywarden import schema as S
-from workload.tables import COPIES, FIELDS, MESSAGE, OWN_ID, SQUEEZE
+from workload.tables import COPIES, FIELDS, LINE, MESSAGE, OWN_ID, SQUEEZE
 
 _BASE = "epoch_us(TIMESTAMP '2024-01-01')"
 _SQUEEZED = f"make_timestamp({_BASE} + (epoch_us(ts) - {_BASE}) // {SQUEEZE})"
@@ -261,7 +261,42 @@ _STRICT_FLAGS = ", ".join(
     f"CASE WHEN {broken} THEN '{label}' END AS " + label.lower() for label, broken in STRICT_RULES
 )
 
+# Rows that come back: a failure with count c leads on to c + 1 until the third.
+_RETRIES = """SELECT transaction_id, CASE c WHEN 0 THEN 'RETRY_1' WHEN 1 THEN 'RETRY_2' ELSE 'DLQ' END AS route,
+    CASE WHEN c < 2 THEN CAST(c + 1 AS INTEGER) END AS next_retry_count,
+    CASE WHEN c >= 2 THEN 'HDFS_WRITE_FAILED_AFTER_RETRIES' END AS dlq_reason, false AS early
+    FROM (SELECT transaction_id, k, _retry_count + k AS c FROM (SELECT *, unnest(range(fails)) AS k
+        FROM (SELECT *, CAST(substring(transaction_id, 4) AS BIGINT) // 4 % 4 AS fails FROM parsed
+            WHERE transaction_id IS NOT NULL)))
+    WHERE k = 0 OR c <= 2"""
+
 _BODIES = {
+    "malformed_lines": f"""SELECT line AS malformed_line, true AS found_again FROM
+        (SELECT {LINE} AS line FROM events) WHERE CASE WHEN json_valid(line) THEN json_type(line) <> 'OBJECT'
+        ELSE true END""",
+    "lines_with_fields": f"""SELECT json_extract_string(line, '$.transaction_id') AS transaction_id,
+        TRY_CAST(json_extract_string(line, '$.amount') AS DOUBLE) AS amount,
+        json_extract_string(line, '$.status') AS status FROM (SELECT {LINE} AS line FROM events)
+        WHERE CASE WHEN json_valid(line) THEN json_type(line) = 'OBJECT' ELSE false END""",
+    "partial_kpi_alerts": _kpi("alerts"),
+    "partial_kpi_alerts_filtered": _kpi("chosen"),
+    "partial_kpi_alerts_customer": _kpi("alerts WHERE customer_id = 'CUST7'"),
+    "partial_alert_trend": _TREND,
+    "partial_alerts_by_rule": _by("fraud_rule", "alerts", "total_amount"),
+    "partial_alerts_by_customer_filtered": _by("customer_id", "chosen", "fraud_amount"),
+    "partial_alerts_by_merchant": _by("merchant", "alerts"),
+    "partial_date_bounds": _bounds("alerts_month"),
+    "clustered_alerts_filtered": """SELECT * FROM alerts_month WHERE customer_id = 'CUST7'
+        AND CAST(transaction_timestamp AS DATE) BETWEEN '2024-01-05' AND '2024-01-20'""",
+    "committed_after_compaction": f"SELECT * EXCLUDE (batch_id) FROM ({_runs('r2')})",
+    "stream_late_rows": f"""SELECT {_COLUMNS} FROM (SELECT * REPLACE (
+        concat('AGAIN-', transaction_id) AS transaction_id,
+        transaction_timestamp - INTERVAL 5 MINUTE AS transaction_timestamp)
+        FROM sent WHERE transaction_id <> '')
+        WHERE transaction_timestamp <= {_WATERMARK.format('once')}""",
+    "retry_release": _RETRIES,
+    "land_by_count": """SELECT event_id, event_id % 8 AS queue, CAST((row_number() OVER
+        (PARTITION BY event_id % 8 ORDER BY event_id) - 1) // 5 AS BIGINT) AS batch_no FROM events""",
     "event_time_parts": f"SELECT *, {_PARTS} FROM wire",
     "json_lines_scan": "SELECT * EXCLUDE (timestamp) FROM wire",
     "validate_batch": "SELECT * FROM tx_batch",

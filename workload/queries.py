@@ -21,8 +21,9 @@ from paywarden.plans.batch import BatchRun, run_batch
 from paywarden.plans.duplicates import DuplicateRun, run_duplicates, stored_ids
 from paywarden.plans.report import report
 from paywarden.session import work_folder
-from paywarden.sinks.writers import unseen, write_partitioned, write_table, write_velocity
-from paywarden.sources.readers import read_table, read_transactions, stream_transactions
+from paywarden.plans.partials import ReportPartials
+from paywarden.sinks.writers import unseen, write_clustered, write_partitioned, write_table, write_velocity
+from paywarden.sources.readers import read_lines, read_table, read_transactions, stream_transactions
 from paywarden.streaming import jobs as J
 from paywarden.streaming.landing import (
     land_messages,
@@ -33,7 +34,9 @@ from paywarden.streaming.landing import (
 )
 from paywarden.streaming.ledger import Ledger
 from paywarden.streaming.prepare import checked_stream
+from paywarden.streaming.timers import RetryTable, drain, gather, start_retries
 from workload.tables import (
+    LINE,
     event_stream,
     events,
     messages,
@@ -122,6 +125,26 @@ def json_lines_scan(spark, sf_dir):
     return with_event_time(read_transactions(spark, path), keep=False)
 
 
+@query
+def malformed_lines(spark, sf_dir):
+    """Lines of a batch run that are no JSON object, from its checked Parquet."""
+    source = work_folder(spark, "broken-lines")
+    events(spark, sf_dir).select(F.expr(LINE).alias("value")).write.text(source)
+    run = BatchRun(work_folder(spark, "batch-output"), "r1")
+    run_batch(spark, source, run)
+    return run.read_malformed(spark).select(
+        "malformed_line", F.col("source_file").contains(source.rsplit("/", 1)[-1]).alias("found_again"))
+
+
+@query
+def lines_with_fields(spark, sf_dir):
+    """The fields of the other lines, among them such with a field of the wrong type."""
+    source = work_folder(spark, "broken-lines")
+    events(spark, sf_dir).select(F.expr(LINE).alias("value")).write.text(source)
+    rows = read_lines(spark, source).filter("malformed_line IS NULL")
+    return rows.select("transaction_id", "amount", "status")
+
+
 @query
 def validate_batch(spark, sf_dir):
     return V.validate(transactions(spark, sf_dir), BATCH)
@@ -372,6 +395,64 @@ def recent_alerts_filtered(spark, sf_dir):
     return report(valid(spark, sf_dir), month_of_alerts(spark, sf_dir), **FILTER)["recent"]
 
 
+def _partials(spark, sf_dir, rows):
+    """Partials of an alert table that came in two batches, the second of them twice."""
+    partials = ReportPartials(spark, work_folder(spark, "partials"))
+    first = F.pmod(F.crc32(F.coalesce("customer_id", F.lit("")).cast("binary")), F.lit(3)) == 0
+    partials.add(rows.filter(first), "1")
+    for _ in range(2):
+        partials.add(rows.filter(~first | (F.col("fraud_rule") == "")), "2")
+    return partials
+
+
+@query
+def partial_kpi_alerts(spark, sf_dir):
+    return _partials(spark, sf_dir, alerts(spark, sf_dir)).kpi_alerts()
+
+
+@query
+def partial_kpi_alerts_filtered(spark, sf_dir):
+    return _partials(spark, sf_dir, month_of_alerts(spark, sf_dir)).kpi_alerts(**FILTER)
+
+
+@query
+def partial_kpi_alerts_customer(spark, sf_dir):
+    return _partials(spark, sf_dir, alerts(spark, sf_dir)).kpi_alerts(customer=CUSTOMER)
+
+
+@query
+def partial_alert_trend(spark, sf_dir):
+    return _partials(spark, sf_dir, month_of_alerts(spark, sf_dir)).alert_trend()
+
+
+@query
+def partial_alerts_by_rule(spark, sf_dir):
+    return _partials(spark, sf_dir, alerts(spark, sf_dir)).alerts_by("fraud_rule", "total_amount")
+
+
+@query
+def partial_alerts_by_customer_filtered(spark, sf_dir):
+    return _partials(spark, sf_dir, month_of_alerts(spark, sf_dir)).alerts_by("customer_id", "fraud_amount", **FILTER)
+
+
+@query
+def partial_alerts_by_merchant(spark, sf_dir):
+    return _partials(spark, sf_dir, alerts(spark, sf_dir)).alerts_by("merchant")
+
+
+@query
+def partial_date_bounds(spark, sf_dir):
+    return _partials(spark, sf_dir, month_of_alerts(spark, sf_dir)).date_bounds()
+
+
+@query
+def clustered_alerts_filtered(spark, sf_dir):
+    """A customer's alerts of some days, from files that are laid out for both conditions."""
+    path = work_folder(spark, "clustered")
+    write_clustered(month_of_alerts(spark, sf_dir), path)
+    return R.alert_filter(spark.read.parquet(path), customer=CUSTOMER, dates=FILTER["dates"])
+
+
 @query
 def fraud_summary_view(spark, sf_dir):
     R.register_views(alerts(spark, sf_dir))
@@ -484,7 +565,7 @@ def stream_dedupe(spark, sf_dir):
     folder = work_folder(spark, "stream-dedupe")
 
     def start(raw):
-        checked_stream(raw).select(*S.TRANSACTION_COLUMNS).writeStream.format("parquet").option(
+        checked_stream(raw, salts=4).select(*S.TRANSACTION_COLUMNS).writeStream.format("parquet").option(
             "path", f"{folder}/out"
         ).option("checkpointLocation", f"{folder}/checkpoint").trigger(
             availableNow=True
@@ -544,7 +625,7 @@ def latest_velocity_two_runs(spark, sf_dir):
 class _Unmarked(Ledger):
     """A crash after all output and before the mark."""
 
-    def mark_processed(self, query, run_id, batch_id):
+    def mark_processed(self, query, run_id, batch_id, epoch=None):
         pass
 
 
@@ -598,6 +679,26 @@ def stream_late_drop(spark, sf_dir):
     )
 
 
+@query
+def stream_late_rows(spark, sf_dir):
+    """The other rows of ``stream_late_drop``, stored as late; copies among them are all there."""
+    source = work_folder(spark, "late-input")
+    rows = wire_copies(events(spark, sf_dir))
+    rows.write.json(source)
+    job = _job(spark, keep_late=True)
+    J.start_transactions(stream_transactions(spark, source), job).awaitTermination()
+    earlier = F.try_to_timestamp("timestamp") - F.expr("INTERVAL 5 MINUTES")
+    rows.withColumns(
+        {
+            "transaction_id": F.concat(F.lit("AGAIN-"), F.nullif("transaction_id", F.lit(""))),
+            "timestamp": F.date_format(earlier, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        }
+    ).write.mode("append").json(source)
+    J.start_transactions(stream_transactions(spark, source), job).awaitTermination()
+    late = J.late_of(J.committed_transactions(spark, job))
+    return late.filter(F.col("transaction_id").startswith("AGAIN-")).select(*S.TRANSACTION_COLUMNS)
+
+
 COMMITTED = ("run_id", "batch_id", "outcome", *S.TRANSACTION_COLUMNS)
 
 
@@ -634,6 +735,22 @@ def committed_read(spark, sf_dir):
     return J.committed_transactions(spark, job).select(*COMMITTED)
 
 
+@query
+def committed_after_compaction(spark, sf_dir):
+    """The rows of ``committed_read``, in batches by event, some of them brought together twice."""
+    job = _job(spark)
+    rows = _checked_table(spark, sf_dir)
+    part = F.pmod(F.crc32(F.coalesce("transaction_id", F.lit("")).cast("binary")), F.lit(6))
+    for run_id in ("r1", "r2"):
+        for n in range(6):
+            J.process_transactions(rows.filter(part == n), n, job, run_id)
+            if n in (2, 4):
+                J.compact_transactions(spark, job, run_id, at_least=2)
+    routed = rows.withColumn("outcome", V.outcome(STREAM))
+    J.write_batch(routed, job.checked, "r1", 6, ("outcome", *S.DATE_PARTS))
+    return J.committed_transactions(spark, job).select(*COMMITTED).drop("batch_id")
+
+
 # --- queue messages ---------------------------------------------------------------------
 
 MESSAGE_FIELDS = ("transaction_id", "customer_id", "amount", "currency", "status")
@@ -717,3 +834,54 @@ def stream_landed_messages(spark, sf_dir):
     J.start_transactions(landed, job).awaitTermination()
     rows = J.committed_transactions(spark, job)
     return rows.select(*MESSAGE_FIELDS, "outcome", "rejection_reason")
+
+
+# Times that the write of a message fails, by the number in its id.
+_FAILURES = "pmod(CAST(substring(get_json_object({}, '$.transaction_id'), 4) AS BIGINT) div 4, 4)"
+
+
+@query
+def retry_release(spark, sf_dir):
+    """Each step at which a failed message comes back, until its write succeeds or it is dead.
+
+    The delays are a tenth of what they are; no row may come back before its own.
+    """
+    folder = work_folder(spark, "retries")
+    table = RetryTable(f"{folder}/table")
+    good, _ = M.parse_messages(messages(events(spark, sf_dir)))
+    fails = F.coalesce(F.expr(_FAILURES.format("raw_message")), F.lit(0))
+    start = good.withColumn("fails", fails).filter("fails > 0")
+    # How often a message was tried before the first failure here.
+    tried = start.select(F.col("raw_message").alias("raw"), F.col("_retry_count").alias("tried"), "fails")
+    tried.write.parquet(f"{folder}/tried")
+    table.add_failed(start, "first")
+
+    def attempt(released):
+        before = spark.read.parquet(f"{folder}/tried")
+        again = released.withColumn("_retry_count", F.col("headers")["retry_count"]).join(before, "raw")
+        again = again.filter(F.col("_retry_count") - F.col("tried") < F.col("fails"))
+        return again.select(F.col("raw").alias("raw_message"), "_retry_count")
+
+    query = start_retries(spark, table, f"{folder}/checkpoint", attempt, scale=0.1,
+                          trigger={"processingTime": "0 seconds"})
+    drain(query, lambda: table.waiting(spark) == 0)
+    back = table.given_back(spark)
+    early = F.coalesce(F.col("released_ms") < F.col("due_ms"), F.lit(False))
+    return back.select(F.get_json_object("raw", "$.transaction_id").alias("transaction_id"), "route",
+                       "next_retry_count", "dlq_reason", early.alias("early"))
+
+
+@query
+def land_by_count(spark, sf_dir):
+    """Messages of eight queues, landed by five or when time is up; the number of each one's batch."""
+    folder = work_folder(spark, "by-count")
+    stream = event_stream(spark, sf_dir).select("event_id", F.pmod("event_id", F.lit(8)).alias("queue"))
+    total = events(spark, sf_dir).count()
+    query = (gather(stream, "queue", "event_id", millis=500).writeStream.format("parquet")
+             .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").start())
+
+    def landed():
+        return spark.read.schema("event_id long, queue long, batch_no long").parquet(f"{folder}/out")
+
+    drain(query, lambda: query.lastProgress is not None and landed().count() == total)
+    return landed()

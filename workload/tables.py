@@ -63,6 +63,17 @@ MESSAGE = f"""CASE event_id % 20
         WHEN 9 THEN CAST(event_id AS STRING)
         ELSE {_BODY} END"""
 
+# Lines of a file, some of which are no JSON object.
+LINE = f"""CASE event_id % 20
+        WHEN 0 THEN concat('{{bad', CAST(event_id AS STRING))
+        WHEN 2 THEN concat('"x', CAST(event_id AS STRING), '"')
+        WHEN 5 THEN concat('{{"transaction_id":"TXN', CAST(event_id AS STRING))
+        WHEN 7 THEN '{{}}'
+        WHEN 8 THEN concat('{{"transaction_id":"TXN', CAST(event_id AS STRING), '","amount":"12x"}}')
+        WHEN 9 THEN CAST(event_id AS STRING)
+        WHEN 11 THEN concat('{{"amount":[', CAST(event_id AS STRING), ']}}')
+        ELSE {_BODY} END"""
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
