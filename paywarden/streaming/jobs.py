@@ -25,9 +25,10 @@ from paywarden.operators.validation import HIGH_VALUE, LATE, PROCESSED, REJECTED
 from paywarden.session import require_utc
 from paywarden.sinks.writers import append_table
 from paywarden.streaming.generations import AT_LEAST, compact
+from paywarden.streaming.history import KeyHistory
 from paywarden.streaming.ledger import Epoch, Ledger, committed
-from paywarden.streaming.prepare import checked_stream, velocity_stream
-from paywarden.streaming.writing import write_batch
+from paywarden.streaming.prepare import checked_stream, has_key, velocity_stream
+from paywarden.streaming.writing import remove, write_batch
 
 TRANSACTIONS_QUERY = "transactions"
 VELOCITY_QUERY = "velocity"
@@ -42,7 +43,8 @@ class StreamJob:
     ``run_id`` defaults to the id that Spark stores in the checkpoint, so a new
     checkpoint is a new run. ``compact_every`` brings the micro-batches together whenever so many
     were committed. ``keep_late`` stores rows that come after the watermark under the outcome ``late``;
-    ``salts`` are for ids with a large share of the rows.
+    ``salts`` are for ids with a large share of the rows. ``keep_keys`` keeps the ids of all batches and
+    drops copies that come after the watermark has passed the first.
     """
 
     output: str
@@ -55,6 +57,7 @@ class StreamJob:
     compact_every: int | None = None
     keep_late: bool = False
     salts: int = 0
+    keep_keys: bool = False
 
     @property
     def checked(self) -> str:
@@ -111,11 +114,22 @@ def process_transactions(
     if ledger.is_processed(TRANSACTIONS_QUERY, run_id, batch_id):
         return False
     again = ledger.begin(TRANSACTIONS_QUERY, run_id, batch_id)
+    if job.keep_keys:
+        # Stored first: the micro-batch itself is not computed twice.
+        stored = f"{job.output}/key_history/rows/{run_id}-{batch_id}"
+        batch.write.mode("overwrite").parquet(stored)
+        history = KeyHistory(spark, f"{job.output}/key_history/{run_id}")
+        batch = history.unseen(spark.read.schema(batch.schema).parquet(stored), str(batch_id))
     routed = batch.withColumn("outcome", outcome(job.profile, job.threshold))
     if job.keep_late:
         late = F.when(F.col("is_late"), F.lit(LATE)).otherwise(F.col("outcome"))
         routed = routed.withColumn("outcome", late).drop("is_late")
     folder = write_batch(routed, job.checked, run_id, batch_id, ("outcome", *S.DATE_PARTS), epoch)
+    if job.keep_keys:
+        if folder:
+            kept = spark.read.schema(job.checked_schema()).parquet(folder).filter(has_key())
+            history.add(kept, F.to_date(S.EVENT_TIME), str(batch_id))
+        remove(spark, stored)
     if job.tables and folder:
         # Read back what was written: the batch itself is not computed twice.
         rows = spark.read.schema(job.checked_schema()).parquet(folder)

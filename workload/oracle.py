@@ -366,6 +366,8 @@ _BODIES = {
         WHERE transaction_id IN ({_repeated("wire")})""",
     "stream_dedupe": "SELECT * FROM first",
     "stream_routing": f"SELECT *, {_OUTCOME}, {_PARTS} FROM first_stream",
+    "stream_dedupe_history": f"SELECT {_COLUMNS} FROM (SELECT {_OWN_LIST}, ts AS transaction_timestamp FROM events)",
+    "stream_routing_one_start": f"SELECT *, {_OUTCOME}, {_PARTS} FROM first_stream",
     "stream_velocity_append": f"{_STREAM_VELOCITY} WHERE window_end <= {_WATERMARK.format(_KEYED)}",
     "stream_velocity_update_latest": _STREAM_VELOCITY,
     "run_streams": f"""SELECT {_COLUMNS}, {_HIGH_TAGS} FROM valid_first WHERE amount > 100000

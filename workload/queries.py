@@ -40,6 +40,7 @@ from workload.tables import (
     event_stream,
     events,
     messages,
+    month,
     sendings,
     transactions,
     wire,
@@ -66,18 +67,11 @@ def valid(spark: SparkSession, sf_dir: str, profile: Profile = BATCH, **options)
     return V.valid_rows(transactions(spark, sf_dir, **options), profile)
 
 
-# Folder of a stored alert table, by session, test tables and kind.
-_STORED: dict[tuple[str, str, str], str] = {}
-
-
-def _stored(spark: SparkSession, sf_dir: str, kind: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """An alert table, written when first asked for; all reports read the stored one."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _STORED:
-        folder = work_folder(spark, kind)
-        make().write.parquet(folder)
-        _STORED[key] = folder
-    return read_table(spark, _STORED[key])
+def _stored(spark: SparkSession, kind: str, rows: DataFrame) -> DataFrame:
+    """An alert table, derived and written by each query that reports on it."""
+    folder = work_folder(spark, kind)
+    rows.write.parquet(folder)
+    return read_table(spark, folder)
 
 
 def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,17 +82,14 @@ def derived_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, "alerts", lambda: derived_alerts(spark, sf_dir))
+    return _stored(spark, "alerts", derived_alerts(spark, sf_dir))
 
 
 def month_of_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert table in real time, velocity per day."""
-    def make():
-        rows = valid(spark, sf_dir, squeezed=False)
-        both = X.all_alerts(X.high_value_alerts(rows), X.velocity_alerts(rows, "1 day"), BATCH)
-        return X.stamp_alerts(both, F.col(S.EVENT_TIME))
-
-    return _stored(spark, sf_dir, "month-of-alerts", make)
+    rows = valid(spark, sf_dir, squeezed=False)
+    both = X.all_alerts(X.high_value_alerts(rows), X.velocity_alerts(rows, "1 day"), BATCH)
+    return _stored(spark, "month-of-alerts", X.stamp_alerts(both, F.col(S.EVENT_TIME)))
 
 
 # A customer that has alerts in the test tables of every size.
@@ -575,6 +566,18 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.schema(S.TRANSACTION_TABLE_SCHEMA).parquet(f"{folder}/out")
 
 
+@query
+def stream_dedupe_history(spark, sf_dir):
+    """A month in two halves; with the second come copies of the first, two weeks later by their time."""
+    job, source = _job(spark, keep_keys=True), work_folder(spark, "history-input")
+    rows = month(spark, sf_dir)
+    for part in (rows.filter("late_half = 0"), rows.filter("late_half = 1").unionByName(
+            rows.filter("late_half = 0 AND transaction_id <> ''").withColumn("timestamp", F.col("two_weeks_on")))):
+        part.select(*S.TRANSACTION_SCHEMA.names).write.mode("append").json(source)
+        J.start_transactions(stream_transactions(spark, source), job).awaitTermination()
+    return J.committed_transactions(spark, job).select(*S.TRANSACTION_COLUMNS)
+
+
 @query
 def stream_routing(spark, sf_dir):
     job = _job(spark)
@@ -584,6 +587,17 @@ def stream_routing(spark, sf_dir):
     return rows.select("outcome", "rejection_reason", *S.TRANSACTION_COLUMNS, *S.DATE_PARTS)
 
 
+@query
+def stream_routing_one_start(spark, sf_dir):
+    """The same rows, all there when the query starts for the first and only time."""
+    job, source = _job(spark), work_folder(spark, "stream-input")
+    for rows in sendings(spark, sf_dir):
+        rows.write.mode("append").json(source)
+    J.start_transactions(stream_transactions(spark, source), job).awaitTermination()
+    rows = J.committed_transactions(spark, job)
+    return rows.select("outcome", "rejection_reason", *S.TRANSACTION_COLUMNS, *S.DATE_PARTS)
+
+
 def _velocity(spark, sf_dir, mode):
     job = _job(spark)
     _send(spark, sf_dir, work_folder(spark, "stream-input"),

@@ -115,6 +115,15 @@ def wire_copies(source: DataFrame, copies: str = COPIES) -> DataFrame:
     return sent.selectExpr(*_columns(fields))
 
 
+def month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten message fields in real time, whether in the second half of the month, and a later time."""
+    text = """date_format({}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")"""
+    fields = FIELDS | {"transaction_id": OWN_ID, "timestamp": text.format(_MONTH)}
+    later = text.format(f"{_MONTH} + INTERVAL '14' DAY")
+    return events(spark, sf_dir).selectExpr(
+        *_columns(fields), "CAST(ts >= timestamp_ntz'2024-01-16 00:00:00' AS INT) AS late_half", f"{later} AS two_weeks_on")
+
+
 # Minutes at which a sending ends; windows of five minutes lie across them.
 SENDINGS = (48, 97)
 
