@@ -137,3 +137,22 @@ def test_command_line(spark, tmp_path, daily, monkeypatch, capsys):
     assert "velocity_alerts" in shown and "duplicate_transaction_ids" in shown
     job = StreamJob(str(tmp_path / "s"), str(tmp_path / "c"))
     assert committed_transactions(spark, job).count() == 12
+
+
+def test_command_line_of_messages_and_report(spark, tmp_path, monkeypatch):
+    rows = [('{"transaction_id":"a","amount":5}', None), ("{bad", {"retry_count": 1})]
+    spark.createDataFrame(rows, "raw string, headers map<string,int>").write.parquet(str(tmp_path / "queue"))
+    monkeypatch.setattr(sys, "argv", ["paywarden", "land", str(tmp_path / "queue"), str(tmp_path / "landed"),
+                                      str(tmp_path / "c"), "--once"])
+    cli.main()
+    assert spark.read.json(str(tmp_path / "landed")).count() == 2
+    daily = write_lines(tmp_path / "in", "a.json", DAILY)
+    tables = str(tmp_path / "tables")
+    monkeypatch.setattr(sys, "argv", ["paywarden", "stream", daily, str(tmp_path / "s"), str(tmp_path / "c2"), "--once",
+                                      "--keep-late", "--keep-keys", "--compact-every", "1", "--tables", tables])
+    cli.main()
+    monkeypatch.setattr(sys, "argv", ["paywarden", "report", f"{tables}/transactions", f"{tables}/fraud_alerts",
+                                      str(tmp_path / "report"), "--dates", "2027-03-01", "2027-03-31"])
+    cli.main()
+    assert spark.read.json(str(tmp_path / "report" / "by_rule")).count() == 2
+    assert spark.read.json(str(tmp_path / "report" / "transactions")).first()["total_transactions"] == 8
