@@ -129,6 +129,10 @@ class KeyHistory:
         seen = self.spark.read.schema("key string").parquet(folder)
         return rows.join(seen, rows[name] == seen["key"], "left_anti")
 
+    def done(self, batch: str) -> None:
+        """Remove what the look-up of a batch has left."""
+        remove(self.spark, f"{self.path}/seen/batch={batch}")
+
     def settle(self, before: dt.date) -> int:
         """Bring together the keys of days before ``before``, a folder a run; returns how many batches went.
 

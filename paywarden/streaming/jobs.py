@@ -129,6 +129,7 @@ def process_transactions(
         if folder:
             kept = spark.read.schema(job.checked_schema()).parquet(folder).filter(has_key())
             history.add(kept, F.to_date(S.EVENT_TIME), str(batch_id))
+        history.done(str(batch_id))
         remove(spark, stored)
     if job.tables and folder:
         # Read back what was written: the batch itself is not computed twice.
