@@ -2,10 +2,11 @@
 
 Every version of a text is addressed by its content. The ledger is a Parquet folder with
 a row for each finding of a blob under a rule and its version, and one row without a
-place where nothing was found. A scan looks only at pairs of blob and rule version that
+place for every pair of blob and rule version that was scanned. A scan looks only at pairs that
 the ledger lacks, adds them as one batch, and joins the findings back to all paths.
 
-Copies are folded in each task before blobs are shuffled. Matches of a blob are numbered
+Only texts that have copies are shuffled, folded in each task first, and, where a ledger is
+there already, those that are held against it. Matches of a blob are numbered
 and placed by the lengths of what lies between them, in code points, end exclusive.
 
 NULL texts count as empty. Repeated rows give repeated rows. An empty table has no
@@ -14,13 +15,15 @@ findings. Texts are scanned whole. Columns besides key and text are ignored.
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from paywarden.llm.common import fresh, shared_folder
+from paywarden.llm.common import fresh, once, shared_folder, stash
 
 
 @dataclass(frozen=True)
@@ -63,9 +66,8 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_unseen(docs: DataFrame, ledger: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """Ledger rows for pairs of blob and rule version that ``ledger`` lacks."""
-    blobs = docs.select(_blob(text).alias("blob"),
-                        F.coalesce(F.col(text), F.lit("")).alias("body"))
-    blobs = blobs.groupBy("blob").agg(F.first("body").alias("body"))
+    bodies = once(docs.select(F.coalesce(F.col(text), F.lit("")).alias("body")), "body")
+    blobs = bodies.select(_blob("body").alias("blob"), "body")
     seen = ledger.groupBy("blob").agg(
         F.collect_set(F.concat_ws("@", "kind", F.col("version").cast("string"))).alias("seen"))
     blobs = blobs.join(seen, "blob", "left")
@@ -75,7 +77,8 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame, rules=RULES, text: str = "te
                             _lengths(r).alias("found")))
         for r in rules))
     pairs = blobs.select("blob", F.explode(F.filter(scanned, lambda x: x.isNotNull())).alias("x"))
-    rows = pairs.select("blob", "x.kind", "x.version", F.posexplode_outer("x.found").alias("i", "f"))
+    # After its matches, if any, each pair has an entry without a place.
+    rows = pairs.select("blob", "x.kind", "x.version", F.posexplode("x.found").alias("i", "f"))
     # The place of a match is what all matches before it, and all gaps up to it, take.
     order = Window.partitionBy("blob", "kind").orderBy("i")
     rows = rows.select("blob", "kind", "version", "f.size", "f.good",
@@ -88,7 +91,7 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame, rules=RULES, text: str = "te
 
 
 def _lengths(rule: Rule):
-    """An entry for each match: the gap before it, its size, and whether it is long enough."""
+    """An entry for each match: the gap before it, its size, and whether it is long enough; and an empty one."""
     body, pattern = F.col("body"), F.lit(rule.pattern)
     whole = F.regexp_extract_all(body, pattern, F.lit(0))
     inner = F.regexp_extract_all(body, pattern, F.lit(rule.group))
@@ -97,7 +100,9 @@ def _lengths(rule: Rule):
         F.arrays_zip(whole.alias("w"), inner.alias("g"), F.slice(gaps, 1, F.size(whole)).alias("p")),
         lambda x: F.struct(F.length(x["p"]).alias("gap"), F.length(x["w"]).alias("size"),
                            (F.length(x["g"]) >= rule.least).alias("good")))
-    return F.when(body.rlike(rule.pattern), entries)
+    kind = "array<struct<gap:int,size:int,good:boolean>>"
+    empty = F.array(F.struct(*(F.lit(None) for _ in range(3)))).cast(kind)
+    return F.when(body.rlike(rule.pattern), F.concat(entries.cast(kind), empty)).otherwise(empty)
 
 
 def commit(rows: DataFrame, folder: str, batch: str) -> None:
@@ -151,8 +156,10 @@ def clean(docs: DataFrame, rules=RULES, text: str = "text", mask: str = "<secret
     """``docs`` with each secret masked, through a ledger of its own. No document is dropped."""
     blob, spans = fresh(docs, "_blob"), fresh(docs, "_spans")
     ledger = update(docs, shared_folder(docs.sparkSession, "ledger"), "0", rules, text)
-    joined = docs.withColumn(blob, _blob(text)).join(
-        by_blob(ledger, rules).withColumnsRenamed({"blob": blob, "spans": spans}), blob, "left")
+    # A text without any match has no span: it stays where it is.
+    matches = F.coalesce(functools.reduce(operator.or_, (F.col(text).rlike(r.pattern) for r in rules)), F.lit(False))
+    found = stash(by_blob(ledger, rules).withColumnsRenamed({"blob": blob, "spans": spans}), "spans")
+    joined = docs.filter(matches).withColumn(blob, _blob(text)).join(found, blob, "left")
     # Spans that overlap are masked as one; then the text is put together from what is between.
     merged = F.aggregate(
         spans, F.array().cast("array<struct<start:bigint,end:bigint>>"),
@@ -169,4 +176,4 @@ def clean(docs: DataFrame, rules=RULES, text: str = "text", mask: str = "<secret
     between = F.zip_with(begins, ends, lambda a, b: F.substring(
         F.col(text), (a + 1).cast("int"), (b - a).cast("int")))
     masked = F.when(F.col(spans).isNull(), F.col(text)).otherwise(F.concat_ws(mask, between))
-    return rows.withColumn(text, masked).select(*docs.columns)
+    return docs.filter(~matches).unionByName(rows.withColumn(text, masked).select(*docs.columns))
