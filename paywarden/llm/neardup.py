@@ -261,7 +261,6 @@ def linked(rows: DataFrame, sketch: str, text: str = "text",
     postings = texts.select("id", "size", F.explode("buckets").alias("bucket"))
     shared = postings.groupBy("bucket").agg(
         F.min("id").alias("pivot"), F.count("id").alias("n"), F.sum("size").alias("bytes"))
-    postings = postings.drop("size")
     members = stash(postings.join(shared.filter("n > 1"), "bucket"), "members")
     firsts = members.filter("id <> pivot").select(
         F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
@@ -277,19 +276,39 @@ def linked(rows: DataFrame, sketch: str, text: str = "text",
     return texts.select("digest", "id"), comps
 
 
+def _blocks(n, size):
+    """In how many blocks texts are dealt, by their number and bytes."""
+    return F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+
+
+def _dealt(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members (bucket, id, size) of buckets with several components, a row for each pair of blocks to meet in."""
+    placed = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    sized = placed.groupBy("bucket", "comp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    # Texts of a bucket's largest class need not meet each other, only the texts of other classes.
+    mixed = sized.groupBy("bucket").agg(
+        F.max(F.struct("n", "bytes", "comp")).alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    mixed = stash(mixed.filter("n > main.n").select(
+        "bucket", F.col("main.comp").alias("main"), _blocks(F.col("main.n"), F.col("main.bytes")).alias("mains"),
+        _blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes")).alias("others")), "mixed")
+    placed = placed.select("bucket", "id", "comp").join(mixed, "bucket")
+    # A class or the rest of a bucket that a block does not hold is dealt to several; all pairs of blocks
+    # meet but those of the largest class.
+    usual = F.col("comp") == F.col("main")
+    number = F.xxhash64("id")
+    own = F.when(usual, F.pmod(number, "mains")).otherwise(F.col("mains") + F.pmod(number, "others")).cast("int")
+    first = F.when(usual, F.col("mains")).otherwise(F.lit(0))
+    placed = placed.select("bucket", "id", "comp", own.alias("own"),
+                           F.explode(F.sequence(first, F.col("mains") + F.col("others") - 1)).alias("other"))
+    return placed.select("bucket", "id", "comp", "own", F.least("own", "other").alias("i"),
+                         F.greatest("own", "other").alias("j"))
+
+
 def _across(members: DataFrame, texts: DataFrame, bodies: DataFrame, comps: DataFrame,
             threshold: float) -> DataFrame:
     """Links between components that share a bucket: enough of them to join what is linked."""
-    placed = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    placed = placed.join(mixed.filter("lo <> hi").select("bucket"), "bucket", "left_semi")
-    # A bucket with more texts than a block holds is dealt as all pairs of its blocks.
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    placed = placed.select("bucket", "id", "comp", own.alias("own"),
-                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    placed = placed.select("bucket", "id", "comp", "own", F.least("own", "other").alias("i"),
-                           F.greatest("own", "other").alias("j"))
+    placed = _dealt(members, comps)
     full = placed.join(texts.select("id", "buckets", "tags"), "id").join(bodies, "id")
     keys = ["bucket", "i", "j"]
     together = full.repartition(*keys).sortWithinPartitions(*keys)

@@ -121,3 +121,20 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     found = {r["id"]: r["comp"] for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_a_large_class_is_sent_once_to_the_few_others_of_its_bucket(spark, monkeypatch):
+    """Bodies are sent about as often as there are texts, not as there are pairs of blocks."""
+    members = spark.range(5010).selectExpr("7L AS bucket", "id", "100 AS size", "0L AS pivot", "5010L AS n", "1L AS bytes")
+    comps = spark.range(5000).selectExpr("id", "0L AS comp")
+    rows = neardup._dealt(members, comps)
+    assert rows.count() == 5000 + 10 * 6
+    # Every two texts of different classes meet in a pair of blocks, once.
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    few = members.filter("id >= 4980")
+    met = {}
+    for r in neardup._dealt(few, comps).collect():
+        met.setdefault((r.i, r.j), []).append(r)
+    pairs = [tuple(sorted((x.id, y.id))) for rows in met.values() for n, x in enumerate(rows) for y in rows[:n]
+             if x.comp != y.comp and (x.i == x.j or x.own != y.own)]
+    assert len(pairs) == len(set(pairs)) == 20 * 10 + 45
