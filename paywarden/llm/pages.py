@@ -1,13 +1,16 @@
 """Main text of web pages by paths that the pages of a host agree on (operator 9).
 
-Each page's containers are scored by the text that stands in them outside links and
-boilerplate. Its best one votes, under a generalised path of tags and classes, for its
-host; votes are counted in Spark. Then each page is extracted again from that one of its
-containers whose path has the most votes on the host, ties by the page's own score. A
-path with one vote says no more than the page's own choice, so only repeated ones travel.
-
-Votes are summed in each task first. The join of pages and votes is on the host, so
-adaptive execution can split a host that holds a third of the pages.
+Each page is parsed once, into its blocks of text outside boilerplate and its containers, which are
+scored by the text that stands in them outside links. Its best one votes, under a
+generalised path of tags and classes, for its host; votes are counted in Spark. Then each
+page is extracted again from that one of its containers whose path has the most votes on the
+host, ties by the page's own score. A path with one vote says no more than the page's own
+choice, so only repeated ones are looked up.
+
+Votes are summed in each task first, and meet the containers of the pages by host and path: one
+narrow row a container, of which a page's best is kept in each task before it moves. Neither
+pages nor a host's paths are gathered anywhere, and adaptive execution can split a path that a third of all
+pages share.
 
 NULL and empty html give an empty text; a NULL or unreadable url is the host ''.
 Repeated rows give repeated rows. Pages are read whole. Other columns are ignored.
@@ -22,11 +25,11 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paywarden.llm.common import columns
+from paywarden.llm.common import columns, stash
 
 # Comments, declarations, and tags; only a quote after = hides a >.
 _TAG = re.compile(
@@ -287,51 +290,74 @@ def _host(url: str):
                       F.lit(""))
 
 
-def vote(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """Host, path and votes, for paths that at least two pages of the host chose."""
+CONTAINERS = "array<struct<path:string,score:double,number:int,last:int>>"
+
+
+def read(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
+    """What is known of each page after one parse, stored: row, key, url, host, blocks, containers.
+
+    A block has its node and its text, a container its path, score, and first and last node. Containers
+    stand in the order of the page's own choice.
+    """
+    kinds = [("blocks", "array<struct<node:int,block:string>>"), ("containers", CONTAINERS)]
+    schema = T.StructType([
+        T.StructField("row", T.LongType()), T.StructField("host", T.StringType()),
+        T.StructField("page", pages.schema[key].dataType), T.StructField("url", pages.schema[url].dataType),
+        *(T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds)])
+    block = pa.struct([("node", pa.int32()), ("block", pa.string())])
+    container = pa.struct([("path", pa.string()), ("score", pa.float64()), ("number", pa.int32()), ("last", pa.int32())])
+
     def run(batches):
         for batch in batches:
-            hosts, paths = [], []
-            for host, texts in columns(batch, "host", "source"):
-                for name, text in zip(host, texts):
-                    chosen = best(parse(text), {})
-                    if chosen:
-                        hosts.append(name)
-                        paths.append(chosen[0])
+            blocks, containers = [], []
+            for (texts,) in columns(batch, "source"):
+                for text in texts:
+                    page = parse(text)
+                    blocks.append([{"node": n, "block": b} for n, b in page.blocks])
+                    found = sorted(candidates(page), key=lambda c: (-c[1], c[2]))
+                    containers.append([{"path": path, "score": score, "number": n, "last": page.nodes[n].last}
+                                       for path, score, n in found])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string())], names=["host", "path"])
+                [*batch.columns[:4], pa.array(blocks, pa.list_(block)), pa.array(containers, pa.list_(container))],
+                names=schema.names)
+
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), _host(url).alias("host"),
+                        F.col(key).alias("page"), F.col(url).alias("url"), F.col(source).alias("source"))
+    return stash(rows.mapInArrow(run, schema), "pages")
+
 
-    rows = pages.select(_host(url).alias("host"), F.col(source).alias("source"))
-    chosen = rows.mapInArrow(run, "host string, path string")
+def tally(known: DataFrame) -> DataFrame:
+    """Host, path and votes, for paths that at least two pages of the host chose."""
+    chosen = known.filter(F.size("containers") > 0).select("host", F.col("containers")[0]["path"].alias("path"))
     return chosen.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes")).filter("votes > 1")
 
 
+def vote(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
+    """Host, path and votes of a table of pages."""
+    return tally(read(pages, url, url, source))
+
+
 def winners(votes: DataFrame) -> DataFrame:
     """The winning path of each host."""
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
-    return votes.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    return votes.groupBy("host").agg(F.max_by("path", F.struct("votes", "path")).alias("path"),
+                                     F.max("votes").alias("votes"))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url",
             source: str = "html") -> DataFrame:
     """Key, url, main text and its length in code points, for every page."""
-    votes = vote(pages, url, source).groupBy(F.col("host").alias("_host")).agg(
-        F.collect_list(F.struct("path", "votes")).alias("_votes"))
-    rows = pages.select(F.col(key), F.col(url), F.col(source).alias("_source"),
-                        _host(url).alias("_host"))
-    joined = rows.join(votes, "_host", "left").select(key, url, "_source", "_votes")
-    schema = T.StructType([pages.schema[key], pages.schema[url],
-                           T.StructField("text", T.StringType()),
-                           T.StructField("n_chars", T.LongType())])
-
-    def run(batches):
-        for batch in batches:
-            made = []
-            for texts, known in columns(batch, "_source", "_votes"):
-                for text, votes in zip(texts, known):
-                    made.append(main_text(text, {v["path"]: v["votes"] for v in votes or ()}))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.string()),
-                 pa.array(map(len, made), pa.int64())], names=schema.names)
-
-    return joined.mapInArrow(run, schema)
+    known = read(pages, key, url, source)
+    votes = stash(tally(known), "votes")
+    single = known.select("row", "host", F.explode("containers").alias("c")).select("row", "host", "c.*")
+    agreed = single.join(votes, ["host", "path"]).groupBy("row").agg(
+        F.max(F.struct("votes", "score", (-F.col("number")).alias("first"), "last")).alias("agreed"))
+    own = F.get("containers", F.lit(0))
+    rows = known.join(stash(agreed, "agreed"), "row", "left")
+    first = F.coalesce(-F.col("agreed.first"), own["number"], F.lit(-1))
+    last = F.coalesce("agreed.last", own["last"], F.lit((1 << 31) - 1))
+    inside = F.filter("blocks", lambda b: (b["node"] >= F.col("first")) & (b["node"] <= F.col("last")))
+    text = F.concat_ws("\n", F.transform(inside, lambda b: b["block"]))
+    rows = rows.select("page", "url", "blocks", first.alias("first"), last.alias("last"))
+    rows = rows.select("page", "url", text.alias("text"))
+    return rows.select(F.col("page").alias(key), F.col("url").alias(url), "text",
+                       F.length("text").cast("long").alias("n_chars"))

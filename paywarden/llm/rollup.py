@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paywarden.llm import bpe
+
 KEYS = ("source", "lang", "tokenizer")
 BATCH = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_rows long"
 
-# Versions of the counting tokenizers, as patterns of one token.
+# Versions of the counting tokenizers, as patterns of one token. Vocabulary files are further versions.
 TOKENIZERS = {
     "words-1": r"[^\x20\x09-\x0D]+",
     "pieces-1": r"\p{L}+|\p{N}+|[^\x20\x09-\x0D\p{L}\p{N}]+",
@@ -33,6 +35,22 @@ def n_tokens(text: str, tokenizer: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(TOKENIZERS[tokenizer])), F.lit(0)).cast("long")
 
 
+def counted(docs: DataFrame, vocabulary: str | None = None, text: str = "text") -> DataFrame:
+    """Tokens of each document under every version: source, lang, tokenizer, n.
+
+    With the file of a vocabulary, its version is there too, named after the file, and counts what the
+    codec of ``bpe`` gives.
+    """
+    versions = F.array(*(F.struct(F.lit(v).alias("tokenizer"), n_tokens(text, v).alias("n")) for v in TOKENIZERS))
+    rows = docs.select("source", "lang", F.explode(versions).alias("v")).select("source", "lang", "v.*")
+    if vocabulary is None:
+        return rows
+    ids = bpe.encode(docs.select("source", "lang", F.col(text).alias("text")), vocabulary)
+    name = vocabulary.rsplit("/", 1)[-1].removesuffix(".json")
+    return rows.unionByName(ids.select(
+        "source", "lang", F.lit(name).alias("tokenizer"), F.size("ids").cast("long").alias("n")))
+
+
 def signed(changes: DataFrame) -> DataFrame:
     """Signed counts of changes.
 

@@ -1,4 +1,7 @@
+from collections import Counter, defaultdict
+
 import pytest
+from pyspark.sql import functions as F
 
 from paywarden.llm import pages
 
@@ -72,3 +75,28 @@ def test_votes_and_winners(table):
 
 def test_empty_table(table):
     assert pages.extract(table.filter("false")).count() == 0
+
+
+def plain(rows):
+    """Every page parsed twice: once to vote, once to be cut out; rows of (key, host, html)."""
+    votes = defaultdict(Counter)
+    for _, host, source in rows:
+        chosen = pages.best(pages.parse(source), {})
+        if chosen:
+            votes[host][chosen[0]] += 1
+    return sorted(repr((key, pages.main_text(source, votes[host]))) for key, host, source in rows)
+
+
+def test_as_a_plain_vote_has_it(spark, table):
+    frame = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    frame = frame.select("page_id", "url", "html").unionByName(table.select("page_id", "url", "html"))
+    hosts = frame.select("page_id", pages._host("url").alias("host"), "html").collect()
+    found = pages.extract(frame).select("page_id", "text").collect()
+    assert sorted(repr(tuple(r)) for r in found) == plain([tuple(r) for r in hosts])
+
+
+def test_html_and_paths_of_a_host_are_not_gathered(table):
+    plan = pages.extract(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "source" not in plan
+    votes = pages.vote(table.withColumn("url", F.lit("https://one.host/")))
+    assert votes.count() == 1

@@ -54,3 +54,26 @@ def test_token_counts(documents):
     assert got == Counter((r[1], len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))) for r in ODD)
     pieces = {r["text"]: r["pieces_1"] for r in rows.collect()}
     assert pieces["password: hunter2hunter2 <|endoftext|> | * $ #"] == 13
+
+
+def test_a_vocabulary_counts_as_the_codec_does(spark, documents, tmp_path):
+    """Totals are the sums of what op1 gives, by group; also with clashing columns and on an empty table."""
+    import public_tokenizers
+    from corpus_rows import ODD
+    from paywarden.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = documents(ODD).selectExpr("*", "1 AS n", "2 AS tokenizer", "3 AS ids", "4 AS v")
+    load = rollup.counted(docs, path).withColumnsRenamed({"n": "n_tokens"}).selectExpr(
+        "*", "'insert' AS op", "CAST(NULL AS long) AS old_n_tokens")
+    rollup.commit(load, str(tmp_path / "r"), "load")
+    rollup.commit(load.filter("false"), str(tmp_path / "r"), "empty")
+    got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in rollup.totals(spark, str(tmp_path / "r")).filter(
+        "tokenizer = 'byte_bpe_50k'").collect()}
+    want = {}
+    for r in bpe.encode(documents(ODD), path).collect():
+        n, total = want.get((r.source, r.lang), (0, 0))
+        want[r.source, r.lang] = n + 1, total + len(r.ids)
+    assert got == want
+    assert rollup.counted(docs.filter("false"), path).count() == 0
+    assert rollup.totals(spark, str(tmp_path / "none")).count() == 0
