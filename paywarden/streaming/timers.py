@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from operator import itemgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -161,10 +162,21 @@ def start_retries(
 
 
 def drain(query: StreamingQuery, done: Callable[[], bool], timeout: float = 120.0) -> None:
-    """Stop the query once ``done``, which is asked about twice a second."""
-    end = time.monotonic() + timeout
-    while query.isActive and not (finished := done()) and time.monotonic() < end:
+    """Stop the query once ``done``, which is asked about twice a second.
+
+    It is given up when the micro-batches of ``timeout`` seconds have brought no rows; one that runs
+    may take as long as it needs.
+    """
+    finished, seen, quiet = False, -1, 0.0
+    while query.isActive and not (finished := done()) and quiet < timeout:
+        begin = time.monotonic()
         time.sleep(0.5)
+        new = [p for p in query.recentProgress if p["batchId"] > seen]
+        if any(p["numInputRows"] for p in new):
+            quiet = 0.0
+        elif new or not query.status["isTriggerActive"]:
+            quiet += time.monotonic() - begin
+        seen = max([seen, *(p["batchId"] for p in new)])
     query.stop()
     if query.exception():
         raise query.exception()
@@ -196,11 +208,16 @@ class _Gather(StatefulProcessor):
         number, deadline = self._open()
         held = [tuple(r) for r in self.waiting.get()]
         place = self.schema.fieldNames().index(self.order)
-        held += sorted((tuple(r) for r in rows), key=lambda r: (r[place] is not None, r[place]))
-        while len(held) >= self.size:
-            for row in held[:self.size]:
-                yield self.row(*row, number)
-            held, number, deadline = held[self.size:], number + 1, None
+        known = []
+        for row in map(tuple, rows):
+            (held if row[place] is None else known).append(row)
+        known.sort(key=itemgetter(place))
+        held += known
+        full = len(held) - len(held) % self.size
+        for at in range(full):
+            yield self.row(*held[at], number + at // self.size)
+        if full:
+            held, number, deadline = held[full:], number + full // self.size, None
         if held and deadline is None:
             deadline = timerValues.getCurrentProcessingTimeInMs() + self.millis
             self.handle.registerTimer(deadline)

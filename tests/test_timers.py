@@ -3,6 +3,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paywarden.streaming import timers as M
 
@@ -118,3 +119,82 @@ def test_batches_leave_full_or_in_time(spark, tmp_path):
     want = {(0, n): n // 5 for n in range(12)} | {(1, 3): 0, (1, 7): 0}
     want |= {(0, n): 3 for n in range(12, 17)} | {(0, 17): 4}
     assert got == want and len(landed(tmp_path / "out")) == 20
+
+
+class Running:
+    """A query whose first micro-batch runs for ``seconds``, after which it brings no rows."""
+
+    def __init__(self, seconds):
+        self.isActive, self.end = True, time.monotonic() + seconds
+
+    @property
+    def recentProgress(self):
+        return [{"batchId": 0, "numInputRows": 9}] if time.monotonic() > self.end else []
+
+    @property
+    def status(self):
+        return {"isTriggerActive": time.monotonic() < self.end}
+
+    def stop(self):
+        self.isActive = False
+
+    def exception(self):
+        return None
+
+
+def test_a_long_micro_batch_is_waited_for():
+    query = Running(3)
+    M.drain(query, lambda: bool(query.recentProgress), timeout=1)
+    assert not query.isActive
+    with pytest.raises(TimeoutError):
+        M.drain(Running(0), lambda: False, timeout=1)
+
+
+class Cell:
+    """State of one key."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, []
+
+    def getListState(self, *_):
+        return self
+
+    getValueState = getListState
+
+    def get(self):
+        return list(self.rows) if self.value is None else self.value
+
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.rows = []
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentProcessingTimeInMs(self):
+        return 1000
+
+
+def test_a_large_micro_batch_of_one_queue_takes_time_in_proportion():
+    schema = T.StructType([T.StructField("queue", T.LongType()), T.StructField("place", T.LongType())])
+    one = M._Gather(schema, "queue", "place", 5, 500)
+    cell = Cell()
+    one.init(cell)
+    one.waiting, one.opened = Cell(), Cell()
+    rows = [(0, None), *((0, n) for n in reversed(range(400_000)))]
+    begin = time.monotonic()
+    got = [tuple(r) for r in one.handleInputRows((0,), iter(rows), cell)]
+    assert time.monotonic() - begin < 10
+    assert got == [(0, None, 0), *((0, n, (n + 1) // 5) for n in range(399_999))]
+    assert one.waiting.rows == [(0, 399_999)] and one.opened.value == (80_000, 1500) and cell.timers == [1500]
+    # The open batch goes on.
+    more = [tuple(r) for r in one.handleInputRows((0,), iter([(0, 400_000 + n) for n in range(4)]), cell)]
+    assert [r[2] for r in more] == [80_000] * 5 and one.opened.value == (80_001, None) and not one.waiting.rows
