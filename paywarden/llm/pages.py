@@ -1,6 +1,6 @@
 """Main text of web pages by paths that the pages of a host agree on (operator 9).
 
-Each page is parsed once, into its blocks of text outside boilerplate and its containers, which are
+Each page is parsed into its blocks of text outside boilerplate and its containers, which are
 scored by the text that stands in them outside links. Its best one votes, under a
 generalised path of tags and classes, for its host; votes are counted in Spark. Then each
 page is extracted again from that one of its containers whose path has the most votes on the
@@ -12,6 +12,10 @@ narrow row a container, of which a page's best is kept in each task before it mo
 pages nor a host's paths are gathered anywhere, and adaptive execution can split a path that a third of all
 pages share.
 
+A page is parsed once for its containers and once for its text, so that of the texts nothing is stored.
+What the host decides is a function of host and html and known by their digest. Only decisions against a page's
+own choice are kept; where they are many, the blocks of the pages move once to meet them.
+
 NULL and empty html give an empty text; a NULL or unreadable url is the host ''.
 Repeated rows give repeated rows. Pages are read whole. Other columns are ignored.
 """
@@ -291,39 +295,68 @@ def _host(url: str):
 
 
 CONTAINERS = "array<struct<path:string,score:double,number:int,last:int>>"
+BLOCKS = "array<struct<node:int,block:string>>"
+
+
+def _digest(url: str, source: str):
+    """Of host and html. No host has a slash."""
+    return F.unhex(F.sha2(F.concat(_host(url), F.lit("/"), F.coalesce(F.col(source), F.lit(""))), 256))
+
+
+def _ranked(page: Page) -> list[tuple[str, float, int]]:
+    """Candidates in the order of the page's own choice."""
+    return sorted(candidates(page), key=lambda c: (-c[1], c[2]))
+
+
+def read(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
+    """Host, digest and containers of each page, stored.
+
+    A container has its path, score, and first and last node. Containers stand in the order of
+    the page's own choice.
+    """
+    container = pa.struct([("path", pa.string()), ("score", pa.float64()), ("number", pa.int32()), ("last", pa.int32())])
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for (texts,) in columns(batch, "body"):
+                for page in map(parse, texts):
+                    found.append([{"path": path, "score": score, "number": n, "last": page.nodes[n].last}
+                                  for path, score, n in _ranked(page)])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(found, pa.list_(container))], names=["host", "digest", "containers"])
 
+    rows = pages.select(_host(url).alias("host"), _digest(url, source).alias("digest"), F.col(source).alias("body"))
+    return stash(rows.mapInArrow(run, f"host string, digest binary, containers {CONTAINERS}"), "containers")
 
-def read(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
-    """What is known of each page after one parse, stored: row, key, url, host, blocks, containers.
 
-    A block has its node and its text, a container its path, score, and first and last node. Containers
-    stand in the order of the page's own choice.
+def blocks(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
+    """Of each page key, url, digest, blocks, and the nodes from low to high that it would choose itself.
+
+    A block has its node and its text.
     """
-    kinds = [("blocks", "array<struct<node:int,block:string>>"), ("containers", CONTAINERS)]
     schema = T.StructType([
-        T.StructField("row", T.LongType()), T.StructField("host", T.StringType()),
         T.StructField("page", pages.schema[key].dataType), T.StructField("url", pages.schema[url].dataType),
-        *(T.StructField(n, T._parse_datatype_string(k)) for n, k in kinds)])
+        T.StructField("digest", T.BinaryType()), T.StructField("low", T.IntegerType()),
+        T.StructField("high", T.IntegerType()), T.StructField("blocks", T._parse_datatype_string(BLOCKS))])
     block = pa.struct([("node", pa.int32()), ("block", pa.string())])
-    container = pa.struct([("path", pa.string()), ("score", pa.float64()), ("number", pa.int32()), ("last", pa.int32())])
 
     def run(batches):
         for batch in batches:
-            blocks, containers = [], []
-            for (texts,) in columns(batch, "source"):
-                for text in texts:
-                    page = parse(text)
-                    blocks.append([{"node": n, "block": b} for n, b in page.blocks])
-                    found = sorted(candidates(page), key=lambda c: (-c[1], c[2]))
-                    containers.append([{"path": path, "score": score, "number": n, "last": page.nodes[n].last}
-                                       for path, score, n in found])
+            low, high, found = [], [], []
+            for (texts,) in columns(batch, "body"):
+                for page in map(parse, texts):
+                    chosen = best(page, {})
+                    low.append(chosen[1] if chosen else -1)
+                    high.append(page.nodes[chosen[1]].last if chosen else (1 << 31) - 1)
+                    found.append([{"node": n, "block": b} for n, b in page.blocks])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(blocks, pa.list_(block)), pa.array(containers, pa.list_(container))],
-                names=schema.names)
+                [*batch.columns[:3], pa.array(low, pa.int32()), pa.array(high, pa.int32()),
+                 pa.array(found, pa.list_(block))], names=schema.names)
 
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), _host(url).alias("host"),
-                        F.col(key).alias("page"), F.col(url).alias("url"), F.col(source).alias("source"))
-    return stash(rows.mapInArrow(run, schema), "pages")
+    rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), _digest(url, source).alias("digest"),
+                        F.col(source).alias("body"))
+    return rows.mapInArrow(run, schema)
 
 
 def tally(known: DataFrame) -> DataFrame:
@@ -334,7 +367,7 @@ def tally(known: DataFrame) -> DataFrame:
 
 def vote(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
     """Host, path and votes of a table of pages."""
-    return tally(read(pages, url, url, source))
+    return tally(read(pages, url, source))
 
 
 def winners(votes: DataFrame) -> DataFrame:
@@ -343,21 +376,28 @@ def winners(votes: DataFrame) -> DataFrame:
                                      F.max("votes").alias("votes"))
 
 
+def overruled(known: DataFrame) -> DataFrame:
+    """Digest, and first and last node, of pages for which the votes of their host choose another container."""
+    votes = stash(tally(known), "votes")
+    single = known.select("host", "digest", F.col("containers")[0]["number"].alias("own"),
+                          F.explode("containers").alias("c")).select("host", "digest", "own", "c.*")
+    agreed = single.join(votes, ["host", "path"]).groupBy("digest").agg(
+        F.first("own").alias("own"),
+        F.max(F.struct("votes", "score", (-F.col("number")).alias("first"), "last")).alias("agreed"))
+    return agreed.select("digest", "own", (-F.col("agreed.first")).alias("first"), F.col("agreed.last").alias("last")) \
+        .filter("first <> own").drop("own")
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url",
             source: str = "html") -> DataFrame:
     """Key, url, main text and its length in code points, for every page."""
-    known = read(pages, key, url, source)
-    votes = stash(tally(known), "votes")
-    single = known.select("row", "host", F.explode("containers").alias("c")).select("row", "host", "c.*")
-    agreed = single.join(votes, ["host", "path"]).groupBy("row").agg(
-        F.max(F.struct("votes", "score", (-F.col("number")).alias("first"), "last")).alias("agreed"))
-    own = F.get("containers", F.lit(0))
-    rows = known.join(stash(agreed, "agreed"), "row", "left")
-    first = F.coalesce(-F.col("agreed.first"), own["number"], F.lit(-1))
-    last = F.coalesce("agreed.last", own["last"], F.lit((1 << 31) - 1))
+    # Stored, so that Spark knows the size and broadcasts it where it is small.
+    other = stash(overruled(read(pages, url, source)), "overruled")
+    rows = blocks(pages, key, url, source).join(other, "digest", "left")
+    rows = rows.select("page", "url", "blocks", F.coalesce("first", "low").alias("first"),
+                       F.coalesce("last", "high").alias("last"))
     inside = F.filter("blocks", lambda b: (b["node"] >= F.col("first")) & (b["node"] <= F.col("last")))
     text = F.concat_ws("\n", F.transform(inside, lambda b: b["block"]))
-    rows = rows.select("page", "url", "blocks", first.alias("first"), last.alias("last"))
     rows = rows.select("page", "url", text.alias("text"))
     return rows.select(F.col("page").alias(key), F.col("url").alias(url), "text",
                        F.length("text").cast("long").alias("n_chars"))

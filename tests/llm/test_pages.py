@@ -1,9 +1,12 @@
+import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from paywarden.llm import pages
+from paywarden.llm.common import owned
 
 ARTICLE = "<h1>Title &amp; more</h1><p>First   <b>bold</b> line.<p>Second &lt;line&gt;.</p>"
 TEXT = "Title & more\nFirst bold line.\nSecond <line>."
@@ -100,3 +103,27 @@ def test_html_and_paths_of_a_host_are_not_gathered(table):
     assert "collect_list" not in plan and "source" not in plan
     votes = pages.vote(table.withColumn("url", F.lit("https://one.host/")))
     assert votes.count() == 1
+
+
+def test_texts_are_not_stored_and_move_only_to_meet_other_choices(spark, table):
+    pick = random.Random(3)
+    long = [(100 + i, "https://a.example.com/l", '<div class="story"><p>'
+             + "".join(pick.choices("abcdefghijklmnopqrstuvwxyz ", k=100_000)) + "</div>") for i in range(8)]
+    frame = spark.createDataFrame(rows() + long, "page_id long, url string, html string").repartition(3)
+    limit, folders = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    with owned(folders):
+        found = pages.extract(frame)
+    told = sorted(repr(tuple(r)) for r in found.collect())
+    assert len(told) == len(rows()) + 8
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    stored = [p for f in folders for p in Path(f.removeprefix("file:")).rglob("*.parquet")]
+    assert 0 < sum(p.stat().st_size for p in stored) < 80_000
+    try:
+        # Joined by a shuffle the rows are the same.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        moved = pages.extract(frame)
+        assert sorted(repr(tuple(r)) for r in moved.collect()) == told
+        assert "SortMergeJoin" in moved._jdf.queryExecution().executedPlan().toString()
+        assert pages.overruled(pages.read(frame)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
