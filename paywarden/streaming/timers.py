@@ -167,15 +167,15 @@ def drain(query: StreamingQuery, done: Callable[[], bool], timeout: float = 120.
     It is given up when the micro-batches of ``timeout`` seconds have brought no rows; one that runs
     may take as long as it needs.
     """
-    finished, seen, quiet = False, -1, 0.0
+    finished, seen, quiet, mark = False, -1, 0.0, time.monotonic()
     while query.isActive and not (finished := done()) and quiet < timeout:
-        begin = time.monotonic()
         time.sleep(0.5)
         new = [p for p in query.recentProgress if p["batchId"] > seen]
         if any(p["numInputRows"] for p in new):
-            quiet = 0.0
+            quiet, mark = 0.0, time.monotonic()
         elif new or not query.status["isTriggerActive"]:
-            quiet += time.monotonic() - begin
+            # The whole time of what has ended without rows.
+            quiet, mark = quiet + time.monotonic() - mark, time.monotonic()
         seen = max([seen, *(p["batchId"] for p in new)])
     query.stop()
     if query.exception():

@@ -150,6 +150,25 @@ def test_a_long_micro_batch_is_waited_for():
         M.drain(Running(0), lambda: False, timeout=1)
 
 
+class Empty(Running):
+    """A query whose micro-batches take a second each and bring no rows."""
+
+    @property
+    def recentProgress(self):
+        return [{"batchId": n, "numInputRows": 0} for n in range(int(time.monotonic() - self.end))]
+
+    @property
+    def status(self):
+        return {"isTriggerActive": True}
+
+
+def test_empty_micro_batches_are_not_waited_for():
+    begin = time.monotonic()
+    with pytest.raises(TimeoutError):
+        M.drain(Empty(0), lambda: False, timeout=3)
+    assert time.monotonic() - begin < 5
+
+
 class Cell:
     """State of one key."""
 
