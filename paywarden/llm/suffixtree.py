@@ -34,13 +34,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paywarden.llm import wordstates
-from paywarden.llm.common import columns, resident, stash
+from paywarden.llm.common import ROWS, owned, resident, stash
 
 DEPTH = 2
 SYMBOL = 5e-4
@@ -50,18 +51,30 @@ LOOKUP = 2.5e-7
 # Longer words are never sent to the tasks.
 LOOKUP_BYTES = 64
 PRIOR = 5.0  # weight of the shorter state in a distribution
-MEMO = 300_000
 # Words, and coded counts, that a task holds before it hands them on.
 WORDS_HELD = 400_000
 HELD = 2_000_000
 
 END = ""  # the end's place among the words; no word is empty
-_LOWER = bytes(range(256)).lower()
 _OTHER, _BEGIN, _END = 0, 1, 2
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_LOWER).split()
+def pieces(batch: pa.RecordBatch, name: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray, pa.Array]]:
+    """Rows of a batch, the number of words of each, and the words as places in an array of the different ones."""
+    texts = batch.column(batch.schema.get_field_index(name))
+    for start in range(0, len(texts), ROWS):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(start, ROWS), "")))
+        flat = lists.flatten()
+        # White space at either end leaves an empty piece there.
+        word = pc.greater(pc.binary_length(flat), 0)
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        sizes = np.bincount(owner[word.to_numpy(zero_copy_only=False)], minlength=len(lists))
+        coded = flat.filter(word).dictionary_encode()
+        yield slice(start, start + len(lists)), sizes, coded.indices.to_numpy(), coded.dictionary
+
+
+def hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
 
 
 def training(key: str = "doc_id"):
@@ -74,10 +87,9 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches):
         found: Counter = Counter()
         for batch in batches:
-            for (texts,) in columns(batch, text):
-                for body in texts:
-                    found.update(words_of(body))
-                found[b""] += len(texts)
+            for _, sizes, codes, words in pieces(batch, text):
+                found.update(dict(zip(words.to_pylist(), np.bincount(codes, minlength=len(words)).tolist())))
+                found[END] += len(sizes)
                 if len(found) >= WORDS_HELD:
                     yield from _handed(found)
                     found.clear()
@@ -88,7 +100,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _handed(found: Counter) -> Iterator[pa.RecordBatch]:
-    items = [(w.decode(), n) for w, n in found.items() if n]
+    items = [(w, n) for w, n in found.items() if n]
     for start in range(0, len(items), 50_000):
         part = items[start:start + 50_000]
         yield pa.RecordBatch.from_arrays(
@@ -147,27 +159,21 @@ def _frequent(n: int):
 
 
 class Reader:
-    """Places of words in a lexicon; remembers those met, up to a bound."""
+    """Places of words in a lexicon."""
 
     def __init__(self, lex: Lexicon):
         self.lex = lex
         self.logs = lex.base(lex.counts)
-        self.memo: dict[bytes, int] = {}
 
-    def places(self, words: list[bytes]) -> np.ndarray:
+    def places(self, words: pa.Array) -> np.ndarray:
         """For each word its place in the lexicon, or -1."""
-        memo, lex = self.memo, self.lex
-        new = [w for w in set(words) if w not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = list(set(words))
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
-            at = np.minimum(np.searchsorted(lex.hashes, hashes), max(len(lex.hashes) - 1, 0))
-            known = lex.hashes[at] == hashes if len(lex.hashes) else np.zeros(len(new), bool)
-            short = np.fromiter((len(w) <= LOOKUP_BYTES for w in new), bool, len(new))
-            memo.update(zip(new, np.where(known & short, at, -1).tolist()))
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        lex = self.lex
+        if not len(lex.hashes):
+            return np.full(len(words), -1)
+        found = hashes(words)
+        at = np.minimum(np.searchsorted(lex.hashes, found), len(lex.hashes) - 1)
+        short = pc.binary_length(words).to_numpy() <= LOOKUP_BYTES
+        return np.where((lex.hashes[at] == found) & short, at, -1)
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
         if not len(self.lex.symbols):
@@ -180,18 +186,18 @@ def _reader(name: str, sent) -> Reader:
     return resident(f"reader {name}", lambda: Reader(sent.value))
 
 
-def _lines(symbols: np.ndarray, sizes: list[int], depth: int) -> tuple[np.ndarray, ...]:
+def _lines(symbols: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
     """Next symbols, ends included, and the ``depth`` symbols before each, latest first.
 
     Before a text stand beginnings, so no context reaches into another text.
     """
-    step = np.asarray(sizes) + 1 + depth
+    step = sizes + 1 + depth
     line = np.full(int(step.sum()), _BEGIN, np.int64)
     starts = np.cumsum(step) - step + depth
     inside = np.arange(len(symbols)) + np.repeat(
-        starts - (np.cumsum(sizes) - np.asarray(sizes)), sizes)
+        starts - (np.cumsum(sizes) - sizes), sizes)
     line[inside] = symbols
-    line[starts + np.asarray(sizes)] = _END
+    line[starts + sizes] = _END
     there = np.ones(len(line), bool)
     for k in range(1, depth + 1):
         there[starts - k] = False
@@ -219,11 +225,9 @@ def follower_counts(docs: DataFrame, sent, name: str, contexts: np.ndarray | Non
         held: list[tuple[np.ndarray, np.ndarray]] = []
         length = 0
         for batch in batches:
-            for (texts,) in columns(batch, text):
-                lists = [words_of(t) for t in texts]
-                flat = [w for words in lists for w in words]
-                symbols = reader.symbols(reader.places(flat))
-                following, *before = _lines(symbols, [len(x) for x in lists], depth)
+            for _, sizes, codes, words in pieces(batch, text):
+                symbols = reader.symbols(reader.places(words))[codes]
+                following, *before = _lines(symbols, sizes, depth)
                 code = _codes(tuple(before), size)
                 if contexts is not None:
                     at = np.minimum(np.searchsorted(contexts, code), len(contexts) - 1)
@@ -349,25 +353,27 @@ def learn(docs: DataFrame, vocabulary: DataFrame, text: str = "text",
     return lex, tree
 
 
-def _told(reader: Reader, tree: Tree, flat: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+def _told(reader: Reader, tree: Tree, codes: np.ndarray, words: pa.Array,
+          sizes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each word whether it is known, log10 of its base probability and of its share of its
     symbol; of each word and end log10 of its symbol's probability. 0 stands for a rare word's base."""
     lex = reader.lex
-    places = reader.places(flat)
+    places = reader.places(words)
     known = places >= 0
-    base = np.where(known, reader.logs[places], 0.0) if len(lex.counts) else np.zeros(len(flat))
+    base = np.where(known, reader.logs[places], 0.0) if len(lex.counts) else np.zeros(len(words))
     symbols = reader.symbols(places)
     # Within the shared symbol a word has its share of the base model.
     own = np.where(symbols == _OTHER, base - tree.root[_OTHER] / np.log(10), 0.0)
-    following, *before = _lines(symbols, sizes.tolist(), max(1, len(tree.depths)))
-    return known, base, own, tree.logs(following, before) / np.log(10)
+    following, *before = _lines(symbols[codes], sizes, max(1, len(tree.depths)))
+    return known[codes], base[codes], own[codes], tree.logs(following, before) / np.log(10)
 
 
 def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key: str = "doc_id",
-           text: str = "text", states: DataFrame | None = None) -> DataFrame:
+           text: str = "text", states: DataFrame | None = None, folders: list[str] | None = None) -> DataFrame:
     """Key, n_tokens, n_known, base_score and score of each document.
 
-    ``states`` are those over whole words, which go before the tree's.
+    ``states`` are those over whole words, which go before the tree's; ``folders`` hold nothing
+    else and are dropped when the states are read.
     """
     context = docs.sparkSession.sparkContext
     sent, name = context.broadcast(lex), uuid.uuid4().hex
@@ -383,30 +389,21 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
         lex = reader.lex
         end = float(lex.base(lex.ends))
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for (texts,) in columns(batch, text):
-                lists = [words_of(t) for t in texts]
-                sizes = np.array([len(x) for x in lists], np.int64)
-                flat = [w for words in lists for w in words]
-                known, base, own, path = _told(reader, tree, flat, sizes)
-                owner = np.repeat(np.arange(len(texts)), sizes)
-                n = len(texts)
-                out[0] += (sizes + 1).tolist()
-                out[1] += (np.bincount(owner, weights=known, minlength=n).astype(np.int64)
-                           + (lex.ends > 0)).tolist()
-                out[2] += (np.bincount(owner, weights=base, minlength=n) + end).tolist()
-                out[3] += (np.bincount(owner, weights=own, minlength=n) + np.bincount(
-                    np.repeat(np.arange(n), sizes + 1), weights=path, minlength=n)).tolist()
-                rare: list[Counter] = [Counter() for _ in texts]
-                for i in np.flatnonzero(~known).tolist():
-                    rare[owner[i]][flat[i]] += 1
-                out[4] += [[w.decode() for w in r] for r in rare]
-                out[5] += [list(r.values()) for r in rare]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2),
-                 *(pa.array(x, t) for x, t in zip(out, (
-                     pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.string()), pa.list_(pa.int64()))))], names=schema.names)
+            for rows, sizes, codes, words in pieces(batch, text):
+                known, base, own, path = _told(reader, tree, codes, words, sizes)
+                n = len(sizes)
+                owner = np.repeat(np.arange(n), sizes)
+                unknown = np.flatnonzero(~known)
+                rare, counts = np.unique(owner[unknown] * max(len(words), 1) + codes[unknown], return_counts=True)
+                ends = np.searchsorted(rare // max(len(words), 1), np.arange(n + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[rows], batch.column(2)[rows], pa.array(sizes + 1),
+                     pa.array(np.bincount(owner, weights=known, minlength=n).astype(np.int64) + (lex.ends > 0)),
+                     pa.array(np.bincount(owner, weights=base, minlength=n) + end),
+                     pa.array(np.bincount(owner, weights=own, minlength=n) + np.bincount(
+                         np.repeat(np.arange(n), sizes + 1), weights=path, minlength=n)),
+                     pa.ListArray.from_arrays(ends, words.take(pa.array(rare % max(len(words), 1)))),
+                     pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int64)))], names=schema.names)
 
     numbered = docs.select(F.col(key), F.col(text), F.monotonically_increasing_id().alias("row"))
     numbered = stash(numbered, "numbered") if states is not None else numbered
@@ -421,29 +418,29 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
         F.sum(F.col("k") * log).alias("more"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
     more = F.coalesce("more", F.lit(0.0))
+    based = rows.join(sums, "row", "left").select(
+        key, "row", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
+        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
     if states is None:
-        gained = F.lit(0.0)
-    else:
-        def look(batches):
-            reader = _reader(name, sent)
-            for batch in batches:
-                for texts, row in columns(batch, text, "row"):
-                    lists = [words_of(t) for t in texts]
-                    sizes = np.array([len(x) for x in lists], np.int64)
-                    flat = [w for words in lists for w in words]
-                    _, _, own, path = _told(reader, model.value, flat, sizes)
-                    ends = np.cumsum(sizes + 1) - 1
-                    inside = np.ones(len(path), bool)
-                    inside[ends] = False
-                    path[inside] += own
-                    yield from wordstates.lookups(flat, sizes, np.array(row, np.int64), path)
-
-        looked = numbered.select("row", text).mapInArrow(look, wordstates.LOOKUP)
-        sums = sums.join(wordstates.gains(looked, states), "row", "full")
-        gained = F.coalesce("gain", F.lit(0.0))
-    return rows.join(sums, "row", "left").select(
-        key, "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more + gained).alias("score"))
+        return based.drop("row")
+
+    def fold(batches):
+        reader = _reader(name, sent)
+        held = wordstates.Fold()
+        for batch in batches:
+            for rows, sizes, codes, words in pieces(batch, text):
+                _, _, own, path = _told(reader, model.value, codes, words, sizes)
+                inside = np.ones(len(path), bool)
+                inside[np.cumsum(sizes + 1) - 1] = False
+                path[inside] += own
+                row = batch.column(0)[rows].to_numpy()
+                yield from held.added(sizes, codes, words, row, path)
+        yield from held.handed()
+
+    gained = wordstates.gains(numbered.select("row", text), fold, states, lex.tokens, folders)
+    return based.join(gained, "row", "left").select(
+        key, "n_tokens", "n_known", "base_score",
+        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))
 
 
 def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -453,7 +450,8 @@ def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "tex
     train = rows.filter(learnt(key))
     vocabulary = stash(word_counts(train, text), "vocabulary")
     lex, tree = learn(train, vocabulary, text)
-    states = wordstates.learn(train, vocabulary, lex, _frequent(lex.tokens), PRIOR, text)
-    found = scored(rows, vocabulary, lex, tree, key, text, states)
+    with owned([]) as folders:
+        states = wordstates.learn(train, vocabulary, lex, _frequent(lex.tokens), PRIOR, text)
+    found = scored(rows, vocabulary, lex, tree, key, text, states, folders)
     return found.select(key, (~learnt(key)).alias("held_out"), "n_tokens", "n_known",
                         F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -7,13 +7,16 @@ context is a state if its distribution diverges from that of the context without
 oldest word by more than its entries cost to describe. The share that a state's entries
 leave goes to the next shorter state, and from the shortest to the tree of symbols.
 
-Runs of words are known by 64-bit hashes. Nothing here is collected or broadcast by hand:
-counts, states and the runs of the texts to score meet in joins by hash.
+Runs of words are known by 64-bit hashes. Nothing here is collected or broadcast by hand.
+Texts are folded into rows of some million tokens. A fold names each of its runs once, in one
+array for each bucket of hashes; the buckets are summed, and met by the states, one group each.
+Runs are counted in up to SLICES, and texts scored in up to PARTS, one after the other, so that the
+disk holds a share of them at a time. Each run is in one slice and each text in one part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,20 +24,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paywarden.llm.common import columns, stash
+from paywarden.llm.common import drop, owned, stash
 
 DEPTH = 3
 LEAST = 2
-# Tokens of a task whose runs are folded at once.
-FOLDED = 500_000
+# Tokens of a fold, which ends with the text that reaches them.
+FOLDED = 1_000_000
+SLICES = 4
+PARTS = 8
+# Tokens that are worth a slice or part of their own.
+SHARE = 2_000_000
+# Tokens for each bucket, about.
+BUCKET = 1_000_000
 
-# No word is empty or has a space.
-_END = xxhash.xxh3_64_intdigest(b"")
-_BEGIN = xxhash.xxh3_64_intdigest(b" ")
-
-
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+_END = np.uint64(xxhash.xxh3_64_intdigest(b""))  # no word is empty or has a space
+_BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b" "))
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
@@ -57,49 +61,137 @@ def runs(words: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray
     line[starts], line[starts + sizes + 1], line[inside] = _BEGIN, _END, words
     made = [line]
     for _ in range(longest - 1):
-        code = line.copy()
-        code[1:] += _mixed(made[-1][:-1])
+        code = made[-1].copy()
+        code[1:] = joined(made[-1][:-1], made[-1][1:])
         made.append(code)
     return place, made
 
 
-def run_counts(docs: DataFrame, text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """Runs of 2 to depth + 1 words seen LEAST times: size, gram, prefix, suffix, n."""
-    from paywarden.llm.suffixtree import words_of
+def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The run that starts with one run and ends with another, each but a word of it."""
+    return suffix + _mixed(prefix)
 
-    def folded(lists: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(x) for x in lists], np.int64)
-        place, made = runs(hashes([w for x in lists for w in x]), sizes, depth + 1)
-        for size in range(2, depth + 2):
-            at = np.flatnonzero(place >= size - 1)
-            grams, first, n = np.unique(made[size - 1][at], return_index=True, return_counts=True)
-            first = at[first]
-            for start in range(0, len(grams), 50_000):
-                part = slice(start, start + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(grams[part]), size, np.int32)),
-                     *(pa.array(x.view(np.int64)) for x in (
-                         grams[part], made[size - 2][first[part] - 1], made[size - 2][first[part]])),
-                     pa.array(n[part].astype(np.int64))],
-                    names=["size", "gram", "prefix", "suffix", "n"])
+
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    return ((_mixed(grams) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _shares(tokens: int, most: int) -> int:
+    return min(most, 1 + tokens // SHARE)
+
+
+def _buckets(tokens: int) -> int:
+    slices = _shares(tokens, SLICES)
+    return slices * (1 + tokens // (slices * BUCKET))
+
+
+FOLD = "fold long, word array<long>, code array<int>, size array<int>, row array<long>, log array<double>"
+
+
+class Fold:
+    """Gathers texts into rows: the different words' hashes, and for each text its words as places among them.
+
+    row and log are what the caller gives for each text, and for each of its words and its end.
+    """
+
+    def __init__(self):
+        self._clear()
+
+    def _clear(self):
+        self.known: dict[str, int] = {}
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.length = 0
+
+    def added(self, sizes: np.ndarray, codes: np.ndarray, words: pa.Array, row: np.ndarray,
+              log: np.ndarray) -> Iterator[pa.RecordBatch]:
+        known = self.known
+        at = np.fromiter((known.setdefault(w, len(known)) for w in words.to_pylist()), np.int32, len(words))
+        self.held.append((at[codes], sizes.astype(np.int32), row, log))
+        self.length += len(codes) + 2 * len(sizes)
+        if self.length >= FOLDED:
+            yield from self.handed()
+
+    def handed(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        code, size, row, log = (np.concatenate(x) for x in zip(*self.held))
+        word = np.fromiter(map(xxhash.xxh3_64_intdigest, self.known), np.uint64, len(self.known))
+        fold = row[:1] if len(row) else np.zeros(1, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(fold), *(_lists(x, np.array([0, len(x)])) for x in (word.view(np.int64), code, size, row, log))],
+            names=["fold", "word", "code", "size", "row", "log"])
+        self._clear()
+
+
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+def _unfolded(batch: pa.RecordBatch, longest: int) -> Iterator[tuple]:
+    """Of each row fold, texts' rows, their sizes, logs, and the runs."""
+    column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+    for i in range(batch.num_rows):
+        word, code, size, row, log = (column[n][i].values.to_numpy() for n in ("word", "code", "size", "row", "log"))
+        size = size.astype(np.int64)
+        yield column["fold"][i].as_py(), row, size, log, *runs(word.view(np.uint64)[code], size, longest)
+
+
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _grouped(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by bucket, the buckets that occur, and where their parts start and end."""
+    order = np.argsort(bucket, kind="stable")
+    number = np.bincount(bucket, minlength=buckets)
+    present = np.flatnonzero(number)
+    return order, present, np.append(0, np.cumsum(number[present]))
+
+
+def folded(docs: DataFrame, text: str = "text") -> DataFrame:
+    from paywarden.llm.suffixtree import pieces
 
     def run(batches):
-        held, length = [], 0
+        fold = Fold()
         for batch in batches:
-            for (texts,) in columns(batch, text):
-                for body in texts:
-                    held.append(words_of(body))
-                    length += len(held[-1]) + 2
-                    if length >= FOLDED:
-                        yield from folded(held)
-                        held, length = [], 0
-        if held:
-            yield from folded(held)
+            for _, sizes, codes, words in pieces(batch, text):
+                yield from fold.added(sizes, codes, words, np.zeros(0, np.int64), np.zeros(0))
+        yield from fold.handed()
+
+    return docs.select(text).mapInArrow(run, FOLD)
+
+
+def run_counts(folds: DataFrame, size: int, part: int, tokens: int) -> DataFrame:
+    """Runs of so many words seen LEAST times, those of one slice: gram, prefix, suffix, n."""
+    buckets, slices = _buckets(tokens), _shares(tokens, SLICES)
+
+    def run(batches):
+        for batch in batches:
+            for _, _, _, _, place, made in _unfolded(batch, size):
+                at = np.flatnonzero(place >= size - 1)
+                bucket = _bucket(made[-1][at], buckets)
+                mine = bucket % slices == part
+                at, bucket = at[mine], bucket[mine]
+                _, first, n = np.unique(made[-1][at], return_index=True, return_counts=True)
+                order, present, ends = _grouped(bucket[first], buckets)
+                at = at[first[order]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(present), _lists(made[-2][at - 1].view(np.int64), ends),
+                     _lists(made[-2][at].view(np.int64), ends), _lists(n[order].astype(np.int64), ends)],
+                    names=["bucket", "prefix", "suffix", "n"])
 
-    found = docs.select(text).mapInArrow(run, "size int, gram long, prefix long, suffix long, n long")
-    return found.groupBy("size", "gram").agg(
-        F.max("prefix").alias("prefix"), F.max("suffix").alias("suffix"),
-        F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    def total(rows: pa.Table) -> pa.Table:
+        prefix, suffix, n = (_flat(rows[c]) for c in ("prefix", "suffix", "n"))
+        gram = joined(prefix.view(np.uint64), suffix.view(np.uint64))
+        order = np.argsort(gram)
+        start = np.flatnonzero(np.append(True, np.diff(gram[order]) != 0)[:len(gram)])
+        n = np.add.reduceat(n[order], start) if len(start) else n
+        good = n >= LEAST
+        at = order[start[good]]
+        return pa.table({"gram": gram[at].view(np.int64), "prefix": prefix[at], "suffix": suffix[at], "n": n[good]})
+
+    named = folds.mapInArrow(run, "bucket long, prefix array<long>, suffix array<long>, n array<long>")
+    return named.groupBy("bucket").applyInArrow(total, "gram long, prefix long, suffix long, n long")
 
 
 def single(vocabulary: DataFrame, lex, frequent) -> DataFrame:
@@ -107,20 +199,19 @@ def single(vocabulary: DataFrame, lex, frequent) -> DataFrame:
 
     p is the base probability. base is its log10 for words that tasks do not know, else 0.
     """
-    from paywarden.llm.suffixtree import END
+    from paywarden.llm.suffixtree import END, hashes
 
     def run(batches):
         for batch in batches:
-            words = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes([w.encode() for w in words]).view(np.int64)), *batch.columns[1:]],
+                [pa.array(hashes(batch.column(0)).view(np.int64)), *batch.columns[1:]],
                 names=["gram", "n", "known"])
 
     known = frequent | (F.col("word") == END)
     rows = vocabulary.select("word", F.col("c").alias("n"), known.alias("known")).mapInArrow(
         run, "gram long, n long, known boolean")
     start = vocabulary.filter(F.col("word") == END).select(
-        F.lit(int(np.uint64(_BEGIN).view(np.int64))).alias("gram"), F.col("c").alias("n"), F.lit(True).alias("known"))
+        F.lit(int(_BEGIN.view(np.int64))).alias("gram"), F.col("c").alias("n"), F.lit(True).alias("known"))
     log = F.log10(F.col("n") + F.lit(0.1)) - F.lit(lex.norm)
     return rows.unionByName(start).select(
         "gram", "n", F.pow(F.lit(10.0), log).alias("p"),
@@ -135,84 +226,195 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
     the run of the state's words and the next, has its own share, beside what the shorter
     state adds, and the base of its word.
     """
-    counts = stash(run_counts(docs, text, depth), "runs")
-    shorter = stash(single(vocabulary, lex, frequent), "words")
+    spark = docs.sparkSession
+    with owned([]) as texts:
+        folds = stash(folded(docs, text), "folds")
+    with owned([]) as last:
+        shorter = stash(single(vocabulary, lex, frequent), "words")
     out = None
     for level in range(1, depth + 1):
-        rows = counts.filter(F.col("size") == level + 1).select("gram", "prefix", "suffix", "n")
-        totals = shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("total"))
-        states = rows.groupBy("prefix").agg(
-            F.sum("n").alias("given"), F.count(F.lit(1)).alias("entries")).join(totals, "prefix")
-        weight = F.col("total") + F.lit(prior)
-        states = states.withColumn("rest", (weight - F.col("given")) / weight)
-        told = rows.join(shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q"), "base"), "suffix")
-        told = told.join(states, "prefix").withColumn("share", F.col("n") / weight)
-        told = stash(told.withColumn("p", F.col("share") + F.col("rest") * F.col("q")), "entries")
-        # Kullback-Leibler divergence from the shorter state; what is no entry differs by the rest.
-        unlike = told.groupBy("prefix").agg(
-            F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("gain"), F.sum("p").alias("named"),
-            F.first("rest").alias("rest"), F.first("total").alias("total"),
-            F.first("entries").alias("entries"))
-        divergence = F.col("gain") + F.greatest(1 - F.col("named"), F.lit(0.0)) * F.log("rest")
-        cost = F.lit(0.5) * F.log(F.greatest(F.col("total"), F.lit(2))) * F.col("entries")
-        kept = stash(unlike.filter(F.col("total") * divergence > cost).select("prefix", "rest"), "states")
-        mine = told.drop("rest").join(kept.select("prefix", F.lit(True).alias("stays")), "prefix", "left")
-        stays = F.col("stays").isNotNull()
-        mine = stash(mine.select("gram", "n", F.when(stays, F.col("p")).otherwise(F.col("q")).alias("p"),
-                                 "base", F.when(stays, F.col("share")).alias("share")), "level")
+        with owned([]) as counted:
+            rows = None
+            for part in range(_shares(lex.tokens, SLICES)):
+                found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
+                rows = found if rows is None else rows.unionByName(found)
+        with owned([]) as used:
+            totals = shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("total"))
+            states = rows.groupBy("prefix").agg(
+                F.sum("n").alias("given"), F.count(F.lit(1)).alias("entries")).join(totals, "prefix")
+            weight = F.col("total") + F.lit(prior)
+            states = stash(states.withColumn("rest", (weight - F.col("given")) / weight), "contexts")
+            told = rows.join(shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q"), "base"), "suffix")
+            told = told.select("prefix", "gram", "n", "q", "base").join(
+                states.drop("given"), "prefix").withColumn("share", F.col("n") / weight)
+            told = stash(told.withColumn("p", F.col("share") + F.col("rest") * F.col("q")), "entries")
+            drop(spark, counted)
+            drop(spark, last)
+            # Kullback-Leibler divergence from the shorter state; what is no entry differs by the rest.
+            unlike = told.groupBy("prefix").agg(
+                F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("gain"), F.sum("p").alias("named"),
+                F.first("rest").alias("rest"), F.first("total").alias("total"),
+                F.first("entries").alias("entries"))
+            divergence = F.col("gain") + F.greatest(1 - F.col("named"), F.lit(0.0)) * F.log("rest")
+            cost = F.lit(0.5) * F.log(F.greatest(F.col("total"), F.lit(2))) * F.col("entries")
+            kept = stash(unlike.filter(F.col("total") * divergence > cost).select("prefix", "rest"), "states")
+            mine = told.select("prefix", "gram", "n", "p", "q", "base", "share").join(
+                kept.select("prefix", F.lit(True).alias("stays")), "prefix", "left")
+            stays = F.col("stays").isNotNull()
+            with owned(last):
+                shorter = stash(mine.select("gram", "n", F.when(stays, F.col("p")).otherwise(F.col("q")).alias("p"),
+                                            "base", F.when(stays, F.col("share")).alias("share")), "level")
         none = F.lit(None).cast("double")
-        part = kept.select(F.col("prefix").alias("gram"), F.lit(level).alias("depth"), none.alias("share"),
-                           "rest", none.alias("base")).unionByName(
-            mine.filter(F.col("share").isNotNull()).select(
-                "gram", F.lit(level).alias("depth"), "share", none.alias("rest"), "base"))
+        part = stash(kept.select(
+            F.col("prefix").alias("gram"), F.lit(level).alias("depth"), none.alias("share"), "rest",
+            none.alias("base")).unionByName(shorter.filter(F.col("share").isNotNull()).select(
+                "gram", F.lit(level).alias("depth"), "share", none.alias("rest"), "base")), "model")
         out = part if out is None else out.unionByName(part)
-        shorter = mine
+        drop(spark, used)
+    drop(spark, texts)
+    drop(spark, last)
     return out
 
 
-LOOKUP = "gram long, row long, place long, own double, next double"
+_VALUES = ("share", "rest", "base")
+_MODEL = "gram array<long>, share array<double>, rest array<double>, base array<double>"
+
+
+def _merged(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The runs of some rows of arrays, ascending, and their values, NaN where a run has none."""
+    grams, at = np.unique(_flat(rows["gram"]), return_inverse=True)
+    values = []
+    for name in _VALUES:
+        value, out = _flat(rows[name]), np.full(len(grams), np.nan)
+        there = ~np.isnan(value)
+        out[at[there]] = value[there]
+        values.append(out)
+    return grams, values
+
+
+def packed(states: DataFrame, tokens: int) -> DataFrame:
+    """The states and entries of each bucket in one row: bucket, and arrays of gram, share, rest, base."""
+    buckets = _buckets(tokens)
 
+    def handed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        gram = rows["gram"].to_numpy()
+        order, present, ends = _grouped(_bucket(gram.view(np.uint64), buckets), buckets)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(present), *(_lists(rows[c].to_numpy()[order], ends) for c in ("gram", *_VALUES))],
+            names=["bucket", "gram", *_VALUES])
+
+    def run(batches):
+        held, length = [], 0
+        for batch in batches:
+            held.append(batch)
+            length += batch.num_rows
+            if length >= FOLDED:
+                yield handed(held)
+                held, length = [], 0
+        if held:
+            yield handed(held)
+
+    def merge(rows: pa.Table) -> pa.Table:
+        gram, values = _merged(rows)
+        ends = np.array([0, len(gram)])
+        return pa.table([rows["bucket"].slice(0, 1), *(_lists(x, ends) for x in (gram, *values))],
+                        names=["bucket", "gram", *_VALUES])
+
+    schema = "bucket long, " + _MODEL
+    return states.select("gram", *_VALUES).mapInArrow(run, schema).groupBy("bucket").applyInArrow(merge, schema)
 
-def lookups(words: list[bytes], sizes: np.ndarray, row: np.ndarray, logs: np.ndarray,
-            depth: int = DEPTH) -> Iterator[pa.RecordBatch]:
-    """The runs of some texts, with the log10 probabilities ``logs`` of the token and the next.
 
-    ``logs`` has an entry for each word and end.
+def asked(folds: DataFrame, tokens: int) -> DataFrame:
+    """The runs that folds ask the states for, each once a fold: bucket, fold, array of gram."""
+    buckets = _buckets(tokens)
+
+    def run(batches):
+        for batch in batches:
+            for fold, _, size, _, place, made in _unfolded(batch, DEPTH + 1):
+                grams = [np.unique(made[0][place < np.repeat(size + 1, size + 2)])]  # nothing follows an end
+                grams += [np.unique(made[k][place >= k]) for k in range(1, DEPTH + 1)]
+                gram = np.concatenate(grams)
+                order, present, ends = _grouped(_bucket(gram, buckets), buckets)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(present), pa.array(np.full(len(present), fold)),
+                     _lists(gram[order].view(np.int64), ends)], names=["bucket", "fold", "gram"])
+
+    return folds.mapInArrow(run, "bucket long, fold long, gram array<long>")
+
+
+def _replies(asks: pa.Table, model: pa.Table) -> pa.Table:
+    """What the states of a bucket know of the runs asked for, in one row for each fold."""
+    names = ["fold", "gram", *_VALUES]
+    if not asks.num_rows or not model.num_rows:
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())),
+                         *(pa.array([], pa.list_(pa.float64())) for _ in _VALUES)], names=names)
+    known, *values = (_flat(model[c]) for c in ("gram", *_VALUES))
+    gram, fold = _flat(asks["gram"]), asks["fold"].to_numpy()
+    owner = np.repeat(np.arange(len(fold)), [len(x) for x in asks["gram"]])
+    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+    hit = known[at] == gram
+    at, owner = at[hit], owner[hit]
+    ends = np.searchsorted(owner, np.arange(len(fold) + 1))
+    return pa.table([pa.array(fold), *(_lists(x[at], ends) for x in (known, *values))], names=names)
+
+
+def _gained(folds: pa.Table, replies: pa.Table) -> pa.Table:
+    """Row, and the log10 by which the states raise the probability of its text, for the texts of a fold."""
+    rows, out = [], []
+    known, values = _merged(replies) if replies.num_rows else (np.zeros(0, np.int64), [np.zeros(0)] * 3)
+    known, values = np.append(known, 0), [np.append(x, np.nan) for x in values]
+
+    for batch in folds.to_batches():
+        for _, row, size, log, place, made in _unfolded(batch, DEPTH + 1):
+            def told(k, places):
+                """Share, rest and base of the runs of k words that end at these places."""
+                gram = made[k - 1][places].view(np.int64)
+                at = np.searchsorted(known[:-1], gram)
+                at = np.where(known[at] == gram, at, len(known) - 1)
+                return [x[at] for x in values]
+
+            after = np.flatnonzero(place > 0)
+            ratio, shares, rests = np.ones(len(after)), [], []
+            base = np.zeros(len(after))
+            for d in range(1, DEPTH + 1):
+                there = place[after] >= d
+                share, rest = np.full(len(after), np.nan), np.full(len(after), np.nan)
+                share[there], _, own = told(d + 1, after[there])
+                rest[there] = told(d, after[there] - 1)[1]
+                base[there] = np.where(np.isnan(own), base[there], own)
+                shares.append(share)
+                rests.append(rest)
+            # Shares over the tree's probability, from the shortest state up.
+            tree = 10 ** (log + base)
+            for share, rest in zip(shares, rests):
+                ratio = np.where(np.isnan(rest), ratio, np.nan_to_num(share) / tree + rest * ratio)
+            rows.append(row)
+            out.append(np.bincount(np.repeat(np.arange(len(row)), size + 1), weights=np.log10(ratio), minlength=len(row)))
+    return pa.table({"row": np.concatenate([np.zeros(0, np.int64), *rows]), "gain": np.concatenate([np.zeros(0), *out])})
+
+
+def gains(texts: DataFrame, fold: Callable, states: DataFrame, tokens: int,
+          folders: list[str] | None = None) -> DataFrame:
+    """Row, and the log10 by which the states raise the probability of its text.
+
+    ``fold`` makes the folds of batches of ``texts``, with the log10 probabilities that the tree
+    gives. ``folders`` hold the states and are dropped once these are read.
     """
-    place, made = runs(hashes(words), sizes, depth + 1)
-    last = np.repeat(sizes + 1, sizes + 2)
-    owner = np.repeat(row, sizes + 2)
-    own = np.zeros(len(place))
-    own[place > 0] = logs
-    after = np.append(own[1:], 0.0)
-    for size in range(1, depth + 2):
-        good = place >= size - 1
-        if size == 1:  # a state only, and nothing follows an end
-            good &= place < last
-        at = np.flatnonzero(good)
-        for start in range(0, len(at), 50_000):
-            part = at[start:start + 50_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made[size - 1][part].view(np.int64)), pa.array(owner[part]),
-                 pa.array(place[part]), pa.array(own[part]), pa.array(after[part])],
-                names=["gram", "row", "place", "own", "next"])
-
-
-def gains(looked: DataFrame, states: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Row, and the log10 by which the states raise the probability of its text."""
-    met = looked.join(states, "gram")
-    entry = F.col("share").isNotNull()
-    met = met.select("row", F.when(entry, F.col("place")).otherwise(F.col("place") + 1).alias("place"),
-                     F.when(entry, F.col("own")).otherwise(F.col("next")).alias("log"),
-                     "depth", "share", "rest", "base")
-    at = [F.when(F.col("depth") == d, F.col(c)) for c in ("share", "rest") for d in range(1, depth + 1)]
-    names = [f"{c}{d}" for c in ("share", "rest") for d in range(1, depth + 1)]
-    tokens = met.groupBy("row", "place").agg(
-        F.max("log").alias("log"), F.coalesce(F.max("base"), F.lit(0.0)).alias("base"),
-        *(F.max(x).alias(n) for x, n in zip(at, names)))
-    # Shares over the tree's probability, from the shortest state up.
-    ratio, tree = F.lit(1.0), F.pow(F.lit(10.0), F.col("log") + F.col("base"))
-    for d in range(1, depth + 1):
-        ratio = F.when(F.col(f"rest{d}").isNull(), ratio).otherwise(
-            F.coalesce(f"share{d}", F.lit(0.0)) / tree + F.col(f"rest{d}") * ratio)
-    return tokens.select("row", F.log10(ratio).alias("gain")).groupBy("row").agg(F.sum("gain").alias("gain"))
+    spark = texts.sparkSession
+    model = stash(packed(states, tokens), "packed")
+    drop(spark, folders or [])
+    out = None
+    parts = _shares(tokens, PARTS)
+    for part in range(parts):
+        with owned([]) as used:
+            mine = texts.filter(F.pmod(F.xxhash64("row"), F.lit(parts)) == part)
+            folds = stash(mine.mapInArrow(fold, FOLD), "folds")
+            replies = stash(asked(folds, tokens).groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(
+                _replies, "fold long, " + _MODEL), "replies")
+            found = folds.groupBy("fold").cogroup(replies.groupBy("fold")).applyInArrow(
+                _gained, "row long, gain double")
+        found = stash(found, "gains")
+        drop(spark, used)
+        out = found if out is None else out.unionByName(found)
+    return out
