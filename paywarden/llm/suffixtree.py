@@ -406,7 +406,7 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
                      pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int64)))], names=schema.names)
 
     numbered = docs.select(F.col(key), F.col(text), F.monotonically_increasing_id().alias("row"))
-    numbered = stash(numbered, "numbered") if states is not None else numbered
+    numbered = stash(numbered, "numbered", "zstd") if states is not None else numbered
     rows = stash(numbered.mapInArrow(run, schema), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("words", "counts")).alias("r")).select(
         "row", F.col("r.words").alias("word"), F.col("r.counts").alias("k"))

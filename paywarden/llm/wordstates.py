@@ -31,7 +31,7 @@ LEAST = 2
 # Tokens of a fold, which ends with the text that reaches them.
 FOLDED = 1_000_000
 SLICES = 4
-PARTS = 8
+PARTS = 10
 # Tokens that are worth a slice or part of their own.
 SHARE = 2_000_000
 # Tokens for each bucket, about.
@@ -228,28 +228,33 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
     """
     spark = docs.sparkSession
     with owned([]) as texts:
-        folds = stash(folded(docs, text), "folds")
+        folds = stash(folded(docs, text), "folds", "zstd")
     with owned([]) as last:
         shorter = stash(single(vocabulary, lex, frequent), "words")
     out = None
     for level in range(1, depth + 1):
         with owned([]) as counted:
+            known = shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q"), "base")
             rows = None
             for part in range(_shares(lex.tokens, SLICES)):
-                found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
+                with owned([]) as sliced:
+                    found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
+                found = stash(found.join(known, "suffix").select("prefix", "gram", "n", "q", "base"), "told")
+                drop(spark, sliced)
                 rows = found if rows is None else rows.unionByName(found)
+        if level == depth:
+            drop(spark, texts)
         with owned([]) as used:
             totals = shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("total"))
             states = rows.groupBy("prefix").agg(
                 F.sum("n").alias("given"), F.count(F.lit(1)).alias("entries")).join(totals, "prefix")
             weight = F.col("total") + F.lit(prior)
-            states = stash(states.withColumn("rest", (weight - F.col("given")) / weight), "contexts")
-            told = rows.join(shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q"), "base"), "suffix")
-            told = told.select("prefix", "gram", "n", "q", "base").join(
-                states.drop("given"), "prefix").withColumn("share", F.col("n") / weight)
-            told = stash(told.withColumn("p", F.col("share") + F.col("rest") * F.col("q")), "entries")
-            drop(spark, counted)
+            states = stash(states.select("prefix", "total", "entries", (
+                (weight - F.col("given")) / weight).alias("rest")), "contexts")
             drop(spark, last)
+            told = stash(rows.join(states, "prefix").withColumn("share", F.col("n") / weight), "entries")
+            drop(spark, counted)
+            told = told.withColumn("p", F.col("share") + F.col("rest") * F.col("q"))
             # Kullback-Leibler divergence from the shorter state; what is no entry differs by the rest.
             unlike = told.groupBy("prefix").agg(
                 F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("gain"), F.sum("p").alias("named"),
@@ -271,7 +276,6 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
                 "gram", F.lit(level).alias("depth"), "share", none.alias("rest"), "base")), "model")
         out = part if out is None else out.unionByName(part)
         drop(spark, used)
-    drop(spark, texts)
     drop(spark, last)
     return out
 
@@ -409,7 +413,7 @@ def gains(texts: DataFrame, fold: Callable, states: DataFrame, tokens: int,
     for part in range(parts):
         with owned([]) as used:
             mine = texts.filter(F.pmod(F.xxhash64("row"), F.lit(parts)) == part)
-            folds = stash(mine.mapInArrow(fold, FOLD), "folds")
+            folds = stash(mine.mapInArrow(fold, FOLD), "folds", "zstd")
             replies = stash(asked(folds, tokens).groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(
                 _replies, "fold long, " + _MODEL), "replies")
             found = folds.groupBy("fold").cogroup(replies.groupBy("fold")).applyInArrow(

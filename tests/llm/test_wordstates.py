@@ -4,7 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 from paywarden.llm import suffixtree, wordstates
-from paywarden.llm.common import stash
+from paywarden.llm.common import owned, stash
 
 
 def passage(n=400):
@@ -113,3 +113,25 @@ def test_tables_grow_with_the_corpus(documents):
 
     small, large = states(100), states(200)
     assert small > 1000 and large > 1.9 * small
+
+
+def test_slices_and_parts_leave_nothing_out_and_nothing_behind(documents, monkeypatch):
+    """Runs counted in slices and texts scored in parts give the scores of one pass; only what the result reads stays."""
+    rows, copied = passage(300)
+    rows += [(k, copied) for k in range(20_000, 20_010)] + [(None, None), (1, "")]
+    docs = documents(rows)
+
+    def scores():
+        with owned([]) as folders:
+            found = suffixtree.language_model_scores(docs).collect()
+        labels = {f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in folders}
+        return sorted((str(r["doc_id"]), r["n_tokens"], round(r["score"], 6)) for r in found), labels
+
+    whole, labels = scores()
+    # Counted runs, entries, states and lookups go as soon as they are used.
+    assert labels == {"vocabulary", "followers", "numbered", "scored", "packed", "gains"}
+    monkeypatch.setattr(wordstates, "SHARE", 4_000)
+    monkeypatch.setattr(wordstates, "BUCKET", 1_000)
+    monkeypatch.setattr(wordstates, "FOLDED", 2_000)
+    assert wordstates._shares(18_000, wordstates.PARTS) == 5
+    assert scores()[0] == whole
