@@ -28,20 +28,16 @@ are numbered, so keys may repeat or be NULL. Other columns are ignored.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paywarden.llm import wordstates
-from paywarden.llm.common import ROWS, owned, resident, stash
+from paywarden.llm.common import drop, owned, resident, stash
 
 DEPTH = 2
 SYMBOL = 5e-4
@@ -51,61 +47,43 @@ LOOKUP = 2.5e-7
 # Longer words are never sent to the tasks.
 LOOKUP_BYTES = 64
 PRIOR = 5.0  # weight of the shorter state in a distribution
-# Words, and coded counts, that a task holds before it hands them on.
-WORDS_HELD = 400_000
+# Coded counts that a task holds before it hands them on.
 HELD = 2_000_000
 
-END = ""  # the end's place among the words; no word is empty
+END = int(np.uint64(wordstates.END).view(np.int64))  # the end's place among the words' hashes
 _OTHER, _BEGIN, _END = 0, 1, 2
 
 
-def pieces(batch: pa.RecordBatch, name: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray, pa.Array]]:
-    """Rows of a batch, the number of words of each, and the words as places in an array of the different ones."""
-    texts = batch.column(batch.schema.get_field_index(name))
-    for start in range(0, len(texts), ROWS):
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.slice(start, ROWS), "")))
-        flat = lists.flatten()
-        # White space at either end leaves an empty piece there.
-        word = pc.greater(pc.binary_length(flat), 0)
-        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        sizes = np.bincount(owner[word.to_numpy(zero_copy_only=False)], minlength=len(lists))
-        coded = flat.filter(word).dictionary_encode()
-        yield slice(start, start + len(lists)), sizes, coded.indices.to_numpy(), coded.dictionary
-
-
-def hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
-
-
 def training(key: str = "doc_id"):
     """Documents that are learnt from."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 10 != 0
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Columns word and c, the end as an empty word."""
+def word_counts(docs: DataFrame, text: str = "text", folds: DataFrame | None = None) -> DataFrame:
+    """Columns word, its hash, bytes, its length, and c; the end as the hash of an empty word."""
+    folds = wordstates.folded(docs, text) if folds is None else folds
+    buckets = wordstates.buckets_for(wordstates.tokens_of(folds))
+
     def run(batches):
-        found: Counter = Counter()
         for batch in batches:
-            for _, sizes, codes, words in pieces(batch, text):
-                found.update(dict(zip(words.to_pylist(), np.bincount(codes, minlength=len(words)).tolist())))
-                found[END] += len(sizes)
-                if len(found) >= WORDS_HELD:
-                    yield from _handed(found)
-                    found.clear()
-        yield from _handed(found)
-
-    return docs.select(text).mapInArrow(run, "word string, c long").groupBy("word").agg(
-        F.sum("c").alias("c"))
-
-
-def _handed(found: Counter) -> Iterator[pa.RecordBatch]:
-    items = [(w, n) for w, n in found.items() if n]
-    for start in range(0, len(items), 50_000):
-        part = items[start:start + 50_000]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in part], pa.string()), pa.array([p[1] for p in part], pa.int64())],
-            names=["word", "c"])
+            for fold in wordstates.unfolded(batch):
+                word, length = np.append(fold.word, np.uint64(wordstates.END)), np.append(fold.bytes, np.uint8(0))
+                n = np.append(np.bincount(fold.code, minlength=len(fold.word)), len(fold.size))
+                order, present, ends = wordstates.grouped(word, buckets)
+                yield from wordstates.rows_of(
+                    present, ends, word=word[order], bytes=length[order], n=n[order]).to_batches()
+
+    def total(rows: pa.Table) -> pa.Table:
+        word, length, n = (wordstates.flat(rows[c], k) for c, k in (
+            ("word", np.uint64), ("bytes", np.uint8), ("n", np.int64)))
+        places, different = wordstates.encoded(word)
+        size = np.zeros(len(different), np.int32)
+        size[places] = length
+        c = np.bincount(places, weights=n, minlength=len(different)).astype(np.int64)
+        return pa.table({"word": different.view(np.int64), "bytes": size, "c": c})
+
+    return folds.mapInArrow(run, "bucket long, word binary, bytes binary, n binary").groupBy("bucket").applyInArrow(
+        total, "word long, bytes int, c long")
 
 
 @dataclass(frozen=True)
@@ -144,7 +122,7 @@ def lexicon(vocabulary: DataFrame) -> Lexicon:
                            F.max(F.when(F.col("word") == END, F.col("c"))).alias("e")).first()
     n = total["n"] or 0
     frequent = vocabulary.filter(_frequent(n)).toPandas()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in frequent["word"]], np.uint64)
+    hashes = frequent["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     counts = frequent["c"].to_numpy(np.int64)[order]
     named = counts >= max(2, n * SYMBOL)
@@ -155,7 +133,7 @@ def lexicon(vocabulary: DataFrame) -> Lexicon:
 
 def _frequent(n: int):
     return ((F.col("c") >= max(2.0, n * LOOKUP)) & (F.col("word") != END)
-            & (F.octet_length("word") <= LOOKUP_BYTES))
+            & (F.col("bytes") <= LOOKUP_BYTES))
 
 
 class Reader:
@@ -163,17 +141,14 @@ class Reader:
 
     def __init__(self, lex: Lexicon):
         self.lex = lex
-        self.logs = lex.base(lex.counts)
 
-    def places(self, words: pa.Array) -> np.ndarray:
-        """For each word its place in the lexicon, or -1."""
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """For the hash of each word its place in the lexicon, or -1."""
         lex = self.lex
         if not len(lex.hashes):
             return np.full(len(words), -1)
-        found = hashes(words)
-        at = np.minimum(np.searchsorted(lex.hashes, found), len(lex.hashes) - 1)
-        short = pc.binary_length(words).to_numpy() <= LOOKUP_BYTES
-        return np.where((lex.hashes[at] == found) & short, at, -1)
+        at = np.minimum(np.searchsorted(lex.hashes, words), len(lex.hashes) - 1)
+        return np.where(lex.hashes[at] == words, at, -1)
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
         if not len(self.lex.symbols):
@@ -213,8 +188,7 @@ def _codes(before: tuple[np.ndarray, ...], size: int) -> np.ndarray:
     return code
 
 
-def follower_counts(docs: DataFrame, sent, name: str, contexts: np.ndarray | None, depth: int,
-                    text: str = "text") -> DataFrame:
+def follower_counts(folds: DataFrame, sent, name: str, contexts: np.ndarray | None, depth: int) -> DataFrame:
     """How often each symbol follows each context of length ``depth``: context, symbol, n.
 
     ``contexts`` are ascending codes, at most 1/CONTEXT; at depth 1 all symbols count.
@@ -225,15 +199,16 @@ def follower_counts(docs: DataFrame, sent, name: str, contexts: np.ndarray | Non
         held: list[tuple[np.ndarray, np.ndarray]] = []
         length = 0
         for batch in batches:
-            for _, sizes, codes, words in pieces(batch, text):
-                symbols = reader.symbols(reader.places(words))[codes]
-                following, *before = _lines(symbols, sizes, depth)
+            for fold in wordstates.unfolded(batch):
+                symbols = reader.symbols(reader.places(fold.word))[fold.code]
+                following, *before = _lines(symbols, fold.size, depth)
                 code = _codes(tuple(before), size)
                 if contexts is not None:
                     at = np.minimum(np.searchsorted(contexts, code), len(contexts) - 1)
                     good = contexts[at] == code
                     code, following = code[good], following[good]
-                held.append(np.unique(code * size + following, return_counts=True))
+                places, different = wordstates.encoded(code * size + following)
+                held.append((different, np.bincount(places, minlength=len(different))))
                 length += len(held[-1][0])
                 if length >= HELD:
                     held = [_summed(held)]
@@ -244,7 +219,7 @@ def follower_counts(docs: DataFrame, sent, name: str, contexts: np.ndarray | Non
         if held:
             yield from _coded(*_summed(held), size)
 
-    counted = docs.select(text).mapInArrow(run, "context long, symbol long, n long")
+    counted = folds.mapInArrow(run, "context long, symbol long, n long")
     return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
@@ -337,121 +312,71 @@ def grow(tree: Tree, counts: DataFrame, tokens: int) -> tuple[Tree, np.ndarray]:
     return Tree(size, tree.root, (*tree.depths, level)), np.unique(context[often] * size + symbol[often])
 
 
-def learn(docs: DataFrame, vocabulary: DataFrame, text: str = "text",
-          depth: int = DEPTH) -> tuple[Lexicon, Tree]:
-    """Lexicon and tree of the training texts ``docs``."""
+def learn(docs: DataFrame, vocabulary: DataFrame, text: str = "text", depth: int = DEPTH,
+          folds: DataFrame | None = None) -> tuple[Lexicon, Tree]:
+    """Lexicon and tree of the training texts ``docs``, or their ``folds``."""
     lex = lexicon(vocabulary)
+    folds = wordstates.folded(docs, text) if folds is None else folds
     sent, name = docs.sparkSession.sparkContext.broadcast(lex), uuid.uuid4().hex
     with np.errstate(divide="ignore"):
         tree = Tree(lex.size, np.log(lex.root()), ())
     contexts = None
     for level in range(1, depth + 1):
-        counts = stash(follower_counts(docs, sent, name, contexts, level, text), "followers")
+        counts = stash(follower_counts(folds, sent, name, contexts, level), "followers")
         tree, contexts = grow(tree, counts, lex.tokens)
         if not len(contexts):
             break
     return lex, tree
 
 
-def _told(reader: Reader, tree: Tree, codes: np.ndarray, words: pa.Array,
-          sizes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each word whether it is known, log10 of its base probability and of its share of its
-    symbol; of each word and end log10 of its symbol's probability. 0 stands for a rare word's base."""
-    lex = reader.lex
-    places = reader.places(words)
-    known = places >= 0
-    base = np.where(known, reader.logs[places], 0.0) if len(lex.counts) else np.zeros(len(words))
-    symbols = reader.symbols(places)
-    # Within the shared symbol a word has its share of the base model.
-    own = np.where(symbols == _OTHER, base - tree.root[_OTHER] / np.log(10), 0.0)
-    following, *before = _lines(symbols[codes], sizes, max(1, len(tree.depths)))
-    return known[codes], base[codes], own[codes], tree.logs(following, before) / np.log(10)
-
-
 def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key: str = "doc_id",
-           text: str = "text", states: DataFrame | None = None, folders: list[str] | None = None) -> DataFrame:
+           text: str = "text", states: DataFrame | None = None, folders: list[str] | None = None,
+           folds: DataFrame | None = None) -> DataFrame:
     """Key, n_tokens, n_known, base_score and score of each document.
 
     ``states`` are those over whole words, which go before the tree's; ``folders`` hold nothing
-    else and are dropped when the states are read.
+    else and are dropped when the states are read. ``folds`` are those of the documents, if there are any.
     """
-    context = docs.sparkSession.sparkContext
-    sent, name = context.broadcast(lex), uuid.uuid4().hex
-    model = context.broadcast(tree)
-    schema = T.StructType([
-        docs.schema[key], T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()),
-        T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
-        T.StructField("score", T.DoubleType()), T.StructField("words", T.ArrayType(T.StringType())),
-        T.StructField("counts", T.ArrayType(T.LongType()))])
-
-    def run(batches):
-        reader, tree = _reader(name, sent), model.value
+    spark = docs.sparkSession
+    sent, name = spark.sparkContext.broadcast(lex), uuid.uuid4().hex
+    grown = spark.sparkContext.broadcast(tree)
+    folds = stash(wordstates.folded(docs, text, key), "numbered", "zstd") if folds is None else folds
+    rare = vocabulary.filter(~_frequent(lex.tokens) & (F.col("word") != END))
+    known = stash(wordstates.model(states, rare, wordstates.buckets_for(lex.tokens)), "packed")
+    drop(spark, folders or [])
+
+    def told(fold: wordstates.Fold, counts: np.ndarray) -> tuple:
+        reader, tree = _reader(name, sent), grown.value
         lex = reader.lex
-        end = float(lex.base(lex.ends))
-        for batch in batches:
-            for rows, sizes, codes, words in pieces(batch, text):
-                known, base, own, path = _told(reader, tree, codes, words, sizes)
-                n = len(sizes)
-                owner = np.repeat(np.arange(n), sizes)
-                unknown = np.flatnonzero(~known)
-                rare, counts = np.unique(owner[unknown] * max(len(words), 1) + codes[unknown], return_counts=True)
-                ends = np.searchsorted(rare // max(len(words), 1), np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], batch.column(2)[rows], pa.array(sizes + 1),
-                     pa.array(np.bincount(owner, weights=known, minlength=n).astype(np.int64) + (lex.ends > 0)),
-                     pa.array(np.bincount(owner, weights=base, minlength=n) + end),
-                     pa.array(np.bincount(owner, weights=own, minlength=n) + np.bincount(
-                         np.repeat(np.arange(n), sizes + 1), weights=path, minlength=n)),
-                     pa.ListArray.from_arrays(ends, words.take(pa.array(rare % max(len(words), 1)))),
-                     pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int64)))], names=schema.names)
-
-    numbered = docs.select(F.col(key), F.col(text), F.monotonically_increasing_id().alias("row"))
-    numbered = stash(numbered, "numbered", "zstd") if states is not None else numbered
-    rows = stash(numbered.mapInArrow(run, schema), "scored")
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "counts")).alias("r")).select(
-        "row", F.col("r.words").alias("word"), F.col("r.counts").alias("k"))
-    others = vocabulary.filter(~_frequent(lex.tokens) & (F.col("word") != END))
-    joined = rare.join(others, "word", "left")
-    # log10 of the base probability of each rare word.
-    log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1)) - F.lit(lex.norm)
-    sums = joined.groupBy("row").agg(
-        F.sum(F.col("k") * log).alias("more"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("found"))
-    more = F.coalesce("more", F.lit(0.0))
-    based = rows.join(sums, "row", "left").select(
-        key, "row", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
-    if states is None:
-        return based.drop("row")
-
-    def fold(batches):
-        reader = _reader(name, sent)
-        held = wordstates.Fold()
-        for batch in batches:
-            for rows, sizes, codes, words in pieces(batch, text):
-                _, _, own, path = _told(reader, model.value, codes, words, sizes)
-                inside = np.ones(len(path), bool)
-                inside[np.cumsum(sizes + 1) - 1] = False
-                path[inside] += own
-                row = batch.column(0)[rows].to_numpy()
-                yield from held.added(sizes, codes, words, row, path)
-        yield from held.handed()
-
-    gained = wordstates.gains(numbered.select("row", text), fold, states, lex.tokens, folders)
-    return based.join(gained, "row", "left").select(
-        key, "n_tokens", "n_known", "base_score",
-        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))
+        places = reader.places(fold.word)
+        if len(lex.counts):
+            counts = np.where(places >= 0, lex.counts[places], counts)
+        base = lex.base(counts)
+        symbols = reader.symbols(places)
+        # Within the shared symbol a word has its share of the base model.
+        own = np.where(symbols == _OTHER, base * np.log(10) - tree.root[_OTHER], 0.0)
+        following, *before = _lines(symbols[fold.code], fold.size, max(1, len(tree.depths)))
+        path = tree.logs(following, before)
+        inside = np.ones(len(path), bool)
+        inside[np.cumsum(fold.size + 1) - 1] = False
+        path[inside] += own[fold.code]
+        return counts > 0, base, int(lex.ends > 0), float(lex.base(lex.ends)), np.exp(path)
+
+    depth = 0 if states is None else wordstates.DEPTH
+    found = stash(wordstates.scores(folds, known, depth, lex.tokens, told), "scored")
+    return found.withColumnRenamed("key", key)
 
 
 def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                           learnt: Callable = training) -> DataFrame:
     """Scores of all documents by what the training documents among them teach."""
     rows = docs.select(key, text)
-    train = rows.filter(learnt(key))
-    vocabulary = stash(word_counts(train, text), "vocabulary")
-    lex, tree = learn(train, vocabulary, text)
+    folds = stash(wordstates.folded(rows, text, key, learnt(key)), "numbered", "zstd")
+    train = folds.filter("taught")
+    vocabulary = stash(word_counts(rows, text, train), "vocabulary")
+    lex, tree = learn(rows, vocabulary, text, folds=train)
     with owned([]) as folders:
-        states = wordstates.learn(train, vocabulary, lex, _frequent(lex.tokens), PRIOR, text)
-    found = scored(rows, vocabulary, lex, tree, key, text, states, folders)
+        states = wordstates.learn(rows, vocabulary, lex, _frequent(lex.tokens), PRIOR, text, folds=train)
+    found = scored(rows, vocabulary, lex, tree, key, text, states, folders, folds)
     return found.select(key, (~learnt(key)).alias("held_out"), "n_tokens", "n_known",
                         F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -7,38 +7,44 @@ context is a state if its distribution diverges from that of the context without
 oldest word by more than its entries cost to describe. The share that a state's entries
 leave goes to the next shorter state, and from the shortest to the tree of symbols.
 
-Runs of words are known by 64-bit hashes. Nothing here is collected or broadcast by hand.
-Texts are folded into rows of some million tokens. A fold names each of its runs once, in one
-array for each bucket of hashes; the buckets are summed, and met by the states, one group each.
-Runs are counted in up to SLICES, and texts scored in up to PARTS, one after the other, so that the
-disk holds a share of them at a time. Each run is in one slice and each text in one part.
+Words and runs of words are known by 64-bit hashes. Nothing here is collected or broadcast by hand.
+Texts are split into words once, into folds: rows of some million tokens. A fold names each of its runs
+once, in one packed array for each bucket of hashes. The buckets are summed; what was seen LEAST times goes
+to the bucket of its suffix, which knows its probability one level below, and on to that of its prefix,
+which decides. Answers to a fold stand in the order of its questions.
+Runs are counted in up to SLICES, and folds scored in up to PARTS, one after the other, so that the
+disk holds a share of them at a time. Each run is in one slice and each fold in one part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paywarden.llm.common import drop, owned, stash
+from paywarden.llm.common import ROWS, drop, owned, stash
 
 DEPTH = 3
 LEAST = 2
-# Tokens of a fold, which ends with the text that reaches them.
+# Tokens of a fold, which ends with the texts that reach them.
 FOLDED = 1_000_000
-SLICES = 4
-PARTS = 10
+SLICES = 3
+PARTS = 5
 # Tokens that are worth a slice or part of their own.
 SHARE = 2_000_000
 # Tokens for each bucket, about.
 BUCKET = 1_000_000
 
-_END = np.uint64(xxhash.xxh3_64_intdigest(b""))  # no word is empty or has a space
-_BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b" "))
+END = xxhash.xxh3_64_intdigest(b"")  # no word is empty or has a space
+_END, _BEGIN = np.uint64(END), np.uint64(xxhash.xxh3_64_intdigest(b" "))
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
@@ -46,379 +52,496 @@ def _mixed(code: np.ndarray) -> np.ndarray:
     return (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def runs(words: np.ndarray, sizes: np.ndarray, longest: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Place of each token in its text, and by length the hashes of the runs that end there.
-
-    A text is its beginning, its words and its end. A run of length k ends at places from
-    k - 1 on; what the arrays hold at earlier places has no meaning.
-    """
-    step = sizes + 2
-    starts = np.cumsum(step) - step
-    place = np.arange(int(step.sum())) - np.repeat(starts, step)
-    line = np.empty(len(place), np.uint64)
-    inside = np.ones(len(place), bool)
-    inside[starts] = inside[starts + sizes + 1] = False
-    line[starts], line[starts + sizes + 1], line[inside] = _BEGIN, _END, words
-    made = [line]
-    for _ in range(longest - 1):
-        code = made[-1].copy()
-        code[1:] = joined(made[-1][:-1], made[-1][1:])
-        made.append(code)
-    return place, made
-
-
 def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """The run that starts with one run and ends with another, each but a word of it."""
     return suffix + _mixed(prefix)
 
 
-def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
-    return ((_mixed(grams) >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
-
-
 def _shares(tokens: int, most: int) -> int:
     return min(most, 1 + tokens // SHARE)
 
 
-def _buckets(tokens: int) -> int:
+def buckets_for(tokens: int) -> int:
     slices = _shares(tokens, SLICES)
     return slices * (1 + tokens // (slices * BUCKET))
 
 
-FOLD = "fold long, word array<long>, code array<int>, size array<int>, row array<long>, log array<double>"
+def encoded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each value its place among the different ones, and these."""
+    found = pa.array(values).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary.to_numpy()
 
 
-class Fold:
-    """Gathers texts into rows: the different words' hashes, and for each text its words as places among them.
+def _firsts(places: np.ndarray, number: int) -> np.ndarray:
+    first = np.empty(number, np.int64)
+    first[places[::-1]] = np.arange(len(places) - 1, -1, -1)
+    return first
 
-    row and log are what the caller gives for each text, and for each of its words and its end.
-    """
 
-    def __init__(self):
-        self._clear()
+def grouped(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by bucket, the buckets that occur, and where their parts start and end."""
+    return _ordered((_mixed(grams) >> np.uint64(24)) % np.uint64(buckets), buckets)
 
-    def _clear(self):
-        self.known: dict[str, int] = {}
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.length = 0
 
-    def added(self, sizes: np.ndarray, codes: np.ndarray, words: pa.Array, row: np.ndarray,
-              log: np.ndarray) -> Iterator[pa.RecordBatch]:
-        known = self.known
-        at = np.fromiter((known.setdefault(w, len(known)) for w in words.to_pylist()), np.int32, len(words))
-        self.held.append((at[codes], sizes.astype(np.int32), row, log))
-        self.length += len(codes) + 2 * len(sizes)
-        if self.length >= FOLDED:
-            yield from self.handed()
-
-    def handed(self) -> Iterator[pa.RecordBatch]:
-        if not self.held:
-            return
-        code, size, row, log = (np.concatenate(x) for x in zip(*self.held))
-        word = np.fromiter(map(xxhash.xxh3_64_intdigest, self.known), np.uint64, len(self.known))
-        fold = row[:1] if len(row) else np.zeros(1, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(fold), *(_lists(x, np.array([0, len(x)])) for x in (word.view(np.int64), code, size, row, log))],
-            names=["fold", "word", "code", "size", "row", "log"])
-        self._clear()
+def _ordered(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bucket = bucket.astype(np.uint16 if buckets < 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    number = np.bincount(bucket, minlength=buckets)
+    present = np.flatnonzero(number)
+    return order, present, np.append(0, np.cumsum(number[present]))
+
+
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Parts of an array, as bytes."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+        None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def flat(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
+    """The array whose parts the column has as bytes."""
+    parts = [np.zeros(0, np.uint8)]
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            ends = np.frombuffer(offsets, np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+            if ends[-1] > ends[0]:
+                parts.append(np.frombuffer(data, np.uint8)[ends[0]:ends[-1]])
+    return np.concatenate(parts).view(kind)
+
+
+def rows_of(bucket: np.ndarray, ends: np.ndarray, **values: np.ndarray) -> pa.Table:
+    """A row for each bucket with its parts of the arrays."""
+    return pa.table({"bucket": pa.array(bucket, pa.int64()), **{k: packed(v, ends) for k, v in values.items()}})
+
 
+def packed_rows(rows: DataFrame, buckets: int, **kinds: type) -> DataFrame:
+    """Rows with a column gram, as arrays for each bucket; their columns are of the given kinds."""
+    def handed(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(held)
+        values = {k: found[k].to_numpy().astype(kind, copy=False) for k, kind in kinds.items()}
+        order, present, ends = grouped(found["gram"].to_numpy().view(np.uint64), buckets)
+        return rows_of(present, ends, **{k: v[order] for k, v in values.items()}).to_batches()
+
+    def run(batches):
+        held, length = [], 0
+        for batch in batches:
+            held.append(batch)
+            length += batch.num_rows
+            if length >= FOLDED:
+                yield from handed(held)
+                held, length = [], 0
+        if length:
+            yield from handed(held)
 
-def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+    return rows.select(*kinds).mapInArrow(run, "bucket long, " + ", ".join(f"{k} binary" for k in kinds))
 
 
-def _unfolded(batch: pa.RecordBatch, longest: int) -> Iterator[tuple]:
-    """Of each row fold, texts' rows, their sizes, logs, and the runs."""
-    column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+@dataclass
+class Fold:
+    """Texts as places among their different words' hashes."""
+
+    fold: int
+    key: pa.Array
+    size: np.ndarray  # words of each text
+    code: np.ndarray
+    word: np.ndarray
+    bytes: np.ndarray  # of each word, 255 at most
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Where a text's line is: its beginning, its words and its end."""
+        return np.cumsum(self.size + 2) - (self.size + 2)
+
+    def ends_of(self, longest: int) -> np.ndarray:
+        """Whether a run of so many words ends at a place of the lines."""
+        out = np.ones(len(self.code) + 2 * len(self.size), bool)
+        for k in range(longest - 1):
+            at = self.starts + k  # where a text is shorter, the next one has no such run either
+            out[at[at < len(out)]] = False
+        return out
+
+    def line(self, of_words: np.ndarray, begin, end) -> np.ndarray:
+        """What each place has, by the word there."""
+        out = np.empty(len(self.code) + 2 * len(self.size), of_words.dtype)
+        inside = np.ones(len(out), bool)
+        last = self.starts + self.size + 1
+        inside[self.starts] = inside[last] = False
+        out[self.starts], out[last], out[inside] = begin, end, of_words[self.code]
+        return out
+
+    def runs(self, longest: int) -> list[np.ndarray]:
+        """By length the hashes of the runs that end at each place; some have no meaning (``ends_of``)."""
+        made = [self.line(self.word, _BEGIN, _END)]
+        for _ in range(longest - 1):
+            code = made[-1].copy()
+            code[1:] = joined(made[-1][:-1], made[-1][1:])
+            made.append(code)
+        return made
+
+    def asked(self, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The different words and runs of up to depth + 1 words, and by length the place among these
+        of the run that ends at each place; where there is none, the number of them all."""
+        begin, end = len(self.word), -1
+        grams, at = [np.append(self.word, _BEGIN)], [self.line(np.arange(begin), begin, end)]
+        for k, made in enumerate(self.runs(depth + 1)[1:], 2):
+            there = self.ends_of(k)
+            places, different = encoded(made[there])
+            where = np.full(len(there), -1)
+            where[there] = places + sum(map(len, grams))
+            grams.append(different)
+            at.append(where)
+        gram = np.concatenate(grams)
+        for where in at:
+            where[where < 0] = len(gram)
+        return gram, at
+
+
+def _schema(key: T.DataType) -> T.StructType:
+    packs = [T.StructField(n, T.BinaryType()) for n in ("size", "code", "word", "bytes")]
+    return T.StructType([T.StructField("fold", T.LongType()), T.StructField("taught", T.BooleanType()),
+                         T.StructField("tokens", T.LongType()), T.StructField("key", T.ArrayType(key)), *packs])
+
+
+def unfolded(batch: pa.RecordBatch | pa.Table) -> Iterator[Fold]:
     for i in range(batch.num_rows):
-        word, code, size, row, log = (column[n][i].values.to_numpy() for n in ("word", "code", "size", "row", "log"))
-        size = size.astype(np.int64)
-        yield column["fold"][i].as_py(), row, size, log, *runs(word.view(np.uint64)[code], size, longest)
+        def values(name, kind):
+            return flat(batch[name].slice(i, 1), kind)
 
+        yield Fold(batch["fold"][i].as_py(), batch["key"][i].values, values("size", np.int32).astype(np.int64),
+                   values("code", np.int32), values("word", np.uint64), values("bytes", np.uint8))
 
-def _flat(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
+class _Gathered:
+    """Texts on their way to a fold."""
 
-def _grouped(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by bucket, the buckets that occur, and where their parts start and end."""
-    order = np.argsort(bucket, kind="stable")
-    number = np.bincount(bucket, minlength=buckets)
-    present = np.flatnonzero(number)
-    return order, present, np.append(0, np.cumsum(number[present]))
+    def __init__(self, taught: bool):
+        self.taught = taught
+        self._clear()
 
+    def _clear(self):
+        self.held: list[tuple] = []
+        self.length = 0
 
-def folded(docs: DataFrame, text: str = "text") -> DataFrame:
-    from paywarden.llm.suffixtree import pieces
+    def added(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column(1), "")))
+        words = lists.flatten()
+        # White space at either end leaves an empty piece there.
+        there = pc.greater(pc.binary_length(words), 0)
+        owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        size = np.bincount(owner[there.to_numpy(zero_copy_only=False)], minlength=len(lists))
+        words = words.filter(there)
+        self.held.append((batch.column(0), batch.column(2)[0], size.astype(np.int32), words))
+        self.length += len(words) + len(size)
+        if self.length >= FOLDED:
+            yield self.handed()
+
+    def handed(self) -> pa.RecordBatch:
+        key, row, size, words = zip(*self.held)
+        key, size = pa.concat_arrays(key), np.concatenate(size)
+        coded = pa.concat_arrays(words).dictionary_encode()
+        word = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False).tolist()),
+                           np.uint64, len(coded.dictionary))
+        length = np.minimum(pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False), 255).astype(np.uint8)
+        packs = (packed(x, np.array([0, len(x)])) for x in (size, coded.indices.to_numpy(), word, length))
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([row[0].as_py()], pa.int64()), pa.array([self.taught]), pa.array([self.length]),
+             pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), key), *packs],
+            names=["fold", "taught", "tokens", "key", "size", "code", "word", "bytes"])
+        self._clear()
+        return out
+
+
+def folded(docs: DataFrame, text: str = "text", key: str | None = None, learnt: Column | None = None) -> DataFrame:
+    """The texts in folds; those learnt from are in folds of their own."""
+    named = F.lit(None).cast("long") if key is None else F.col(key)
+    flag = F.lit(True) if learnt is None else F.coalesce(learnt, F.lit(False))
+    rows = docs.select(named.alias("key"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"),
+                       flag.alias("taught"))
 
     def run(batches):
-        fold = Fold()
+        kinds = [_Gathered(True), _Gathered(False)]
         for batch in batches:
-            for _, sizes, codes, words in pieces(batch, text):
-                yield from fold.added(sizes, codes, words, np.zeros(0, np.int64), np.zeros(0))
-        yield from fold.handed()
+            for kind in kinds:
+                mine = batch.filter(batch.column(3) if kind.taught else pc.invert(batch.column(3)))
+                for start in range(0, mine.num_rows, ROWS):
+                    yield from kind.added(mine.slice(start, ROWS))
+        for kind in kinds:
+            if kind.held:
+                yield kind.handed()
 
-    return docs.select(text).mapInArrow(run, FOLD)
+    return rows.mapInArrow(run, _schema(rows.schema["key"].dataType))
+
+
+def tokens_of(folds: DataFrame) -> int:
+    return folds.agg(F.sum("tokens")).first()[0] or 0
 
 
 def run_counts(folds: DataFrame, size: int, part: int, tokens: int) -> DataFrame:
-    """Runs of so many words seen LEAST times, those of one slice: gram, prefix, suffix, n."""
-    buckets, slices = _buckets(tokens), _shares(tokens, SLICES)
+    """Runs of so many words seen LEAST times, those of one slice, as arrays for the buckets of
+    their suffixes: prefix, suffix, n."""
+    buckets, slices = buckets_for(tokens), _shares(tokens, SLICES)
 
     def run(batches):
         for batch in batches:
-            for _, _, _, _, place, made in _unfolded(batch, size):
-                at = np.flatnonzero(place >= size - 1)
-                bucket = _bucket(made[-1][at], buckets)
-                mine = bucket % slices == part
-                at, bucket = at[mine], bucket[mine]
-                _, first, n = np.unique(made[-1][at], return_index=True, return_counts=True)
-                order, present, ends = _grouped(bucket[first], buckets)
+            for fold in unfolded(batch):
+                made = fold.runs(size)
+                at = np.flatnonzero(fold.ends_of(size))
+                bucket = (_mixed(made[-1][at]) >> np.uint64(24)) % np.uint64(buckets)
+                if slices > 1:
+                    mine = bucket % np.uint64(slices) == part
+                    at, bucket = at[mine], bucket[mine]
+                places, different = encoded(made[-1][at])
+                first = _firsts(places, len(different))
+                n = np.bincount(places, minlength=len(different)).astype(np.int32)
+                order, present, ends = _ordered(bucket[first], buckets)
                 at = at[first[order]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(present), _lists(made[-2][at - 1].view(np.int64), ends),
-                     _lists(made[-2][at].view(np.int64), ends), _lists(n[order].astype(np.int64), ends)],
-                    names=["bucket", "prefix", "suffix", "n"])
+                yield from rows_of(present, ends, prefix=made[-2][at - 1], suffix=made[-2][at], n=n[order]).to_batches()
 
     def total(rows: pa.Table) -> pa.Table:
-        prefix, suffix, n = (_flat(rows[c]) for c in ("prefix", "suffix", "n"))
-        gram = joined(prefix.view(np.uint64), suffix.view(np.uint64))
-        order = np.argsort(gram)
-        start = np.flatnonzero(np.append(True, np.diff(gram[order]) != 0)[:len(gram)])
-        n = np.add.reduceat(n[order], start) if len(start) else n
-        good = n >= LEAST
-        at = order[start[good]]
-        return pa.table({"gram": gram[at].view(np.int64), "prefix": prefix[at], "suffix": suffix[at], "n": n[good]})
+        prefix, suffix = flat(rows["prefix"], np.uint64), flat(rows["suffix"], np.uint64)
+        places, different = encoded(joined(prefix, suffix))
+        n = np.bincount(places, weights=flat(rows["n"], np.int32), minlength=len(different)).astype(np.int64)
+        often = np.flatnonzero(n >= LEAST)
+        at, n = _firsts(places, len(different))[often], n[often]
+        order, present, ends = grouped(suffix[at], buckets)
+        return rows_of(present, ends, prefix=prefix[at[order]], suffix=suffix[at[order]], n=n[order])
 
-    named = folds.mapInArrow(run, "bucket long, prefix array<long>, suffix array<long>, n array<long>")
-    return named.groupBy("bucket").applyInArrow(total, "gram long, prefix long, suffix long, n long")
+    schema = "bucket long, prefix binary, suffix binary, n binary"
+    return folds.mapInArrow(run, schema).groupBy("bucket").applyInArrow(total, schema)
 
 
-def single(vocabulary: DataFrame, lex, frequent) -> DataFrame:
-    """Words and the beginning: gram, n, p, and base.
+def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether ascending hashes have those asked for, and where."""
+    if not len(known):
+        return np.zeros(len(asked), bool), np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    return known[at] == asked, at
 
-    p is the base probability. base is its log10 for words that tasks do not know, else 0.
-    """
-    from paywarden.llm.suffixtree import END, hashes
 
+_LEVEL = "bucket long, gram binary, n binary, p binary, share binary, state binary, rest binary"
+
+
+def _level(rows: DataFrame, shorter: DataFrame, buckets: int, prior: float) -> DataFrame:
+    """The runs of a level with their probabilities, and the states that these follow.
+
+    ``rows`` are the runs that ``run_counts`` gives, ``shorter`` the level below. ``share`` is NaN for
+    the runs of a context that is no state.
+    """
+    def likened(runs: pa.Table, below: pa.Table) -> pa.Table:
+        gram, p = flat(below["gram"], np.uint64), flat(below["p"], float)
+        by = np.argsort(gram)
+        prefix, suffix, n = (flat(runs[c], k) for c, k in (
+            ("prefix", np.uint64), ("suffix", np.uint64), ("n", np.int64)))
+        hit, at = _found(gram[by], suffix)
+        prefix, suffix, n, q = prefix[hit], suffix[hit], n[hit], p[by][at[hit]]
+        order, present, ends = grouped(prefix, buckets)
+        return rows_of(present, ends, prefix=prefix[order], suffix=suffix[order], n=n[order], q=q[order])
+
+    def decided(runs: pa.Table, below: pa.Table) -> pa.Table:
+        context, seen = flat(below["gram"], np.uint64), flat(below["n"], np.int64)
+        by = np.argsort(context)
+        prefix, suffix, n, q = (flat(runs[c], k) for c, k in (
+            ("prefix", np.uint64), ("suffix", np.uint64), ("n", np.int64), ("q", float)))
+        hit, _ = _found(context[by], prefix)
+        prefix, suffix, n, q = prefix[hit], suffix[hit], n[hit], q[hit]
+        owner, states = encoded(prefix)
+        total = seen[by][_found(context[by], states)[1]].astype(float) if len(states) else np.zeros(0)
+        given = np.bincount(owner, weights=n, minlength=len(states))
+        entries = np.bincount(owner, minlength=len(states))
+        weight = total + prior
+        rest = (weight - given) / weight
+        share = n / weight[owner]
+        p = share + rest[owner] * q
+        # Kullback-Leibler divergence from the shorter state; what is no entry differs by the rest.
+        gain = np.bincount(owner, weights=p * np.log(p / q), minlength=len(states))
+        named = np.bincount(owner, weights=p, minlength=len(states))
+        divergence = gain + np.maximum(1 - named, 0) * np.log(rest)
+        kept = total * divergence > 0.5 * np.log(np.maximum(total, 2)) * entries
+        stays = kept[owner]
+        gram = joined(prefix, suffix)
+        p, share = np.where(stays, p, q), np.where(stays, share, np.nan)
+        order, present, ends = grouped(gram, buckets)
+        none, states, rest = np.zeros(len(present) + 1, np.int64), states[kept], rest[kept]
+        out = rows_of(present, ends, gram=gram[order], n=n[order], p=p[order], share=share[order])
+        out = out.append_column("state", packed(states[:0], none)).append_column("rest", packed(rest[:0], none))
+        home, mine, until = grouped(states, buckets)
+        none = np.zeros(len(mine) + 1, np.int64)
+        empty = {c: packed(out_kind, none) for c, out_kind in (
+            ("gram", gram[:0]), ("n", n[:0]), ("p", p[:0]), ("share", share[:0]))}
+        own = pa.table({"bucket": pa.array(mine, pa.int64()), **empty, "state": packed(states[home], until),
+                        "rest": packed(rest[home], until)})
+        return pa.concat_tables([out, own])
+
+    below = shorter.select("bucket", "gram", "n", "p").groupBy("bucket")
+    told = rows.groupBy("bucket").cogroup(below).applyInArrow(
+        likened, "bucket long, prefix binary, suffix binary, n binary, q binary")
+    return told.groupBy("bucket").cogroup(below).applyInArrow(decided, _LEVEL)
+
+
+def _unpacked(level: DataFrame, depth: int) -> DataFrame:
+    """A level's states and their entries, one in a row."""
     def run(batches):
         for batch in batches:
+            gram, share, state, rest = (flat(batch[c], k) for c, k in (
+                ("gram", np.int64), ("share", float), ("state", np.int64), ("rest", float)))
+            entry = ~np.isnan(share)
+            gram, share = gram[entry], share[entry]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes(batch.column(0)).view(np.int64)), *batch.columns[1:]],
-                names=["gram", "n", "known"])
+                [pa.array(np.append(gram, state)), pa.array(np.full(len(gram) + len(state), depth, np.int32)),
+                 pa.array(np.append(share, np.full(len(state), np.nan)), from_pandas=True),
+                 pa.array(np.append(np.full(len(gram), np.nan), rest), from_pandas=True)],
+                names=["gram", "depth", "share", "rest"])
 
-    known = frequent | (F.col("word") == END)
-    rows = vocabulary.select("word", F.col("c").alias("n"), known.alias("known")).mapInArrow(
-        run, "gram long, n long, known boolean")
-    start = vocabulary.filter(F.col("word") == END).select(
-        F.lit(int(_BEGIN.view(np.int64))).alias("gram"), F.col("c").alias("n"), F.lit(True).alias("known"))
-    log = F.log10(F.col("n") + F.lit(0.1)) - F.lit(lex.norm)
-    return rows.unionByName(start).select(
-        "gram", "n", F.pow(F.lit(10.0), log).alias("p"),
-        F.when(F.col("known"), F.lit(0.0)).otherwise(log).alias("base"))
+    return level.select("gram", "share", "state", "rest").mapInArrow(
+        run, "gram long, depth int, share double, rest double")
 
 
 def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, text: str = "text",
-          depth: int = DEPTH) -> DataFrame:
-    """States and their entries: gram, depth, share, rest, base.
+          depth: int = DEPTH, folds: DataFrame | None = None) -> DataFrame:
+    """States and their entries: gram, depth, share, rest.
 
     A state's row has the share it leaves to the next shorter one as rest. An entry, known by
     the run of the state's words and the next, has its own share, beside what the shorter
-    state adds, and the base of its word.
+    state adds. ``folds`` are those of the texts, if there are any.
     """
     spark = docs.sparkSession
     with owned([]) as texts:
-        folds = stash(folded(docs, text), "folds", "zstd")
-    with owned([]) as last:
-        shorter = stash(single(vocabulary, lex, frequent), "words")
+        folds = stash(folded(docs, text), "folds", "zstd") if folds is None else folds
+    buckets = buckets_for(lex.tokens)
+    start = vocabulary.filter(F.col("word") == _signed(_END)).select(
+        F.lit(_signed(_BEGIN)).alias("gram"), F.col("c").alias("n"))
+    words = vocabulary.select(F.col("word").alias("gram"), F.col("c").alias("n")).unionByName(start).withColumn(
+        "p", F.pow(F.lit(10.0), F.log10(F.col("n") + F.lit(0.1)) - F.lit(lex.norm)))
+    shorter = packed_rows(words, buckets, gram=np.int64, n=np.int64, p=float)
     out = None
     for level in range(1, depth + 1):
         with owned([]) as counted:
-            known = shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q"), "base")
             rows = None
             for part in range(_shares(lex.tokens, SLICES)):
-                with owned([]) as sliced:
-                    found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
-                found = stash(found.join(known, "suffix").select("prefix", "gram", "n", "q", "base"), "told")
-                drop(spark, sliced)
+                found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
                 rows = found if rows is None else rows.unionByName(found)
         if level == depth:
             drop(spark, texts)
-        with owned([]) as used:
-            totals = shorter.select(F.col("gram").alias("prefix"), F.col("n").alias("total"))
-            states = rows.groupBy("prefix").agg(
-                F.sum("n").alias("given"), F.count(F.lit(1)).alias("entries")).join(totals, "prefix")
-            weight = F.col("total") + F.lit(prior)
-            states = stash(states.select("prefix", "total", "entries", (
-                (weight - F.col("given")) / weight).alias("rest")), "contexts")
-            drop(spark, last)
-            told = stash(rows.join(states, "prefix").withColumn("share", F.col("n") / weight), "entries")
-            drop(spark, counted)
-            told = told.withColumn("p", F.col("share") + F.col("rest") * F.col("q"))
-            # Kullback-Leibler divergence from the shorter state; what is no entry differs by the rest.
-            unlike = told.groupBy("prefix").agg(
-                F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("gain"), F.sum("p").alias("named"),
-                F.first("rest").alias("rest"), F.first("total").alias("total"),
-                F.first("entries").alias("entries"))
-            divergence = F.col("gain") + F.greatest(1 - F.col("named"), F.lit(0.0)) * F.log("rest")
-            cost = F.lit(0.5) * F.log(F.greatest(F.col("total"), F.lit(2))) * F.col("entries")
-            kept = stash(unlike.filter(F.col("total") * divergence > cost).select("prefix", "rest"), "states")
-            mine = told.select("prefix", "gram", "n", "p", "q", "base", "share").join(
-                kept.select("prefix", F.lit(True).alias("stays")), "prefix", "left")
-            stays = F.col("stays").isNotNull()
-            with owned(last):
-                shorter = stash(mine.select("gram", "n", F.when(stays, F.col("p")).otherwise(F.col("q")).alias("p"),
-                                            "base", F.when(stays, F.col("share")).alias("share")), "level")
-        none = F.lit(None).cast("double")
-        part = stash(kept.select(
-            F.col("prefix").alias("gram"), F.lit(level).alias("depth"), none.alias("share"), "rest",
-            none.alias("base")).unionByName(shorter.filter(F.col("share").isNotNull()).select(
-                "gram", F.lit(level).alias("depth"), "share", none.alias("rest"), "base")), "model")
-        out = part if out is None else out.unionByName(part)
-        drop(spark, used)
-    drop(spark, last)
+        shorter = stash(_level(rows, shorter, buckets, prior), "level")
+        drop(spark, counted)
+        found = _unpacked(shorter, level)
+        out = found if out is None else out.unionByName(found)
     return out
 
 
-_VALUES = ("share", "rest", "base")
-_MODEL = "gram array<long>, share array<double>, rest array<double>, base array<double>"
-
+def _signed(gram: np.uint64) -> int:
+    return int(gram.view(np.int64))
 
-def _merged(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The runs of some rows of arrays, ascending, and their values, NaN where a run has none."""
-    grams, at = np.unique(_flat(rows["gram"]), return_inverse=True)
-    values = []
-    for name in _VALUES:
-        value, out = _flat(rows[name]), np.full(len(grams), np.nan)
-        there = ~np.isnan(value)
-        out[at[there]] = value[there]
-        values.append(out)
-    return grams, values
 
+def model(states: DataFrame | None, rare: DataFrame, buckets: int) -> DataFrame:
+    """The states and entries of each bucket in one row: bucket, and gram, share, rest, packed.
 
-def packed(states: DataFrame, tokens: int) -> DataFrame:
-    """The states and entries of each bucket in one row: bucket, and arrays of gram, share, rest, base."""
-    buckets = _buckets(tokens)
-
-    def handed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held)
-        gram = rows["gram"].to_numpy()
-        order, present, ends = _grouped(_bucket(gram.view(np.uint64), buckets), buckets)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(present), *(_lists(rows[c].to_numpy()[order], ends) for c in ("gram", *_VALUES))],
-            names=["bucket", "gram", *_VALUES])
+    A word that tasks do not know has how often it was seen as its share.
+    """
+    rows = rare.select(F.col("word").alias("gram"), F.col("c").cast("double").alias("share"),
+                       F.lit(None).cast("double").alias("rest"))
+    rows = rows if states is None else rows.unionByName(states.select("gram", "share", "rest"))
 
-    def run(batches):
-        held, length = [], 0
-        for batch in batches:
-            held.append(batch)
-            length += batch.num_rows
-            if length >= FOLDED:
-                yield handed(held)
-                held, length = [], 0
-        if held:
-            yield handed(held)
+    def merge(found: pa.Table) -> pa.Table:
+        grams, at = np.unique(flat(found["gram"], np.uint64), return_inverse=True)
+        values = {}
+        for name in ("share", "rest"):
+            value, out = flat(found[name], float), np.full(len(grams), np.nan)
+            there = ~np.isnan(value)
+            out[at[there]] = value[there]
+            values[name] = out
+        return rows_of(found["bucket"].slice(0, 1).to_numpy(), np.array([0, len(grams)]), gram=grams, **values)
 
-    def merge(rows: pa.Table) -> pa.Table:
-        gram, values = _merged(rows)
-        ends = np.array([0, len(gram)])
-        return pa.table([rows["bucket"].slice(0, 1), *(_lists(x, ends) for x in (gram, *values))],
-                        names=["bucket", "gram", *_VALUES])
+    return packed_rows(rows, buckets, gram=np.int64, share=float, rest=float).groupBy("bucket").applyInArrow(
+        merge, "bucket long, gram binary, share binary, rest binary")
 
-    schema = "bucket long, " + _MODEL
-    return states.select("gram", *_VALUES).mapInArrow(run, schema).groupBy("bucket").applyInArrow(merge, schema)
 
+_ASKED = "bucket long, fold long, gram binary"
+_TOLD = "fold long, bucket long, hit binary, share binary, rest binary"
 
-def asked(folds: DataFrame, tokens: int) -> DataFrame:
-    """The runs that folds ask the states for, each once a fold: bucket, fold, array of gram."""
-    buckets = _buckets(tokens)
 
+def questions(folds: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """The words and runs that folds ask the states for, each once a fold: bucket, fold, gram."""
     def run(batches):
         for batch in batches:
-            for fold, _, size, _, place, made in _unfolded(batch, DEPTH + 1):
-                grams = [np.unique(made[0][place < np.repeat(size + 1, size + 2)])]  # nothing follows an end
-                grams += [np.unique(made[k][place >= k]) for k in range(1, DEPTH + 1)]
-                gram = np.concatenate(grams)
-                order, present, ends = _grouped(_bucket(gram, buckets), buckets)
+            for fold in unfolded(batch):
+                gram, _ = fold.asked(depth)
+                order, present, ends = grouped(gram, buckets)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(present), pa.array(np.full(len(present), fold)),
-                     _lists(gram[order].view(np.int64), ends)], names=["bucket", "fold", "gram"])
-
-    return folds.mapInArrow(run, "bucket long, fold long, gram array<long>")
-
-
-def _replies(asks: pa.Table, model: pa.Table) -> pa.Table:
-    """What the states of a bucket know of the runs asked for, in one row for each fold."""
-    names = ["fold", "gram", *_VALUES]
-    if not asks.num_rows or not model.num_rows:
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())),
-                         *(pa.array([], pa.list_(pa.float64())) for _ in _VALUES)], names=names)
-    known, *values = (_flat(model[c]) for c in ("gram", *_VALUES))
-    gram, fold = _flat(asks["gram"]), asks["fold"].to_numpy()
-    owner = np.repeat(np.arange(len(fold)), [len(x) for x in asks["gram"]])
-    at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
-    hit = known[at] == gram
-    at, owner = at[hit], owner[hit]
-    ends = np.searchsorted(owner, np.arange(len(fold) + 1))
-    return pa.table([pa.array(fold), *(_lists(x[at], ends) for x in (known, *values))], names=names)
-
-
-def _gained(folds: pa.Table, replies: pa.Table) -> pa.Table:
-    """Row, and the log10 by which the states raise the probability of its text, for the texts of a fold."""
-    rows, out = [], []
-    known, values = _merged(replies) if replies.num_rows else (np.zeros(0, np.int64), [np.zeros(0)] * 3)
-    known, values = np.append(known, 0), [np.append(x, np.nan) for x in values]
-
-    for batch in folds.to_batches():
-        for _, row, size, log, place, made in _unfolded(batch, DEPTH + 1):
-            def told(k, places):
-                """Share, rest and base of the runs of k words that end at these places."""
-                gram = made[k - 1][places].view(np.int64)
-                at = np.searchsorted(known[:-1], gram)
-                at = np.where(known[at] == gram, at, len(known) - 1)
-                return [x[at] for x in values]
-
-            after = np.flatnonzero(place > 0)
-            ratio, shares, rests = np.ones(len(after)), [], []
-            base = np.zeros(len(after))
-            for d in range(1, DEPTH + 1):
-                there = place[after] >= d
-                share, rest = np.full(len(after), np.nan), np.full(len(after), np.nan)
-                share[there], _, own = told(d + 1, after[there])
-                rest[there] = told(d, after[there] - 1)[1]
-                base[there] = np.where(np.isnan(own), base[there], own)
-                shares.append(share)
-                rests.append(rest)
-            # Shares over the tree's probability, from the shortest state up.
-            tree = 10 ** (log + base)
-            for share, rest in zip(shares, rests):
-                ratio = np.where(np.isnan(rest), ratio, np.nan_to_num(share) / tree + rest * ratio)
-            rows.append(row)
-            out.append(np.bincount(np.repeat(np.arange(len(row)), size + 1), weights=np.log10(ratio), minlength=len(row)))
-    return pa.table({"row": np.concatenate([np.zeros(0, np.int64), *rows]), "gain": np.concatenate([np.zeros(0), *out])})
-
-
-def gains(texts: DataFrame, fold: Callable, states: DataFrame, tokens: int,
-          folders: list[str] | None = None) -> DataFrame:
-    """Row, and the log10 by which the states raise the probability of its text.
-
-    ``fold`` makes the folds of batches of ``texts``, with the log10 probabilities that the tree
-    gives. ``folders`` hold the states and are dropped once these are read.
+                    [pa.array(present, pa.int64()), pa.array(np.full(len(present), fold.fold)),
+                     packed(gram[order], ends)], names=["bucket", "fold", "gram"])
+
+    return folds.mapInArrow(run, _ASKED)
+
+
+def _replies(asks: pa.Table, known: pa.Table) -> pa.Table:
+    """For each fold which of its questions the states of a bucket know, as bits, and their values."""
+    gram, share, rest = (flat(known[c], k) for c, k in (("gram", np.uint64), ("share", float), ("rest", float)))
+    rows = []
+    for i in range(asks.num_rows):
+        hit, at = _found(gram, flat(asks["gram"].slice(i, 1), np.uint64))
+        at = at[hit]
+        rows.append((asks["fold"][i].as_py(), asks["bucket"][i].as_py(), np.packbits(hit).tobytes(),
+                     share[at].tobytes(), rest[at].tobytes()))
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    columns = zip(*rows) if rows else [()] * 5
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fold", "bucket", "hit", "share", "rest"])
+
+
+def _answers(gram: np.ndarray, buckets: int, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Share and rest of each question, and of none at the end: what is no entry has no share, what is
+    no state leaves all."""
+    share, rest = np.zeros(len(gram) + 1), np.ones(len(gram) + 1)
+    order, present, ends = grouped(gram, buckets)
+    for i in range(replies.num_rows):
+        k = np.searchsorted(present, replies["bucket"][i].as_py())
+        mine = order[ends[k]:ends[k + 1]]
+        hit = np.unpackbits(flat(replies["hit"].slice(i, 1), np.uint8), count=len(mine)).astype(bool)
+        for out, name in ((share, "share"), (rest, "rest")):
+            value = flat(replies[name].slice(i, 1), float)
+            there = ~np.isnan(value)
+            out[mine[hit][there]] = value[there]
+    return share, rest
+
+
+def scores(folds: DataFrame, known: DataFrame, depth: int, tokens: int, told: Callable) -> DataFrame:
+    """key, n_tokens, n_known, base_score and score of each text.
+
+    ``known`` is what ``model`` gives. ``told`` gives, for a fold and how often its words were seen as
+    far as tasks do not know, whether each word is known, the log10 of its base probability, both of
+    the end, and the tree's probability of each token.
     """
-    spark = texts.sparkSession
-    model = stash(packed(states, tokens), "packed")
-    drop(spark, folders or [])
+    buckets, parts = buckets_for(tokens), _shares(tokens, PARTS)
+    schema = T.StructType([
+        T.StructField("key", folds.schema["key"].dataType.elementType), T.StructField("n_tokens", T.LongType()),
+        T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
+        T.StructField("score", T.DoubleType())])
+
+    def scored(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        out = []
+        for fold in unfolded(texts):
+            gram, at = fold.asked(depth)
+            share, rest = _answers(gram, buckets, replies)
+            seen, base, end_seen, end_base, p = told(fold, share[:len(fold.word)])
+            after = np.flatnonzero(fold.ends_of(2))  # every token
+            for d in range(1, depth + 1):  # from the shortest state up
+                p = share[at[d][after]] + rest[at[d - 1][after - 1]] * p
+            n = len(fold.size)
+            owner = np.repeat(np.arange(n), fold.size)
+            step = fold.size + 1
+            out.append(pa.table({
+                "key": fold.key, "n_tokens": step,
+                "n_known": np.bincount(owner, weights=seen[fold.code], minlength=n).astype(np.int64) + end_seen,
+                "base_score": np.bincount(owner, weights=base[fold.code], minlength=n) + end_base,
+                "score": np.add.reduceat(np.log10(p), np.cumsum(step) - step)}))
+        return pa.concat_tables(out)
+
     out = None
-    parts = _shares(tokens, PARTS)
     for part in range(parts):
-        with owned([]) as used:
-            mine = texts.filter(F.pmod(F.xxhash64("row"), F.lit(parts)) == part)
-            folds = stash(mine.mapInArrow(fold, FOLD), "folds", "zstd")
-            replies = stash(asked(folds, tokens).groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(
-                _replies, "fold long, " + _MODEL), "replies")
-            found = folds.groupBy("fold").cogroup(replies.groupBy("fold")).applyInArrow(
-                _gained, "row long, gain double")
-        found = stash(found, "gains")
-        drop(spark, used)
+        mine = folds.filter(F.pmod(F.xxhash64("fold"), F.lit(parts)) == part)
+        replies = questions(mine, depth, buckets).groupBy("bucket").cogroup(
+            known.groupBy("bucket")).applyInArrow(_replies, _TOLD)
+        found = stash(mine.groupBy("fold").cogroup(replies.groupBy("fold")).applyInArrow(scored, schema), "gains")
         out = found if out is None else out.unionByName(found)
     return out

@@ -3,6 +3,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from paywarden.llm import suffixtree, wordstates
 from paywarden.llm.common import owned, stash
 
@@ -135,3 +137,33 @@ def test_slices_and_parts_leave_nothing_out_and_nothing_behind(documents, monkey
     monkeypatch.setattr(wordstates, "FOLDED", 2_000)
     assert wordstates._shares(18_000, wordstates.PARTS) == 5
     assert scores()[0] == whole
+
+
+def test_texts_are_read_once(documents):
+    """Words are counted, followers and runs learnt and all texts scored from one pass over the texts."""
+    rows, _ = passage(60)
+    docs = documents([*rows, (None, None), (1, "")])
+    read = docs.sparkSession.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    marked = docs.withColumn("text", F.udf(seen, "string")("text"))
+    assert suffixtree.language_model_scores(marked).count() == len(rows) + 2
+    assert read.value == len(rows) + 2
+
+
+def test_a_fold_names_each_run_once(documents):
+    """However often a run is copied in a fold, it is asked for once, and its answer reaches all its places."""
+    docs = documents([(k, "a b c d " * 50) for k in range(20)] + [(99, "")])
+    folds = wordstates.folded(docs)
+    for batch in folds.toArrow().to_batches():
+        for fold in wordstates.unfolded(batch):
+            gram, at = fold.asked(wordstates.DEPTH)
+            assert len(set(gram.tolist())) == len(gram) <= 5 + 3 * 10
+            for k, (runs, where) in enumerate(zip(fold.runs(wordstates.DEPTH + 1), at), 1):
+                there = where < len(gram)
+                # No answer is asked for an end: nothing follows it.
+                assert (there == fold.ends_of(k)).all() or k == 1
+                assert (gram[where[there]] == runs[there]).all()
