@@ -76,7 +76,7 @@ def word_counts(docs: DataFrame, text: str = "text", folds: DataFrame | None = N
     def total(rows: pa.Table) -> pa.Table:
         word, length, n = (wordstates.flat(rows[c], k) for c, k in (
             ("word", np.uint64), ("bytes", np.uint8), ("n", np.int64)))
-        places, different = wordstates.encoded(word)
+        different, places, _ = wordstates.distinct(word)
         size = np.zeros(len(different), np.int32)
         size[places] = length
         c = np.bincount(places, weights=n, minlength=len(different)).astype(np.int64)
@@ -207,8 +207,12 @@ def follower_counts(folds: DataFrame, sent, name: str, contexts: np.ndarray | No
                     at = np.minimum(np.searchsorted(contexts, code), len(contexts) - 1)
                     good = contexts[at] == code
                     code, following = code[good], following[good]
-                places, different = wordstates.encoded(code * size + following)
-                held.append((different, np.bincount(places, minlength=len(different))))
+                code = code * size + following
+                if contexts is None:  # few of them
+                    n = np.bincount(code, minlength=1)
+                    held.append((np.flatnonzero(n), n[n > 0]))
+                else:
+                    held.append(np.unique(code, return_counts=True))
                 length += len(held[-1][0])
                 if length >= HELD:
                     held = [_summed(held)]

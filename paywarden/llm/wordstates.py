@@ -48,13 +48,20 @@ _END, _BEGIN = np.uint64(END), np.uint64(xxhash.xxh3_64_intdigest(b" "))
 
 
 def _mixed(code: np.ndarray) -> np.ndarray:
-    code = (code ^ (code >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    # In place: fresh memory costs more than the arithmetic.
+    out = code >> np.uint64(31)
+    out ^= code
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out
 
 
 def joined(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """The run that starts with one run and ends with another, each but a word of it."""
-    return suffix + _mixed(prefix)
+    out = _mixed(prefix)
+    out += suffix
+    return out
 
 
 def _shares(tokens: int, most: int) -> int:
@@ -66,29 +73,47 @@ def buckets_for(tokens: int) -> int:
     return slices * (1 + tokens // (slices * BUCKET))
 
 
-def encoded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each value its place among the different ones, and these."""
-    found = pa.array(values).dictionary_encode()
-    return found.indices.to_numpy(), found.dictionary.to_numpy()
-
-
-def _firsts(places: np.ndarray, number: int) -> np.ndarray:
-    first = np.empty(number, np.int64)
-    first[places[::-1]] = np.arange(len(places) - 1, -1, -1)
-    return first
+def distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes, ascending; for each hash its place among these; and where each is first."""
+    # Sorted by leading bits, with places in the others, which is much faster than argsort.
+    n, bits = len(grams), np.uint64(len(grams).bit_length())
+    keys = grams >> bits
+    keys <<= bits
+    keys |= np.arange(n, dtype=np.uint64)
+    keys.sort()
+    keys &= (np.uint64(1) << bits) - np.uint64(1)
+    order = keys.view(np.int64)
+    found = grams[order]
+    mixed = np.flatnonzero(found[1:] < found[:-1])
+    if len(mixed):  # hashes that differ in their last bits alone
+        lead = found >> bits
+        at = np.flatnonzero(np.isin(lead, lead[mixed]))
+        order[at] = order[at][np.argsort(found[at], kind="stable")]
+        found = grams[order]
+    new = np.ones(n, bool)
+    new[1:] = found[1:] != found[:-1]
+    rank = np.cumsum(new)
+    rank -= 1
+    places = np.empty(n, np.int64)
+    places[order] = rank
+    return found[new], places, order[new]
+
+
+def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Ascending hashes have ascending buckets."""
+    return (grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
 def grouped(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by bucket, the buckets that occur, and where their parts start and end."""
-    return _ordered((_mixed(grams) >> np.uint64(24)) % np.uint64(buckets), buckets)
+    bucket = bucket_of(grams, buckets).astype(np.uint16 if buckets < 1 << 16 else np.int64)
+    return np.argsort(bucket, kind="stable"), *_parts(bucket, buckets)
 
 
-def _ordered(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    bucket = bucket.astype(np.uint16 if buckets < 1 << 16 else np.int64)
-    order = np.argsort(bucket, kind="stable")
-    number = np.bincount(bucket, minlength=buckets)
+def _parts(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    number = np.bincount(bucket.astype(np.int64), minlength=buckets)
     present = np.flatnonzero(number)
-    return order, present, np.append(0, np.cumsum(number[present]))
+    return present, np.append(0, np.cumsum(number[present]))
 
 
 def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -174,27 +199,23 @@ class Fold:
         """By length the hashes of the runs that end at each place; some have no meaning (``ends_of``)."""
         made = [self.line(self.word, _BEGIN, _END)]
         for _ in range(longest - 1):
-            code = made[-1].copy()
-            code[1:] = joined(made[-1][:-1], made[-1][1:])
+            code = _mixed(made[-1])
+            code[1:] = code[:-1] + made[-1][1:]
             made.append(code)
         return made
 
-    def asked(self, depth: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The different words and runs of up to depth + 1 words, and by length the place among these
-        of the run that ends at each place; where there is none, the number of them all."""
-        begin, end = len(self.word), -1
-        grams, at = [np.append(self.word, _BEGIN)], [self.line(np.arange(begin), begin, end)]
+    def asked(self, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By length, of words and runs of up to depth + 1 words: the different ones, ascending, and for each
+        place which of them ends there, their number where none does."""
+        gram, places, _ = distinct(np.append(self.word, _BEGIN))
+        out = [(gram, self.line(places[:-1], places[-1], len(gram)))]
         for k, made in enumerate(self.runs(depth + 1)[1:], 2):
             there = self.ends_of(k)
-            places, different = encoded(made[there])
-            where = np.full(len(there), -1)
-            where[there] = places + sum(map(len, grams))
-            grams.append(different)
-            at.append(where)
-        gram = np.concatenate(grams)
-        for where in at:
-            where[where < 0] = len(gram)
-        return gram, at
+            gram, places, _ = distinct(made[there])
+            at = np.full(len(there), len(gram))
+            at[there] = places
+            out.append((gram, at))
+        return out
 
 
 def _schema(key: T.DataType) -> T.StructType:
@@ -286,24 +307,22 @@ def run_counts(folds: DataFrame, size: int, part: int, tokens: int) -> DataFrame
         for batch in batches:
             for fold in unfolded(batch):
                 made = fold.runs(size)
-                at = np.flatnonzero(fold.ends_of(size))
-                bucket = (_mixed(made[-1][at]) >> np.uint64(24)) % np.uint64(buckets)
+                mine = fold.ends_of(size)
                 if slices > 1:
-                    mine = bucket % np.uint64(slices) == part
-                    at, bucket = at[mine], bucket[mine]
-                places, different = encoded(made[-1][at])
-                first = _firsts(places, len(different))
-                n = np.bincount(places, minlength=len(different)).astype(np.int32)
-                order, present, ends = _ordered(bucket[first], buckets)
-                at = at[first[order]]
-                yield from rows_of(present, ends, prefix=made[-2][at - 1], suffix=made[-2][at], n=n[order]).to_batches()
+                    mine &= bucket_of(made[-1], slices) == part
+                at = np.flatnonzero(mine)
+                gram, places, first = distinct(made[-1][at])
+                n = np.bincount(places, minlength=len(gram)).astype(np.int32)
+                at = at[first]
+                yield from rows_of(*_parts(bucket_of(gram, buckets), buckets), prefix=made[-2][at - 1],
+                                   suffix=made[-2][at], n=n).to_batches()
 
     def total(rows: pa.Table) -> pa.Table:
         prefix, suffix = flat(rows["prefix"], np.uint64), flat(rows["suffix"], np.uint64)
-        places, different = encoded(joined(prefix, suffix))
-        n = np.bincount(places, weights=flat(rows["n"], np.int32), minlength=len(different)).astype(np.int64)
+        gram, places, first = distinct(joined(prefix, suffix))
+        n = np.bincount(places, weights=flat(rows["n"], np.int32), minlength=len(gram)).astype(np.int64)
         often = np.flatnonzero(n >= LEAST)
-        at, n = _firsts(places, len(different))[often], n[often]
+        at, n = first[often], n[often]
         order, present, ends = grouped(suffix[at], buckets)
         return rows_of(present, ends, prefix=prefix[at[order]], suffix=suffix[at[order]], n=n[order])
 
@@ -345,7 +364,7 @@ def _level(rows: DataFrame, shorter: DataFrame, buckets: int, prior: float) -> D
             ("prefix", np.uint64), ("suffix", np.uint64), ("n", np.int64), ("q", float)))
         hit, _ = _found(context[by], prefix)
         prefix, suffix, n, q = prefix[hit], suffix[hit], n[hit], q[hit]
-        owner, states = encoded(prefix)
+        states, owner, _ = distinct(prefix)
         total = seen[by][_found(context[by], states)[1]].astype(float) if len(states) else np.zeros(0)
         given = np.bincount(owner, weights=n, minlength=len(states))
         entries = np.bincount(owner, minlength=len(states))
@@ -423,7 +442,7 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
                 rows = found if rows is None else rows.unionByName(found)
         if level == depth:
             drop(spark, texts)
-        shorter = stash(_level(rows, shorter, buckets, prior), "level")
+        shorter = stash(_level(rows, shorter, buckets, prior), "level", "zstd")
         drop(spark, counted)
         found = _unpacked(shorter, level)
         out = found if out is None else out.unionByName(found)
@@ -444,7 +463,7 @@ def model(states: DataFrame | None, rare: DataFrame, buckets: int) -> DataFrame:
     rows = rows if states is None else rows.unionByName(states.select("gram", "share", "rest"))
 
     def merge(found: pa.Table) -> pa.Table:
-        grams, at = np.unique(flat(found["gram"], np.uint64), return_inverse=True)
+        grams, at, _ = distinct(flat(found["gram"], np.uint64))
         values = {}
         for name in ("share", "rest"):
             value, out = flat(found[name], float), np.full(len(grams), np.nan)
@@ -457,52 +476,55 @@ def model(states: DataFrame | None, rare: DataFrame, buckets: int) -> DataFrame:
         merge, "bucket long, gram binary, share binary, rest binary")
 
 
-_ASKED = "bucket long, fold long, gram binary"
-_TOLD = "fold long, bucket long, hit binary, share binary, rest binary"
-
-
 def questions(folds: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """The words and runs that folds ask the states for, each once a fold: bucket, fold, gram."""
+    """The words and runs that folds ask the states for, each once a fold: bucket, fold, length, gram."""
     def run(batches):
         for batch in batches:
             for fold in unfolded(batch):
-                gram, _ = fold.asked(depth)
-                order, present, ends = grouped(gram, buckets)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(present, pa.int64()), pa.array(np.full(len(present), fold.fold)),
-                     packed(gram[order], ends)], names=["bucket", "fold", "gram"])
+                for length, (gram, _) in enumerate(fold.asked(depth)):
+                    present, ends = _parts(bucket_of(gram, buckets), buckets)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(present, pa.int64()), pa.array(np.full(len(present), fold.fold)),
+                         pa.array(np.full(len(present), length)), packed(gram, ends)],
+                        names=["bucket", "fold", "length", "gram"])
+
+    return folds.mapInArrow(run, "bucket long, fold long, length long, gram binary")
 
-    return folds.mapInArrow(run, _ASKED)
+
+_TOLD = "fold long, bucket long, length long, hit binary, share binary, rest binary"
 
 
 def _replies(asks: pa.Table, known: pa.Table) -> pa.Table:
     """For each fold which of its questions the states of a bucket know, as bits, and their values."""
     gram, share, rest = (flat(known[c], k) for c, k in (("gram", np.uint64), ("share", float), ("rest", float)))
-    rows = []
+    bits, shares, rests = [], [], []
     for i in range(asks.num_rows):
         hit, at = _found(gram, flat(asks["gram"].slice(i, 1), np.uint64))
         at = at[hit]
-        rows.append((asks["fold"][i].as_py(), asks["bucket"][i].as_py(), np.packbits(hit).tobytes(),
-                     share[at].tobytes(), rest[at].tobytes()))
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    columns = zip(*rows) if rows else [()] * 5
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["fold", "bucket", "hit", "share", "rest"])
-
-
-def _answers(gram: np.ndarray, buckets: int, replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Share and rest of each question, and of none at the end: what is no entry has no share, what is
-    no state leaves all."""
-    share, rest = np.zeros(len(gram) + 1), np.ones(len(gram) + 1)
-    order, present, ends = grouped(gram, buckets)
+        bits.append(np.packbits(hit).tobytes())
+        shares.append(share[at].tobytes())
+        rests.append(rest[at].tobytes())
+    return pa.table({
+        **{c: asks[c] for c in ("fold", "bucket", "length")}, "hit": pa.array(bits, pa.binary()),
+        "share": pa.array(shares, pa.binary()), "rest": pa.array(rests, pa.binary())})
+
+
+def _answers(asked: list[tuple], buckets: int, replies: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """By length, share and rest of each question, and of none at the end: what is no entry has no share,
+    what is no state leaves all."""
+    out = [(np.zeros(len(gram) + 1), np.ones(len(gram) + 1)) for gram, _ in asked]
+    parts = [_parts(bucket_of(gram, buckets), buckets) for gram, _ in asked]
     for i in range(replies.num_rows):
+        length = replies["length"][i].as_py()
+        present, ends = parts[length]
         k = np.searchsorted(present, replies["bucket"][i].as_py())
-        mine = order[ends[k]:ends[k + 1]]
-        hit = np.unpackbits(flat(replies["hit"].slice(i, 1), np.uint8), count=len(mine)).astype(bool)
-        for out, name in ((share, "share"), (rest, "rest")):
+        bits = np.unpackbits(flat(replies["hit"].slice(i, 1), np.uint8), count=ends[k + 1] - ends[k])
+        hit = ends[k] + np.flatnonzero(bits)
+        for values, name in zip(out[length], ("share", "rest")):
             value = flat(replies[name].slice(i, 1), float)
             there = ~np.isnan(value)
-            out[mine[hit][there]] = value[there]
-    return share, rest
+            values[hit[there]] = value[there]
+    return out
 
 
 def scores(folds: DataFrame, known: DataFrame, depth: int, tokens: int, told: Callable) -> DataFrame:
@@ -521,12 +543,14 @@ def scores(folds: DataFrame, known: DataFrame, depth: int, tokens: int, told: Ca
     def scored(texts: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
         for fold in unfolded(texts):
-            gram, at = fold.asked(depth)
-            share, rest = _answers(gram, buckets, replies)
-            seen, base, end_seen, end_base, p = told(fold, share[:len(fold.word)])
+            asked = fold.asked(depth)
+            answers = _answers(asked, buckets, replies)
+            rare = answers[0][0][np.searchsorted(asked[0][0], fold.word)]
+            seen, base, end_seen, end_base, p = told(fold, rare)
             after = np.flatnonzero(fold.ends_of(2))  # every token
             for d in range(1, depth + 1):  # from the shortest state up
-                p = share[at[d][after]] + rest[at[d - 1][after - 1]] * p
+                share, rest = answers[d][0][asked[d][1][after]], answers[d - 1][1][asked[d - 1][1][after - 1]]
+                p = share + rest * p
             n = len(fold.size)
             owner = np.repeat(np.arange(n), fold.size)
             step = fold.size + 1

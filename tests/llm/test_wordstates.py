@@ -3,6 +3,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from paywarden.llm import suffixtree, wordstates
@@ -160,10 +161,20 @@ def test_a_fold_names_each_run_once(documents):
     folds = wordstates.folded(docs)
     for batch in folds.toArrow().to_batches():
         for fold in wordstates.unfolded(batch):
-            gram, at = fold.asked(wordstates.DEPTH)
-            assert len(set(gram.tolist())) == len(gram) <= 5 + 3 * 10
-            for k, (runs, where) in enumerate(zip(fold.runs(wordstates.DEPTH + 1), at), 1):
-                there = where < len(gram)
+            asked = fold.asked(wordstates.DEPTH)
+            assert sum(len(gram) for gram, _ in asked) <= 5 + 3 * 10
+            for k, (runs, (gram, at)) in enumerate(zip(fold.runs(wordstates.DEPTH + 1), asked), 1):
+                assert len(set(gram.tolist())) == len(gram)
+                there = at < len(gram)
                 # No answer is asked for an end: nothing follows it.
                 assert (there == fold.ends_of(k)).all() or k == 1
-                assert (gram[where[there]] == runs[there]).all()
+                assert (gram[at[there]] == runs[there]).all()
+
+
+def test_hashes_alike_in_their_leading_bits():
+    pick = random.Random(4)
+    grams = np.array([pick.choice([7 << 40, 7 << 40 | 1, 9 << 50]) + pick.randrange(3) for _ in range(5000)], np.uint64)
+    for part in (grams, grams[:1], grams[:0]):
+        found, places, first = wordstates.distinct(part)
+        assert found.tolist() == sorted(set(part.tolist()))
+        assert (found[places] == part).all() and (part[first] == found).all()
