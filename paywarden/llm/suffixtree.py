@@ -16,9 +16,9 @@ what that leaves goes to the shorter ones and last to the longest state of symbo
 
 Shares bound the tree of symbols, whatever the corpus: at most 1/SYMBOL symbols, 1/CONTEXT
 contexts and 1/ENTRY entries a depth. Words with at least a share LOOKUP, at most 1/LOOKUP, are sent
-to the tasks as sorted hashes; the rest is joined with the full table of counts, one row
-for each text and rare word. So the vocabulary may grow without bound, and no word, text
-or source is gathered in one task.
+to the tasks as sorted hashes; of the rest each fold of texts asks for its own, once, beside the runs it
+asks the states for. So the vocabulary may grow without bound, and no word, text or source is gathered
+in one task. Words are told apart by 64-bit hashes.
 
 NULL and empty texts have the end alone. Without training texts every token has the same
 probability. An empty table has no rows. Repeated rows are counted and scored each. Rows
@@ -44,7 +44,7 @@ SYMBOL = 5e-4
 CONTEXT = 1e-4
 ENTRY = 1e-6
 LOOKUP = 2.5e-7
-# Longer words are never sent to the tasks.
+# The hashes of longer words are never sent to the tasks.
 LOOKUP_BYTES = 64
 PRIOR = 5.0  # weight of the shorter state in a distribution
 # Coded counts that a task holds before it hands them on.

@@ -422,7 +422,8 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
 
     A state's row has the share it leaves to the next shorter one as rest. An entry, known by
     the run of the state's words and the next, has its own share, beside what the shorter
-    state adds. ``folds`` are those of the texts, if there are any.
+    state adds. ``folds`` are those of the texts, if there are any. ``frequent`` is not used: folds get
+    the counts of words that tasks do not know when they are scored.
     """
     spark = docs.sparkSession
     with owned([]) as texts:
