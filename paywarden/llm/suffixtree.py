@@ -48,7 +48,7 @@ LOOKUP = 2.5e-7
 LOOKUP_BYTES = 64
 PRIOR = 5.0  # weight of the shorter state in a distribution
 # Coded counts that a task holds before it hands them on.
-HELD = 2_000_000
+HELD = 1_000_000
 
 END = int(np.uint64(wordstates.END).view(np.int64))  # the end's place among the words' hashes
 _OTHER, _BEGIN, _END = 0, 1, 2
@@ -257,7 +257,19 @@ class Tree:
     depths: tuple[Depth, ...]
 
     def logs(self, following: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
-        """Natural log probability of symbols, each by the longest state for what is before it."""
+        """Natural log probability of symbols, each by the longest state for what is before it.
+
+        Equal symbols after equal ones are looked up once.
+        """
+        code = _codes((following, *before[:len(self.depths)]), self.size)
+        span = self.size ** (1 + len(self.depths))
+        free = 64 - span.bit_length()
+        if len(code) < 2 or span.bit_length() + len(code).bit_length() > 64:
+            return self._logs(following, before)
+        _, places, first = wordstates.distinct(code.astype(np.uint64) << np.uint64(free))
+        return self._logs(following[first], [b[first] for b in before])[places]
+
+    def _logs(self, following: np.ndarray, before: list[np.ndarray]) -> np.ndarray:
         out = np.zeros(len(following))
         todo = np.arange(len(following))
         for k in range(len(self.depths), 0, -1):
@@ -335,18 +347,18 @@ def learn(docs: DataFrame, vocabulary: DataFrame, text: str = "text", depth: int
 
 def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key: str = "doc_id",
            text: str = "text", states: DataFrame | None = None, folders: list[str] | None = None,
-           folds: DataFrame | None = None) -> DataFrame:
+           folds: DataFrame | None = None, levels: list[DataFrame] | None = None) -> DataFrame:
     """Key, n_tokens, n_known, base_score and score of each document.
 
-    ``states`` are those over whole words, which go before the tree's; ``folders`` hold nothing
-    else and are dropped when the states are read. ``folds`` are those of the documents, if there are any.
+    ``states`` are those over whole words, which go before the tree's, or ``levels`` the same packed; ``folders`` hold
+    nothing else and are dropped when the states are read. ``folds`` are those of the documents, if there are any.
     """
     spark = docs.sparkSession
     sent, name = spark.sparkContext.broadcast(lex), uuid.uuid4().hex
     grown = spark.sparkContext.broadcast(tree)
     folds = stash(wordstates.folded(docs, text, key), "numbered", "zstd") if folds is None else folds
     rare = vocabulary.filter(~_frequent(lex.tokens) & (F.col("word") != END))
-    known = stash(wordstates.model(states, rare, wordstates.buckets_for(lex.tokens)), "packed")
+    known = stash(wordstates.model(states, rare, wordstates.buckets_for(lex.tokens), levels), "packed")
     drop(spark, folders or [])
 
     def told(fold: wordstates.Fold, counts: np.ndarray) -> tuple:
@@ -366,7 +378,7 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
         path[inside] += own[fold.code]
         return counts > 0, base, int(lex.ends > 0), float(lex.base(lex.ends)), np.exp(path)
 
-    depth = 0 if states is None else wordstates.DEPTH
+    depth = 0 if states is None and levels is None else wordstates.DEPTH
     found = stash(wordstates.scores(folds, known, depth, lex.tokens, told), "scored")
     return found.withColumnRenamed("key", key)
 
@@ -380,7 +392,7 @@ def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "tex
     vocabulary = stash(word_counts(rows, text, train), "vocabulary")
     lex, tree = learn(rows, vocabulary, text, folds=train)
     with owned([]) as folders:
-        states = wordstates.learn(rows, vocabulary, lex, _frequent(lex.tokens), PRIOR, text, folds=train)
-    found = scored(rows, vocabulary, lex, tree, key, text, states, folders, folds)
+        levels = wordstates.levels(rows, vocabulary, lex, PRIOR, text, folds=train)
+    found = scored(rows, vocabulary, lex, tree, key, text, None, folders, folds, levels)
     return found.select(key, (~learnt(key)).alias("held_out"), "n_tokens", "n_known",
                         F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -35,7 +35,7 @@ from paywarden.llm.common import ROWS, drop, owned, stash
 DEPTH = 3
 LEAST = 2
 # Tokens of a fold, which ends with the texts that reach them.
-FOLDED = 1_000_000
+FOLDED = 500_000
 SLICES = 3
 PARTS = 5
 # Tokens that are worth a slice or part of their own.
@@ -99,6 +99,14 @@ def distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found[new], places, order[new]
 
 
+def ascending(grams: np.ndarray) -> np.ndarray:
+    """The different hashes, ascending."""
+    out = np.sort(grams)
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    return out[new]
+
+
 def bucket_of(grams: np.ndarray, buckets: int) -> np.ndarray:
     """Ascending hashes have ascending buckets."""
     return (grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
@@ -204,6 +212,12 @@ class Fold:
             made.append(code)
         return made
 
+    def asks(self, depth: int) -> Iterator[np.ndarray]:
+        """The different words and runs of ``asked``, without their places."""
+        yield ascending(np.append(self.word, _BEGIN))
+        for k, made in enumerate(self.runs(depth + 1)[1:], 2):
+            yield ascending(made[self.ends_of(k)])
+
     def asked(self, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """By length, of words and runs of up to depth + 1 words: the different ones, ascending, and for each
         place which of them ends there, their number where none does."""
@@ -212,7 +226,7 @@ class Fold:
         for k, made in enumerate(self.runs(depth + 1)[1:], 2):
             there = self.ends_of(k)
             gram, places, _ = distinct(made[there])
-            at = np.full(len(there), len(gram))
+            at = np.full(len(there), len(gram), np.int32)
             at[there] = places
             out.append((gram, at))
         return out
@@ -425,6 +439,17 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
     state adds. ``folds`` are those of the texts, if there are any. ``frequent`` is not used: folds get
     the counts of words that tasks do not know when they are scored.
     """
+    out = None
+    for k, level in enumerate(levels(docs, vocabulary, lex, prior, text, depth, folds), 1):
+        found = _unpacked(level, k)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def levels(docs: DataFrame, vocabulary: DataFrame, lex, prior: float, text: str = "text",
+           depth: int = DEPTH, folds: DataFrame | None = None) -> list[DataFrame]:
+    """What ``learn`` gives, by level and packed: in the row of a bucket gram and share of the runs, NaN
+    where one is no entry, and state and rest of the states."""
     spark = docs.sparkSession
     with owned([]) as texts:
         folds = stash(folded(docs, text), "folds", "zstd") if folds is None else folds
@@ -434,7 +459,7 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
     words = vocabulary.select(F.col("word").alias("gram"), F.col("c").alias("n")).unionByName(start).withColumn(
         "p", F.pow(F.lit(10.0), F.log10(F.col("n") + F.lit(0.1)) - F.lit(lex.norm)))
     shorter = packed_rows(words, buckets, gram=np.int64, n=np.int64, p=float)
-    out = None
+    out = []
     for level in range(1, depth + 1):
         with owned([]) as counted:
             rows = None
@@ -445,8 +470,7 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
             drop(spark, texts)
         shorter = stash(_level(rows, shorter, buckets, prior), "level", "zstd")
         drop(spark, counted)
-        found = _unpacked(shorter, level)
-        out = found if out is None else out.unionByName(found)
+        out.append(shorter)
     return out
 
 
@@ -454,27 +478,48 @@ def _signed(gram: np.uint64) -> int:
     return int(gram.view(np.int64))
 
 
-def model(states: DataFrame | None, rare: DataFrame, buckets: int) -> DataFrame:
+def _entries(level: DataFrame) -> DataFrame:
+    """A level without the runs that are no entries."""
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                gram, share = (flat(batch[c].slice(i, 1), k) for c, k in (("gram", np.uint64), ("share", float)))
+                entry = ~np.isnan(share)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["bucket"].slice(i, 1), pa.array([gram[entry].tobytes()]), pa.array([share[entry].tobytes()]),
+                     batch["state"].slice(i, 1), batch["rest"].slice(i, 1)],
+                    names=["bucket", "gram", "share", "state", "rest"])
+
+    return level.select("bucket", "gram", "share", "state", "rest").mapInArrow(
+        run, "bucket long, gram binary, share binary, state binary, rest binary")
+
+
+def model(states: DataFrame | None, rare: DataFrame, buckets: int, known: list[DataFrame] | None = None) -> DataFrame:
     """The states and entries of each bucket in one row: bucket, and gram, share, rest, packed.
 
-    A word that tasks do not know has how often it was seen as its share.
+    ``known`` are the levels, in as many buckets, or ``states`` what ``learn`` makes of them. A word that tasks do
+    not know has how often it was seen as its share.
     """
-    rows = rare.select(F.col("word").alias("gram"), F.col("c").cast("double").alias("share"),
-                       F.lit(None).cast("double").alias("rest"))
-    rows = rows if states is None else rows.unionByName(states.select("gram", "share", "rest"))
+    none = F.lit(b"")
+    rows = packed_rows(rare.select(F.col("word").alias("gram"), F.col("c").cast("double").alias("share")), buckets,
+                       gram=np.int64, share=float).select("bucket", "gram", "share", none.alias("state"), none.alias("rest"))
+    for level in known or []:
+        rows = rows.unionByName(_entries(level))
+    if states is not None:
+        for value, columns in (("share", ("gram", "share", none.alias("state"), none.alias("rest"))),
+                               ("rest", (none.alias("gram"), none.alias("share"), F.col("gram").alias("state"), "rest"))):
+            some = packed_rows(states.filter(F.col(value).isNotNull()), buckets, gram=np.int64, **{value: float})
+            rows = rows.unionByName(some.select("bucket", *columns))
 
     def merge(found: pa.Table) -> pa.Table:
-        grams, at, _ = distinct(flat(found["gram"], np.uint64))
-        values = {}
-        for name in ("share", "rest"):
-            value, out = flat(found[name], float), np.full(len(grams), np.nan)
-            there = ~np.isnan(value)
-            out[at[there]] = value[there]
-            values[name] = out
-        return rows_of(found["bucket"].slice(0, 1).to_numpy(), np.array([0, len(grams)]), gram=grams, **values)
+        entry, state = flat(found["gram"], np.uint64), flat(found["state"], np.uint64)
+        grams, at, _ = distinct(np.append(entry, state))
+        share, rest = np.full(len(grams), np.nan), np.full(len(grams), np.nan)
+        share[at[:len(entry)]] = flat(found["share"], float)
+        rest[at[len(entry):]] = flat(found["rest"], float)
+        return rows_of(found["bucket"].slice(0, 1).to_numpy(), np.array([0, len(grams)]), gram=grams, share=share, rest=rest)
 
-    return packed_rows(rows, buckets, gram=np.int64, share=float, rest=float).groupBy("bucket").applyInArrow(
-        merge, "bucket long, gram binary, share binary, rest binary")
+    return rows.groupBy("bucket").applyInArrow(merge, "bucket long, gram binary, share binary, rest binary")
 
 
 def questions(folds: DataFrame, depth: int, buckets: int) -> DataFrame:
@@ -482,7 +527,7 @@ def questions(folds: DataFrame, depth: int, buckets: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for fold in unfolded(batch):
-                for length, (gram, _) in enumerate(fold.asked(depth)):
+                for length, gram in enumerate(fold.asks(depth)):
                     present, ends = _parts(bucket_of(gram, buckets), buckets)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(present, pa.int64()), pa.array(np.full(len(present), fold.fold)),

@@ -178,3 +178,40 @@ def test_hashes_alike_in_their_leading_bits():
         found, places, first = wordstates.distinct(part)
         assert found.tolist() == sorted(set(part.tolist()))
         assert (found[places] == part).all() and (part[first] == found).all()
+
+
+def test_packed_levels_are_the_states_as_rows(documents):
+    """Levels go packed into the model that tasks look things up in, the same as their rows do."""
+    rows, _ = passage(200)
+    docs = documents([*rows, (None, None), (1, "")])
+    vocabulary = stash(suffixtree.word_counts(docs), "vocabulary")
+    lex = suffixtree.lexicon(vocabulary)
+    rare = vocabulary.filter("c < 5")
+    states = wordstates.learn(docs, vocabulary, lex, None, suffixtree.PRIOR)
+    levels = wordstates.levels(docs, vocabulary, lex, suffixtree.PRIOR)
+    buckets = wordstates.buckets_for(lex.tokens)
+    a, b = (sorted((r["bucket"], bytes(r["gram"]), bytes(r["share"]), bytes(r["rest"])) for r in m.collect())
+            for m in (wordstates.model(states, rare, buckets), wordstates.model(None, rare, buckets, levels)))
+    assert a == b and len(a[0][1]) > 0
+
+
+def test_equal_symbols_are_looked_up_once(monkeypatch):
+    pick = np.random.default_rng(3)
+    size = 40
+    contexts = np.unique(pick.integers(0, size * size, 300))
+    entries = np.unique(pick.integers(0, len(contexts) * size, 4000))
+    level = [suffixtree.Depth(np.arange(10, 30), pick.random(20), np.arange(0, 20 * size, 3), pick.random(len(range(0, 20 * size, 3)))),
+             suffixtree.Depth(contexts, pick.random(len(contexts)), entries, pick.random(len(entries)))]
+    tree = suffixtree.Tree(size, pick.random(size), tuple(level))
+    following, *before = (pick.integers(0, size, 100_000) for _ in range(3))
+    seen, plain = [], suffixtree.Tree._logs
+    monkeypatch.setattr(suffixtree.Tree, "_logs", lambda self, f, b: seen.append(len(f)) or plain(self, f, b))
+    assert (tree.logs(following, before) == plain(tree, following, before)).all()
+    assert seen == [len(np.unique(following + size * before[0] + size * size * before[1]))]
+
+
+def test_asks_are_what_is_asked(documents):
+    for batch in wordstates.folded(documents(passage(30)[0])).toArrow().to_batches():
+        for fold in wordstates.unfolded(batch):
+            for gram, (same, _) in zip(fold.asks(wordstates.DEPTH), fold.asked(wordstates.DEPTH), strict=True):
+                assert gram.tolist() == same.tolist()
