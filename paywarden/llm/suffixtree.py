@@ -358,7 +358,7 @@ def scored(docs: DataFrame, vocabulary: DataFrame, lex: Lexicon, tree: Tree, key
     grown = spark.sparkContext.broadcast(tree)
     folds = stash(wordstates.folded(docs, text, key), "numbered", "zstd") if folds is None else folds
     rare = vocabulary.filter(~_frequent(lex.tokens) & (F.col("word") != END))
-    known = stash(wordstates.model(states, rare, wordstates.buckets_for(lex.tokens), levels), "packed")
+    known = stash(wordstates.model(states, rare, wordstates.buckets_for(lex.tokens), levels), "packed", "zstd")
     drop(spark, folders or [])
 
     def told(fold: wordstates.Fold, counts: np.ndarray) -> tuple:
@@ -387,12 +387,18 @@ def language_model_scores(docs: DataFrame, key: str = "doc_id", text: str = "tex
                           learnt: Callable = training) -> DataFrame:
     """Scores of all documents by what the training documents among them teach."""
     rows = docs.select(key, text)
-    folds = stash(wordstates.folded(rows, text, key, learnt(key)), "numbered", "zstd")
+    spark = docs.sparkSession
+    with owned([]) as plain:
+        folds = stash(wordstates.folded(rows, text, key, learnt(key)), "numbered", "zstd")
     train = folds.filter("taught")
     vocabulary = stash(word_counts(rows, text, train), "vocabulary")
     lex, tree = learn(rows, vocabulary, text, folds=train)
+    with owned([]) as counts:
+        pairs = wordstates.counted(folds, 2, lex.tokens)
+    folds = stash(wordstates.paired(folds, pairs, lex.tokens), "numbered", "zstd")
+    drop(spark, plain)
     with owned([]) as folders:
-        levels = wordstates.levels(rows, vocabulary, lex, PRIOR, text, folds=train)
+        levels = wordstates.levels(folds, pairs, counts, vocabulary, lex, PRIOR)
     found = scored(rows, vocabulary, lex, tree, key, text, None, folders, folds, levels)
     return found.select(key, (~learnt(key)).alias("held_out"), "n_tokens", "n_known",
                         F.lit(lex.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -35,8 +35,8 @@ from paywarden.llm.common import ROWS, drop, owned, stash
 DEPTH = 3
 LEAST = 2
 # Tokens of a fold, which ends with the texts that reach them.
-FOLDED = 500_000
-SLICES = 3
+FOLDED = 1_000_000
+SLICES = 2
 PARTS = 5
 # Tokens that are worth a slice or part of their own.
 SHARE = 2_000_000
@@ -70,7 +70,9 @@ def _shares(tokens: int, most: int) -> int:
 
 def buckets_for(tokens: int) -> int:
     slices = _shares(tokens, SLICES)
-    return slices * (1 + tokens // (slices * BUCKET))
+    # A fold has a row for each bucket: of many tokens a bucket holds twice as many.
+    size = BUCKET if tokens < 64 * BUCKET else 2 * BUCKET
+    return slices * (1 + tokens // (slices * size))
 
 
 def distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,6 +145,26 @@ def flat(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return np.concatenate(parts).view(kind)
 
 
+def _bit_places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of parts have their bits, when each part starts a byte; and where the parts' bytes end."""
+    width = (sizes + 7) // 8
+    ends = np.append(0, np.cumsum(width))
+    return np.arange(sizes.sum()) + np.repeat(8 * ends[:-1] - (np.cumsum(sizes) - sizes), sizes), ends
+
+
+def bits(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Parts of an array of truth values, as bits."""
+    at, ends = _bit_places(sizes)
+    out = np.zeros(8 * int(ends[-1]), bool)
+    out[at] = values
+    return packed(np.packbits(out), ends)
+
+
+def unbits(column: pa.ChunkedArray | pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The truth values whose parts, of these sizes, the column has as bits."""
+    return np.unpackbits(flat(column, np.uint8))[_bit_places(sizes)[0]].astype(bool)
+
+
 def rows_of(bucket: np.ndarray, ends: np.ndarray, **values: np.ndarray) -> pa.Table:
     """A row for each bucket with its parts of the arrays."""
     return pa.table({"bucket": pa.array(bucket, pa.int64()), **{k: packed(v, ends) for k, v in values.items()}})
@@ -180,6 +202,8 @@ class Fold:
     code: np.ndarray
     word: np.ndarray
     bytes: np.ndarray  # of each word, 255 at most
+    taught: bool = True
+    pairs: np.ndarray | None = None  # whether the pair that ends at each place is known, if that is told
 
     @cached_property
     def starts(self) -> np.ndarray:
@@ -194,6 +218,15 @@ class Fold:
             out[at[at < len(out)]] = False
         return out
 
+    def places_of(self, longest: int) -> np.ndarray:
+        """Whether a run of so many words ends at a place of the lines that may be known: one is
+        not seen more often than its pairs."""
+        out = self.ends_of(longest)
+        if self.pairs is not None:
+            for k in range(longest - 1):
+                out[k:] &= self.pairs[:len(out) - k]
+        return out
+
     def line(self, of_words: np.ndarray, begin, end) -> np.ndarray:
         """What each place has, by the word there."""
         out = np.empty(len(self.code) + 2 * len(self.size), of_words.dtype)
@@ -216,15 +249,15 @@ class Fold:
         """The different words and runs of ``asked``, without their places."""
         yield ascending(np.append(self.word, _BEGIN))
         for k, made in enumerate(self.runs(depth + 1)[1:], 2):
-            yield ascending(made[self.ends_of(k)])
+            yield ascending(made[self.places_of(k)])
 
     def asked(self, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """By length, of words and runs of up to depth + 1 words: the different ones, ascending, and for each
-        place which of them ends there, their number where none does."""
+        """By length, of words and runs of up to depth + 1 words: the different ones that may be known, ascending, and for
+        each place which of them ends there, their number where none does."""
         gram, places, _ = distinct(np.append(self.word, _BEGIN))
         out = [(gram, self.line(places[:-1], places[-1], len(gram)))]
         for k, made in enumerate(self.runs(depth + 1)[1:], 2):
-            there = self.ends_of(k)
+            there = self.places_of(k)
             gram, places, _ = distinct(made[there])
             at = np.full(len(there), len(gram), np.int32)
             at[there] = places
@@ -243,8 +276,12 @@ def unfolded(batch: pa.RecordBatch | pa.Table) -> Iterator[Fold]:
         def values(name, kind):
             return flat(batch[name].slice(i, 1), kind)
 
-        yield Fold(batch["fold"][i].as_py(), batch["key"][i].values, values("size", np.int32).astype(np.int64),
-                   values("code", np.int32), values("word", np.uint64), values("bytes", np.uint8))
+        fold = Fold(batch["fold"][i].as_py(), batch["key"][i].values, values("size", np.int32).astype(np.int64),
+                    values("code", np.int32), values("word", np.uint64), values("bytes", np.uint8),
+                    batch["taught"][i].as_py())
+        if "pairs" in batch.schema.names:
+            fold.pairs = np.unpackbits(values("pairs", np.uint8), count=len(fold.code) + 2 * len(fold.size)).astype(bool)
+        yield fold
 
 
 class _Gathered:
@@ -313,35 +350,77 @@ def tokens_of(folds: DataFrame) -> int:
 
 
 def run_counts(folds: DataFrame, size: int, part: int, tokens: int) -> DataFrame:
-    """Runs of so many words seen LEAST times, those of one slice, as arrays for the buckets of
-    their suffixes: prefix, suffix, n."""
-    buckets, slices = buckets_for(tokens), _shares(tokens, SLICES)
+    """Runs of so many words seen LEAST times in texts learnt from, those of one slice, as arrays for the buckets of
+    their suffixes: prefix, suffix, n.
+
+    Of pairs all folds are told, in further rows, which of theirs are known: fold, bucket, hit.
+    """
+    buckets, slices, told = buckets_for(tokens), _shares(tokens, SLICES), size == 2
 
     def run(batches):
         for batch in batches:
             for fold in unfolded(batch):
                 made = fold.runs(size)
-                mine = fold.ends_of(size)
+                mine = fold.places_of(size)
                 if slices > 1:
                     mine &= bucket_of(made[-1], slices) == part
                 at = np.flatnonzero(mine)
                 gram, places, first = distinct(made[-1][at])
-                n = np.bincount(places, minlength=len(gram)).astype(np.int32)
+                n = np.bincount(places, minlength=len(gram)).astype(np.int32) * np.int32(fold.taught)
                 at = at[first]
-                yield from rows_of(*_parts(bucket_of(gram, buckets), buckets), prefix=made[-2][at - 1],
-                                   suffix=made[-2][at], n=n).to_batches()
+                present, ends = _parts(bucket_of(gram, buckets), buckets)
+                found = rows_of(present, ends, prefix=made[-2][at - 1], suffix=made[-2][at], n=n)
+                yield from found.append_column("fold", pa.array(np.full(len(present), fold.fold))).to_batches()
 
     def total(rows: pa.Table) -> pa.Table:
         prefix, suffix = flat(rows["prefix"], np.uint64), flat(rows["suffix"], np.uint64)
         gram, places, first = distinct(joined(prefix, suffix))
         n = np.bincount(places, weights=flat(rows["n"], np.int32), minlength=len(gram)).astype(np.int64)
-        often = np.flatnonzero(n >= LEAST)
+        known = n >= LEAST
+        often = np.flatnonzero(known)
         at, n = first[often], n[often]
         order, present, ends = grouped(suffix[at], buckets)
-        return rows_of(present, ends, prefix=prefix[at[order]], suffix=suffix[at[order]], n=n[order])
+        out = rows_of(present, ends, prefix=prefix[at[order]], suffix=suffix[at[order]], n=n[order])
+        out = out.append_column("fold", pa.nulls(len(present), pa.int64())).append_column(
+            "hit", pa.nulls(len(present), pa.binary()))
+        if not told:
+            return out
+        hit = bits(known[places], pc.binary_length(rows["n"]).to_numpy() // 4)
+        none = pa.nulls(rows.num_rows, pa.binary())
+        return pa.concat_tables([out, pa.table({
+            "bucket": rows["bucket"], "prefix": none, "suffix": none, "n": none, "fold": rows["fold"], "hit": hit})])
+
+    schema = "bucket long, prefix binary, suffix binary, n binary, fold long"
+    return folds.mapInArrow(run, schema).groupBy("bucket").applyInArrow(total, schema + ", hit binary")
+
+
+def counted(folds: DataFrame, size: int, tokens: int) -> DataFrame:
+    """What ``run_counts`` gives, of all slices, stored."""
+    out = None
+    for part in range(_shares(tokens, SLICES)):
+        found = stash(run_counts(folds, size, part, tokens), "runs")
+        out = found if out is None else out.unionByName(found)
+    return out
 
-    schema = "bucket long, prefix binary, suffix binary, n binary"
-    return folds.mapInArrow(run, schema).groupBy("bucket").applyInArrow(total, schema)
+
+def paired(folds: DataFrame, pairs: DataFrame, tokens: int) -> DataFrame:
+    """The folds, and for each place as a bit whether the pair that ends there is among the counted ``pairs``."""
+    buckets = buckets_for(tokens)
+
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
+        told = told.sort_by("bucket")
+        out = []
+        for fold in unfolded(texts):
+            made, there = fold.runs(2)[-1], fold.ends_of(2)
+            gram, places, _ = distinct(made[there])
+            _, ends = _parts(bucket_of(gram, buckets), buckets)
+            there[there] = unbits(told["hit"], np.diff(ends))[places]
+            out.append(np.packbits(there).tobytes())
+        return texts.append_column("pairs", pa.array(out, pa.binary()))
+
+    told = pairs.filter(F.col("fold").isNotNull()).select("fold", "bucket", "hit")
+    return folds.groupBy("fold").cogroup(told.groupBy("fold")).applyInArrow(
+        run, T.StructType([*folds.schema, T.StructField("pairs", T.BinaryType())]))
 
 
 def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -439,20 +518,30 @@ def learn(docs: DataFrame, vocabulary: DataFrame, lex, frequent, prior: float, t
     state adds. ``folds`` are those of the texts, if there are any. ``frequent`` is not used: folds get
     the counts of words that tasks do not know when they are scored.
     """
+    spark = docs.sparkSession
     out = None
-    for k, level in enumerate(levels(docs, vocabulary, lex, prior, text, depth, folds), 1):
+    with owned([]) as texts:
+        folds = stash(folded(docs, text), "folds", "zstd") if folds is None else folds
+    with owned([]) as counts:
+        pairs = counted(folds, 2, lex.tokens)
+    with owned(texts):
+        folds = stash(paired(folds, pairs, lex.tokens), "folds", "zstd")
+    for k, level in enumerate(levels(folds, pairs, counts, vocabulary, lex, prior, depth), 1):
         found = _unpacked(level, k)
         out = found if out is None else out.unionByName(found)
+    drop(spark, texts)
     return out
 
 
-def levels(docs: DataFrame, vocabulary: DataFrame, lex, prior: float, text: str = "text",
-           depth: int = DEPTH, folds: DataFrame | None = None) -> list[DataFrame]:
+def levels(folds: DataFrame, pairs: DataFrame, folders: list[str], vocabulary: DataFrame, lex, prior: float,
+           depth: int = DEPTH) -> list[DataFrame]:
     """What ``learn`` gives, by level and packed: in the row of a bucket gram and share of the runs, NaN
-    where one is no entry, and state and rest of the states."""
-    spark = docs.sparkSession
-    with owned([]) as texts:
-        folds = stash(folded(docs, text), "folds", "zstd") if folds is None else folds
+    where one is no entry, and state and rest of the states.
+
+    ``folds`` are what ``paired`` gives, ``pairs`` those counted, whose ``folders`` are dropped when they are read.
+    """
+    spark = folds.sparkSession
+    folds = folds.filter("taught")
     buckets = buckets_for(lex.tokens)
     start = vocabulary.filter(F.col("word") == _signed(_END)).select(
         F.lit(_signed(_BEGIN)).alias("gram"), F.col("c").alias("n"))
@@ -461,15 +550,12 @@ def levels(docs: DataFrame, vocabulary: DataFrame, lex, prior: float, text: str
     shorter = packed_rows(words, buckets, gram=np.int64, n=np.int64, p=float)
     out = []
     for level in range(1, depth + 1):
-        with owned([]) as counted:
-            rows = None
-            for part in range(_shares(lex.tokens, SLICES)):
-                found = stash(run_counts(folds, level + 1, part, lex.tokens), "runs")
-                rows = found if rows is None else rows.unionByName(found)
-        if level == depth:
-            drop(spark, texts)
+        if level > 1:
+            with owned([]) as folders:
+                pairs = counted(folds, level + 1, lex.tokens)
+        rows = pairs.filter(F.col("fold").isNull()).select("bucket", "prefix", "suffix", "n")
         shorter = stash(_level(rows, shorter, buckets, prior), "level", "zstd")
-        drop(spark, counted)
+        drop(spark, folders)
         out.append(shorter)
     return out
 
@@ -543,31 +629,24 @@ _TOLD = "fold long, bucket long, length long, hit binary, share binary, rest bin
 def _replies(asks: pa.Table, known: pa.Table) -> pa.Table:
     """For each fold which of its questions the states of a bucket know, as bits, and their values."""
     gram, share, rest = (flat(known[c], k) for c, k in (("gram", np.uint64), ("share", float), ("rest", float)))
-    bits, shares, rests = [], [], []
-    for i in range(asks.num_rows):
-        hit, at = _found(gram, flat(asks["gram"].slice(i, 1), np.uint64))
-        at = at[hit]
-        bits.append(np.packbits(hit).tobytes())
-        shares.append(share[at].tobytes())
-        rests.append(rest[at].tobytes())
-    return pa.table({
-        **{c: asks[c] for c in ("fold", "bucket", "length")}, "hit": pa.array(bits, pa.binary()),
-        "share": pa.array(shares, pa.binary()), "rest": pa.array(rests, pa.binary())})
+    hit, at = _found(gram, flat(asks["gram"], np.uint64))
+    at = at[hit]
+    sizes = pc.binary_length(asks["gram"]).to_numpy() // 8
+    ends = np.append(0, np.cumsum(hit))[np.append(0, np.cumsum(sizes))]
+    return pa.table({**{c: asks[c] for c in ("fold", "bucket", "length")}, "hit": bits(hit, sizes),
+                     "share": packed(share[at], ends), "rest": packed(rest[at], ends)})
 
 
 def _answers(asked: list[tuple], buckets: int, replies: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     """By length, share and rest of each question, and of none at the end: what is no entry has no share,
     what is no state leaves all."""
     out = [(np.zeros(len(gram) + 1), np.ones(len(gram) + 1)) for gram, _ in asked]
-    parts = [_parts(bucket_of(gram, buckets), buckets) for gram, _ in asked]
-    for i in range(replies.num_rows):
-        length = replies["length"][i].as_py()
-        present, ends = parts[length]
-        k = np.searchsorted(present, replies["bucket"][i].as_py())
-        bits = np.unpackbits(flat(replies["hit"].slice(i, 1), np.uint8), count=ends[k + 1] - ends[k])
-        hit = ends[k] + np.flatnonzero(bits)
+    for length, (gram, _) in enumerate(asked):
+        mine = replies.filter(pc.equal(replies["length"], length)).sort_by("bucket")
+        _, ends = _parts(bucket_of(gram, buckets), buckets)
+        hit = np.flatnonzero(unbits(mine["hit"], np.diff(ends)))
         for values, name in zip(out[length], ("share", "rest")):
-            value = flat(replies[name].slice(i, 1), float)
+            value = flat(mine[name], float)
             there = ~np.isnan(value)
             values[hit[there]] = value[there]
     return out

@@ -188,7 +188,9 @@ def test_packed_levels_are_the_states_as_rows(documents):
     lex = suffixtree.lexicon(vocabulary)
     rare = vocabulary.filter("c < 5")
     states = wordstates.learn(docs, vocabulary, lex, None, suffixtree.PRIOR)
-    levels = wordstates.levels(docs, vocabulary, lex, suffixtree.PRIOR)
+    folds = stash(wordstates.folded(docs), "folds")
+    pairs = wordstates.counted(folds, 2, lex.tokens)
+    levels = wordstates.levels(wordstates.paired(folds, pairs, lex.tokens), pairs, [], vocabulary, lex, suffixtree.PRIOR)
     buckets = wordstates.buckets_for(lex.tokens)
     a, b = (sorted((r["bucket"], bytes(r["gram"]), bytes(r["share"]), bytes(r["rest"])) for r in m.collect())
             for m in (wordstates.model(states, rare, buckets), wordstates.model(None, rare, buckets, levels)))
@@ -215,3 +217,34 @@ def test_asks_are_what_is_asked(documents):
         for fold in wordstates.unfolded(batch):
             for gram, (same, _) in zip(fold.asks(wordstates.DEPTH), fold.asked(wordstates.DEPTH), strict=True):
                 assert gram.tolist() == same.tolist()
+
+
+def test_runs_whose_pairs_are_not_known_are_not_sent(documents):
+    """A fold learns which of its pairs are known and names only runs of such; these are all that are known."""
+    rows, copied = passage(120)
+    rows += [(50_000, copied + " once only"), (None, None), (1_000, "")]
+    lines = {key: ["^", *(text or "").split(), ""] for key, text in rows}
+    taught = Counter(x for key, line in lines.items() if key != 50_000 for x in zip(line, line[1:]))
+    docs = documents(rows)
+    folds = stash(wordstates.folded(docs, key="doc_id", learnt=~F.col("doc_id").eqNullSafe(50_000)), "folds")
+    tokens = wordstates.tokens_of(folds)
+    found = wordstates.paired(folds, wordstates.counted(folds, 2, tokens), tokens).toArrow()
+    places, runs = 0, 0
+    for fold in wordstates.unfolded(found):
+        at = [(line, i) for line in map(lines.get, fold.key.to_pylist()) for i in range(len(line))]
+        assert fold.pairs.tolist() == [i > 0 and taught[line[i - 1], line[i]] >= wordstates.LEAST for line, i in at]
+        for k in (2, 3, 4):
+            assert fold.places_of(k).tolist() == [
+                i >= k - 1 and all(taught[line[j - 1], line[j]] >= wordstates.LEAST for j in range(i - k + 2, i + 1))
+                for line, i in at]
+        places += int(fold.places_of(3).sum())
+        runs += int(fold.ends_of(3).sum())
+    assert 0 < places < runs / 2
+
+
+def test_bits_of_parts():
+    pick = np.random.default_rng(2)
+    for sizes in ([], [0], [1], [8, 0, 3, 17], [5, 5, 5]):
+        sizes = np.array(sizes, np.int64)
+        values = pick.random(int(sizes.sum())) < 0.4
+        assert (wordstates.unbits(wordstates.bits(values, sizes), sizes) == values).all()
