@@ -9,7 +9,9 @@ leave goes to the next shorter state, and from the shortest to the tree of symbo
 
 Words and runs of words are known by 64-bit hashes. Nothing here is collected or broadcast by hand.
 Texts are split into words once, into folds: rows of some million tokens. A fold names each of its runs
-once, in one packed array for each bucket of hashes. The buckets are summed; what was seen LEAST times goes
+once, in one packed array for each bucket of hashes. When pairs are counted, every fold is told which of its pairs were
+seen LEAST times; a longer run is named only if all its pairs were, for it is not seen more often than they are. The
+buckets are summed; what was seen LEAST times goes
 to the bucket of its suffix, which knows its probability one level below, and on to that of its prefix,
 which decides. Answers to a fold stand in the order of its questions.
 Runs are counted in up to SLICES, and folds scored in up to PARTS, one after the other, so that the
@@ -35,7 +37,7 @@ from paywarden.llm.common import ROWS, drop, owned, stash
 DEPTH = 3
 LEAST = 2
 # Tokens of a fold, which ends with the texts that reach them.
-FOLDED = 1_000_000
+FOLDED = 800_000
 SLICES = 2
 PARTS = 5
 # Tokens that are worth a slice or part of their own.
